@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from presslake.functions.text import let
+
 # Month names accepted in links.
 MONTHS = {
     "january": 1, "jan": 1, "february": 2, "feb": 2, "march": 3, "mar": 3, "april": 4, "apr": 4,
@@ -62,9 +64,11 @@ def gmt_to_ist(c: Column) -> Column:
     return F.coalesce(local.cast("string"), c)
 
 
-def _calendar_date(parts: Column, year: Column) -> Column:
+def _calendar_date(parts: Column) -> Column:
     """``y-m-d`` text as a date when the year is accepted and the day exists."""
-    return F.when(year.between(FIRST_YEAR, LAST_YEAR), F.try_to_date(parts, "yyyy-M-d"))
+    shaped = parts.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$")
+    accepted = F.substring(parts, 1, 4).between(str(FIRST_YEAR), str(LAST_YEAR))
+    return F.when(shaped & accepted, F.try_to_date(parts, "yyyy-M-d"))
 
 
 def date_from_url(url: Column) -> Column:
@@ -75,15 +79,20 @@ def date_from_url(url: Column) -> Column:
         target = "$1-$2-$3" if order == "ymd" else "$3-$2-$1"
         text = F.regexp_replace(url, f"(?is)^.*?{pattern}.*$", target)
         if r"(\w+)" in pattern:
-            middle = F.regexp_extract(url, "(?i)" + pattern, 2)
-            number = F.coalesce(F.try_element_at(months, F.lower(middle)), middle)
-            text = F.concat_ws(
-                "-", F.regexp_extract(url, "(?i)" + pattern, 1), number, F.regexp_extract(url, "(?i)" + pattern, 3)
+            # A month name becomes its number; a link that does not match stays as it is and is no date.
+            text = let(
+                text,
+                lambda t: F.concat_ws(
+                    "-",
+                    F.substring_index(t, "-", 1),
+                    let(F.lower(F.regexp_extract(t, r"^\d{4}-(\w+)-", 1)), lambda m: F.coalesce(F.try_element_at(months, m), m)),
+                    F.substring_index(t, "-", -1),
+                ),
             )
-        shaped = F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), text)
-        found.append(_calendar_date(shaped, F.try_to_number(F.substring(shaped, 1, 4), F.lit("9999"))))
-    # Every shape holds four digits in a row, so most links without a date are settled by one test.
-    return F.when(url.rlike(r"\d{4}"), F.coalesce(*found))
+        found.append(let(text, _calendar_date))
+    # What all ten shapes have in common; most links without a date are settled here.
+    possible = url.rlike(r"\d{8}|/\d{4}[/-]|-\d{4}/|_\d{4}")
+    return F.when(possible, F.coalesce(*found))
 
 
 def date_from_path(path: Column) -> Column:

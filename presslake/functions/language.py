@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from presslake.functions.text import SPACE_CLASS
+from presslake.functions.text import SPACE_CLASS, let
 
 # Language code and code-point range of its script, in tie-break order.
 SCRIPTS = [
@@ -33,31 +33,37 @@ def script_counts(text: Column) -> Column:
     return F.struct(*[_count(text, rng).alias(code) for code, rng in SCRIPTS])
 
 
+def _top(counts: Column) -> Column:
+    return F.greatest(*[counts[code] for code, _ in SCRIPTS])
+
+
+def _first_with(counts: Column, n: Column) -> Column:
+    return F.coalesce(*[F.when(counts[code] == n, code) for code, _ in SCRIPTS])
+
+
 def dominant_script(text: Column) -> Column:
     """Script with most characters; the first listed wins a tie."""
-    counts = script_counts(text)
-    top = F.greatest(*[counts[code] for code, _ in SCRIPTS])
-    return F.coalesce(*[F.when(counts[code] == top, code) for code, _ in SCRIPTS])
+    return let(script_counts(text), lambda c: _first_with(c, _top(c)))
+
+
+def _has_indic(text: Column) -> Column:
+    """One scan that settles every text without a character of the listed scripts."""
+    return text.rlike(r"[\u0900-\u0D7F]")
 
 
 def detect_language(text: Column) -> Column:
     """Code of the dominant Indic script, else ``en``.
 
-    The eight per-script passes run only for texts with more than 15 % non-Latin characters.
+    The script must fill more than 10 % of a text of 50 characters or more that is over 15 % non-Latin.
     """
     length = F.length(text)
     foreign = F.length(F.regexp_replace(text, _PLAIN + "+", ""))
-    counts = script_counts(text)
-    top = F.greatest(*[counts[code] for code, _ in SCRIPTS])
-    code = F.coalesce(*[F.when(counts[c] == top, c) for c, _ in SCRIPTS])
-    return F.coalesce(
-        F.when((length >= 50) & (foreign > length * 0.15), F.when(top > length * 0.1, code)), F.lit("en")
-    )
+    code = let(script_counts(text), lambda c: F.when(_top(c) > length * 0.1, _first_with(c, _top(c))))
+    return F.coalesce(F.when((length >= 50) & _has_indic(text) & (foreign > length * 0.15), code), F.lit("en"))
 
 
 def detect_language_simple(text: Column) -> Column:
     """First of six scripts that fills more than 15 % of the text, else ``en``."""
     length = F.length(text)
     hits = [F.when(_count(text, rng) > length * 0.15, code) for code, rng in SIMPLE_SCRIPTS]
-    any_indic = text.rlike(r"[\u0900-\u0D7F]")
-    return F.coalesce(F.when((length >= 50) & any_indic, F.coalesce(*hits)), F.lit("en"))
+    return F.coalesce(F.when((length >= 50) & _has_indic(text), F.coalesce(*hits)), F.lit("en"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 # Characters that count as white space, as a trim set and as a regex class body.
@@ -50,8 +52,13 @@ def strip(c: Column) -> Column:
 
 
 def words(c: Column) -> Column:
-    """Blank-separated words; no empty strings."""
-    return F.filter(F.split(c, f"[{SPACE_CLASS}]+"), lambda w: w != "")
+    """White-space separated words; none for a blank text."""
+    return let(strip(c), lambda t: F.when(t != "", F.split(t, f"[{SPACE_CLASS}]+")).otherwise(F.array().cast("array<string>")))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` evaluated once, however often ``body`` mentions it."""
+    return F.get(F.transform(F.array(value), lambda v: body(v)), F.lit(0))
 
 
 def contains_any(c: Column, fragments: list[str]) -> Column:
@@ -65,23 +72,17 @@ def contains_any(c: Column, fragments: list[str]) -> Column:
 
 
 def _decode(c: Column) -> Column:
-    return F.coalesce(F.try_url_decode(c), c)
+    return F.when(c.contains("%") | c.contains("+"), F.coalesce(F.try_url_decode(c), c)).otherwise(c)
 
 
 def _encode(c: Column) -> Column:
     # Java leaves '*' and escapes '~'; the wanted form is the other way round.
-    return F.replace(F.replace(F.url_encode(c), F.lit("%7E"), F.lit("~")), F.lit("*"), F.lit("%2A"))
+    encoded = F.replace(F.replace(F.url_encode(c), F.lit("%7E"), F.lit("~")), F.lit("*"), F.lit("%2A"))
+    return F.when(c.rlike("[^A-Za-z0-9_.-]"), encoded).otherwise(c)
 
 
-def normalize_url(url: Column) -> Column:
-    """Form under which two addresses of one article are equal.
-
-    Tracking parameters, blank parameters and the fragment go; repeated keys are grouped at their first
-    place; everything is lower-cased and trailing slashes are cut. Aggregator links keep their case.
-    """
-    no_fragment = F.substring_index(url, "#", 1)
-    base = F.substring_index(no_fragment, "?", 1)
-    query = F.substring(no_fragment, F.length(base) + 2, F.length(no_fragment))
+def _clean_query(query: Column) -> Column:
+    """Query string without tracking and blank parameters, repeated keys grouped at their first place."""
     pairs = F.transform(
         F.filter(F.split(query, "&"), lambda p: p.rlike("^[^=]*=.")),
         lambda p: F.struct(
@@ -90,19 +91,32 @@ def normalize_url(url: Column) -> Column:
         ),
     )
     kept = F.filter(pairs, lambda p: ~p["k"].isin(TRACKING_PARAMETERS))
-    grouped = F.flatten(
-        F.transform(
-            F.array_distinct(F.transform(kept, lambda p: p["k"])),
-            lambda k: F.filter(kept, lambda p: p["k"] == k),
-        )
+    grouped = let(
+        kept,
+        lambda ps: F.flatten(
+            F.transform(
+                F.array_distinct(F.transform(ps, lambda p: p["k"])), lambda k: F.filter(ps, lambda p: p["k"] == k)
+            )
+        ),
     )
-    text = F.array_join(F.transform(grouped, lambda p: F.concat(_encode(p["k"]), F.lit("="), _encode(p["v"]))), "&")
-    with_query = F.when(no_fragment.contains("?") & (text != ""), F.concat(base, F.lit("?"), text)).otherwise(base)
-    plain = F.rtrim(F.lower(with_query), F.lit("/"))
+    return F.array_join(F.transform(grouped, lambda p: F.concat(_encode(p["k"]), F.lit("="), _encode(p["v"]))), "&")
+
+
+def normalize_url(url: Column) -> Column:
+    """Form under which two addresses of one article are equal.
+
+    Tracking parameters, blank parameters and the fragment go; repeated keys are grouped at their first
+    place; everything is lower-cased and trailing slashes are cut. Aggregator links keep their case.
+    """
+    no_fragment = F.substring_index(url, "#", 1)
+    base = F.substring_index(no_fragment, "?", 1)
+    query = F.substring(no_fragment, F.length(base) + 2, F.length(no_fragment))
+    with_query = let(_clean_query(query), lambda q: F.when(q != "", F.concat(base, F.lit("?"), q)).otherwise(base))
+    plain = F.when(no_fragment.contains("?"), with_query).otherwise(base)
     article = F.regexp_extract(url, "/articles/([^?]+)", 1)
     return F.when(
         url.contains(AGGREGATOR_PATH) & (article != ""), F.concat(F.lit("google_news_"), article)
-    ).otherwise(plain)
+    ).otherwise(F.rtrim(F.lower(plain), F.lit("/")))
 
 
 def url_domain(url: Column) -> Column:
@@ -147,11 +161,16 @@ def quality_grade(text: Column) -> Column:
     length = F.length(text)
     long_lines = F.size(F.filter(F.split(text, "\n"), lambda line: F.length(strip(line)) > 20))
     markup = length - F.length(F.translate(text, "<>", ""))
-    tokens = words(text)
-    variety = F.when(F.size(tokens) > 0, F.size(F.array_distinct(tokens)) / F.size(tokens)).otherwise(F.lit(0.0))
-    high = (length > 1500) & (long_lines >= 3) & (markup <= 10) & (variety > 0.3)
-    medium = (length > 500) & (long_lines >= 2) & (variety > 0.2)
-    return F.when(high, "high").when(medium, "medium").otherwise("low")
+    variety = let(words(text), lambda w: F.when(F.size(w) > 0, F.size(F.array_distinct(w)) / F.size(w)).otherwise(0.0))
+
+    def grade(measures: Column) -> Column:
+        lines, ratio = measures["lines"], measures["ratio"]
+        high = (length > 1500) & (lines >= 3) & (ratio > 0.3) & (markup <= 10)
+        return F.when(high, "high").when((lines >= 2) & (ratio > 0.2), "medium").otherwise("low")
+
+    # Texts of up to 500 characters are low without being split.
+    measured = let(F.struct(long_lines.alias("lines"), variety.alias("ratio")), grade)
+    return F.when(length > 500, measured).otherwise("low")
 
 
 def quality_rank(grade: Column) -> Column:
@@ -161,9 +180,9 @@ def quality_rank(grade: Column) -> Column:
 def clean_title(title: Column, suffixes: list[str] = TITLE_SUFFIXES) -> Column:
     out = title
     for suffix in suffixes:
-        cut = strip(F.substring(out, F.lit(1), F.length(out) - len(suffix)))
-        out = F.when(out.endswith(suffix), cut).otherwise(out)
-    return out
+        # One reference per step: the chain stays linear in the number of suffixes.
+        out = F.regexp_replace(out, rf"(?s)^(.*)\Q{suffix}\E$", "$1")
+    return strip(out)
 
 
 def truncate(c: Column, n: int) -> Column:

@@ -42,21 +42,11 @@ def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _numbered_bigrams(text: Column) -> Column:
-    """Hashes of the text's bigrams with end marks, the k-th repeat of a bigram counted as a token of its own."""
+def _bigrams(text: Column) -> Column:
+    """Bigrams of the text with end marks."""
     chars = F.split(F.concat(F.lit("\u0002"), text, F.lit("\u0003")), "")
-    grams = F.transform(
-        F.slice(chars, F.lit(1), F.size(chars) - 1), lambda c, i: F.concat(c, F.get(chars, i + 1))
-    )
-    # One pass per distinct bigram, of which a text has few.
-    return F.flatten(
-        F.transform(
-            F.array_distinct(grams),
-            lambda g: F.transform(
-                F.sequence(F.lit(1), F.size(F.filter(grams, lambda h: h == g))), lambda k: F.xxhash64(g, k)
-            ),
-        )
-    )
+    n = F.length(text) + 1
+    return F.zip_with(F.slice(chars, F.lit(1), n), F.slice(chars, F.lit(2), n), lambda a, b: F.concat(a, b))
 
 
 def _signature(tokens: Column, word: int) -> Column:
@@ -84,16 +74,24 @@ def similar_pairs(texts: DataFrame, scope: list[str], low: float) -> DataFrame:
     match. The matched blocks are separated by unmatched characters, so with end marks at least
     3M - T + 1 numbered bigrams are shared. That count makes prefix filtering exact: ordering each text's
     bigrams from rare to frequent, two such texts share one within their first ``size - count + 1``. Only
-    these prefixes are joined. Frequent bigrams are salted in proportion to their frequency, a pair is
-    emitted only by its rarest shared bigram, and the count is checked inside the join.
+    these prefixes are joined, with nothing but lengths and bit signatures, which already exclude most pairs
+    inside the join. Frequent bigrams are salted in proportion to their frequency. The exact count follows
+    on the distinct pairs that are left.
     """
     if low <= 2 / 3:
         raise ValueError("the shared-bigram bound needs a ratio above 2/3")
     epsilon = 1e-9
     band = (2 - low) / low
     texts = materialize(texts, "texts").withColumn("len", F.length("t"))
-    tokens = texts.select(*scope, "id", F.explode(_numbered_bigrams(F.col("t"))).alias("token"))
-    tokens = materialize(tokens, "bigrams")
+    # The k-th repeat of a bigram within a text is a token of its own.
+    tokens = materialize(
+        texts.select(*scope, "id", F.explode(_bigrams(F.col("t"))).alias("gram"))
+        .groupBy(*scope, "id", "gram")
+        .agg(F.count(F.lit(1)).alias("k"))
+        .select(*scope, "id", "gram", F.explode(F.sequence(F.lit(1).cast("long"), F.col("k"))).alias("k"))
+        .select(*scope, "id", F.xxhash64("gram", "k").alias("token")),
+        "bigrams",
+    )
     frequency = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     # Back to one row per text: at most one entry per character of that text.
     ordered = (
@@ -115,13 +113,10 @@ def similar_pairs(texts: DataFrame, scope: list[str], low: float) -> DataFrame:
         ),
         "prefixes",
     )
-    postings = (
-        prepared.withColumn("p", F.explode("rare"))
-        .withColumn("token", F.col("p.token"))
-        .withColumn("salts", F.ceil(F.col("p.df") / ROWS_PER_SALT).cast("int"))
-        .drop("p", "rare")
+    fields = ["id", "len", *[f"bits{word}" for word in range(WORDS)]]
+    postings = prepared.select(*scope, *fields, "bucket", F.explode("rare").alias("p")).select(
+        *scope, *fields, "bucket", "p.token", F.ceil(F.col("p.df") / ROWS_PER_SALT).cast("int").alias("salts")
     )
-    fields = ["id", "t", "n", "len", "g", *[f"bits{word}" for word in range(WORDS)]]
     shorter = postings.select(
         *scope, "token", "bucket", F.pmod(F.col("id"), F.col("salts")).cast("int").alias("salt"),
         *[F.col(f).alias(f"{f}_s") for f in fields],
@@ -133,34 +128,39 @@ def similar_pairs(texts: DataFrame, scope: list[str], low: float) -> DataFrame:
     )
     total = F.col("len_s") + F.col("len_l")
     wanted = 3 * F.ceil(total * (low / 2) - epsilon) - total + 1
-    shared = F.array_intersect("g_s", "g_l")
 
     def at_most(a: str, b: str) -> Column:
         # A bit set in only one signature stands for at least one bigram the other text lacks.
         only = sum((F.bit_count(F.col(f"bits{w}_{a}").bitwiseAND(F.bitwise_not(f"bits{w}_{b}"))) for w in range(WORDS)), F.lit(0))
         return F.col(f"len_{a}") + 1 - only
 
-    # Cheap tests first: the exact count runs only on the pairs the signatures let through.
     # The work grows faster than the bytes, so small partitions are not merged: their number is explicit.
     keys = [*scope, "token", "bucket", "salt"]
     tasks = shuffle_partitions(texts)
-    pairs = shorter.repartition(tasks, *keys).join(longer.repartition(tasks, *keys), keys).filter(
-        ((F.col("len_s") < F.col("len_l")) | ((F.col("len_s") == F.col("len_l")) & (F.col("id_s") < F.col("id_l"))))
-        & (2 * F.col("len_s") >= low * total - epsilon)
-        & (at_most("s", "l") >= wanted)
-        & (at_most("l", "s") >= wanted)
-        & F.exists(F.array(shared), lambda x: (F.size(x) >= wanted) & (F.get(x, F.lit(0)) == F.col("token")))
+    candidates = (
+        shorter.repartition(tasks, *keys)
+        .join(longer.repartition(tasks, *keys), keys)
+        .filter(
+            ((F.col("len_s") < F.col("len_l")) | ((F.col("len_s") == F.col("len_l")) & (F.col("id_s") < F.col("id_l"))))
+            & (2 * F.col("len_s") >= low * total - epsilon)
+            & (at_most("s", "l") >= wanted)
+            & (at_most("l", "s") >= wanted)
+        )
+        .select(*scope, F.least("id_s", "id_l").alias("id_a"), F.greatest("id_s", "id_l").alias("id_b"))
+        .distinct()
+        .repartition(tasks, "id_a", "id_b")
     )
-    first = F.col("id_s") < F.col("id_l")
 
-    def pick(field: str, earlier: bool) -> Column:
-        s, l = F.col(f"{field}_s"), F.col(f"{field}_l")
-        return F.when(first, s if earlier else l).otherwise(l if earlier else s)
+    def side(s: str) -> DataFrame:
+        return prepared.select(*scope, *[F.col(f).alias(f"{f}_{s}") for f in ("id", "t", "n", "len", "g")])
 
-    return pairs.select(
-        *scope,
-        *[pick(f, True).alias(f"{f}_a") for f in ("id", "t", "n")],
-        *[pick(f, False).alias(f"{f}_b") for f in ("id", "t", "n")],
+    total = F.col("len_a") + F.col("len_b")
+    wanted = 3 * F.ceil(total * (low / 2) - epsilon) - total + 1
+    return (
+        candidates.join(side("a"), [*scope, "id_a"])
+        .join(side("b"), [*scope, "id_b"])
+        .filter(F.size(F.array_intersect("g_a", "g_b")) >= wanted)
+        .select(*scope, "id_a", "t_a", "n_a", "id_b", "t_b", "n_b")
     )
 
 
