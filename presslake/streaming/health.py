@@ -77,7 +77,10 @@ def keep_health(log: DataFrame, root: str, checkpoint: str) -> DataStreamWriter:
     """One state table per micro-batch below ``root``; a repeated batch starts from the same state and rewrites its own."""
 
     def save(batch: DataFrame, batch_id: int) -> None:
+        # The batch is read several times; a lost cached block is recomputed from the source's files.
+        batch.persist()
         state = read_state(batch.sparkSession, root, batch_id - 1)
         fold(state, batch).write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
+        batch.unpersist()
 
     return log.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)
