@@ -15,6 +15,9 @@ NAMED_REFERENCES = {
     "raquo": "\u00BB", "euro": "\u20AC", "pound": "\u00A3", "deg": "\u00B0", "times": "\u00D7",
 }
 
+# References that count even without their semicolon.
+BARE_REFERENCES = {"lt", "gt", "quot", "nbsp", "copy", "reg", "middot", "laquo", "raquo", "pound", "deg", "times"}
+
 
 def _code_point(number: Column) -> Column:
     return F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
@@ -41,8 +44,8 @@ def unescape(text: Column) -> Column:
     )
     out = F.array_join(decoded, "")
     for name, char in NAMED_REFERENCES.items():
-        out = F.replace(out, F.lit(f"&{name};"), F.lit(char))
-    return F.when(text.contains("&"), F.replace(out, F.lit("&amp;"), F.lit("&"))).otherwise(text)
+        out = F.regexp_replace(out, f"&{name};{'?' if name in BARE_REFERENCES else ''}", char)
+    return F.when(text.contains("&"), F.regexp_replace(out, "&amp;?", "&")).otherwise(text)
 
 
 def visible(html: Column) -> Column:
