@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from presslake.functions.dates import date_from_path
 from presslake.functions.text import strip
 from presslake.operators.config import with_default_keywords, with_defaults
-from presslake.sources.schemas import ARTICLE, CONFIG, FEED, METADATA, PAGE, REGISTRY, TERMS
+from presslake.sources.schemas import ARTICLE, CONFIG, FEED, METADATA, PAGE, REGISTRY, STATISTICS, TERMS
 
 
 def read_config(
@@ -70,34 +70,43 @@ def fetched(pages: DataFrame) -> DataFrame:
     )
 
 
+def _metadata_csv(spark: SparkSession, schema: T.StructType):
+    return (
+        spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"')
+        .option("enforceSchema", False)
+    )
+
+
+def _empty_is_null(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({c: F.nullif(F.col(c), F.lit("")) for c in METADATA.names})
+
+
 def read_metadata(spark: SparkSession, root: str, date_range: tuple[str, str] | None = None) -> DataFrame:
     """Metadata rows of all ``*.csv`` below ``root`` with their ``file`` and, from its path, its ``day``.
 
     A range keeps only the files of those days and drops files whose path has no date. For a root written
     by ``write_metadata`` use ``read_metadata_days``: its range prunes the directories instead.
     """
+    path = F.col("_metadata.file_path")
+    day = F.coalesce(date_from_path(path), F.try_to_date(F.regexp_extract(path, r"/day=(\d{4}-\d{2}-\d{2})/", 1), "yyyy-MM-dd"))
     rows = (
-        spark.read.schema(METADATA)
-        .option("header", True)
+        _metadata_csv(spark, METADATA)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.csv")
         .option("ignoreCorruptFiles", True)
-        .option("multiLine", True)
-        .option("escape", '"')
-        .option("enforceSchema", False)
         .csv(root)
-        .select("*", F.col("_metadata.file_path").alias("file"), date_from_path(F.col("_metadata.file_path")).alias("day"))
+        .select("*", path.alias("file"), day.alias("day"))
     )
-    return rows if date_range is None else rows.filter(F.col("day").between(*date_range))
+    rows = _empty_is_null(rows)
+    return rows if date_range is None else rows.filter(F.col("day").between(*[F.lit(d).cast("date") for d in date_range]))
 
 
 def read_metadata_days(spark: SparkSession, root: str, date_range: tuple[str, str] | None = None) -> DataFrame:
     """Rows of ``write_metadata``; a date range becomes a filter on the partition column ``day``."""
-    rows = (
-        spark.read.schema(T.StructType([*METADATA.fields, T.StructField("day", T.DateType())]))
-        .option("header", True).option("escape", '"').option("multiLine", True).csv(root)
-    )
-    return rows if date_range is None else rows.filter(F.col("day").between(*[F.lit(d).cast("date") for d in date_range]))
+    rows = _metadata_csv(spark, T.StructType([*METADATA.fields, T.StructField("day", T.DateType())])).csv(root)
+    if date_range is not None:
+        rows = rows.filter(F.col("day").between(*[F.lit(d).cast("date") for d in date_range]))
+    return _empty_is_null(rows)
 
 
 def read_articles(spark: SparkSession, path: str | list[str], multi_line: bool = False, prefix: str = "") -> DataFrame:
@@ -117,18 +126,19 @@ def read_articles(spark: SparkSession, path: str | list[str], multi_line: bool =
     return out.filter(F.col("id").isNotNull() | F.col("final_url").isNotNull() | F.col("article_text").isNotNull())
 
 
+def read_stats(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(STATISTICS).json(path)
+
+
 def latest_stats(spark: SparkSession, root: str) -> DataFrame:
-    """Statistics file last modified below ``root``, as one row ``(file, modified, stats)``."""
-    text = (
-        spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*stats*")
+    """The JSON file below ``root`` that was modified last and has ``stats`` in its path, as ``(file, modified, stats)``."""
+    files = (
+        spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
         .text(root, wholetext=True)
-        .select(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_modification_time").alias("modified"),
-            F.col("value").alias("stats"),
-        )
+        .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_modification_time").alias("modified"), F.col("value").alias("stats"))
+        .filter(F.lower("file").contains("stats"))
     )
-    return text.agg(F.max_by(F.struct("*"), F.struct("modified", "file")).alias("s")).select("s.*")
+    return files.agg(F.max_by(F.struct("file", "modified", "stats"), F.struct("modified", "file")).alias("s")).select("s.*")
 
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:

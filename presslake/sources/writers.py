@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from presslake.functions.dates import format_dmy
 from presslake.operators.dedup import dedup_links_per_day
 from presslake.operators.stats import stats_to_map
-from presslake.sources.schemas import METADATA_COLUMNS
+from presslake.sources.schemas import ARTICLE, METADATA_COLUMNS
 
 
 def config_records(configs: DataFrame) -> DataFrame:
@@ -27,28 +27,29 @@ def daily_rows(rows: DataFrame) -> DataFrame:
 
 
 def write_metadata(rows: DataFrame, root: str, max_records_per_file: int = 1_000_000) -> None:
-    """CSV under ``day=...``; only the days that occur are replaced.
+    """CSV under ``disaster_id=.../day=...``; only the days that occur are replaced.
 
-    Rows are range-partitioned by day and link, so a day with most rows is written by several tasks and a
-    quiet day by one.
+    Rows are range-partitioned by disaster, day and link, so a day with most rows is written by several
+    tasks and a quiet day by one.
     """
     out = daily_rows(rows)
     (
         out.select(*METADATA_COLUMNS, "day")
-        .repartitionByRange("day", "link")
+        .repartitionByRange("disaster_id", "day", "link")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", max_records_per_file)
         .option("header", True)
         .option("escape", '"')
-        .partitionBy("day")
+        .partitionBy("disaster_id", "day")
         .csv(root)
     )
 
 
 def write_articles(articles: DataFrame, root: str) -> None:
-    """JSON under ``extraction_quality=...``; a grade without articles gives no folder."""
-    articles.write.mode("overwrite").partitionBy("extraction_quality").json(root)
+    """JSON records under ``grade=...``; a grade without articles gives no folder."""
+    records = articles.select(*ARTICLE.names, F.col("extraction_quality").alias("grade"))
+    records.write.mode("overwrite").partitionBy("grade").json(root)
 
 
 def read_written_articles(spark: SparkSession, root: str, output: str = "all") -> DataFrame:
@@ -56,10 +57,9 @@ def read_written_articles(spark: SparkSession, root: str, output: str = "all") -
 
     Only the folders of the wanted grades are listed and read.
     """
-    from presslake.sources.schemas import ARTICLE
-
     grades = {"all": ["high", "medium", "low"], "combined": ["high", "medium"]}.get(output, [output])
-    return spark.read.schema(ARTICLE).json(root).filter(F.col("extraction_quality").isin(grades))
+    schema = T.StructType([*ARTICLE.fields, T.StructField("grade", T.StringType())])
+    return spark.read.schema(schema).json(root).filter(F.col("grade").isin(grades))
 
 
 def combined(articles: DataFrame) -> DataFrame:

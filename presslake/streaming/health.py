@@ -73,6 +73,13 @@ def read_state(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
     return spark.read.schema(STATE).parquet(f"{root}/batch={batch_id}")
 
 
+def latest_state(spark: SparkSession, root: str) -> DataFrame:
+    """State after the last micro-batch; only its folder is read in full."""
+    states = spark.read.schema(f"{STATE}, batch INT").parquet(root)
+    last = states.select(F.max("batch")).scalar()
+    return states.filter(F.col("batch") == last).drop("batch")
+
+
 def keep_health(log: DataFrame, root: str, checkpoint: str) -> DataStreamWriter:
     """One state table per micro-batch below ``root``; a repeated batch starts from the same state and rewrites its own."""
 
