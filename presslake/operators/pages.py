@@ -34,10 +34,13 @@ DATE_ELEMENTS = [
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = {"script", "style", "template"}
 
-PARTS = T.StructType.fromDDL(
-    "h1 ARRAY<STRING>, title STRING, og_title STRING, description STRING, first_paragraph STRING, lead STRING,"
-    " body STRING, body_first STRING, body_longest STRING,"
-    " meta_dates ARRAY<STRING>, time_date STRING, date_texts ARRAY<STRING>, jsonld STRING"
+LISTS = {"h1", "meta_dates", "date_texts"}
+FIELDS = [
+    "h1", "title", "og_title", "description", "first_paragraph", "lead", "body", "body_first", "body_longest",
+    "meta_dates", "time_date", "date_texts", "jsonld",
+]
+PARTS = T.StructType(
+    [T.StructField(f, T.ArrayType(T.StringType()) if f in LISTS else T.StringType()) for f in FIELDS]
 )
 
 

@@ -11,8 +11,16 @@ NEWSPAPER = T.StructType([T.StructField("name", T.StringType()), T.StructField("
 NEWSPAPERS = T.MapType(T.StringType(), T.ArrayType(NEWSPAPER))
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+STRING, LONG, INT = T.StringType(), T.LongType(), T.IntegerType()
+COUNTS = T.MapType(STRING, LONG)
+
+
+def struct(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
+
+
+def strings(*names: str) -> T.StructType:
+    return struct(**{name: STRING for name in names})
 
 
 CONFIG = T.StructType(
@@ -28,29 +36,31 @@ CONFIG = T.StructType(
         T.StructField("specific_links", T.ArrayType(T.StringType())),
     ]
 )
-FEED = _struct(
-    "query_id STRING, country_ord INT, ord BIGINT, title STRING, link STRING, published STRING,"
-    " summary STRING, source STRUCT<title: STRING>"
+FEED = struct(
+    query_id=STRING, country_ord=INT, ord=LONG, title=STRING, link=STRING, published=STRING, summary=STRING,
+    source=strings("title"),
 )
 METADATA_COLUMNS = [
     "title", "link", "date", "source", "summary", "language",
     "hazard", "keyword", "location", "newspaper", "query_type", "disaster_id",
 ]
-METADATA = _struct(", ".join(f"{c} STRING" for c in METADATA_COLUMNS))
-PAGE = _struct("page_id BIGINT, url STRING, html STRING, status INT")
-ARTICLE = _struct(
-    "id STRING, title STRING, final_url STRING, original_url STRING, normalized_url STRING,"
-    " article_text STRING, article_language STRING,"
-    " metadata STRUCT<csv_date: STRING, csv_source: STRING, csv_summary: STRING, csv_language: STRING,"
-    " csv_hazard: STRING, csv_keyword: STRING, csv_location: STRING, csv_newspaper: STRING, query_type: STRING>,"
-    " disaster_id STRING, extraction_timestamp STRING, extraction_quality STRING"
+METADATA = strings(*METADATA_COLUMNS)
+PAGE = struct(page_id=LONG, url=STRING, html=STRING, status=INT)
+ARTICLE = struct(
+    id=STRING, title=STRING, final_url=STRING, original_url=STRING, normalized_url=STRING,
+    article_text=STRING, article_language=STRING,
+    metadata=strings(
+        "csv_date", "csv_source", "csv_summary", "csv_language", "csv_hazard", "csv_keyword", "csv_location",
+        "csv_newspaper", "query_type",
+    ),
+    disaster_id=STRING, extraction_timestamp=STRING, extraction_quality=STRING,
 )
-STATISTICS = _struct(
-    "disaster_id STRING, extraction_timestamp STRING, total_articles BIGINT,"
-    " by_language MAP<STRING, BIGINT>, by_quality MAP<STRING, BIGINT>, by_date MAP<STRING, BIGINT>,"
-    " by_location MAP<STRING, BIGINT>, by_keyword MAP<STRING, BIGINT>"
+STATISTICS = struct(
+    disaster_id=STRING, extraction_timestamp=STRING, total_articles=LONG,
+    by_language=COUNTS, by_quality=COUNTS, by_date=COUNTS, by_location=COUNTS, by_keyword=COUNTS,
 )
-REQUEST_LOG = _struct(
-    "request_id BIGINT, ts TIMESTAMP, state_key STRING, success BOOLEAN, error_type STRING, response_time DOUBLE"
+REQUEST_LOG = struct(
+    request_id=LONG, ts=T.TimestampType(), state_key=STRING, success=T.BooleanType(), error_type=STRING,
+    response_time=T.DoubleType(),
 )
-REGISTRY = _struct("`State/UT` STRING, `Newspaper Name` STRING, `Language(s)` STRING, `Website` STRING")
+REGISTRY = strings("State/UT", "Newspaper Name", "Language(s)", "Website")
