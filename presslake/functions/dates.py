@@ -54,8 +54,11 @@ def format_dmy(c: Column) -> Column:
 def parse_rfc822(c: Column) -> Column:
     """``Thu, 30 Oct 2025 10:11:12 GMT`` as a zone-less timestamp in GMT; NULL for anything else."""
     shape = rf"(?i)^\s*(?:{WEEKDAYS}),\s*(\d{{1,2}})\s+({SHORT_MONTHS})\s+(\d{{4}})\s+(\d{{1,2}}):(\d{{1,2}}):(\d{{1,2}})\s+(?:GMT|UTC)\s*$"
-    text = F.regexp_replace(c, shape, "$3-$2-$1 $4:$5:$6")
-    return F.when(c.rlike(shape), F.try_to_timestamp(text, F.lit("yyyy-MMM-d H:m:s")).cast("timestamp_ntz"))
+    name = F.lower(F.regexp_extract(c, shape, 2))
+    month = F.floor((F.instr(F.lit(SHORT_MONTHS.replace("|", "")), name) + 2) / 3)
+    text = F.concat(F.regexp_replace(c, shape, "$3-"), month.cast("string"), F.regexp_replace(c, shape, "-$1 $4:$5:$6"))
+    # Not by way of the session's zone, where the hour may not exist.
+    return F.when(c.rlike(shape), text.try_cast("timestamp_ntz"))
 
 
 def gmt_to_ist(c: Column) -> Column:

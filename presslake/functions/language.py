@@ -43,7 +43,12 @@ def _first_with(counts: Column, n: Column) -> Column:
 
 def dominant_script(text: Column) -> Column:
     """Script with most characters; the first listed wins a tie."""
-    return let(script_counts(text), lambda c: _first_with(c, _top(c)))
+    return let(let(_indic_only(text), script_counts), lambda c: _first_with(c, _top(c)))
+
+
+def _indic_only(text: Column) -> Column:
+    """What the per-script passes need to look at."""
+    return F.regexp_replace(text, r"[^\u0900-\u0D7F]+", "")
 
 
 def _has_indic(text: Column) -> Column:
@@ -58,12 +63,15 @@ def detect_language(text: Column) -> Column:
     """
     length = F.length(text)
     foreign = F.length(F.regexp_replace(text, _PLAIN + "+", ""))
-    code = let(script_counts(text), lambda c: F.when(_top(c) > length * 0.1, _first_with(c, _top(c))))
+    code = let(let(_indic_only(text), script_counts), lambda c: F.when(_top(c) > length * 0.1, _first_with(c, _top(c))))
     return F.coalesce(F.when((length >= 50) & _has_indic(text) & (foreign > length * 0.15), code), F.lit("en"))
 
 
 def detect_language_simple(text: Column) -> Column:
     """First of six scripts that fills more than 15 % of the text, else ``en``."""
     length = F.length(text)
-    hits = [F.when(_count(text, rng) > length * 0.15, code) for code, rng in SIMPLE_SCRIPTS]
-    return F.coalesce(F.when((length >= 50) & _has_indic(text), F.coalesce(*hits)), F.lit("en"))
+    first = let(
+        _indic_only(text),
+        lambda t: F.coalesce(*[F.when(_count(t, rng) > length * 0.15, code) for code, rng in SIMPLE_SCRIPTS]),
+    )
+    return F.coalesce(F.when((length >= 50) & _has_indic(text), first), F.lit("en"))

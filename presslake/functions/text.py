@@ -11,9 +11,7 @@ WHITESPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
     "\u2007\u2008\u2009\u200A\u2028\u2029\u202F\u205F\u3000"
 )
-SPACE_CLASS = (
-    r"\t\n\x0B\f\r\x1C-\x1F \x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
-)
+SPACE_CLASS = r"\s\p{Z}\x1C-\x1F\x85"
 
 # Query parameters that only track the visitor (case-sensitive).
 TRACKING_PARAMETERS = [

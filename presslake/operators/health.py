@@ -87,11 +87,14 @@ def recent_failure_rate(log: DataFrame, k: int = 10, chunk_seconds: int = CHUNK_
         KEY, "_chunk", F.flatten(F.collect_list(F.transform("_tail", lambda x: x["f"])).over(window)).alias("_before")
     )
     missing = F.greatest(F.lit(k) - F.col("_rn"), F.lit(0))
+    # A key's first chunk has nothing before it, and for k = 1 no outcome leaves a chunk.
+    before = F.coalesce("_before", F.array().cast("array<int>"))
     borrowed = F.slice(F.col("_before"), F.greatest(F.size("_before") - missing + 1, F.lit(1)), missing)
     complete = (F.col("_rn") >= k) | (F.size("_before") >= missing)
     total = F.col("_recent") + F.aggregate(borrowed, F.lit(0), lambda a, x: a + x)
     return (
-        local.join(carried, [KEY, "_chunk"])
+        local.join(carried, [KEY, "_chunk"], "left")
+        .withColumn("_before", before)
         .withColumn("recent_failures", F.when(complete, total).cast("int"))
         .withColumn("recent_rate", F.col("recent_failures") / F.lit(float(k)))
         .select(*log.columns, "recent_failures", "recent_rate")
