@@ -27,24 +27,36 @@ def failure_streak(spark, sf_dir):
     return H.failure_streak(request_log(spark, sf_dir)).select("request_id", "state_key", "streak")
 
 
-def _rate_sql(k: int) -> str:
-    return f"""WITH {LOG}, r AS (SELECT *, sum((NOT success)::INT) OVER (PARTITION BY state_key ORDER BY ts, request_id ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW)::INT AS f,
-      row_number() OVER (PARTITION BY state_key ORDER BY ts, request_id) AS rn FROM log),
-  v AS (SELECT request_id, CASE WHEN rn >= {k} THEN f END AS recent_failures, CASE WHEN rn >= {k} THEN f / {k}::DOUBLE END AS recent_rate FROM r)
-  SELECT *, CASE WHEN recent_rate > 0.5 THEN 3.0 WHEN recent_rate > 0.3 THEN 2.0 ELSE 1.0 END::DOUBLE AS factor FROM v"""
+def _rate_sql(k: int, key: str = "state_key") -> str:
+    return f"""WITH {LOG}, r AS (SELECT *, sum((NOT success)::INT) OVER (PARTITION BY {key} ORDER BY ts, request_id ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW)::INT AS f,
+      row_number() OVER (PARTITION BY {key} ORDER BY ts, request_id) AS rn FROM log),
+  v AS (SELECT request_id, hour(ts) AS h, CASE WHEN rn >= {k} THEN f END AS recent_failures, CASE WHEN rn >= {k} THEN f / {k}::DOUBLE END AS recent_rate FROM r)
+  SELECT request_id, recent_failures, recent_rate, CASE WHEN recent_rate > 0.5 THEN 3.0 WHEN recent_rate > 0.3 THEN 2.0 ELSE 1.0 END::DOUBLE
+    * CASE WHEN h BETWEEN 8 AND 10 OR h BETWEEN 17 AND 19 THEN 1.5 ELSE 1.0 END AS delay, CASE WHEN recent_failures >= 3 THEN 2.0 ELSE 1.0 END::DOUBLE AS factor FROM v"""
+
+
+def _rates(rows):
+    return rows.select(
+        "request_id", "recent_failures", "recent_rate", H.adaptive_delay(F.col("recent_rate"), F.hour("ts")).alias("delay"),
+        H.pattern_factor(F.col("recent_failures")).alias("factor"),
+    )
 
 
 @query(_rate_sql(10))
 def recent_failure_rate(spark, sf_dir):
-    rows = H.recent_failure_rate(request_log(spark, sf_dir), 10)
-    return rows.select("request_id", "recent_failures", "recent_rate", H.delay_factor(F.col("recent_rate")).alias("factor"))
+    return _rates(H.recent_failure_rate(request_log(spark, sf_dir), 10))
 
 
 @query(_rate_sql(5))
 def recent_failure_rate_5(spark, sf_dir):
     """The same with other cuts of time: the result does not depend on the chunk length."""
-    rows = H.recent_failure_rate(request_log(spark, sf_dir), 5, chunk_seconds=86400 * 3)
-    return rows.select("request_id", "recent_failures", "recent_rate", H.delay_factor(F.col("recent_rate")).alias("factor"))
+    return _rates(H.recent_failure_rate(request_log(spark, sf_dir), 5, chunk_seconds=86400 * 3))
+
+
+@query(_rate_sql(10, "1"))
+def recent_failure_rate_all_keys(spark, sf_dir):
+    """All requests as one sequence."""
+    return _rates(H.recent_failure_rate(H.across_keys(request_log(spark, sf_dir)), 10))
 
 
 @query(f"WITH {BLOCKS} SELECT state_key, request_id, strftime(blocked_from, {_TS}) AS blocked_from, strftime(blocked_until, {_TS}) AS blocked_until, streak, error_type FROM blocks")

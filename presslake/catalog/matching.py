@@ -28,6 +28,21 @@ def match_queries(spark, sf_dir):
     return M.match_queries(queries, table(spark, sf_dir, "documents"))
 
 
+@query(f"""WITH b AS (SELECT item_id, list_distinct(({_W})[1:2]) AS terms, DATE '2024-01-01' + (item_id % 20)::INT AS since FROM benchmark),
+  d AS (SELECT doc_id, list_distinct({_W}) AS tokens, DATE '2024-01-01' + (doc_id % 60)::INT AS day FROM documents)
+  SELECT item_id AS query_id, doc_id FROM b JOIN d ON list_has_all(tokens, terms) AND day BETWEEN since AND since + 30""")
+def match_queries_dated(spark, sf_dir):
+    """Two words, within a look-back window per query."""
+    start = F.lit("2024-01-01").cast("date")
+    since = F.date_add(start, (F.col("item_id") % 20).cast("int"))
+    queries = table(spark, sf_dir, "benchmark").select(
+        F.col("item_id").alias("query_id"), F.array_join(F.slice(words(F.lower("text")), 1, 2), " ").alias("query"),
+        since.alias("since"), F.date_add(since, 30).alias("until"),
+    )
+    corpus = table(spark, sf_dir, "documents").withColumn("date", F.date_add(start, (F.col("doc_id") % 60).cast("int")))
+    return M.match_queries(queries, corpus)
+
+
 _NORM = f"' ' || array_to_string({_W}, ' ') || ' '"
 
 

@@ -8,7 +8,8 @@ from presslake.functions.language import detect_language_simple
 from presslake.functions.text import (
     article_id, has_body, is_http_url, normalize_url, quality_grade, strip, truncate, url_domain,
 )
-from presslake.operators.config import config_languages, localized
+from presslake.operators.config import localized
+from presslake.operators.pages import link_pages
 from presslake.sources.schemas import METADATA_COLUMNS
 
 METADATA_FIELDS = [
@@ -82,23 +83,16 @@ def valid_links(rows: DataFrame) -> DataFrame:
 def specific_link_row(configs: DataFrame, pages: DataFrame, as_of: Column) -> DataFrame:
     """Metadata rows for the links listed in the configurations that were fetched and have a title.
 
-    ``pages(url, page_title, page_summary, lead, page_date)`` holds one parsed page per address. The date
-    window does not apply; a page without a date gets ``as_of``.
+    Only the listed pages of ``pages(url, html)`` are parsed. The date window does not apply; a page without
+    a date gets ``as_of``.
     """
     links = configs.select(
         "disaster_id",
         "hazard_names",
-        config_languages().alias("_languages"),
         F.posexplode("specific_links").alias("ord", "_raw"),
     ).withColumn("link", strip(F.col("_raw")))
-    parsed = pages.select(
-        F.col("url").alias("link"),
-        F.col("page_title").alias("title"),
-        # A summary below 100 characters gives way to the lead paragraphs when there are any.
-        F.when(F.length("page_summary") < 100, F.coalesce("lead", "page_summary"))
-        .otherwise(F.col("page_summary")).alias("summary"),
-        "page_date",
-    ).filter(F.length("title") >= 10)
+    listed = pages.select("url", "html").join(links.select(F.col("link").alias("url")).distinct(), "url", "left_semi")
+    parsed = link_pages(listed, as_of).withColumnRenamed("url", "link").filter(F.col("title").isNotNull())
     joined = links.join(parsed, "link")
     lang = detect_language_simple(F.concat_ws(" ", "title", "summary"))
     hazards = localized(F.col("hazard_names"), F.col("language"))

@@ -187,9 +187,9 @@ def similar_content(
     articles: DataFrame, prefix: int = 500, low: float = 0.7, sample: int = 10, scope: tuple[str, ...] = ("disaster_id",)
 ) -> DataFrame:
     """Pairs among the first ``sample`` articles of each scope whose beginnings are more than ``low`` similar."""
-    head = keep_top(articles, [F.col(c) for c in scope], [F.col("ord")], sample).select(
-        *scope, "ord", F.lower(F.substring("article_text", 1, prefix)).alias("t")
-    ).filter(F.col("t") != "")
+    # Cut before the window, so that only beginnings are sorted and shuffled.
+    starts = articles.select(*scope, "ord", F.lower(F.substring("article_text", 1, prefix)).alias("t"))
+    head = keep_top(starts, [F.col(c) for c in scope], [F.col("ord")], sample).filter(F.col("t") != "")
     a = head.select(*scope, F.col("ord").alias("id_a"), F.col("t").alias("t_a"))
     b = head.select(*scope, F.col("ord").alias("id_b"), F.col("t").alias("t_b"))
     pairs = a.join(b, list(scope)).filter(F.col("id_a") < F.col("id_b"))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from presslake.functions.text import is_blocking
 
-CHUNK_SECONDS = 3600
+CHUNK_SECONDS = 600
 KEY = "state_key"
 ORDER = ["ts", "request_id"]
 
@@ -101,9 +101,20 @@ def recent_failure_rate(log: DataFrame, k: int = 10, chunk_seconds: int = CHUNK_
     )
 
 
-def delay_factor(rate: Column) -> Column:
-    """Factor on the delay between requests: 3 above half failures, 2 above 30 %."""
-    return F.when(rate > 0.5, 3.0).when(rate > 0.3, 2.0).otherwise(1.0)
+def adaptive_delay(rate: Column, hour: Column) -> Column:
+    """Seconds between requests: 1, times 3 above half failures or 2 above 30 %, times 1.5 at peak hours."""
+    factor = F.when(rate > 0.5, 3.0).when(rate > 0.3, 2.0).otherwise(1.0)
+    return factor * F.when(hour.between(8, 10) | hour.between(17, 19), 1.5).otherwise(1.0)
+
+
+def pattern_factor(recent_failures: Column) -> Column:
+    """Factor on the retry delay: 2 when three of the last five requests failed."""
+    return F.when(recent_failures >= 3, 2.0).otherwise(1.0)
+
+
+def across_keys(log: DataFrame) -> DataFrame:
+    """The log as one sequence, for measures over all keys; time chunks keep it distributed."""
+    return log.withColumn(KEY, F.lit("all"))
 
 
 def block_intervals(log: DataFrame, chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:

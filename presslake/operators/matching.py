@@ -19,58 +19,68 @@ def _spaced(text: Column) -> Column:
     return F.concat(F.lit(" "), body, F.lit(" "))
 
 
-def _alternatives(queries: DataFrame, phrase: bool) -> DataFrame:
-    """One row per ``OR`` alternative with the texts to find in a spaced document."""
-    alts = queries.select("query_id", F.posexplode(F.split("query", " OR ")).alias("alt", "_text"))
-    terms = F.array_distinct(words(F.lower("_text")))
-    wanted = (
-        F.array(_spaced(F.col("_text")))
-        if phrase
-        else F.transform(terms, lambda t: F.concat(F.lit(" "), t, F.lit(" ")))
-    )
-    return alts.select("query_id", "alt", terms.alias("terms"), wanted.alias("wanted")).filter(F.size("terms") > 0)
+def _alternatives(queries: DataFrame, phrase: bool, *keep: str) -> DataFrame:
+    """One row per ``OR`` alternative with its words and, for phrases, the text to find in a spaced document."""
+    alts = queries.select("query_id", *keep, F.posexplode(F.split("query", " OR ")).alias("alt", "_text"))
+    phrases = _spaced(F.col("_text")) if phrase else F.lit(None).cast("string")
+    return alts.select(
+        "query_id", *keep, "alt", F.array_distinct(words(F.lower("_text"))).alias("terms"), phrases.alias("phrase")
+    ).filter(F.size("terms") > 0)
 
 
 def match_queries(queries: DataFrame, corpus: DataFrame, mode: str = "all", salts: int = SALTS) -> DataFrame:
     """``(query_id, doc_id)`` for every document that satisfies a query.
 
     ``all``: every word of one ``OR`` alternative occurs as a word. ``phrase``: the words occur next to each
-    other in order. Each alternative is looked up by its rarest word only, an equi-join on the word; the
-    other words are then tested on the candidate document. A frequent word is spread over ``salts`` keys on
-    the corpus side. ``queries(query_id, query)``, ``corpus(doc_id, text)``.
+    other in order. ``queries(query_id, query[, since, until])``, ``corpus(doc_id, text[, date])``; with
+    ``since`` and ``until`` only documents of those days count.
+
+    Each alternative is looked up by its rarest word only, an equi-join on the word; a frequent word is
+    spread over ``salts`` keys on the corpus side. The other words of a candidate are looked up among the
+    postings of query words, so texts are shuffled for phrases only.
     """
-    alts = _alternatives(queries, mode == "phrase")
-    wanted_words = alts.select(F.explode("terms").alias("token")).distinct()
-    postings = corpus.select("doc_id", F.explode(F.array_distinct(words(F.lower("text")))).alias("token"))
-    relevant = postings.join(wanted_words, "token", "left_semi")
+    phrase = mode == "phrase"
+    dated = "since" in queries.columns
+    window = ["since", "until"] if dated else []
+    alts = _alternatives(queries, phrase, *window)
+    wanted = alts.select(F.explode("terms").alias("token")).distinct()
+    day = ["date"] if dated else []
+    postings = corpus.select("doc_id", *day, F.explode(F.array_distinct(words(F.lower("text")))).alias("token"))
+    relevant = postings.join(wanted, "token", "left_semi")
     frequency = relevant.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    # An alternative with a word that occurs nowhere has no match: the inner join plus the count drops it.
+    # An alternative with a word that occurs nowhere has no match and is dropped by the count.
     drivers = (
-        alts.select("query_id", "alt", "wanted", F.size("terms").alias("n"), F.explode("terms").alias("token"))
+        alts.select("query_id", *window, "alt", "terms", "phrase", F.explode("terms").alias("token"))
         .join(frequency, "token")
-        .groupBy("query_id", "alt")
-        .agg(
-            F.min(F.struct("df", "token")).alias("rarest"),
-            F.count(F.lit(1)).alias("found"),
-            F.any_value("n").alias("n"),
-            F.any_value("wanted").alias("wanted"),
-        )
-        .filter(F.col("found") == F.col("n"))
-        .select("query_id", "alt", "wanted", F.col("rarest.token").alias("token"))
+        .groupBy("query_id", *window, "alt", "terms", "phrase")
+        .agg(F.min(F.struct("df", "token")).alias("rarest"), F.count(F.lit(1)).alias("found"))
+        .filter(F.col("found") == F.size("terms"))
+        .select("query_id", *window, "alt", "terms", "phrase", F.col("rarest.token").alias("token"))
     )
     spread = drivers.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    candidates = (
-        postings.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int"))
-        .join(spread, ["token", "salt"])
-        .select("query_id", "doc_id", "wanted")
+    candidates = relevant.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int")).join(
+        spread, ["token", "salt"]
     )
-    texts = corpus.select("doc_id", _spaced(F.col("text")).alias("_spaced"))
-    return (
-        candidates.join(texts, "doc_id")
-        .filter(F.forall("wanted", lambda w: F.contains(F.col("_spaced"), w)))
+    if dated:
+        candidates = candidates.filter(F.col("date").between(F.col("since"), F.col("until")))
+    if phrase:
+        texts = corpus.select("doc_id", _spaced(F.col("text")).alias("_spaced"))
+        found = candidates.select("query_id", "doc_id", "phrase").join(texts, "doc_id").filter(
+            F.contains("_spaced", "phrase")
+        )
+        return found.select("query_id", "doc_id").distinct()
+    rest = F.array_except("terms", F.array("token"))
+    pairs = candidates.select("query_id", "alt", "doc_id", rest.alias("rest"))
+    single = pairs.filter(F.size("rest") == 0).select("query_id", "doc_id")
+    several = (
+        pairs.select("query_id", "alt", "doc_id", F.size("rest").alias("n"), F.explode("rest").alias("token"))
+        .join(relevant.select("doc_id", "token"), ["doc_id", "token"])
+        .groupBy("query_id", "alt", "doc_id", "n")
+        .agg(F.count(F.lit(1)).alias("found"))
+        .filter(F.col("found") == F.col("n"))
         .select("query_id", "doc_id")
-        .distinct()
     )
+    return single.unionByName(several).distinct()
 
 
 def attach_query(entries: DataFrame, queries: DataFrame) -> DataFrame:

@@ -262,12 +262,11 @@ def extract_pages(pages: DataFrame) -> DataFrame:
 
 
 def link_pages(pages: DataFrame, as_of: Column) -> DataFrame:
-    """Title, summary, lead and date per page, the input of ``specific_link_row``."""
+    """Title, summary and date per page."""
     parts = F.col("parts")
     return parse_pages(pages).select(
         "url",
-        title_of(parts).alias("page_title"),
-        summary_of(parts).alias("page_summary"),
-        parts["lead"].alias("lead"),
+        title_of(parts).alias("title"),
+        longer_summary_of(parts).alias("summary"),
         page_date(parts, F.col("url"), as_of).alias("page_date"),
     )

@@ -8,7 +8,7 @@ from presslake.operators.articles import all_metadata, article_projection, attac
 from presslake.operators.audit import similar_content, similar_titles
 from presslake.operators.dedup import dedup_batch_urls, dedup_content, dedup_report, dedup_url
 from presslake.operators.matching import collect_entries, first_country_with_results
-from presslake.operators.pages import extract_pages, link_pages
+from presslake.operators.pages import extract_pages
 from presslake.operators.querygen import expand_all_queries, query_id, smart_queries
 from presslake.operators.stats import article_statistics, distribution, find_duplicates
 from presslake.sources.workspace import materialize
@@ -25,7 +25,7 @@ def collect(configs: DataFrame, queries: DataFrame, entries: DataFrame, pages: D
     ``entries.query_id`` names the query that found each; ``pages`` holds the given links' markup.
     """
     found = collect_entries(first_country_with_results(entries), queries, configs, as_of)
-    links = specific_link_row(configs, link_pages(pages, as_of), as_of)
+    links = specific_link_row(configs, pages, as_of)
     return all_metadata(found, links)
 
 
