@@ -9,6 +9,7 @@ from presslake.functions.text import SPACE_CLASS, ban_key, mentions_hazard, stri
 from presslake.operators.articles import metadata_projection
 from presslake.operators.dedup import keep_top
 from presslake.operators.health import failure_streak
+from presslake.sources.workspace import materialize
 
 SALTS = 32
 
@@ -46,7 +47,8 @@ def match_queries(queries: DataFrame, corpus: DataFrame, mode: str = "all", salt
     wanted = alts.select(F.explode("terms").alias("token")).distinct()
     day = ["date"] if dated else []
     postings = corpus.select("doc_id", *day, F.explode(F.array_distinct(words(F.lower("text")))).alias("token"))
-    relevant = postings.join(wanted, "token", "left_semi")
+    # Three uses below: the corpus is split into words once, and only the words of queries are kept.
+    relevant = materialize(postings.join(wanted, "token", "left_semi"), "postings")
     frequency = relevant.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     # An alternative with a word that occurs nowhere has no match and is dropped by the count.
     drivers = (
