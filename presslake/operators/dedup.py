@@ -77,7 +77,7 @@ def dedup_batch_urls(rows: DataFrame) -> DataFrame:
 def dedup_report(articles: DataFrame, prefix: int = 500, min_length: int = 100) -> DataFrame:
     """Counts before and after, per disaster: removed by address, then by content; repeated titles are counted.
 
-    Three combined aggregations over narrow rows; no article text is shuffled.
+    Combined aggregations over narrow rows; no article text is shuffled.
     """
     text = F.col("article_text")
     fingerprint = F.when(F.length(text) >= min_length, content_fingerprint(text, prefix))
@@ -103,25 +103,25 @@ def dedup_report(articles: DataFrame, prefix: int = 500, min_length: int = 100)
             F.col("best.title").alias("title"),
         )
     )
-    # One more level each for fingerprints and titles, instead of a distinct count that expands the rows.
-    by_content = (
-        survivors.groupBy("disaster_id", "fp")
-        .agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("n"))
-        .groupBy("disaster_id")
-        .agg(
-            F.sum("copies").alias("original_count"),
-            F.sum("n").alias("after_url"),
-            F.sum(F.when(F.col("fp").isNull(), F.col("n")).otherwise(F.lit(1))).alias("final_count"),
-        )
+    # Fingerprints and titles are counted side by side, so the texts are read once.
+    both = survivors.select(
+        "disaster_id",
+        "copies",
+        F.inline(
+            F.array(*[F.struct(F.lit(k).alias("kind"), F.col(c).alias("value")) for k, c in (("text", "fp"), ("title", "title"))])
+        ),
+    )
+    per_value = both.groupBy("disaster_id", "kind", "value").agg(
+        F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("n")
     )
-    by_title = (
-        survivors.filter(F.col("title").isNotNull())
-        .groupBy("disaster_id", "title")
-        .agg((F.count(F.lit(1)) - 1).alias("n"))
-        .groupBy("disaster_id")
-        .agg(F.sum("n").alias("title_duplicates"))
+    is_text, empty = F.col("kind") == "text", F.col("value").isNull()
+    counts = per_value.groupBy("disaster_id").agg(
+        F.sum(F.when(is_text, F.col("copies"))).alias("original_count"),
+        F.sum(F.when(is_text, F.col("n"))).alias("after_url"),
+        F.sum(F.when(is_text & empty, F.col("n")).when(is_text, 1)).alias("final_count"),
+        F.sum(F.when(~is_text & ~empty, F.col("n") - 1)).alias("title_duplicates"),
     )
-    return by_content.join(by_title, "disaster_id", "left").select(
+    return counts.select(
         "disaster_id",
         "original_count",
         "final_count",

@@ -24,7 +24,9 @@ def _chunked(log: DataFrame, seconds: int) -> DataFrame:
         second = F.unix_date(ts.cast("date")) * F.lit(86400).cast("long") + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
     else:
         second = F.unix_seconds(ts)
-    return log.withColumn("_chunk", F.floor(second / seconds))
+    # Rows without a key or a time are no requests. Saying so here keeps the plans of all uses equal, so
+    # that they share one shuffle.
+    return log.withColumn("_chunk", F.floor(second / seconds)).filter(F.col(KEY).isNotNull() & F.col("_chunk").isNotNull())
 
 
 def _in_chunk():
@@ -37,11 +39,15 @@ def _across():
 
 def failure_streak(log: DataFrame, chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
     """``log`` plus ``streak``: failures in a row up to and including each request; a success has 0."""
+    return _with_streak(_chunked(log, chunk_seconds)).select(*log.columns, "streak")
+
+
+def _with_streak(chunks: DataFrame) -> DataFrame:
+    """Chunked rows with their streak, still partitioned by key and chunk."""
     failed = F.when(F.col("success"), 0).otherwise(1)
     w = _in_chunk().rowsBetween(Window.unboundedPreceding, 0)
     local = (
-        _chunked(log, chunk_seconds)
-        .withColumn("_f", F.sum(failed).over(w))
+        chunks.withColumn("_f", F.sum(failed).over(w))
         .withColumn("_base", F.max(F.when(F.col("success"), F.col("_f"))).over(w))
     )
     summary = local.groupBy(KEY, "_chunk").agg(
@@ -63,7 +69,7 @@ def failure_streak(log: DataFrame, chunk_seconds: int = CHUNK_SECONDS) -> DataFr
     return (
         local.join(carried, [KEY, "_chunk"])
         .withColumn("streak", streak.cast("int"))
-        .select(*log.columns, "streak")
+        .select(*chunks.columns, "streak")
     )
 
 
@@ -122,12 +128,12 @@ def block_intervals(log: DataFrame, chunk_seconds: int = CHUNK_SECONDS) -> DataF
 
     The next success or blocking failure of the key ends the interval early.
     """
-    streaks = _chunked(failure_streak(log, chunk_seconds), chunk_seconds)
+    chunks = _chunked(log, chunk_seconds)
     blocking = is_blocking(F.col("success"), F.col("error_type"))
     ends = F.when(F.col("success") | blocking, F.col("ts"))
     after = _in_chunk().rowsBetween(1, Window.unboundedFollowing)
-    local = streaks.withColumn("_blocking", blocking).withColumn("_next", F.min(ends).over(after))
-    first = streaks.groupBy(KEY, "_chunk").agg(F.min(ends).alias("_first"))
+    local = _with_streak(chunks).withColumn("_blocking", blocking).withColumn("_next", F.min(ends).over(after))
+    first = chunks.groupBy(KEY, "_chunk").agg(F.min(ends).alias("_first"))
     later = _across().rowsBetween(1, Window.unboundedFollowing)
     following = first.withColumn("_later", F.min("_first").over(later)).select(KEY, "_chunk", "_later")
     seconds = F.least(F.lit(300), F.lit(30) * F.col("streak"))
@@ -178,9 +184,8 @@ def request_statistics(log: DataFrame, as_of: Column | None = None, chunk_second
         KEY, "requests", "successes", "current_streak",
         (F.coalesce(blocked_until > as_of, F.lit(False)) if as_of is not None else F.lit(None).cast("boolean")).alias("blocked"),
     )
-    total = keys.agg(F.sum("requests").alias("requests"), F.sum("successes").alias("successes")).select(
-        F.lit("total").alias(KEY), F.coalesce("requests", F.lit(0)).alias("requests"),
-        F.coalesce("successes", F.lit(0)).alias("successes"),
+    total = log.agg(F.count(F.lit(1)).alias("requests"), F.count_if(F.col("success")).alias("successes")).select(
+        F.lit("total").alias(KEY), "requests", "successes",
         F.lit(None).cast("int").alias("current_streak"), F.lit(None).cast("boolean").alias("blocked"),
     )
     rate = F.when(F.col("requests") > 0, F.col("successes") * 100.0 / F.col("requests")).otherwise(F.lit(0.0))
