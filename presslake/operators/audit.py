@@ -16,7 +16,7 @@ from presslake.sources.workspace import materialize
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ROWS_PER_SALT = 20_000
-WORDS = 4  # 64-bit words of a text's bigram signature
+BIGRAM_WORDS, CHARACTER_WORDS = 8, 4  # 64-bit words of a text's two signatures
 
 
 def similarity(a: Column, b: Column, at_least: float = 0.0) -> Column:
@@ -49,9 +49,20 @@ def _bigrams(text: Column) -> Column:
     return F.zip_with(F.slice(chars, F.lit(1), n), F.slice(chars, F.lit(2), n), lambda a, b: F.concat(a, b))
 
 
-def _signature(tokens: Column, word: int) -> Column:
+def _characters(text: Column) -> Column:
+    """Hashes of the text's characters, the k-th repeat of a character counted as a token of its own."""
+    count = lambda c: F.length(text) - F.length(F.replace(text, c, F.lit("")))
+    return F.flatten(
+        F.transform(
+            F.array_distinct(F.split(text, "")),
+            lambda c: F.transform(F.sequence(F.lit(1), count(c)), lambda k: F.xxhash64(c, k)),
+        )
+    )
+
+
+def _signature(tokens: Column, word: int, words: int) -> Column:
     """One word of a bit set with a bit per token."""
-    slot = lambda x: F.pmod(x, F.lit(64 * WORDS))
+    slot = lambda x: F.pmod(x, F.lit(64 * words))
     own = F.filter(tokens, lambda x: F.floor(slot(x) / 64) == word)
     return F.aggregate(
         own, F.lit(0).cast("long"), lambda acc, x: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), (slot(x) % 64).cast("int")))
@@ -75,8 +86,8 @@ def similar_pairs(texts: DataFrame, scope: list[str], low: float) -> DataFrame:
     3M - T + 1 numbered bigrams are shared. That count makes prefix filtering exact: ordering each text's
     bigrams from rare to frequent, two such texts share one within their first ``size - count + 1``. Only
     these prefixes are joined, with nothing but lengths and bit signatures, which already exclude most pairs
-    inside the join. Frequent bigrams are salted in proportion to their frequency. The exact count follows
-    on the distinct pairs that are left.
+    inside the join. Frequent bigrams are salted in proportion to their frequency. The distinct pairs that
+    are left must also pass the bound on their edit distance.
     """
     if low <= 2 / 3:
         raise ValueError("the shared-bigram bound needs a ratio above 2/3")
@@ -102,18 +113,23 @@ def similar_pairs(texts: DataFrame, scope: list[str], low: float) -> DataFrame:
     smallest_partner = F.ceil(F.col("len") * (low / (2 - low)) - epsilon)
     needed = F.ceil((F.col("len") + smallest_partner) * (1.5 * low - 1) + 1 - epsilon)
     prefix = F.greatest(F.lit(1), F.size("tokens") - needed.cast("int") + 1)
-    bits = [_signature(F.col("g"), word).alias(f"bits{word}") for word in range(WORDS)]
+    bigrams, characters = [f"b{w}" for w in range(BIGRAM_WORDS)], [f"c{w}" for w in range(CHARACTER_WORDS)]
+    bits = [
+        *[_signature(F.col("grams"), w, BIGRAM_WORDS).alias(b) for w, b in enumerate(bigrams)],
+        *[_signature(F.col("chars"), w, CHARACTER_WORDS).alias(c) for w, c in enumerate(characters)],
+    ]
+    sides = texts.select(*scope, "id", "len", _characters(F.col("t")).alias("chars")).join(
+        ordered.withColumn("grams", F.transform("tokens", lambda x: x["token"])), [*scope, "id"]
+    )
     prepared = materialize(
-        texts.join(ordered, [*scope, "id"])
-        .withColumn("g", F.transform("tokens", lambda x: x["token"]))
-        .select(
-            *scope, "id", "t", "n", "len", "g", *bits,
+        materialize(sides, "tokens").select(
+            *scope, "id", "len", *bits,
             F.floor(F.log(F.col("len").cast("double")) / math.log(band) + epsilon).alias("bucket"),
             F.slice("tokens", F.lit(1), prefix).alias("rare"),
         ),
         "prefixes",
     )
-    fields = ["id", "len", *[f"bits{word}" for word in range(WORDS)]]
+    fields = ["id", "len", *bigrams, *characters]
     postings = prepared.select(*scope, *fields, "bucket", F.explode("rare").alias("p")).select(
         *scope, *fields, "bucket", "p.token", F.ceil(F.col("p.df") / ROWS_PER_SALT).cast("int").alias("salts")
     )
@@ -129,10 +145,16 @@ def similar_pairs(texts: DataFrame, scope: list[str], low: float) -> DataFrame:
     total = F.col("len_s") + F.col("len_l")
     wanted = 3 * F.ceil(total * (low / 2) - epsilon) - total + 1
 
-    def at_most(a: str, b: str) -> Column:
-        # A bit set in only one signature stands for at least one bigram the other text lacks.
-        only = sum((F.bit_count(F.col(f"bits{w}_{a}").bitwiseAND(F.bitwise_not(f"bits{w}_{b}"))) for w in range(WORDS)), F.lit(0))
-        return F.col(f"len_{a}") + 1 - only
+    def lacks(a: str, b: str, words: list[str]) -> Column:
+        # A bit set in only one signature stands for at least one token the other text lacks.
+        only = [F.bit_count(F.col(f"{w}_{a}").bitwiseAND(F.bitwise_not(f"{w}_{b}"))) for w in words]
+        return sum(only[1:], only[0])
+
+    def may_share(a: str, b: str) -> Column:
+        size = F.col(f"len_{a}")
+        return (size + 1 - lacks(a, b, bigrams) >= wanted) & (
+            2 * (size - lacks(a, b, characters)) >= low * total - epsilon
+        )
 
     # The work grows faster than the bytes, so small partitions are not merged: their number is explicit.
     keys = [*scope, "token", "bucket", "salt"]
@@ -143,8 +165,8 @@ def similar_pairs(texts: DataFrame, scope: list[str], low: float) -> DataFrame:
         .filter(
             ((F.col("len_s") < F.col("len_l")) | ((F.col("len_s") == F.col("len_l")) & (F.col("id_s") < F.col("id_l"))))
             & (2 * F.col("len_s") >= low * total - epsilon)
-            & (at_most("s", "l") >= wanted)
-            & (at_most("l", "s") >= wanted)
+            & may_share("s", "l")
+            & may_share("l", "s")
         )
         .select(*scope, F.least("id_s", "id_l").alias("id_a"), F.greatest("id_s", "id_l").alias("id_b"))
         .distinct()
@@ -152,14 +174,14 @@ def similar_pairs(texts: DataFrame, scope: list[str], low: float) -> DataFrame:
     )
 
     def side(s: str) -> DataFrame:
-        return prepared.select(*scope, *[F.col(f).alias(f"{f}_{s}") for f in ("id", "t", "n", "len", "g")])
+        return texts.select(*scope, *[F.col(f).alias(f"{f}_{s}") for f in ("id", "t", "n", "len")])
 
-    total = F.col("len_a") + F.col("len_b")
-    wanted = 3 * F.ceil(total * (low / 2) - epsilon) - total + 1
+    # T - 2M insertions and deletions turn one text into the other, so their edit distance is at most that.
+    most = F.floor((F.col("len_a") + F.col("len_b")) * (1 - low) + epsilon).cast("int")
     return (
         candidates.join(side("a"), [*scope, "id_a"])
         .join(side("b"), [*scope, "id_b"])
-        .filter(F.size(F.array_intersect("g_a", "g_b")) >= wanted)
+        .filter(F.call_function("levenshtein", F.col("t_a"), F.col("t_b"), most) >= 0)
         .select(*scope, "id_a", "t_a", "n_a", "id_b", "t_b", "n_b")
     )
 
