@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from presslake.catalog.inputs import CONFIGS, LINKS, LOG, configs, links, request_log, sql_words
+from presslake.catalog.inputs import CONFIGS, LINKS, configs, links, request_log, sql_words
 from presslake.catalog.health import STREAKS
 from presslake.catalog.registry import query, table
 from presslake.functions.text import words

@@ -85,7 +85,7 @@ def test_collect_extract_audit(spark, config, pages, tmp_path):
     assert readers.read_articles(spark, out).count() == 3
 
 
-def test_reference_shaped_files(spark, tmp_path):
+def test_folders_by_date(spark, tmp_path):
     """CSV files in YYYY/MM/DD folders, as the pipeline's users have them."""
     day = tmp_path / "data" / "x" / "2025" / "10" / "30"
     day.mkdir(parents=True)

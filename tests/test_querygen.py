@@ -3,7 +3,6 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from presslake.operators import config as C, querygen as Q
 from presslake.sources.readers import read_config
