@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
-from presslake.llm import chat_format, decontamination, language_id, lm_scoring, mixing, ngram_join, quality_rules, token_counts, token_records
+from presslake.llm import chat_format, decontamination, language_id, line_dedup, lm_scoring, mixing, ngram_join, quality_rules, token_counts, token_records
 from presslake.sources.workspace import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,11 @@ def query(run: Query) -> Query:
     return run
 
 
+@query
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")

@@ -319,7 +319,7 @@ def _average(table: pa.Table) -> pa.Table:
     weights = np.array(table.column("tokens").to_pylist(), np.float64)
     blobs = table.column("blob")
     mean = sum(w * np.frombuffer(blobs[k].as_buffer(), np.float32).astype(np.float64) for k, w in enumerate(weights)) / weights.sum()
-    return pa.table({"part": pa.array([table.column("part")[0].as_py() // 32], pa.int32()), "tokens": pa.array([int(weights.sum())], pa.int64()), "blob": pa.array([mean.astype(np.float32).tobytes()], pa.binary())})
+    return pa.table({"part": pa.array([table.column("part")[0].as_py() // 32], pa.int64()), "tokens": pa.array([int(weights.sum())], pa.int64()), "blob": pa.array([mean.astype(np.float32).tobytes()], pa.binary())})
 
 
 def train(training: DataFrame, lex: Lexicon) -> Network:
@@ -332,11 +332,11 @@ def train(training: DataFrame, lex: Lexicon) -> Network:
     for k, (low, high) in enumerate(zip(bounds, bounds[1:], strict=False)):
         params, rate = net.p, 0.01 / (1 + k)
         rows = training.filter((place >= float(low)) & (place < float(high))).select("text")
-        trained = rows.mapInArrow(lambda b, params=params, rate=rate: _train(b, params, CLASSES, lex, rate), "part int, tokens long, blob binary")
+        trained = rows.mapInArrow(lambda b, params=params, rate=rate: _train(b, params, CLASSES, lex, rate), "part long, tokens long, blob binary")
         copies = materialize(trained, "network")
         while copies.count() > 32:  # at most 32 copies meet in a task, and then in the driver
-            nearby = F.floor(F.col("part") / 32).cast("int").alias("group")
-            copies = materialize(copies.groupBy(nearby).applyInArrow(_average, "part int, tokens long, blob binary"), "network")
+            nearby = F.floor(F.col("part") / 32).cast("long").alias("group")
+            copies = materialize(copies.groupBy(nearby).applyInArrow(_average, "part long, tokens long, blob binary"), "network")
         got = copies.collect()
         if got:
             total = sum(r["tokens"] for r in got)

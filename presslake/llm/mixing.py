@@ -104,7 +104,7 @@ def split_quotas(quotas: DataFrame, shards: int, seed: str) -> DataFrame:
         left = F.when(F.col("many") > 1, F.floor(total * half / F.col("many"))).otherwise(total).cast("long")
         uniform = lambda x: (_number(seed, "split", F.col("first"), F.col("many"), x["key"], x["null"]) + 0.5) / float(1 << 60)
 
-        def draw(acc: Column, x: Column, uniform=uniform) -> Column:
+        def draw(acc: Column, x: Column) -> Column:
             got = _hypergeometric(uniform(x), acc["total"], x["n"], acc["left"])
             # Bound once, as the draw is used three times.
             return F.element_at(
