@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from presslake.catalog.inputs import ARTICLES, SQL_RANK, articles, sql_grade
+from presslake.catalog.inputs import ARTICLES, SQL_RANK, articles, sql_grade, sql_words
 from presslake.catalog.registry import query, table
 from presslake.functions import text as T
 from presslake.operators import articles as A, audit, dedup, stats
@@ -175,20 +175,39 @@ def article_projection(spark, sf_dir):
     )
 
 
-@query()
-def similar_titles(spark, sf_dir):
-    """Near-equal page titles; the ratio has no SQL form, so the tests compare with brute force."""
-    titles = table(spark, sf_dir, "pages").select(
-        F.col("page_id").alias("ord"), F.regexp_extract("html", "<title>(.*?)</title>", 1).alias("title")
-    )
-    return audit.similar_titles(titles)
+_TRIGRAMS = "CASE WHEN t <> '' THEN list_distinct(list_transform(range(1, length(t) + 3), lambda i: substring(chr(2) || chr(2) || t || chr(3) || chr(3), i, 3))) ELSE [] END"
 
 
-@query()
+@query(f"""WITH first AS (SELECT doc_id, lower(split_part(text, chr(10), 1)) AS t FROM documents),
+  titles AS (SELECT t, count(*) AS n, min(doc_id) AS id, {_TRIGRAMS} AS g FROM first WHERE t <> '' GROUP BY t),
+  pairs AS (SELECT a.id AS id_a, b.id AS id_b, a.n AS n_a, b.n AS n_b, len(list_intersect(a.g, b.g)) AS c, len(a.g) + len(b.g) AS s FROM titles a JOIN titles b ON a.id < b.id
+    AND len(a.g) >= 0.6 * len(b.g) - 1e-9 AND len(b.g) >= 0.6 * len(a.g) - 1e-9)
+  SELECT id_a, id_b, n_a, n_b, round(c / (s - c), 6) AS similarity FROM pairs WHERE c / (s - c) >= 0.6 - 1e-12""")
+def similar_titles(spark, sf_dir):
+    """Near-equal first lines of documents."""
+    titles = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("ord"), F.substring_index("text", "\n", 1).alias("title"))
+    return audit.similar_titles(titles).select("id_a", "id_b", "n_a", "n_b", F.round("similarity", 6).alias("similarity"))
+
+
+@query(f"""WITH words AS (SELECT lang, doc_id, lower(text) AS t FROM documents WHERE text <> ''),
+  texts AS (SELECT lang, t, count(*) AS n, min(doc_id) AS id, {sql_words('t')} AS w FROM words GROUP BY lang, t),
+  sets AS (SELECT lang, id, n, CASE WHEN len(w) > 0 THEN list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) ELSE [] END AS g FROM texts),
+  rows AS (SELECT lang, id, unnest(g) AS g FROM sets),
+  common AS (SELECT x.lang, x.id AS id_a, y.id AS id_b, count(*) AS c FROM rows x JOIN rows y ON x.lang = y.lang AND x.g = y.g AND x.id < y.id GROUP BY ALL),
+  rated AS (SELECT c.lang, id_a, id_b, a.n AS n_a, b.n AS n_b, c / (len(a.g) + len(b.g) - c) AS r FROM common c JOIN sets a ON a.id = id_a AND a.lang = c.lang JOIN sets b ON b.id = id_b AND b.lang = c.lang)
+  SELECT lang AS disaster_id, id_a, id_b, n_a, n_b, round(r, 6) AS similarity FROM rated WHERE r >= 0.8 - 1e-12""")
 def similar_content(spark, sf_dir):
-    """Pairs among the first ten articles of each group (language and length) whose beginnings are alike."""
-    group = F.concat_ws("-", "lang", F.floor(F.col("n_chars") / 20).cast("string"))
-    rows = table(spark, sf_dir, "documents").select(
-        group.alias("disaster_id"), F.col("doc_id").alias("ord"), F.col("text").alias("article_text")
-    )
-    return audit.similar_content(rows)
+    """Pairs of documents of a language whose whole texts are alike."""
+    rows = table(spark, sf_dir, "documents").select(F.col("lang").alias("disaster_id"), F.col("doc_id").alias("ord"), F.col("text").alias("article_text"))
+    return audit.similar_content(rows).withColumn("similarity", F.round("similarity", 6))
+
+
+@query(f"""WITH lines AS (SELECT doc_id, lower(split_part(text, chr(10), 1)) AS a, lower(split_part(text, chr(10), 2)) AS b FROM documents),
+  g AS (SELECT doc_id, {_TRIGRAMS.replace("t <>", "a <>").replace("length(t)", "length(a)").replace("|| t ||", "|| a ||")} AS x, {_TRIGRAMS.replace("t <>", "b <>").replace("length(t)", "length(b)").replace("|| t ||", "|| b ||")} AS y FROM lines),
+  c AS (SELECT doc_id, len(list_intersect(x, y)) AS c, len(x) + len(y) AS s FROM g)
+  SELECT doc_id, round(CASE WHEN s - c > 0 THEN c / (s - c) ELSE 0.0 END, 6) AS similarity FROM c""")
+def title_similarity(spark, sf_dir):
+    """Ratio of the first two lines of each document."""
+    lines = F.split("text", "\n")
+    line = lambda i: F.lower(F.coalesce(F.get(lines, F.lit(i)), F.lit("")))
+    return table(spark, sf_dir, "documents").select("doc_id", F.round(audit.similarity(line(0), line(1)), 6).alias("similarity"))

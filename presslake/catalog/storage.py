@@ -52,14 +52,25 @@ def write_metadata(spark, sf_dir):
     return out.select("disaster_id", "title", "link", F.date_format("day", "yyyy-MM-dd").alias("day"), "summary")
 
 
-@query(f"WITH {DAILY} SELECT title, link, strftime(day, '%Y-%m-%d') AS day FROM daily WHERE day BETWEEN DATE '1997-01-01' AND DATE '1998-06-30'")
+@query(f"WITH {DAILY} SELECT title, link, disaster_id, strftime(day, '%Y-%m-%d') AS day FROM daily WHERE day BETWEEN DATE '1997-01-01' AND DATE '1998-06-30'")
 def read_metadata(spark, sf_dir):
-    """All CSV files below a root, kept by the date in their path."""
+    """All CSV files below a written root by their headers, kept by the date in their path."""
     root = new_path(spark, "metadata")
     writers.write_metadata(metadata_rows(spark, sf_dir), root)
-    # disaster_id is a folder here, so the files have one column less than the schema.
-    days = readers.read_metadata_days(spark, root, ("1997-01-01", "1998-06-30"))
-    return days.select("title", "link", F.date_format("day", "yyyy-MM-dd").alias("day"))
+    days = readers.read_metadata(spark, root, ("1997-01-01", "1998-06-30"))
+    return days.select("title", "link", "disaster_id", F.date_format("day", "yyyy-MM-dd").alias("day"))
+
+
+@query(f"""WITH {LINKS} SELECT link, 'A "quoted", title ' || ord AS title, CASE WHEN ord % 3 = 0 THEN 'Storm' END AS hazard, '2024-05-0' || (ord % 3 + 1) AS day FROM links WHERE ord % 3 <> 2""")
+def read_metadata_tree(spark, sf_dir):
+    """Folders by year, month and day whose files name their columns in other orders, more or fewer; one has no link."""
+    root = new_path(spark, "tree")
+    plain = links(spark, sf_dir).select("ord", F.col("link").alias("plain"))
+    rows = metadata_rows(spark, sf_dir).drop("link").join(plain.withColumnRenamed("plain", "link"), "ord")
+    for kind, columns in enumerate((["extra", "hazard", "link", "title"], ["title", "link"], ["title", "date"])):
+        part = rows.filter(F.col("ord") % 3 == kind).withColumn("extra", F.lit("x,\n y"))
+        part.select(*columns).write.option("header", True).option("escape", '"').csv(f"{root}/k{kind}/2024/05/{kind + 1:02d}")
+    return readers.read_metadata(spark, root).select("link", "title", "hazard", F.date_format("day", "yyyy-MM-dd").alias("day"))
 
 
 # ---------------------------------------------------------------- articles and statistics
@@ -95,6 +106,18 @@ def combined_articles(spark, sf_dir):
     return writers.combined(articles(spark, sf_dir)).select("extraction_quality", "ord")
 
 
+@query(f"WITH {ARTICLES} SELECT ord::VARCHAR AS id, disaster_id, extraction_quality FROM articles WHERE disaster_id <> 'ev-2' OR extraction_quality = 'high'")
+def write_events(spark, sf_dir):
+    """Events written one after the other into one root; each replaces only its own grades."""
+    root = new_path(spark, "articles")
+    rows = articles(spark, sf_dir).withColumns(
+        {"id": F.col("ord").cast("string"), "original_url": F.col("final_url"), "extraction_timestamp": F.lit(None).cast("string")}
+    )
+    writers.write_articles(rows.filter("disaster_id <> 'ev-2'"), root)
+    writers.write_articles(rows.filter("disaster_id = 'ev-2' AND extraction_quality = 'high'"), root)
+    return writers.read_written_articles(spark, root).select("id", "disaster_id", "extraction_quality")
+
+
 @query(f"""WITH {ARTICLES} SELECT disaster_id, count(*) AS total_articles, count(*) FILTER (extraction_quality = 'low') AS low, '2024-05-05 00:00:00' AS extraction_timestamp FROM articles GROUP BY 1""")
 def write_stats(spark, sf_dir):
     """Statistics objects as JSON, read back from the newest files of the folder."""
@@ -178,5 +201,15 @@ def request_health(spark, sf_dir):
 
 @query(f"WITH {LOG} SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS hour, state_key, count(*) AS requests, count(*) FILTER (success) AS successes FROM log GROUP BY ALL")
 def hourly_success_rate(spark, sf_dir):
-    out = health.hourly_success_rate(request_log(spark, sf_dir))
+    """The log as a stream; hours are given out when the watermark has passed them, the last ones by a later row."""
+    landing, root, state = (new_path(spark, n) for n in ("log", "hours", "state"))
+    log = request_log(spark, sf_dir)
+    log.write.parquet(landing)
+    closing = log.agg((F.max("ts") + F.expr("INTERVAL 3 HOURS")).alias("ts")).withColumn("state_key", F.lit("closing"))
+    for _ in range(2):
+        stream = spark.readStream.schema(log.schema).parquet(landing)
+        rates = health.hourly_success_rate(stream)
+        _run(rates.writeStream.outputMode("append").format("parquet").option("path", root).option("checkpointLocation", state))
+        log.limit(0).unionByName(closing, allowMissingColumns=True).write.mode("append").parquet(landing)
+    out = spark.read.parquet(root).filter("state_key <> 'closing'")
     return out.withColumn("hour", F.date_format("hour", "yyyy-MM-dd HH:mm:ss"))

@@ -67,15 +67,18 @@ def gmt_to_ist(c: Column) -> Column:
     return F.coalesce(local.cast("string"), c)
 
 
-def _calendar_date(parts: Column) -> Column:
+def _calendar_date(parts: Column, first_year: int, last_year: int) -> Column:
     """``y-m-d`` text as a date when the year is accepted and the day exists."""
     shaped = parts.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$")
-    accepted = F.substring(parts, 1, 4).between(str(FIRST_YEAR), str(LAST_YEAR))
+    accepted = F.substring(parts, 1, 4).between(str(first_year), str(last_year))
     return F.when(shaped & accepted, F.try_to_date(parts, "yyyy-M-d"))
 
 
-def date_from_url(url: Column) -> Column:
-    """First valid date among ten shapes; only the first match of each shape is tried."""
+def date_from_url(url: Column, first_year: int = FIRST_YEAR, last_year: int = LAST_YEAR) -> Column:
+    """First valid date among ten shapes; only the first match of each shape is tried.
+
+    Years outside ``first_year`` to ``last_year`` are article numbers rather than dates; give a later last year for newer links.
+    """
     months = F.create_map(*[x for name, n in MONTHS.items() for x in (F.lit(name), F.lit(str(n)))])
     found = []
     for pattern, order in LINK_PATTERNS:
@@ -92,7 +95,7 @@ def date_from_url(url: Column) -> Column:
                     F.substring_index(t, "-", -1),
                 ),
             )
-        found.append(let(text, _calendar_date))
+        found.append(let(text, lambda t: _calendar_date(t, first_year, last_year)))
     # What all ten shapes have in common; most links without a date are settled here.
     possible = url.rlike(r"\d{8}|/\d{4}[/-]|-\d{4}/|_\d{4}")
     return F.when(possible, F.coalesce(*found))
@@ -112,11 +115,14 @@ def parse_date_text(text: Column, as_of: Column) -> Column:
     maybe = plain.rlike(r"\d") & plain.rlike(r"\d{4}")
     written = F.coalesce(*[F.try_to_date(dotted if "." in f else plain, f) for f in WRITTEN_FORMATS])
     low = F.lower(plain)
-    days = F.regexp_extract(low, r"(\d{1,5}) day", 1)
+    # A number of days that no date can go back by is no date.
+    days = F.regexp_extract(low, r"(\d+) day", 1)
+    back = F.try_to_number(F.when(F.length(days) <= 7, days), F.lit("9999999")).cast("int")
+    back = F.when(back < F.datediff(as_of, F.lit("0001-01-01").cast("date")), back)
     relative = (
         F.when(low.contains("yesterday"), F.date_sub(as_of, 1))
         .when(low.contains("today"), as_of)
-        .when(low.contains("ago") & (days != ""), F.date_sub(as_of, F.try_to_number(days, F.lit("99999")).cast("int")))
+        .when(low.contains("ago") & (days != ""), F.date_sub(as_of, back))
         .when(low.contains("ago") & low.contains("week"), F.date_sub(as_of, 7))
     )
     return F.coalesce(F.when(maybe, written), relative)

@@ -29,13 +29,13 @@ def unescape(text: Column) -> Column:
     decoded = F.transform(
         pieces,
         lambda p, i: F.when(
-            (i > 0) & p.rlike(r"^\d{1,6};"),
+            (i > 0) & p.rlike(r"^0*(?:1[01]\d{5}|\d{1,6});") & (F.substring_index(p, ";", 1).try_cast("long") <= 0x10FFFF),
             F.concat(_code_point(F.substring_index(p, ";", 1).cast("long")), F.substring(p, F.instr(p, ";") + 1, F.length(p))),
         )
         .when(
-            (i > 0) & p.rlike(r"^[xX][0-9A-Fa-f]{1,5};"),
+            (i > 0) & p.rlike(r"^[xX]0*(?:10)?[0-9A-Fa-f]{1,4};|^[xX]0*[0-9A-Fa-f]{1,5};"),
             F.concat(
-                _code_point(F.conv(F.substring(F.substring_index(p, ";", 1), F.lit(2), F.lit(5)), 16, 10).cast("long")),
+                _code_point(F.conv(F.substring(F.substring_index(p, ";", 1), F.lit(2), F.lit(64)), 16, 10).cast("long")),
                 F.substring(p, F.instr(p, ";") + 1, F.length(p)),
             ),
         )

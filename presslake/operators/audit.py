@@ -1,72 +1,80 @@
-"""Near-duplicate audit: titles and texts that are similar but not equal."""
+"""Near-duplicate audit: titles and texts that are similar but not equal.
 
-from __future__ import annotations
+Similarity is the Jaccard ratio of token sets: character trigrams for titles, word five-grams for whole texts. Equal sets
+are one member from the start. The join is exact: two sets that reach the ratio share one of the rarest tokens of
+both, as many as the ratio allows to miss, so only these prefixes are joined; sizes and places of the token
+exclude most pairs inside the join, and whole sets are compared for the rest.
+"""
 
-import math
-import sys
+from __future__ import annotations
 
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
-from presslake.operators.dedup import keep_top
 from presslake.sources.workspace import materialize
 
-# Executors need not have the package installed to run the function below.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 ROWS_PER_SALT = 20_000
-BIGRAM_WORDS, CHARACTER_WORDS = 8, 4  # 64-bit words of a text's two signatures
-
 
-def similarity(a: Column, b: Column, at_least: float = 0.0) -> Column:
-    """Matching-blocks ratio of two strings; it depends on the order of its arguments.
 
-    Pairs whose upper bound stays below ``at_least`` give 0 without being matched.
-    """
-
-    @F.pandas_udf("double")
-    def ratio(left: pd.Series, right: pd.Series) -> pd.Series:
-        from difflib import SequenceMatcher
+def trigrams(text: Column) -> Column:
+    """Distinct character trigrams of a text with two end marks on either side; none for an empty one."""
+    marked = F.concat(F.lit("\u0002\u0002"), text, F.lit("\u0003\u0003"))
+    grams = F.transform(F.sequence(F.lit(1), F.char_length(marked) - 2), lambda i: F.substring(marked, i, F.lit(3)))
+    return F.when(text != "", F.array_distinct(grams)).otherwise(F.array().cast("array<string>"))
 
-        def one(x: str, y: str) -> float:
-            matcher = SequenceMatcher(None, x, y)
-            return matcher.ratio() if matcher.quick_ratio() >= at_least else 0.0
 
-        return pd.Series([one(x, y) for x, y in zip(left, right)], dtype="float64")
+def shingles(text: Column, n: int = 5) -> Column:
+    """Distinct runs of ``n`` words of a lower-cased text; of fewer words the whole sequence, of none nothing."""
+    words = F.filter(F.split(F.lower(text), r"\s+"), lambda w: w != "")
+    starts = F.sequence(F.lit(1), F.greatest(F.size(words) - n + 1, F.lit(1)))
+    grams = F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " ")))
+    return F.when(F.size(words) > 0, grams).otherwise(F.array().cast("array<string>"))
 
-    return ratio(a, b)
 
+def jaccard(a: Column, b: Column) -> Column:
+    """Ratio of common to all elements of two sets; 0 for two empty ones."""
+    all_ = F.size(F.array_union(a, b))
+    return F.when(all_ > 0, F.size(F.array_intersect(a, b)) / all_).otherwise(F.lit(0.0))
 
-def shuffle_partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
+def similarity(a: Column, b: Column) -> Column:
+    """Jaccard ratio of two titles' character trigrams."""
+    return jaccard(trigrams(a), trigrams(b))
 
-def _bigrams(text: Column) -> Column:
-    """Bigrams of the text with end marks."""
-    chars = F.split(F.concat(F.lit("\u0002"), text, F.lit("\u0003")), "")
-    n = F.length(text) + 1
-    return F.zip_with(F.slice(chars, F.lit(1), n), F.slice(chars, F.lit(2), n), lambda a, b: F.concat(a, b))
 
+def similar_sets(sets: DataFrame, scope: list[str], low: float) -> DataFrame:
+    """All pairs ``scope, a, b, similarity`` of ``scope, id, tokens`` whose sets have a ratio of ``low`` or more.
 
-def _characters(text: Column) -> Column:
-    """Hashes of the text's characters, the k-th repeat of a character counted as a token of its own."""
-    count = lambda c: F.length(text) - F.length(F.replace(text, c, F.lit("")))
-    return F.flatten(
-        F.transform(
-            F.array_distinct(F.split(text, "")),
-            lambda c: F.transform(F.sequence(F.lit(1), count(c)), lambda k: F.xxhash64(c, k)),
-        )
-    )
-
-
-def _signature(tokens: Column, word: int, words: int) -> Column:
-    """One word of a bit set with a bit per token."""
-    slot = lambda x: F.pmod(x, F.lit(64 * words))
-    own = F.filter(tokens, lambda x: F.floor(slot(x) / 64) == word)
-    return F.aggregate(
-        own, F.lit(0).cast("long"), lambda acc, x: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), (slot(x) % 64).cast("int")))
-    )
+    ``a`` is the smaller id. Tokens are hashed to 64 bits for the join. Rows of a frequent token are dealt to salts in
+    proportion to its frequency, so that no task gets all of them.
+    """
+    hashed = materialize(sets.select(*scope, "id", F.transform("tokens", lambda t: F.xxhash64(t)).alias("tokens")).filter(F.size("tokens") > 0), "sets")
+    tokens = hashed.select(*scope, "id", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
+    frequency = tokens.groupBy(*scope, "token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    shared = tokens.join(frequency, [*scope, "token"])
+    # A token that no other set has cannot be shared; it stands first in the order, and only its number counts.
+    ordered = shared.groupBy(*scope, "id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("own"))
+    need = F.ceil(F.col("n") * low - 1e-9).cast("int")
+    fit = materialize(ordered.withColumn("need", need).filter(F.size("own") >= F.col("need")), "members")
+    prefix = F.posexplode(F.slice("own", F.lit(1), F.size("own") - F.col("need") + 1)).alias("at", "p")
+    rows = fit.select(*scope, "id", "n", F.size("own").alias("shared"), prefix)
+    salts = F.ceil(F.col("p.df") / ROWS_PER_SALT).cast("int")
+    placed = rows.select(*scope, "id", "n", (F.col("shared") - F.col("at")).alias("rest"), F.col("p.token").alias("token"), salts.alias("salts"))
+    left = placed.withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int")).alias("x")
+    right = placed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).alias("y")
+    same = [F.col(f"x.{c}").eqNullSafe(F.col(f"y.{c}")) for c in (*scope, "token", "salt")]
+    # At a common token, no more than what follows it can be common besides.
+    reach = F.least("x.rest", "y.rest") * (1 + low) >= (F.col("x.n") + F.col("y.n")) * low - 1e-9
+    smaller = (F.col("x.n") < F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.id") < F.col("y.id")))
+    met = left.join(right, [*same, smaller, F.col("x.n") >= F.col("y.n") * low - 1e-9])
+    # Only the first common token of a pair sees all that follows, so later ones may not reject a pair: the bound holds at
+    # the first one, and a pair is kept when any passes.
+    pairs = met.filter(reach).select(*[F.col(f"x.{c}").alias(c) for c in scope], F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+    side = lambda name: fit.select(*[F.col(c).alias(f"_{name}_{c}") for c in scope], F.col("id").alias(f"_{name}"), F.col("n").alias(f"n_{name}"), F.transform("own", lambda t: t["token"]).alias(f"own_{name}"))
+    on = lambda name: [F.col(c).eqNullSafe(F.col(f"_{name}_{c}")) for c in scope] + [F.col(name) == F.col(f"_{name}")]
+    both = pairs.join(side("a"), on("a")).join(side("b"), on("b"))
+    common = F.size(F.array_intersect("own_a", "own_b"))
+    rated = both.withColumn("similarity", common / (F.col("n_a") + F.col("n_b") - common))
+    return rated.filter(F.col("similarity") >= low - 1e-12).select(*scope, "a", "b", "similarity")
 
 
 def distinct_titles(articles: DataFrame, *scope: str) -> DataFrame:
@@ -78,145 +86,29 @@ def distinct_titles(articles: DataFrame, *scope: str) -> DataFrame:
     )
 
 
-def similar_pairs(texts: DataFrame, scope: list[str], low: float) -> DataFrame:
-    """Pairs of distinct texts whose matching-blocks ratio may reach ``low``; none that reaches it is lost.
+def similar_titles(articles: DataFrame, low: float = 0.6, scope: tuple[str, ...] = ()) -> DataFrame:
+    """Pairs of different titles whose trigrams have a Jaccard ratio of ``low`` or more.
 
-    ``texts(scope..., t, n, id)``. A ratio of at least ``low`` means that 2M >= low*T of the T characters
-    match. The matched blocks are separated by unmatched characters, so with end marks at least
-    3M - T + 1 numbered bigrams are shared. That count makes prefix filtering exact: ordering each text's
-    bigrams from rare to frequent, two such texts share one within their first ``size - count + 1``. Only
-    these prefixes are joined, with nothing but lengths and bit signatures, which already exclude most pairs
-    inside the join. Frequent bigrams are salted in proportion to their frequency. The distinct pairs that
-    are left must also pass the bound on their edit distance.
+    Equal titles are counted first (``n_a``, ``n_b``), so copies never pair with each other. ``a`` is the title that
+    appears first; titles are compared in lower case.
     """
-    if low <= 2 / 3:
-        raise ValueError("the shared-bigram bound needs a ratio above 2/3")
-    epsilon = 1e-9
-    band = (2 - low) / low
-    texts = materialize(texts, "texts").withColumn("len", F.length("t"))
-    # The k-th repeat of a bigram within a text is a token of its own.
-    tokens = materialize(
-        texts.select(*scope, "id", F.explode(_bigrams(F.col("t"))).alias("gram"))
-        .groupBy(*scope, "id", "gram")
-        .agg(F.count(F.lit(1)).alias("k"))
-        .select(*scope, "id", "gram", F.explode(F.sequence(F.lit(1).cast("long"), F.col("k"))).alias("k"))
-        .select(*scope, "id", F.xxhash64("gram", "k").alias("token")),
-        "bigrams",
-    )
-    frequency = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    # Back to one row per text: at most one entry per character of that text.
-    ordered = (
-        tokens.join(frequency, "token")
-        .groupBy(*scope, "id")
-        .agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("tokens"))
-    )
-    smallest_partner = F.ceil(F.col("len") * (low / (2 - low)) - epsilon)
-    needed = F.ceil((F.col("len") + smallest_partner) * (1.5 * low - 1) + 1 - epsilon)
-    prefix = F.greatest(F.lit(1), F.size("tokens") - needed.cast("int") + 1)
-    bigrams, characters = [f"b{w}" for w in range(BIGRAM_WORDS)], [f"c{w}" for w in range(CHARACTER_WORDS)]
-    bits = [
-        *[_signature(F.col("grams"), w, BIGRAM_WORDS).alias(b) for w, b in enumerate(bigrams)],
-        *[_signature(F.col("chars"), w, CHARACTER_WORDS).alias(c) for w, c in enumerate(characters)],
-    ]
-    sides = texts.select(*scope, "id", "len", _characters(F.col("t")).alias("chars")).join(
-        ordered.withColumn("grams", F.transform("tokens", lambda x: x["token"])), [*scope, "id"]
-    )
-    prepared = materialize(
-        materialize(sides, "tokens").select(
-            *scope, "id", "len", *bits,
-            F.floor(F.log(F.col("len").cast("double")) / math.log(band) + epsilon).alias("bucket"),
-            F.slice("tokens", F.lit(1), prefix).alias("rare"),
-        ),
-        "prefixes",
-    )
-    fields = ["id", "len", *bigrams, *characters]
-    postings = prepared.select(*scope, *fields, "bucket", F.explode("rare").alias("p")).select(
-        *scope, *fields, "bucket", "p.token", F.ceil(F.col("p.df") / ROWS_PER_SALT).cast("int").alias("salts")
-    )
-    shorter = postings.select(
-        *scope, "token", "bucket", F.pmod(F.col("id"), F.col("salts")).cast("int").alias("salt"),
-        *[F.col(f).alias(f"{f}_s") for f in fields],
-    )
-    longer = (
-        postings.select(*scope, "token", "salts", F.explode(F.array(F.col("bucket"), F.col("bucket") - 1)).alias("bucket"), *fields)
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-        .select(*scope, "token", "bucket", "salt", *[F.col(f).alias(f"{f}_l") for f in fields])
-    )
-    total = F.col("len_s") + F.col("len_l")
-    wanted = 3 * F.ceil(total * (low / 2) - epsilon) - total + 1
-
-    def lacks(a: str, b: str, words: list[str]) -> Column:
-        # A bit set in only one signature stands for at least one token the other text lacks.
-        only = [F.bit_count(F.col(f"{w}_{a}").bitwiseAND(F.bitwise_not(f"{w}_{b}"))) for w in words]
-        return sum(only[1:], only[0])
-
-    def may_share(a: str, b: str) -> Column:
-        size = F.col(f"len_{a}")
-        return (size + 1 - lacks(a, b, bigrams) >= wanted) & (
-            2 * (size - lacks(a, b, characters)) >= low * total - epsilon
-        )
-
-    # The work grows faster than the bytes, so small partitions are not merged: their number is explicit.
-    keys = [*scope, "token", "bucket", "salt"]
-    tasks = shuffle_partitions(texts)
-    candidates = (
-        shorter.repartition(tasks, *keys)
-        .join(longer.repartition(tasks, *keys), keys)
-        .filter(
-            ((F.col("len_s") < F.col("len_l")) | ((F.col("len_s") == F.col("len_l")) & (F.col("id_s") < F.col("id_l"))))
-            & (2 * F.col("len_s") >= low * total - epsilon)
-            & may_share("s", "l")
-            & may_share("l", "s")
-        )
-        .select(*scope, F.least("id_s", "id_l").alias("id_a"), F.greatest("id_s", "id_l").alias("id_b"))
-        .distinct()
-        .repartition(tasks, "id_a", "id_b")
-    )
-
-    def side(s: str) -> DataFrame:
-        return texts.select(*scope, *[F.col(f).alias(f"{f}_{s}") for f in ("id", "t", "n", "len")])
-
-    # T - 2M insertions and deletions turn one text into the other, so their edit distance is at most that.
-    most = F.floor((F.col("len_a") + F.col("len_b")) * (1 - low) + epsilon).cast("int")
-    return (
-        candidates.join(side("a"), [*scope, "id_a"])
-        .join(side("b"), [*scope, "id_b"])
-        .filter(F.call_function("levenshtein", F.col("t_a"), F.col("t_b"), most) >= 0)
-        .select(*scope, "id_a", "t_a", "n_a", "id_b", "t_b", "n_b")
-    )
+    titles = materialize(distinct_titles(articles, *scope), "titles")
+    pairs = similar_sets(titles.select(*scope, "id", trigrams(F.col("t")).alias("tokens")), list(scope), low)
+    side = lambda k: titles.select(*scope, F.col("id").alias(k), F.col("t").alias(f"title_{k}"), F.col("n").alias(f"n_{k}"))
+    named = pairs.join(side("a"), [*scope, "a"]).join(side("b"), [*scope, "b"])
+    return named.select(*scope, F.col("a").alias("id_a"), F.col("b").alias("id_b"), "title_a", "title_b", "n_a", "n_b", "similarity")
 
 
-def similar_titles(articles: DataFrame, low: float = 0.8, high: float = 1.0, scope: tuple[str, ...] = ()) -> DataFrame:
-    """Pairs of different titles with ``low <= similarity < high``, most similar first.
+def similar_content(articles: DataFrame, low: float = 0.8, n: int = 5, scope: tuple[str, ...] = ("disaster_id",)) -> DataFrame:
+    """Pairs of different article texts, over all articles of a scope, with a Jaccard ratio of ``low`` or more.
 
-    Equal titles are counted first (``n_a``, ``n_b``), so copies never pair with each other. ``a`` is the
-    title that appears first.
+    Whole texts are compared by runs of ``n`` words. Articles of the same text are one (``n_a``, ``n_b`` count them,
+    ``id`` is the first), so a group of copies costs one row.
     """
-    pairs = similar_pairs(distinct_titles(articles, *scope), list(scope), low)
-    scored = pairs.repartition(shuffle_partitions(pairs), "id_a", "id_b").withColumn(
-        "similarity", similarity(F.col("t_a"), F.col("t_b"), low)
-    )
-    return (
-        scored.filter((F.col("similarity") >= low) & (F.col("similarity") < high))
-        .select(
-            *scope, "id_a", "id_b", F.col("t_a").alias("title_a"), F.col("t_b").alias("title_b"), "n_a", "n_b", "similarity"
-        )
-        .orderBy(F.desc("similarity"), "id_a", "id_b")
-    )
-
-
-def similar_content(
-    articles: DataFrame, prefix: int = 500, low: float = 0.7, sample: int = 10, scope: tuple[str, ...] = ("disaster_id",)
-) -> DataFrame:
-    """Pairs among the first ``sample`` articles of each scope whose beginnings are more than ``low`` similar."""
-    # Cut before the window, so that only beginnings are sorted and shuffled.
-    starts = articles.select(*scope, "ord", F.lower(F.substring("article_text", 1, prefix)).alias("t"))
-    head = keep_top(starts, [F.col(c) for c in scope], [F.col("ord")], sample).filter(F.col("t") != "")
-    a = head.select(*scope, F.col("ord").alias("id_a"), F.col("t").alias("t_a"))
-    b = head.select(*scope, F.col("ord").alias("id_b"), F.col("t").alias("t_b"))
-    pairs = a.join(b, list(scope)).filter(F.col("id_a") < F.col("id_b"))
-    return (
-        pairs.withColumn("similarity", similarity(F.col("t_a"), F.col("t_b"), low))
-        .filter(F.col("similarity") > low)
-        .select(*scope, "id_a", "id_b", "similarity")
-    )
+    text = F.lower("article_text")
+    distinct = articles.filter(F.coalesce(text, F.lit("")) != "").groupBy(*scope, text.alias("t"))
+    texts = materialize(distinct.agg(F.count(F.lit(1)).alias("n"), F.min("ord").alias("id")).select(*scope, "id", "n", shingles(F.col("t"), n).alias("tokens")), "texts")
+    pairs = similar_sets(texts, list(scope), low)
+    side = lambda k: texts.select(*scope, F.col("id").alias(k), F.col("n").alias(f"n_{k}"))
+    counted = pairs.join(side("a"), [*scope, "a"]).join(side("b"), [*scope, "b"])
+    return counted.select(*scope, F.col("a").alias("id_a"), F.col("b").alias("id_b"), "n_a", "n_b", "similarity")

@@ -39,7 +39,7 @@ def dedup_url(articles: DataFrame, mode: str = "best", scope: tuple[str, ...] =
     """
     rank = quality_rank(F.col("extraction_quality"))
     if mode == "best":
-        return keep_top(articles, [*map(F.col, scope), *_url_key()], [rank.desc(), F.col("ord")])
+        return articles.join(_best_by_url(articles, scope).select("ord"), "ord", "left_semi")
     # A grade is above all earlier ones exactly when its row is the first of that grade or better.
     firsts = (
         articles.select(*scope, *[c.alias(f"k{i}") for i, c in enumerate(_url_key())], "ord", rank.alias("rank"))
@@ -53,12 +53,46 @@ def dedup_url(articles: DataFrame, mode: str = "best", scope: tuple[str, ...] =
 
 
 def dedup_content(
-    articles: DataFrame, prefix: int = 500, min_length: int = 100, scope: tuple[str, ...] = ("disaster_id",)
+    articles: DataFrame, prefix: int | None = 500, min_length: int = 100, scope: tuple[str, ...] = ("disaster_id",)
 ) -> DataFrame:
-    """First article per scope and fingerprint of its lower-cased beginning; shorter texts pass."""
+    """First article per scope and fingerprint of its lower-cased beginning; shorter texts pass.
+
+    Articles that agree in their first ``prefix`` characters count as copies even if they differ later;
+    ``prefix=None`` compares whole texts.
+    """
+    narrow = articles.select(*scope, "ord", _fingerprint(prefix, min_length))
+    return articles.join(_first_by_text(narrow, scope), "ord", "left_semi")
+
+
+def dedup_articles(
+    articles: DataFrame, prefix: int | None = 500, min_length: int = 100, scope: tuple[str, ...] = ("disaster_id",)
+) -> DataFrame:
+    """``dedup_content`` of ``dedup_url``, decided on narrow rows; texts are only read for their fingerprints before the
+    one semi join that keeps the articles."""
+    best = _best_by_url(articles, scope, _fingerprint(prefix, min_length))
+    return articles.join(_first_by_text(best, scope), "ord", "left_semi")
+
+
+def _fingerprint(prefix: int | None, min_length: int) -> Column:
     text = F.col("article_text")
-    key = F.when(F.length(text) >= min_length, content_fingerprint(text, prefix))
-    return keep_top(articles, [*map(F.col, scope), key, F.when(key.isNull(), F.col("ord"))], [F.col("ord")])
+    whole = F.md5(F.lower(text).cast("binary")) if prefix is None else content_fingerprint(text, prefix)
+    return F.when(F.length(text) >= min_length, whole).alias("fp")
+
+
+def _best_by_url(articles: DataFrame, scope: tuple[str, ...], *more: Column) -> DataFrame:
+    """``scope, ord`` (and ``fp``) of the best article of each address, summed up in the tasks first."""
+    narrow = articles.select(
+        *scope, *[c.alias(f"k{i}") for i, c in enumerate(_url_key())], "ord", quality_rank(F.col("extraction_quality")).alias("rank"), *more
+    )
+    fields = ["ord", *(["fp"] if more else [])]
+    best = narrow.groupBy(*scope, "k0", "k1").agg(F.min(F.struct(-F.col("rank"), *fields)).alias("b"))
+    return best.select(*scope, *[F.col(f"b.{c}").alias(c) for c in fields])
+
+
+def _first_by_text(narrow: DataFrame, scope: tuple[str, ...]) -> DataFrame:
+    """``ord`` of the first row of each fingerprint; rows without one are groups of their own."""
+    own = F.when(F.col("fp").isNull(), F.col("ord")).alias("own")
+    return narrow.groupBy(*scope, "fp", own).agg(F.min("ord").alias("ord")).select("ord")
 
 
 def dedup_batch_urls(rows: DataFrame) -> DataFrame:

@@ -39,7 +39,13 @@ def _across():
 
 def failure_streak(log: DataFrame, chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
     """``log`` plus ``streak``: failures in a row up to and including each request; a success has 0."""
-    return _with_streak(_chunked(log, chunk_seconds)).select(*log.columns, "streak")
+    found = _with_streak(_chunked(log, chunk_seconds)).select(*log.columns, "streak")
+    return found.unionByName(_outside(log).withColumn("streak", F.lit(None).cast("int")))
+
+
+def _outside(log: DataFrame) -> DataFrame:
+    """Rows without a key or a time, which stand in no order; measures over an order are NULL for them."""
+    return log.filter(F.col(KEY).isNull() | F.col("ts").isNull())
 
 
 def _with_streak(chunks: DataFrame) -> DataFrame:
@@ -104,6 +110,9 @@ def recent_failure_rate(log: DataFrame, k: int = 10, chunk_seconds: int = CHUNK_
         .withColumn("recent_failures", F.when(complete, total).cast("int"))
         .withColumn("recent_rate", F.col("recent_failures") / F.lit(float(k)))
         .select(*log.columns, "recent_failures", "recent_rate")
+        .unionByName(
+            _outside(log).select("*", F.lit(None).cast("int").alias("recent_failures"), F.lit(None).cast("double").alias("recent_rate"))
+        )
     )
 
 
@@ -161,7 +170,9 @@ def last_outcomes(log: DataFrame) -> DataFrame:
 
 
 def request_statistics(log: DataFrame, as_of: Column | None = None, chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
-    """Requests, successes, success rate and current streak per key, and a ``total`` row over all keys.
+    """Requests, successes, success rate and current streak per key, and a ``total`` row over all rows.
+
+    Rows without a key are a key of their own (NULL); rows without a time count, but stand in no streak.
 
     With ``as_of`` also whether the key is blocked at that time: its last request is then a blocking
     failure, or follows one without an intervening success, and the period has not run out.
@@ -184,9 +195,16 @@ def request_statistics(log: DataFrame, as_of: Column | None = None, chunk_second
         KEY, "requests", "successes", "current_streak",
         (F.coalesce(blocked_until > as_of, F.lit(False)) if as_of is not None else F.lit(None).cast("boolean")).alias("blocked"),
     )
-    total = log.agg(F.count(F.lit(1)).alias("requests"), F.count_if(F.col("success")).alias("successes")).select(
-        F.lit("total").alias(KEY), "requests", "successes",
-        F.lit(None).cast("int").alias("current_streak"), F.lit(None).cast("boolean").alias("blocked"),
+    # The total is made of the keys' rows, in the same scan, and of one row without requests, which an empty log needs.
+    both = keys.select(F.explode(F.array(F.lit(False), F.lit(True))).alias("_all"), "*")
+    nothing = log.sparkSession.range(1).select(
+        F.lit(True).alias("_all"), F.lit(None).cast("string").alias(KEY), F.lit(0).cast("long").alias("requests"),
+        F.lit(0).cast("long").alias("successes"), F.lit(None).cast("int").alias("current_streak"), F.lit(None).cast("boolean").alias("blocked"),
+    )
+    own = lambda c: F.max(F.when(~F.col("_all"), F.col(c))).alias(c)
+    grouped = both.unionByName(nothing).groupBy("_all", F.when(~F.col("_all"), F.col(KEY)).alias(KEY)).agg(
+        F.sum("requests").alias("requests"), F.sum("successes").alias("successes"), own("current_streak"), own("blocked")
     )
     rate = F.when(F.col("requests") > 0, F.col("successes") * 100.0 / F.col("requests")).otherwise(F.lit(0.0))
-    return keys.unionByName(total).withColumn("success_rate", rate)
+    named = grouped.withColumn(KEY, F.when(F.col("_all"), F.lit("total")).otherwise(F.col(KEY)))
+    return named.drop("_all").withColumn("success_rate", rate)

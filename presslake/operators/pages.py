@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import sys
+from bisect import bisect_left, bisect_right
 from html.parser import HTMLParser
+from itertools import accumulate
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -37,7 +39,7 @@ HIDDEN = {"script", "style", "template"}
 LISTS = {"h1", "meta_dates", "date_texts"}
 FIELDS = [
     "h1", "title", "og_title", "description", "first_paragraph", "lead", "body", "body_first", "body_longest",
-    "meta_dates", "time_date", "date_texts", "jsonld",
+    "meta_dates", "time_date", "date_texts", "jsonld", "error",
 ]
 PARTS = T.StructType(
     [T.StructField(f, T.ArrayType(T.StringType()) if f in LISTS else T.StringType()) for f in FIELDS]
@@ -54,10 +56,20 @@ class _Page(HTMLParser):
     def __init__(self, html: str):
         super().__init__()
         self.elements, self.pieces, self.open, self.data, self.jsonld = [], [], [], [], None
+        self.by_tag: dict[str, list[int]] = {}
         self.feed(html)
         self.close()
         self._flush()
         self._close_from(0)
+        self.lengths = [0, *accumulate(map(len, self.pieces))]
+
+    def parse_marked_section(self, i, report=1):
+        """``<![...]>`` in a page is a comment up to the first ``>``, whatever stands in it."""
+        end = self.rawdata.find(">", i)
+        if end < 0:
+            return -1
+        self._flush()
+        return end + 1
 
     def _flush(self):
         text = "".join(self.data)
@@ -81,7 +93,9 @@ class _Page(HTMLParser):
         self._flush()
         values = {k: v or "" for k, v in reversed(attrs)}
         here = len(self.pieces)
-        self.elements.append({"tag": tag, "attrs": values, "text_start": here, "text_end": here, "last": len(self.elements) + 1})
+        at = len(self.elements)
+        self.by_tag.setdefault(tag, []).append(at)
+        self.elements.append({"tag": tag, "attrs": values, "text_start": here, "text_end": here, "index": at, "last": at + 1})
         if tag not in VOID:
             self.open.append(len(self.elements) - 1)
 
@@ -110,10 +124,22 @@ class _Page(HTMLParser):
         stripped = (p.strip() for p in self.pieces[e["text_start"]:e["text_end"]])
         return "\n".join(p for p in stripped if p)
 
+    def size(self, e) -> int:
+        return self.lengths[e["text_end"]] - self.lengths[e["text_start"]]
+
+    def _range(self, tag, inside) -> tuple[list[int], int, int]:
+        places = self.by_tag.get(tag, [])
+        if inside is None:
+            return places, 0, len(places)
+        return places, bisect_right(places, inside["index"]), bisect_left(places, inside["last"])
+
     def find(self, tag, inside=None):
-        first = 0 if inside is None else next(i for i, e in enumerate(self.elements) if e is inside) + 1
-        last = len(self.elements) if inside is None else inside["last"]
-        return [e for e in self.elements[first:last] if e["tag"] == tag]
+        places, first, last = self._range(tag, inside)
+        return [self.elements[i] for i in places[first:last]]
+
+    def count(self, tag, inside) -> int:
+        _, first, last = self._range(tag, inside)
+        return last - first
 
     def select(self, selector):
         kind, name = selector[0], selector[1:]
@@ -140,10 +166,10 @@ def _body(page: _Page) -> str:
     """Text of the largest container, or of the largest of the three divs with most paragraphs."""
     candidates = [e for s in BODY for e in page.select(s)]
     if not candidates:
-        counted = [(len(page.find("p", d)), d) for d in page.find("div")]
+        counted = [(page.count("p", d), d) for d in page.find("div")]
         rich = sorted((c for c in counted if c[0] >= 3), key=lambda c: -c[0])
         candidates = [d for _, d in rich[:3]]
-    text = _container_text(page, max(candidates, key=lambda e: len(page.text(e)))) if candidates else ""
+    text = _container_text(page, max(candidates, key=page.size)) if candidates else ""
     return text if len(text) >= 200 else "\n".join(page.paragraphs(30))
 
 
@@ -157,7 +183,7 @@ def _body_first(page: _Page) -> str:
 def _body_longest(page: _Page) -> str:
     """Text of the longest element of the first kind of container that occurs."""
     found = next((es for es in map(page.select, BODY) if es), None)
-    return _container_text(page, max(found, key=lambda e: len(page.text(e)))) if found else ""
+    return _container_text(page, max(found, key=page.size)) if found else ""
 
 
 def _lead(page: _Page) -> str | None:
@@ -198,12 +224,25 @@ def _parts(html: str | None) -> dict:
         "time_date": (times[0]["attrs"].get("datetime") or None) if times else None,
         "date_texts": [first_text(page.select(s)) for s in DATE_ELEMENTS],
         "jsonld": page.jsonld,
+        "error": None,
     }
 
 
+def _parts_or_error(html: str | None) -> dict:
+    """A page that cannot be parsed has nothing but its ``error``; it must not end the job."""
+    try:
+        return _parts(html)
+    except (AssertionError, ValueError, RecursionError, IndexError) as problem:
+        return dict.fromkeys(FIELDS) | {"error": f"{type(problem).__name__}: {problem}"}
+
+
 @F.pandas_udf(PARTS)
 def _parse(html: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([_parts(h) for h in html], columns=PARTS.names)
+    return pd.DataFrame([_parts_or_error(h) for h in html], columns=PARTS.names)
+
+
+# Not deterministic for the optimizer: it then neither repeats the parse nor moves it below a join.
+_parse = _parse.asNondeterministic()
 
 
 def parse_pages(pages: DataFrame) -> DataFrame:

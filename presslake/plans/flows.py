@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from presslake.functions.text import strip
 from presslake.operators.articles import all_metadata, article_projection, attach_metadata, specific_link_row, valid_links
 from presslake.operators.audit import similar_content, similar_titles
-from presslake.operators.dedup import dedup_batch_urls, dedup_content, dedup_report, dedup_url
+from presslake.operators.dedup import dedup_articles, dedup_batch_urls, dedup_report
 from presslake.operators.matching import collect_entries, first_country_with_results
 from presslake.operators.pages import extract_pages
 from presslake.operators.querygen import expand_all_queries, query_id, smart_queries
@@ -37,16 +38,16 @@ def extract(rows: DataFrame, pages: DataFrame, extracted_at: Column | None = Non
     not be repeated when an executor is lost later.
     """
     todo = dedup_batch_urls(valid_links(rows)).filter(F.col("status") == "process")
-    links = todo.select("file", "ord", "disaster_id", F.trim("link").alias("url"))
+    links = todo.select("file", "ord", "disaster_id", strip(F.col("link")).alias("url"))
     wanted = pages.select("url", "html").join(links.select("url").distinct(), "url", "left_semi")
     parsed = materialize(extract_pages(wanted), "pages")
     joined = attach_metadata(links.join(parsed.filter("text IS NOT NULL"), "url"), rows)
     articles = article_projection(joined, "ord", extracted_at=extracted_at)
-    return dedup_content(dedup_url(articles))
+    return dedup_articles(articles)
 
 
 def audit(articles: DataFrame, scope: tuple[str, ...] = ("disaster_id",)) -> dict[str, DataFrame]:
-    """The audit's tables by name; each is computed only when used."""
+    """The audit's tables by name. The two similarity joins write their working tables when they are planned."""
     return {
         "duplicate_urls": find_duplicates(articles, "final_url", *scope),
         "duplicate_titles": find_duplicates(articles, "title", *scope),

@@ -10,6 +10,10 @@ from presslake.operators.config import with_default_keywords, with_defaults
 from presslake.sources.schemas import ARTICLE, CONFIG, FEED, METADATA, PAGE, REGISTRY, STATISTICS, TERMS
 
 
+#: Columns of a metadata file that are looked at; a header names them.
+MOST_COLUMNS = 64
+
+
 def read_config(
     spark: SparkSession, path: str | list[str], multi_line: bool = True,
     default_keywords: dict[str, list[str]] | bool = False,
@@ -84,21 +88,49 @@ def _empty_is_null(rows: DataFrame) -> DataFrame:
 def read_metadata(spark: SparkSession, root: str, date_range: tuple[str, str] | None = None) -> DataFrame:
     """Metadata rows of all ``*.csv`` below ``root`` with their ``file`` and, from its path, its ``day``.
 
-    A range keeps only the files of those days and drops files whose path has no date. For a root written
-    by ``write_metadata`` use ``read_metadata_days``: its range prunes the directories instead.
+    Columns go by the names in each file's header, in any order; absent ones are NULL, others are left out. A file without a
+    ``link`` column has no rows here; ``metadata_errors`` names it. A range keeps only the files of those days and drops
+    files whose path has no date. Of a root that ``write_metadata`` wrote, ``read_metadata_days`` prunes the directories.
     """
+    rows = _metadata_rows(spark, root, date_range).filter(F.array_contains("header", "link"))
+    found = {c: F.try_element_at(F.col("value"), F.lit(c)) for c in METADATA.names}
+    # What a folder says counts where the file has no such column.
+    folder = F.nullif(F.regexp_extract("file", "/disaster_id=([^/]*)/", 1), F.lit(""))
+    found["disaster_id"] = F.coalesce(found["disaster_id"], folder)
+    return _empty_is_null(rows.select(*[v.alias(c) for c, v in found.items()], "file", "day"))
+
+
+def metadata_errors(spark: SparkSession, root: str, date_range: tuple[str, str] | None = None) -> DataFrame:
+    """``file, header`` of the CSV files below ``root`` that have no ``link`` column and are not read."""
+    rows = _metadata_rows(spark, root, date_range, headers=True)
+    return rows.filter(~F.array_contains("header", "link")).select("file", "header")
+
+
+def _metadata_rows(spark: SparkSession, root: str, date_range: tuple[str, str] | None, headers: bool = False) -> DataFrame:
+    """``file, day, header, value`` of CSV rows, ``value`` a map by the names in the file's own first row.
+
+    A file is read by one task, in order, as rows may span lines; its first row is therefore the one with the least number.
+    """
+    cells = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(MOST_COLUMNS)])
     path = F.col("_metadata.file_path")
     day = F.coalesce(date_from_path(path), F.try_to_date(F.regexp_extract(path, r"/day=(\d{4}-\d{2}-\d{2})/", 1), "yyyy-MM-dd"))
-    rows = (
-        _metadata_csv(spark, METADATA)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
-        .option("ignoreCorruptFiles", True)
-        .csv(root)
-        .select("*", path.alias("file"), day.alias("day"))
+    raw = (
+        spark.read.schema(cells).option("multiLine", True).option("escape", '"')
+        .option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").csv(root)
+        .select(path.alias("file"), day.alias("day"), F.array(*[F.col(c) for c in cells.names]).alias("cells"))
     )
-    rows = _empty_is_null(rows)
-    return rows if date_range is None else rows.filter(F.col("day").between(*[F.lit(d).cast("date") for d in date_range]))
+    if date_range is not None:
+        raw = raw.filter(F.col("day").between(*[F.lit(d).cast("date") for d in date_range]))
+    numbered = raw.withColumn("n", F.monotonically_increasing_id())
+    first = numbered.groupBy("file").agg(F.min(F.struct("n", "cells")).alias("h"))
+    names = F.transform("h.cells", lambda c: F.lower(strip(F.regexp_replace(c, "^\ufeff", ""))))
+    first = first.select("file", F.col("h.n").alias("first"), names.alias("names"))
+    if headers:
+        return first.select("file", F.array_compact("names").alias("header"))
+    pairs = F.filter(F.arrays_zip(F.col("names").alias("k"), F.col("cells").alias("v")), lambda p: F.coalesce(p["k"] != "", F.lit(False)))
+    value = F.map_from_entries(F.filter(pairs, lambda p: p["k"].isin(METADATA.names)))
+    joined = numbered.join(first, "file").filter(F.col("n") > F.col("first"))
+    return joined.select("file", "day", F.array_compact("names").alias("header"), value.alias("value"))
 
 
 def read_metadata_days(spark: SparkSession, root: str, date_range: tuple[str, str] | None = None) -> DataFrame:
@@ -127,16 +159,20 @@ def read_articles(spark: SparkSession, path: str | list[str], multi_line: bool =
 
 
 def read_stats(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(STATISTICS).json(path)
+    return spark.read.schema(STATISTICS).json(path).select(*STATISTICS.names)
 
 
 def latest_stats(spark: SparkSession, root: str) -> DataFrame:
-    """The JSON file below ``root`` that was modified last and has ``stats`` in its path, as ``(file, modified, stats)``."""
+    """The JSON file below ``root`` that was modified last and has ``stats`` in its name, as ``(file, modified, stats)``.
+
+    A part file that Spark wrote goes by the name of its folder, partition folders aside.
+    """
+    folder = F.element_at(F.filter(F.split("file", "/"), lambda p: ~p.contains("=") & ~p.startswith("part-")), -1)
     files = (
         spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
         .text(root, wholetext=True)
         .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_modification_time").alias("modified"), F.col("value").alias("stats"))
-        .filter(F.lower("file").contains("stats"))
+        .filter(F.lower(folder).contains("stats"))
     )
     return files.agg(F.max_by(F.struct("file", "modified", "stats"), F.struct("modified", "file")).alias("s")).select("s.*")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -15,7 +16,7 @@ def folder(spark: SparkSession) -> str:
     configured = spark.conf.get(SETTING, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError(f"set {SETTING} to a folder that all executors share")
     own = tempfile.mkdtemp(prefix="presslake-")
     spark.conf.set(SETTING, own)

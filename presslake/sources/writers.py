@@ -47,9 +47,9 @@ def write_metadata(rows: DataFrame, root: str, max_records_per_file: int = 1_000
 
 
 def write_articles(articles: DataFrame, root: str) -> None:
-    """JSON records under ``grade=...``; a grade without articles gives no folder."""
-    records = articles.select(*ARTICLE.names, F.col("extraction_quality").alias("grade"))
-    records.write.mode("overwrite").partitionBy("grade").json(root)
+    """JSON records under ``event=.../grade=...``; only the folders that occur are replaced, other events stay."""
+    records = articles.select(*ARTICLE.names, F.col("disaster_id").alias("event"), F.col("extraction_quality").alias("grade"))
+    records.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("event", "grade").json(root)
 
 
 def read_written_articles(spark: SparkSession, root: str, output: str = "all") -> DataFrame:
@@ -58,8 +58,8 @@ def read_written_articles(spark: SparkSession, root: str, output: str = "all") -
     Only the folders of the wanted grades are listed and read.
     """
     grades = {"all": ["high", "medium", "low"], "combined": ["high", "medium"]}.get(output, [output])
-    schema = T.StructType([*ARTICLE.fields, T.StructField("grade", T.StringType())])
-    return spark.read.schema(schema).json(root).filter(F.col("grade").isin(grades))
+    schema = T.StructType([*ARTICLE.fields, T.StructField("event", T.StringType()), T.StructField("grade", T.StringType())])
+    return spark.read.schema(schema).json(root).filter(F.col("grade").isin(grades)).drop("event")
 
 
 def combined(articles: DataFrame) -> DataFrame:
@@ -68,5 +68,6 @@ def combined(articles: DataFrame) -> DataFrame:
 
 
 def write_stats(stats: DataFrame, path: str, extracted_at: Column | None = None) -> None:
-    """One JSON object per disaster."""
-    stats_to_map(stats, extracted_at).write.mode("overwrite").json(path)
+    """One JSON object per disaster, under ``event=...``; the objects of other events stay."""
+    maps = stats_to_map(stats, extracted_at).withColumn("event", F.col("disaster_id"))
+    maps.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("event").json(path)

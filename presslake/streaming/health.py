@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from presslake.functions.text import is_blocking
-from presslake.operators.health import CHUNK_SECONDS, KEY, failure_streak
+from presslake.operators.health import KEY
 
 STATE = (
     "state_key STRING, requests BIGINT, successes BIGINT, streak INT, last_success TIMESTAMP,"
     " last_failure TIMESTAMP, blocked_until TIMESTAMP"
 )
+FIELDS = ["state_key", "requests", "successes", "streak", "last_success", "last_failure", "blocked_until"]
 
 
 def hourly_success_rate(log: DataFrame, late: str = "1 hour") -> DataFrame:
@@ -24,70 +30,51 @@ def hourly_success_rate(log: DataFrame, late: str = "1 hour") -> DataFrame:
     )
 
 
-def fold(state: DataFrame, batch: DataFrame, chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
-    """State after a batch whose rows are not older than the state's.
+def advance(state: tuple, rows: pd.DataFrame) -> tuple:
+    """State of a key after more of its requests, in order of time; older ones must not come later."""
+    requests, successes, streak, last_success, last_failure, blocked_until = state
+    rows = rows.sort_values(["ts", "request_id"])
+    for ts, ok, severe in zip(rows["ts"].dt.to_pydatetime(), rows["success"], rows["severe"]):
+        requests += 1
+        if ok:
+            successes, streak, last_success, blocked_until = successes + 1, 0, ts, None
+        else:
+            streak, last_failure = streak + 1, ts
+            if severe:
+                blocked_until = ts + dt.timedelta(seconds=min(300, 30 * streak))
+    return requests, successes, streak, last_success, last_failure, blocked_until
 
-    The batch is reduced per key with the skew-safe batch operators; only one row per key meets the state.
-    """
-    place = F.struct("ts", "request_id")
-    blocking = is_blocking(F.col("success"), F.col("error_type"))
-    streaks = failure_streak(batch, chunk_seconds).join(
-        state.select(KEY, F.col("streak").alias("_before")), KEY, "left"
-    )
-    # Until the first success of the batch the streak continues the one before it.
-    first_ok = batch.filter("success").groupBy(KEY).agg(F.min(place).alias("_first_ok"))
-    rows = streaks.join(first_ok, KEY, "left").withColumn(
-        "streak",
-        F.col("streak")
-        + F.when(F.col("_first_ok").isNull() | (place < F.col("_first_ok")), F.coalesce("_before", F.lit(0))).otherwise(0),
-    )
-    until = F.col("ts") + F.make_dt_interval(secs=F.least(F.lit(300), F.lit(30) * F.col("streak")))
-    new = rows.groupBy(KEY).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("success")).alias("ok"),
-        F.max_by("streak", place).alias("new_streak"),
-        F.max(F.when(F.col("success"), place)).alias("_ok"),
-        F.max(F.when(~F.col("success"), F.col("ts"))).alias("_bad"),
-        F.max(F.when(blocking, F.struct("ts", "request_id", until.alias("until")))).alias("_block"),
-    )
-    merged = state.join(new, KEY, "full_outer")
-    blocked = (
-        F.when(F.col("_block").isNotNull() & (F.col("_ok").isNull() | (F.struct("_block.ts", "_block.request_id") > F.col("_ok"))), F.col("_block.until"))
-        .when(F.col("_ok").isNull(), F.col("blocked_until"))
-    )
-    return merged.select(
-        KEY,
-        (F.coalesce("requests", F.lit(0)) + F.coalesce("n", F.lit(0))).alias("requests"),
-        (F.coalesce("successes", F.lit(0)) + F.coalesce("ok", F.lit(0))).alias("successes"),
-        F.coalesce("new_streak", "streak").cast("int").alias("streak"),
-        F.coalesce("_ok.ts", "last_success").alias("last_success"),
-        F.coalesce("_bad", "last_failure").alias("last_failure"),
-        blocked.alias("blocked_until"),
-    )
+
+def _update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    rows = pd.concat(batches, ignore_index=True)
+    before = state.get if state.exists else (0, 0, 0, None, None, None)
+    after = advance(before, rows)
+    state.update(after)
+    yield pd.DataFrame([(key[0], *after)], columns=FIELDS).astype({c: "datetime64[us]" for c in FIELDS[-3:]})
 
 
-def read_state(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
-    """State after micro-batch ``batch_id``; empty before the first."""
-    if batch_id < 0:
-        return spark.createDataFrame([], STATE)
-    return spark.read.schema(STATE).parquet(f"{root}/batch={batch_id}")
+def health_updates(log: DataFrame) -> DataFrame:
+    """A stream of ``STATE`` rows, one for each key that a micro-batch touches, from Spark's keyed state.
+
+    A key's new requests of one micro-batch meet in a task: bound the micro-batch at the source (``maxFilesPerTrigger``).
+    Rows without a key or a time are left out, as they have no place in an order.
+    """
+    severe = is_blocking(F.col("success"), F.col("error_type")).alias("severe")
+    rows = log.filter(F.col(KEY).isNotNull() & F.col("ts").isNotNull()).select(KEY, "ts", "request_id", "success", severe)
+    return rows.groupBy(KEY).applyInPandasWithState(_update, STATE, STATE.partition(", ")[2], "update", GroupStateTimeout.NoTimeout)
 
 
 def latest_state(spark: SparkSession, root: str) -> DataFrame:
-    """State after the last micro-batch; only its folder is read in full."""
-    states = spark.read.schema(f"{STATE}, batch INT").parquet(root)
-    last = states.select(F.max("batch")).scalar()
-    return states.filter(F.col("batch") == last).drop("batch")
+    """The last state of each key below ``root``."""
+    updates = spark.read.schema(f"{STATE}, batch INT").parquet(root)
+    last = updates.groupBy(KEY).agg(F.max_by(F.struct(*FIELDS[1:]), "batch").alias("s"))
+    return last.select(KEY, "s.*")
 
 
 def keep_health(log: DataFrame, root: str, checkpoint: str) -> DataStreamWriter:
-    """One state table per micro-batch below ``root``; a repeated batch starts from the same state and rewrites its own."""
+    """The updates of each micro-batch in a folder of its own below ``root``; a repeated batch rewrites its own."""
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        # The batch is read several times; a lost cached block is recomputed from the source's files.
-        batch.persist()
-        state = read_state(batch.sparkSession, root, batch_id - 1)
-        fold(state, batch).write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
-        batch.unpersist()
+        batch.write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
 
-    return log.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)
+    return health_updates(log).writeStream.outputMode("update").foreachBatch(save).option("checkpointLocation", checkpoint)

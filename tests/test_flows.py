@@ -10,9 +10,14 @@ from presslake.operators import health as H, matching as M, registry as R
 from presslake.plans import flows
 from presslake.sources import readers, writers
 from presslake.streaming import health
-from test_querygen import SAMPLE
 
-LONG = "Cyclone Montha brought heavy rain and flooding to the coast on Tuesday, officials said. "
+STORM = {
+    "disaster_id": "2025-coast-storm", "start_date": "24/10/2025", "end_date": "30/10/2025",
+    "hazard_names": {"en": ["Cyclone Orlo"]}, "keywords": {"en": ["rain", "flood", "wind"]},
+    "locations": {"Telangana": {"districts": {"Brack": ["Quay"]}}}, "newspapers": {"en": []}, "country_codes": ["IN"], "specific_links": [],
+}
+
+LONG = "Cyclone Orlo brought heavy rain and flooding to the coast on Tuesday, officials said. "
 AS_OF = "2025-10-28"
 
 
@@ -20,7 +25,7 @@ AS_OF = "2025-10-28"
 def config(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("config")
     links = ["https://www.a.example.com/2025/10/27/one", " https://b.example.com/two "]
-    (folder / "c.json").write_text(json.dumps({**SAMPLE, "specific_links": links}))
+    (folder / "c.json").write_text(json.dumps({**STORM, "specific_links": links}))
     return readers.read_config(spark, str(folder))
 
 
@@ -139,15 +144,37 @@ def test_match_against_brute_force(spark, mode):
 
 
 def test_health_state_is_the_same_in_any_split(spark, sf_dir):
-    log = request_log(spark, sf_dir).select(*readers_columns())
-    whole = health.fold(health.read_state(spark, "", -1), log).orderBy("state_key").collect()
-    cut = F.lit("2024-01-12").cast("timestamp")
-    first = health.fold(health.read_state(spark, "", -1), log.filter(F.col("ts") < cut))
-    both = health.fold(first, log.filter(F.col("ts") >= cut)).orderBy("state_key").collect()
-    assert whole == both
+    log = request_log(spark, sf_dir)
+    severe = H.is_blocking(F.col("success"), F.col("error_type")).alias("severe")
+    rows = log.select("state_key", "ts", "request_id", "success", severe).toPandas()
     stats = {r["state_key"]: r["current_streak"] for r in H.request_statistics(log).collect()}
-    assert all(stats[r["state_key"]] == r["streak"] for r in whole)
+    for key, own in rows.groupby("state_key"):
+        start = (0, 0, 0, None, None, None)
+        whole = health.advance(start, own)
+        cut = own["ts"].median()
+        assert whole == health.advance(health.advance(start, own[own["ts"] < cut]), own[own["ts"] >= cut])
+        assert whole[2] == stats[key]
+
+
+def test_requests_without_key_or_time_stay(spark):
+    schema = "request_id long, ts timestamp, state_key string, success boolean, error_type string"
+    import datetime as dt
 
+    at = dt.datetime(2024, 1, 1)
+    log = spark.createDataFrame([(1, at, "a", False, None), (2, None, "a", False, None), (3, at, None, True, None)], schema)
+    assert {r["request_id"]: r["streak"] for r in H.failure_streak(log).collect()} == {1: 1, 2: None, 3: None}
+    assert H.recent_failure_rate(log, 1).count() == 3
+    rows = {r["state_key"]: r["requests"] for r in H.request_statistics(log).collect()}
+    assert rows == {"a": 2, None: 1, "total": 3}
 
-def readers_columns():
-    return ["request_id", "ts", "state_key", "success", "error_type", "response_time"]
+
+def test_metadata_by_header(spark, tmp_path):
+    """Columns in another order, more and fewer columns; a file without links is named, not lost."""
+    day = tmp_path / "2025" / "10" / "30"
+    day.mkdir(parents=True)
+    (day / "a.csv").write_text("link,more,Title\nhttps://a.example.com,x,A\n")
+    (day / "b.csv").write_text('title,link,date\n"B, b",https://b.example.com,2025-10-30 00:00:00\n')
+    (day / "c.csv").write_text("name,address\nC,https://c.example.com\n")
+    rows = readers.read_metadata(spark, str(tmp_path)).collect()
+    assert sorted((r["title"], r["link"], r["date"]) for r in rows) == [("A", "https://a.example.com", None), ("B, b", "https://b.example.com", "2025-10-30 00:00:00")]
+    assert [(r["file"].rsplit("/", 1)[1], r["header"]) for r in readers.metadata_errors(spark, str(tmp_path)).collect()] == [("c.csv", ["name", "address"])]

@@ -60,3 +60,35 @@ def test_dates(spark):
     day = page_date(F.col("parts"), F.col("url"), F.lit("2025-11-02").cast("date"))
     got = [r["d"] for r in parse(spark, *marks).select(day.alias("d")).collect()]
     assert got == [dt.date(2025, 10, 30)] * 4 + [None, dt.date(2025, 10, 30)]
+
+
+def test_malformed_pages_do_not_end_the_job(spark):
+    bad = ["<![foo[x]]>", "<![ bar", "<![1]>", "<!", "</", "<a", "&#xZZ;<p", "<![CDATA[x]]>", "\x00<"]
+    whole = f"<article><h1>A heading of words</h1><p>{LONG}{LONG}</p></article>"
+    rows = parse(spark, *bad, *[b + whole for b in ("<![foo[x]]>", "<![1]>")]).collect()
+    assert len(rows) == len(bad) + 2
+    assert all(r["parts"]["h1"] == ["A heading of words"] and r["parts"]["error"] is None for r in rows[-2:])
+
+
+def test_a_flat_page_takes_linear_time():
+    import time
+
+    seconds = []
+    for n in (4_000, 16_000):
+        html = "<body>" + "<div><p>x</p></div>" * n + "</body>"
+        start = time.perf_counter()
+        P._parts(html)
+        seconds.append(time.perf_counter() - start)
+    assert seconds[1] < 10 * seconds[0]
+
+
+def test_pages_are_parsed_once_and_after_the_join(spark):
+    from presslake.operators import articles as A
+
+    pages = spark.createDataFrame([("https://a.example.com/", "<h1>A heading of words</h1>")], "url string, html string")
+    configs = spark.createDataFrame(
+        [("d", {"en": ["Storm"]}, ["https://a.example.com/"])], "disaster_id string, hazard_names map<string,array<string>>, specific_links array<string>"
+    )
+    plan = A.specific_link_row(configs, pages, F.lit("2025-11-02").cast("date"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    assert plan.index("ArrowEvalPython") < plan.index("LeftSemi")
