@@ -216,4 +216,6 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     _, _, taken = mix(docs, **settings)
     columns = [F.col(f"x.`{c}`") for c in docs.columns]
     met = docs.alias("x").join(taken.select("doc_id", "source", "shard", "position").alias("t"), _same_document("x", "t"))
-    return met.select(*columns, F.col("t.shard").alias("_shard"), F.col("t.position").alias("_position")).repartition("_shard").sortWithinPartitions("_shard", "_position").drop("_shard", "_position")
+    placed = met.select(*columns, F.col("t.shard").alias("_shard"), F.col("t.position").alias("_position"))
+    # Ranges, so that a shard stays together and large ones still are several tasks.
+    return placed.repartitionByRange("_shard", "_position").sortWithinPartitions("_shard", "_position").drop("_shard", "_position")

@@ -27,19 +27,19 @@ from presslake.llm.common import lower_words, raw, rows_of
 from presslake.llm.components import components
 from presslake.sources.workspace import materialize
 
-#: N-grams in a fragment of the first pass: a bound on what one group holds.
-FRAGMENT = 2_000_000
+#: N-grams in a fragment of the first pass, and those cut at once: bounds on what a task holds.
+FRAGMENT, TOGETHER = 1_000_000, 250_000
 #: Fragments of the second pass: the three upper bits of a hash.
 SLICES = 8
-#: Words whose hashes a Python worker remembers, and sets it has seen, before it starts anew: bounds on memory only.
-REMEMBERED, SEEN = 1_000_000, 500_000
+#: Words whose hashes a Python worker remembers, and sets it has seen before it starts anew: bounds on memory only.
+REMEMBERED, SEEN = 200_000, 200_000
 
 
 class _Hashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        got = self[word] = xxhash.xxh3_64_intdigest(word)
+        got = xxhash.xxh3_64_intdigest(word)
+        if len(self) < REMEMBERED:  # the first words met include the frequent ones
+            self[word] = got
         return got
 
 
@@ -70,13 +70,16 @@ def set_key(hashes: np.ndarray) -> int:
 
 def _keyed(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
     for ids, texts in rows_of(batches, "doc_id", "text"):
-        sets = [ngram_set(lower_words(t), n) for t in texts]
-        sizes, keys = [len(s) for s in sets], [set_key(s) if len(s) else None for s in sets]
+        sizes, keys = [], []
+        for text in texts:
+            found = ngram_set(lower_words(text), n)
+            sizes.append(len(found))
+            keys.append(set_key(found) if len(found) else None)
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64())], names=["doc_id", "n", "key"])
 
 
 def _segments(batches: Iterator[pa.RecordBatch], n: int, fragments: int) -> Iterator[pa.RecordBatch]:
-    """Per fragment, the segments of about half a million n-grams' worth of new sets, packed."""
+    """Per fragment, the segments of about TOGETHER n-grams' worth of new sets, packed."""
     seen: set[int] = set()
     sets, keys, held = [], [], 0
     for (texts,) in rows_of(batches, "text"):
@@ -89,7 +92,7 @@ def _segments(batches: Iterator[pa.RecordBatch], n: int, fragments: int) -> Iter
                 sets.append(found)
                 keys.append(key)
                 held += len(found)
-                if held >= 500_000:
+                if held >= TOGETHER:
                     yield _cut(sets, keys, fragments)
                     sets, keys, held = [], [], 0
     if sets:
