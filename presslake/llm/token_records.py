@@ -169,7 +169,7 @@ def _read_part(batches: Iterator[pa.RecordBatch], digest: bool) -> Iterator[pa.R
             for payload in unframe(stream):
                 doc_id, null, width = HEAD.unpack_from(payload)
                 ids = np.frombuffer(payload, f"<u{width}", offset=HEAD.size)
-                tail = (len(ids), zlib.crc32(ids.astype("<u4").tobytes())) if digest else (ids,)
+                tail = (len(ids), zlib.crc32(ids.astype("<u4").tobytes())) if digest else (ids.astype(np.int32),)
                 rows.append((None if null else doc_id, place, *tail))
                 place += len(ids)
                 if len(rows) == 2_000:
