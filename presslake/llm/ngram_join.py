@@ -107,7 +107,7 @@ def _cut(sets: list[np.ndarray], keys: list[int], fragments: int) -> pa.RecordBa
     owner, hashes, key = owner[order], hashes[order], np.array(keys, np.int64)
     present, starts = np.unique(fragment[order], return_index=True)
     rows = []
-    for f, a, b in zip(present, starts, np.append(starts[1:], len(order)), strict=True):
+    for f, a, b in zip(present, starts, np.append(starts, len(order))[1:], strict=True):
         who, counts = np.unique(owner[a:b], return_counts=True)
         rows.append({"fragment": int(f), "keys": key[who].tobytes(), "sizes": sizes[who].tobytes(), "counts": counts.astype(np.int32).tobytes(), "hashes": hashes[a:b].tobytes()})
     return pa.RecordBatch.from_pylist(rows, PACKED)
@@ -144,7 +144,7 @@ def _shared(table: pa.Table, buckets: int) -> pa.Table:
     owner, hashes, frequency, bucket = owner[order], hashes[order], frequency[order], bucket[order]
     present, starts = np.unique(bucket, return_index=True)
     rows = []
-    for k, a, b in zip(present, starts, np.append(starts[1:], len(bucket)), strict=True):
+    for k, a, b in zip(present, starts, np.append(starts, len(bucket))[1:], strict=True):
         who, n = np.unique(owner[a:b], return_counts=True)
         rows.append(
             {"bucket": int(k), "keys": keys[who].tobytes(), "sizes": sizes[who].tobytes(), "counts": n.astype(np.int32).tobytes(), "hashes": hashes[a:b].tobytes(), "frequencies": frequency[a:b].astype(np.int32).tobytes()}
