@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from presslake.llm import chat_format, decontamination, language_id, line_dedup, lm_scoring, mixing, ngram_join, quality_rules, token_counts, token_records
+from presslake.llm.oracles import ORACLES
 from presslake.sources.workspace import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

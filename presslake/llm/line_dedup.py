@@ -7,7 +7,7 @@ what both begin and end with is cut off, and a banded bit-parallel edit distance
 
 A line goes when an equal line, or one within ``k`` edits, stands earlier; earlier is by ``doc_id``, then line number. To
 know that, a line need not be compared with all that it meets: first it is compared with the earliest line under each key; only lines
-that this leaves are compared with the others. Equal lines are one line from the start.
+that this leaves are compared with the others. Letter counts tell most lines apart before. Equal lines are one from the start.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ EDITS, LEAST = 2, 24
 #: Line numbers that are sent to every task to fetch their texts (8 bytes each); more of them are joined.
 SENT = 1_000_000
 BLANKS = " \t\r"
+#: Letters that lines are told apart by before they are compared; any would do.
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -35,16 +37,16 @@ def lines_of(docs: DataFrame) -> DataFrame:
 
 def _segment(length: Column, i: int, k: int) -> tuple[Column, Column]:
     """Start (from 1) and length of segment ``i`` (from 0) of a line: as even as can be, the last ones longer."""
-    size, longer = F.floor(length / (k + 1)).cast("int"), (length % (k + 1)).cast("int")
-    extra = F.greatest(F.lit(0), F.lit(i) - (F.lit(k + 1) - longer))
-    return (F.lit(i) * size + extra + 1).cast("int"), (size + (F.lit(i) >= F.lit(k + 1) - longer).cast("int")).cast("int")
+    size = F.call_function("div", length, F.lit(k + 1)).cast("int")
+    short = F.lit(k + 1) - length % (k + 1)
+    return F.lit(i) * size + F.greatest(F.lit(0), F.lit(i) - short) + 1, size + (F.lit(i) >= short).cast("int")
 
 
 def postings(lines: DataFrame, k: int) -> DataFrame:
     """``key, id`` of distinct ``line, id``: the line's segments (``id`` odd) and the substrings that probe for others'.
 
     A key is a hash of the length of the indexed line, the segment's number and the segment. A line's own segments are
-    also its probes for lines of its length.
+    also its probes for lines of its length. Lines have more than ``2k`` code points, so no probe reaches outside.
     """
     n = F.char_length("line")
     keys = []
@@ -53,11 +55,32 @@ def postings(lines: DataFrame, k: int) -> DataFrame:
             start, size = _segment(n - shorter, i, k)
             # With i edits at most before the segment, and k - i behind it, it can have moved by so much.
             for moved in range(max(-i, shorter - (k - i)), min(i, shorter + (k - i)) + 1):
-                key = F.xxhash64(n - shorter, F.lit(i), F.substring("line", (start + moved).cast("int"), size))
-                inside = (start + moved >= 1) & (start + moved + size - 1 <= n)
+                key = F.xxhash64(n - shorter, F.lit(i), F.substring("line", start + moved, size))
                 named = F.col("id").bitwiseOR(F.lit(int(shorter == 0 and moved == 0)).cast("long"))
-                keys.append(F.when(inside, F.struct(key.alias("key"), named.alias("id"))))
-    return lines.select(F.explode(F.array(*keys)).alias("p")).filter("p IS NOT NULL").select("p.key", "p.id")
+                keys.append(F.struct(key.alias("key"), named.alias("id")))
+    return lines.select(F.inline(F.array(*keys)))
+
+
+def signature(line: Column, k: int) -> dict[str, Column]:
+    """How often a line has each letter, packed (``s``, eight bits each), and a hash of each of ``2k + 1`` groups of letters (``b``).
+
+    An edit changes the counts by two at most, so near lines differ by ``2k`` at most, and agree in one group of letters
+    at least. Counts are of the lower-cased line and stop at 255: both can only bring lines closer.
+    """
+    low = F.lower(line)
+    counts = [F.least(F.char_length(low) - F.char_length(F.replace(low, F.lit(c), F.lit(""))), F.lit(255)).cast("long") for c in LETTERS]
+    packed = {}
+    for word in range(0, len(LETTERS), 7):
+        part = counts[word : word + 7]
+        packed[f"s{word // 7}"] = sum((F.shiftleft(c, 8 * j) for j, c in enumerate(part[1:], 1)), part[0])
+    groups = F.array(*[F.xxhash64(F.lit(g), *counts[g :: 2 * k + 1]) for g in range(2 * k + 1)])
+    return packed | {"groups": groups}
+
+
+def _apart(a: str, b: str) -> str:
+    """SQL: by how much the letter counts of two signatures differ."""
+    one = lambda side, k: f"(shiftright({side}.s{k // 7}, {8 * (k % 7)}) & 255L)"
+    return " + ".join(f"abs({one(a, k)} - {one(b, k)})" for k in range(len(LETTERS)))
 
 
 def _common(a: str, b: str, end: str) -> str:
@@ -103,7 +126,13 @@ def _place(row: str = "") -> Column:
 
 
 def near_lines(docs: DataFrame, firsts: DataFrame, k: int, least: int) -> DataFrame:
-    """``id`` of lines that have a line within ``k`` edits at an earlier place; ``firsts`` has ``id, doc_id, line_no``."""
+    """``id`` of lines that have a line within ``k`` edits at an earlier place; ``firsts`` has ``id, doc_id, line_no``.
+
+    Lines that share a key are told apart by their letter counts inside the join. Beyond the comparison with the earliest
+    line, only lines that agree in a whole group of letters meet, so a segment that many different lines have costs little.
+    """
+    if least <= 2 * k:
+        raise ValueError("lines need more than 2k code points to be cut into segments")
     lines = lines_of(docs).filter(F.char_length("line") >= least)
     by_key = Window.partitionBy("key")
     name = F.col("id").bitwiseAND(F.lit(-2).cast("long"))
@@ -114,20 +143,25 @@ def near_lines(docs: DataFrame, firsts: DataFrame, k: int, least: int) -> DataFr
     if names.count() <= SENT:
         names = F.broadcast(names)
     texts = materialize(lines.select("id", "line").join(names, "id", "left_semi").distinct(), "texts")
-
-    placed = materialize(met.join(firsts.select("id", _place().alias("place")), "id"), "placed")
+    marks = texts.select("id", *[c.alias(n) for n, c in signature(F.col("line"), k).items()])
+    places = firsts.select("id", _place().alias("place"))
+    placed = materialize(met.join(marks.join(places, "id"), "id"), "placed")
+    alike = f"{_apart('x', 'y')} <= {2 * k}"
 
     def near(pairs: DataFrame) -> DataFrame:
         left = pairs.join(texts.select(F.col("id").alias("early"), F.col("line").alias("a")), "early")
         both = left.join(texts.select(F.col("id").alias("late"), F.col("line").alias("b")), "late")
         return materialize(edit_distance(both, "a", "b", k).filter(F.col("distance") <= k).select(F.col("late").alias("id")).distinct(), "near")
 
-    earliest = placed.groupBy("key").agg(F.min(F.struct("place", "id")).alias("hub"))
-    to_hub = placed.join(earliest, "key").filter("id <> hub.id").select(F.col("hub.id").alias("early"), F.col("id").alias("late"))
-    found = near(to_hub.distinct())
-    rest = placed.join(found, "id", "left_anti").alias("x").join(placed.alias("y"), "key")
-    open_ = rest.filter("x.id <> y.id AND y.place < x.place AND (x.indexed OR y.indexed)").select(F.col("y.id").alias("early"), F.col("x.id").alias("late"))
-    return found.unionByName(near(open_.distinct().join(to_hub.distinct(), ["early", "late"], "left_anti")))
+    packed = [c for c in placed.columns if c[0] == "s"]
+    earliest = placed.groupBy("key").agg(F.min(F.struct("place", "id", *packed)).alias("hub")).select("key", "hub.*")
+    to_hub = placed.alias("x").join(earliest.alias("y"), F.expr(f"x.key = y.key AND x.id <> y.id AND {alike}"))
+    found = near(to_hub.select(F.col("y.id").alias("early"), F.col("x.id").alias("late")).distinct())
+    grouped = placed.select("key", "id", "place", "indexed", *packed, F.explode("groups").alias("letters"))
+    rest = grouped.join(found, "id", "left_anti").alias("x")
+    same = f"x.key = y.key AND x.letters = y.letters AND y.place < x.place AND (x.indexed OR y.indexed) AND {alike}"
+    open_ = rest.join(grouped.alias("y"), F.expr(same)).select(F.col("y.id").alias("early"), F.col("x.id").alias("late"))
+    return found.unionByName(near(open_.distinct()))
 
 
 def line_places(docs: DataFrame, k: int = EDITS, least: int = LEAST) -> DataFrame:
