@@ -14,30 +14,46 @@ from presslake.operators.querygen import smart_queries
 from presslake.operators.querygen import query_id as make_query_id
 from presslake.sources.schemas import METADATA_COLUMNS
 
-_W = sql_words("lower(text)")
+_RAW = sql_words("lower(text)")
 
 
-@query(f"""WITH b AS (SELECT item_id, {_W} AS w FROM benchmark), q AS (SELECT item_id, unnest([list_distinct(w[1:3]), list_distinct(w[4:6])]) AS terms FROM b),
+def _bare(words_: str) -> str:
+    """The words of a list without the punctuation around them."""
+    around = "^[^\\p{L}\\p{M}\\p{N}]+|[^\\p{L}\\p{M}\\p{N}]+$"
+    return f"list_filter(list_transform({words_}, lambda w: regexp_replace(w, '{around}', '', 'g')), lambda w: w <> '')"
+
+
+_W = _bare(_RAW)
+
+
+def _groups(size: int) -> str:
+    return f"unnest(list_transform(range(1, len(raw) + 1, {size}), lambda i: list_distinct({_bare(f'raw[i:i + {size - 1}]')})))"
+
+
+def _query_text(size: int):
+    """The whole text, cut into alternatives of some words."""
+    w = words(F.col("text"))
+    return F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(F.size(w), F.lit(1)), F.lit(size)), lambda i: F.array_join(F.slice(w, i, size), " ")), " OR ")
+
+
+@query(f"""WITH b AS (SELECT item_id, {_RAW} AS raw FROM benchmark), q AS (SELECT item_id, {_groups(6)} AS terms FROM b),
   d AS (SELECT doc_id, list_distinct({_W}) AS tokens FROM documents)
   SELECT DISTINCT item_id AS query_id, doc_id FROM q JOIN d ON len(terms) > 0 AND list_has_all(tokens, terms)""")
 def match_queries(spark, sf_dir):
-    """Two alternatives of three words each, every word anywhere in the document."""
-    w = words(F.lower("text"))
-    text = F.concat_ws(" OR ", F.array_join(F.slice(w, 1, 3), " "), F.array_join(F.slice(w, 4, 3), " "))
-    queries = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), text.alias("query"))
+    """Whole passages as alternatives of six words each, every word anywhere in the document."""
+    queries = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), _query_text(6).alias("query"))
     return M.match_queries(queries, table(spark, sf_dir, "documents"))
 
 
-@query(f"""WITH b AS (SELECT item_id, list_distinct(({_W})[1:2]) AS terms, DATE '2024-01-01' + (item_id % 20)::INT AS since FROM benchmark),
+@query(f"""WITH b AS (SELECT item_id, {_RAW} AS raw, DATE '2024-01-01' + (item_id % 20)::INT AS since FROM benchmark), q AS (SELECT item_id, since, {_groups(5)} AS terms FROM b),
   d AS (SELECT doc_id, list_distinct({_W}) AS tokens, DATE '2024-01-01' + (doc_id % 60)::INT AS day FROM documents)
-  SELECT item_id AS query_id, doc_id FROM b JOIN d ON list_has_all(tokens, terms) AND day BETWEEN since AND since + 30""")
+  SELECT DISTINCT item_id AS query_id, doc_id FROM q JOIN d ON len(terms) > 0 AND list_has_all(tokens, terms) AND day BETWEEN since AND since + 30""")
 def match_queries_dated(spark, sf_dir):
-    """Two words, within a look-back window per query."""
+    """Alternatives of five words, within a look-back window per query."""
     start = F.lit("2024-01-01").cast("date")
     since = F.date_add(start, (F.col("item_id") % 20).cast("int"))
     queries = table(spark, sf_dir, "benchmark").select(
-        F.col("item_id").alias("query_id"), F.array_join(F.slice(words(F.lower("text")), 1, 2), " ").alias("query"),
-        since.alias("since"), F.date_add(since, 30).alias("until"),
+        F.col("item_id").alias("query_id"), _query_text(5).alias("query"), since.alias("since"), F.date_add(since, 30).alias("until"),
     )
     corpus = table(spark, sf_dir, "documents").withColumn("date", F.date_add(start, (F.col("doc_id") % 60).cast("int")))
     return M.match_queries(queries, corpus)

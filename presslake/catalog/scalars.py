@@ -301,7 +301,7 @@ def _sql_map(values: dict) -> str:
     return "MAP {" + ", ".join(f"'{k}': {item(v)}" for k, v in values.items()) + "}"
 
 
-_PRIMARY = {r: R.PRIMARY_EXCEPTIONS.get(r, ls[0]) for r, ls in R.REGION_LANGUAGES.items()}
+_PRIMARY = R.PRIMARY_LANGUAGE
 
 
 @query(f"""WITH r AS (SELECT c_custkey, {sql_list(REGIONS)}[(c_custkey % {len(REGIONS)} + 1)::INT] AS region FROM customer),

@@ -44,8 +44,45 @@ REGION_LANGUAGES = {
     "ladakh": ["en", "hi", "ur"],
 }
 
-# Regions whose primary language is not the first one listed above.
-PRIMARY_EXCEPTIONS = {"lakshadweep": "ml", "jammu-and-kashmir": "ur", "ladakh": "hi"}
+# Region -> primary language.
+PRIMARY_LANGUAGE = {
+    "andhra-pradesh": "te",
+    "arunachal-pradesh": "en",
+    "assam": "as",
+    "bihar": "hi",
+    "chhattisgarh": "hi",
+    "goa": "en",
+    "gujarat": "gu",
+    "haryana": "hi",
+    "himachal-pradesh": "hi",
+    "jharkhand": "hi",
+    "karnataka": "kn",
+    "kerala": "ml",
+    "madhya-pradesh": "hi",
+    "maharashtra": "mr",
+    "manipur": "mni",
+    "meghalaya": "en",
+    "mizoram": "lus",
+    "nagaland": "en",
+    "odisha": "or",
+    "punjab": "pa",
+    "rajasthan": "hi",
+    "sikkim": "ne",
+    "tamil-nadu": "ta",
+    "telangana": "te",
+    "tripura": "bn",
+    "uttar-pradesh": "hi",
+    "uttarakhand": "hi",
+    "west-bengal": "bn",
+    "andaman-and-nicobar-islands": "en",
+    "chandigarh": "hi",
+    "dadra-and-nagar-haveli-and-daman-and-diu": "gu",
+    "lakshadweep": "ml",
+    "delhi": "hi",
+    "puducherry": "ta",
+    "jammu-and-kashmir": "ur",
+    "ladakh": "hi",
+}
 
 # Language code -> name.
 LANGUAGE_NAMES = {
@@ -84,8 +121,7 @@ def list_map(values: dict[str, list[str]]) -> Column:
 
 
 def primary_language(region: Column) -> Column:
-    primary = {r: PRIMARY_EXCEPTIONS.get(r, langs[0]) for r, langs in REGION_LANGUAGES.items()}
-    return F.coalesce(F.try_element_at(text_map(primary), region), F.lit("en"))
+    return F.coalesce(F.try_element_at(text_map(PRIMARY_LANGUAGE), region), F.lit("en"))
 
 
 def languages_of(region: Column) -> Column:

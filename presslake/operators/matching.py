@@ -14,9 +14,22 @@ from presslake.sources.workspace import materialize
 SALTS = 32
 
 
+# What is no letter, mark or digit, where a word begins or ends; inside a word it stays.
+_AROUND = rf"(?<=^|[{SPACE_CLASS}])[^\p{{L}}\p{{M}}\p{{N}}{SPACE_CLASS}]+|[^\p{{L}}\p{{M}}\p{{N}}{SPACE_CLASS}]+(?=[{SPACE_CLASS}]|$)"
+
+
+def match_words(text: Column) -> Column:
+    """Lower-cased words without the punctuation around them."""
+    return words(_bare(text))
+
+
+def _bare(text: Column) -> Column:
+    return F.regexp_replace(F.lower(text), _AROUND, "")
+
+
 def _spaced(text: Column) -> Column:
-    """Lower-cased words, one blank before and after each."""
-    body = strip(F.regexp_replace(F.lower(text), f"[{SPACE_CLASS}]+", " "))
+    """Those words, one blank before and after each."""
+    body = strip(F.regexp_replace(_bare(text), f"[{SPACE_CLASS}]+", " "))
     return F.concat(F.lit(" "), body, F.lit(" "))
 
 
@@ -25,14 +38,14 @@ def _alternatives(queries: DataFrame, phrase: bool, *keep: str) -> DataFrame:
     alts = queries.select("query_id", *keep, F.posexplode(F.split("query", " OR ")).alias("alt", "_text"))
     phrases = _spaced(F.col("_text")) if phrase else F.lit(None).cast("string")
     return alts.select(
-        "query_id", *keep, "alt", F.array_distinct(words(F.lower("_text"))).alias("terms"), phrases.alias("phrase")
+        "query_id", *keep, "alt", F.array_distinct(match_words(F.col("_text"))).alias("terms"), phrases.alias("phrase")
     ).filter(F.size("terms") > 0)
 
 
 def match_queries(queries: DataFrame, corpus: DataFrame, mode: str = "all", salts: int = SALTS) -> DataFrame:
     """``(query_id, doc_id)`` for every document that satisfies a query.
 
-    ``all``: every word of one ``OR`` alternative occurs as a word. ``phrase``: the words occur next to each
+    Words are compared without the punctuation around them. ``all``: every word of one ``OR`` alternative occurs as a word. ``phrase``: the words occur next to each
     other in order. ``queries(query_id, query[, since, until])``, ``corpus(doc_id, text[, date])``; with
     ``since`` and ``until`` only documents of those days count.
 
@@ -46,7 +59,7 @@ def match_queries(queries: DataFrame, corpus: DataFrame, mode: str = "all", salt
     alts = _alternatives(queries, phrase, *window)
     wanted = alts.select(F.explode("terms").alias("token")).distinct()
     day = ["date"] if dated else []
-    postings = corpus.select("doc_id", *day, F.explode(F.array_distinct(words(F.lower("text")))).alias("token"))
+    postings = corpus.select("doc_id", *day, F.explode(F.array_distinct(match_words(F.col("text")))).alias("token"))
     # Three uses below: the corpus is split into words once, and only the words of queries are kept.
     relevant = materialize(postings.join(wanted, "token", "left_semi"), "postings")
     frequency = relevant.groupBy("token").agg(F.count(F.lit(1)).alias("df"))

@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame, functions as F
 from presslake.functions.regions import language_code, region_slug
 
 
+NATIONAL = "national"
+
+
 def split_languages(registry: DataFrame) -> DataFrame:
     """One row per newspaper and language; a cell may hold several languages (``A/B`` or ``A, B``)."""
     return registry.select(
@@ -19,11 +22,15 @@ def split_languages(registry: DataFrame) -> DataFrame:
 
 
 def registry_newspapers(registry: DataFrame, configs: DataFrame) -> DataFrame:
-    """Newspapers of each configuration's states: ``(disaster_id, lang_code, region, name, link)``."""
+    """Newspapers of each configuration's states: ``(disaster_id, lang_code, region, name, link)``.
+
+    National ones belong to every configuration.
+    """
     states = configs.select(
         "disaster_id", F.explode(F.array_distinct(F.map_keys("locations"))).alias("_state")
     ).select("disaster_id", region_slug(F.col("_state")).alias("region"))
+    everywhere = configs.select("disaster_id", F.lit(NATIONAL).alias("region"))
     return (
-        states.join(split_languages(registry), "region")
+        states.unionByName(everywhere).distinct().join(split_languages(registry), "region")
         .select("disaster_id", "lang_code", "region", "name", "link")
     )

@@ -111,11 +111,11 @@ def test_links(spark, tmp_path):
 
 
 def test_registry(spark, config, tmp_path):
-    (tmp_path / "r.csv").write_text('State/UT,Newspaper Name,Language(s),Website\nTelangana,T1,"English, Hindi",u1\nTelangana,T2,Khasi,u2\nKerala,K,Malayalam/English,u3\n')
+    (tmp_path / "r.csv").write_text('State/UT,Newspaper Name,Language(s),Website\nTelangana,T1,"English, Hindi",u1\nTelangana,T2,Khasi,u2\nKerala,K,Malayalam/English,u3\nNational,N,English,u4\n')
     registry = readers.read_registry(spark, str(tmp_path / "r.csv"))
     rows = R.registry_newspapers(registry, config).collect()
-    assert sorted((r["name"], r["lang_code"]) for r in rows if r["lang_code"]) == [("T1", "en"), ("T1", "hi")]
-    assert len(rows) == 3
+    assert sorted((r["name"], r["lang_code"]) for r in rows if r["lang_code"]) == [("N", "en"), ("T1", "en"), ("T1", "hi")]
+    assert len(rows) == 4
 
 
 @pytest.mark.parametrize("mode", ["all", "phrase"])
@@ -143,6 +143,15 @@ def test_match_against_brute_force(spark, mode):
     assert got == sorted(expected)
 
 
+def test_matching_ignores_punctuation_around_words(spark):
+    docs = [(0, "Cyclone, coast"), (1, "The (cyclone) hit the «coast»."), (2, "cyclone-coast"), (3, "coast\ncyclone!"), (4, "ÉTÉ, été")]
+    corpus = spark.createDataFrame(docs, "doc_id long, text string")
+    queries = spark.createDataFrame([(0, "cyclone coast"), (1, "(Été)"), (2, "...")], "query_id long, query string")
+    got = lambda mode: sorted((r["query_id"], r["doc_id"]) for r in M.match_queries(queries, corpus, mode).collect())
+    assert got("all") == [(0, 0), (0, 1), (0, 3), (1, 4)]
+    assert got("phrase") == [(0, 0), (1, 4)]
+
+
 def test_health_state_is_the_same_in_any_split(spark, sf_dir):
     log = request_log(spark, sf_dir)
     severe = H.is_blocking(F.col("success"), F.col("error_type")).alias("severe")
