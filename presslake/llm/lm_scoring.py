@@ -50,17 +50,27 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
+_ranks: dict = {}
+
+
 @dataclass
 class Lexicon:
-    """Frequent words with their counts, and the totals of all training words."""
+    """Frequent words, by rank in one text, with their counts, and the totals of all training words."""
 
-    words: dict[bytes, int]
+    text: bytes
     counts: np.ndarray
     ends: int  # training documents, each with an end
     tokens: int
     distinct: int
     vocabulary: int  # how many of the words are the network's own, after END and OTHER
 
+    @property
+    def ranks(self) -> dict[bytes, int]:
+        """Rank of each word; made once in each Python worker."""
+        if _ranks.get("text") != self.text:
+            _ranks.update(text=self.text, ranks={word: k for k, word in enumerate(self.text.split())})
+        return _ranks["ranks"]
+
     def base(self, count: np.ndarray | float):
         return np.log10(count + 0.1)
 
@@ -88,12 +98,15 @@ def lexicon(training: DataFrame, head: int = HEAD, size: int = WORDS) -> tuple[L
         if taken + words > head:
             break
         taken, least = taken + words, scale_
-    rows = [] if least is None else table.filter(F.floor(F.log2("n") * 4) >= least).collect()
-    ranked = sorted(((-r["n"], bytes(r["word"])) for r in rows))
+    words, counts = [], np.zeros(0, np.int64)
+    if least is not None:
+        found = table.filter(F.floor(F.log2("n") * 4) >= least).toArrow()
+        words, counts = found.column("word").to_pylist(), found.column("n").to_numpy()
+    order = sorted(range(len(words)), key=lambda k: (-counts[k], words[k]))
     ends = training.count()
     tokens, distinct = sum(n for *_, n in sizes) + ends, sum(w for _, w, _ in sizes) + (ends > 0)
-    names = {word: k for k, (_, word) in enumerate(ranked)}
-    return Lexicon(names, np.array([-n for n, _ in ranked], np.float64), ends, tokens, distinct, min(size - 2, len(ranked))), table
+    text = b" ".join(words[k] for k in order)  # no word holds a blank
+    return Lexicon(text, counts[order].astype(np.float64), ends, tokens, distinct, min(size - 2, len(order))), table
 
 
 # ---------------------------------------------------------------- the network
@@ -290,9 +303,9 @@ def score_docs(net: Network, docs: list[np.ndarray]) -> np.ndarray:
 # ---------------------------------------------------------------- training on the cluster
 
 
-def _ids(found: list[bytes], lex: Lexicon) -> np.ndarray:
+def _ids(found: list[bytes], ranks: dict[bytes, int]) -> np.ndarray:
     """Rank of each word among the frequent ones, -1 for others."""
-    return np.fromiter(map(lex.words.get, found, repeat(-1)), np.int64, len(found))
+    return np.fromiter(map(ranks.get, found, repeat(-1)), np.int64, len(found))
 
 
 def _own(ranks: np.ndarray, lex: Lexicon) -> np.ndarray:
@@ -301,10 +314,10 @@ def _own(ranks: np.ndarray, lex: Lexicon) -> np.ndarray:
 
 def _train(batches: Iterator[pa.RecordBatch], params: dict, classes: int, lex: Lexicon, rate: float) -> Iterator[pa.RecordBatch]:
     net = Network({k: v.copy() for k, v in params.items()}, classes)
-    docs, held, total = [], 0, 0
+    docs, held, total, known = [], 0, 0, lex.ranks
     for (texts,) in rows_of(batches, "text"):
         for text in texts:
-            docs.append(_own(_ids(lower_words(text), lex), lex))
+            docs.append(_own(_ids(lower_words(text), known), lex))
             held += len(docs[-1]) + 1
             if held > TOGETHER:
                 total += train_part(net, docs, rate=rate)
@@ -365,7 +378,7 @@ def _score(batches: Iterator[pa.RecordBatch], params: dict, classes: int, lex: L
     logs = lex.base(lex.counts)
     end = float(lex.base(float(lex.ends)))
     row = TaskContext.get().partitionId() << 40
-    rows, docs, held = [], [], 0
+    rows, docs, held, known = [], [], 0, lex.ranks
 
     def out() -> pa.RecordBatch:
         for made, natural in zip(rows, score_docs(net, docs), strict=True):
@@ -375,7 +388,7 @@ def _score(batches: Iterator[pa.RecordBatch], params: dict, classes: int, lex: L
     for ids, texts in rows_of(batches, "doc_id", "text"):
         for doc_id, text in zip(ids, texts, strict=True):
             found = lower_words(text)
-            ranks = _ids(found, lex)
+            ranks = _ids(found, known)
             head = ranks >= 0
             other = head & (ranks >= lex.vocabulary)
             rare = Counter(found[k] for k in np.flatnonzero(~head))
