@@ -94,7 +94,7 @@ def split_quotas(quotas: DataFrame, shards: int, seed: str) -> DataFrame:
     """``source, shard, n, offset`` from ``source, quota``: how many of a source's draws go to each shard, and from where.
 
     A node is one row with the quotas of all sources, so a level of the tree is a projection, without a shuffle. The
-    number of sources bounds a row. Below the sixth level, nodes are spread over tasks.
+    number of sources bounds a row. Deep levels are spread over tasks.
     """
     root = quotas.agg(F.sort_array(F.collect_list(F.struct(F.coalesce("source", F.lit("")).alias("key"), F.col("source").isNull().alias("null"), F.col("quota").alias("n")))).alias("q"))
     nodes = root.select(F.lit(0).cast("long").alias("first"), F.lit(shards).cast("long").alias("many"), "q")
@@ -123,8 +123,8 @@ def split_quotas(quotas: DataFrame, shards: int, seed: str) -> DataFrame:
         upper = F.struct((F.col("first") + F.col("half")).alias("first"), (F.col("many") - F.col("half")).alias("many"), part(lambda z: z["q"]["n"] - z["taken"]).alias("q"))
         only = F.struct("first", "many", "q")
         nodes = nodes.select(F.explode(F.when(F.col("many") > 1, F.array(lower, upper)).otherwise(F.array(only))).alias("node")).select("node.*")
-        if level == 6:
-            nodes = nodes.repartition("first")
+        if level % 3 == 2:  # keeps the plan short
+            nodes = materialize(nodes.repartition("first") if level > 5 else nodes, "mix-nodes")
     leaves = nodes.select(F.col("first").alias("shard"), F.inline("q")).select("shard", F.when(~F.col("null"), F.col("key")).alias("source"), "n")
     by_source = Window.partitionBy("source").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     return leaves.withColumn("offset", F.coalesce(F.sum("n").over(by_source), F.lit(0)))
