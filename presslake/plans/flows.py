@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from presslake.functions.text import strip
+from presslake.functions.dates import lookback_days
+from presslake.functions.text import simplify_query, strip
 from presslake.operators.articles import all_metadata, article_projection, attach_metadata, specific_link_row, valid_links
 from presslake.operators.audit import similar_content, similar_titles
 from presslake.operators.dedup import dedup_articles, dedup_batch_urls, dedup_report
-from presslake.operators.matching import collect_entries, first_country_with_results
+from presslake.operators.matching import collect_entries, first_country_with_results, match_queries
 from presslake.operators.pages import extract_pages
-from presslake.operators.querygen import expand_all_queries, query_id, smart_queries
+from presslake.operators.querygen import drop_banned, expand_all_queries, query_id, smart_queries
 from presslake.operators.stats import article_statistics, distribution, find_duplicates
 from presslake.sources.workspace import materialize
 
@@ -20,6 +21,26 @@ def plan_queries(configs: DataFrame, smart: bool = True, max_queries: int = 50)
     return queries.withColumn("query_id", query_id(F.col("disaster_id"), F.col("lang_code"), F.col("ord")))
 
 
+def search(configs: DataFrame, queries: DataFrame, corpus: DataFrame, as_of: Column, banned: DataFrame | None = None) -> DataFrame:
+    """Entries that a landed corpus holds for the queries, as ``collect`` takes them.
+
+    ``corpus(ord, country, title, link, published, summary, source, text, date)``. Banned queries are not asked, long ones are
+    simplified, only rows of the event's look-back period before ``as_of`` count, and a country counts by its place
+    in the configuration's list.
+    """
+    asked = queries if banned is None else drop_banned(queries, banned)
+    since = F.date_sub(as_of, lookback_days(F.col("start_date"), F.col("end_date")))
+    dated = asked.join(configs.select("disaster_id", since.alias("since"), as_of.alias("until"), "country_codes"), "disaster_id")
+    wanted = dated.select("query_id", simplify_query(F.col("query")).alias("query"), "since", "until")
+    hits = match_queries(wanted, corpus.select(F.col("ord").alias("doc_id"), "text", "date"))
+    rows = corpus.drop("text", "date").withColumnRenamed("ord", "doc_id")
+    found = hits.join(rows, "doc_id").join(dated.select("query_id", "country_codes"), "query_id")
+    place = F.array_position("country_codes", F.col("country")).cast("int")
+    return found.filter(place > 0).select(
+        "query_id", (place - 1).alias("country_ord"), F.col("doc_id").alias("ord"), "title", "link", "published", "summary", F.struct(F.col("source").alias("title")).alias("source")
+    )
+
+
 def collect(configs: DataFrame, queries: DataFrame, entries: DataFrame, pages: DataFrame, as_of: Column) -> DataFrame:
     """Metadata rows of all configurations: found entries and given links.
 

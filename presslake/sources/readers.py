@@ -86,7 +86,8 @@ def _empty_is_null(rows: DataFrame) -> DataFrame:
 
 
 def read_metadata(spark: SparkSession, root: str, date_range: tuple[str, str] | None = None) -> DataFrame:
-    """Metadata rows of all ``*.csv`` below ``root`` with their ``file`` and, from its path, its ``day``.
+    """Metadata rows of all ``*.csv`` below ``root`` with their ``file``, their ``ord`` (unique, in
+    the order of the file, as ``extract`` takes it) and, from the path, their ``day``.
 
     Columns go by the names in each file's header, in any order; absent ones are NULL, others are left out. A file without a
     ``link`` column has no rows here; ``metadata_errors`` names it. A range keeps only the files of those days and drops
@@ -97,7 +98,7 @@ def read_metadata(spark: SparkSession, root: str, date_range: tuple[str, str] |
     # What a folder says counts where the file has no such column.
     folder = F.nullif(F.regexp_extract("file", "/disaster_id=([^/]*)/", 1), F.lit(""))
     found["disaster_id"] = F.coalesce(found["disaster_id"], folder)
-    return _empty_is_null(rows.select(*[v.alias(c) for c, v in found.items()], "file", "day"))
+    return _empty_is_null(rows.select(*[v.alias(c) for c, v in found.items()], "file", "ord", "day"))
 
 
 def metadata_errors(spark: SparkSession, root: str, date_range: tuple[str, str] | None = None) -> DataFrame:
@@ -130,7 +131,7 @@ def _metadata_rows(spark: SparkSession, root: str, date_range: tuple[str, str] |
     pairs = F.filter(F.arrays_zip(F.col("names").alias("k"), F.col("cells").alias("v")), lambda p: F.coalesce(p["k"] != "", F.lit(False)))
     value = F.map_from_entries(F.filter(pairs, lambda p: p["k"].isin(METADATA.names)))
     joined = numbered.join(first, "file").filter(F.col("n") > F.col("first"))
-    return joined.select("file", "day", F.array_compact("names").alias("header"), value.alias("value"))
+    return joined.select("file", F.col("n").alias("ord"), "day", F.array_compact("names").alias("header"), value.alias("value"))
 
 
 def read_metadata_days(spark: SparkSession, root: str, date_range: tuple[str, str] | None = None) -> DataFrame:

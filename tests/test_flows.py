@@ -90,6 +90,34 @@ def test_collect_extract_audit(spark, config, pages, tmp_path):
     assert readers.read_articles(spark, out).count() == 3
 
 
+def test_search_feeds_collect_and_extract(spark, config, pages, tmp_path):
+    import datetime as dt
+
+    schema = "ord long, country string, title string, link string, published string, summary string, source string, text string, date date"
+    day, old = dt.date(2025, 10, 27), dt.date(2025, 5, 1)
+    corpus = spark.createDataFrame(
+        [
+            (0, "IN", "Cyclone Orlo hits", "https://c.example.com/three", "Thu, 30 Oct 2025 20:00:00 GMT", None, "C", "Cyclone, ORLO. Rain and more", day),
+            (1, "IN", "Cyclone before", "https://d.example.com/four", None, None, "D", "cyclone orlo rain", old),
+            (2, "XX", "Cyclone abroad", "https://d.example.com/five", None, None, "D", "cyclone orlo rain", day),
+            (3, "IN", "Other news", "https://d.example.com/six", None, None, "D", "nothing of it", day),
+        ],
+        schema,
+    )
+    as_of = F.lit(AS_OF).cast("date")
+    queries = flows.plan_queries(config)
+    entries = flows.search(config, queries, corpus, as_of)
+    assert {r["ord"] for r in entries.collect()} == {0}
+    first = queries.filter("type = 'hazard_only'").first()
+    banned = queries.select(M.ban_key(F.col("query"), F.col("lang_code")).alias("ban_key"))
+    assert first is not None and flows.search(config, queries, corpus, as_of, banned).count() == 0
+    rows = flows.collect(config, queries, entries, pages, as_of)
+    root = str(tmp_path / "metadata")
+    writers.write_metadata(rows.withColumn("ord", F.monotonically_increasing_id()), root)
+    found = flows.extract(readers.read_metadata(spark, root), pages).collect()
+    assert "https://c.example.com/three" in {r["normalized_url"] for r in found}
+
+
 def test_folders_by_date(spark, tmp_path):
     """CSV files in YYYY/MM/DD folders, as the pipeline's users have them."""
     day = tmp_path / "data" / "x" / "2025" / "10" / "30"
