@@ -9,8 +9,8 @@ one per fragment, and each fragment is worked on by itself. Two passes use this:
 
 Candidates share one of the rarest n-grams of both, as many as the threshold allows to miss. Documents with equal sets are
 one member from the start. Groups of near copies do not give all their pairs: first, the documents of an n-gram are
-compared with one of them; then only pairs that are still in different components are compared. So the components
-are exact, and the links found connect them.
+compared with one of them; then only pairs that are still in different components, and whose n-grams counted per
+fragment allow enough in common, are compared. So the components are exact, and the links found connect them.
 """
 
 from __future__ import annotations
@@ -31,6 +31,8 @@ from presslake.sources.workspace import materialize
 FRAGMENT, TOGETHER = 1_000_000, 250_000
 #: Fragments of the second pass: the three upper bits of a hash.
 SLICES = 8
+#: Fragments that a set's shared n-grams are counted in, for a bound on overlaps; a power of two.
+PARTS = 64
 #: Words whose hashes a Python worker remembers, and sets it has seen before it starts anew: bounds on memory only.
 REMEMBERED, SEEN = 200_000, 200_000
 
@@ -152,8 +154,8 @@ def _shared(table: pa.Table, buckets: int) -> pa.Table:
     return pa.Table.from_pylist(rows, SHARED)
 
 
-MEMBERS = pa.schema([("key", pa.int64()), ("n", pa.int64()), ("shared", pa.int64()), ("prefix", pa.int32()), ("hashes", pa.list_(pa.int64()))])
-MEMBERS_SQL = "key long, n long, shared long, prefix int, hashes array<long>"
+MEMBERS = pa.schema([("key", pa.int64()), ("n", pa.int64()), ("shared", pa.int64()), ("prefix", pa.int32()), ("hashes", pa.list_(pa.int64())), ("counts", pa.list_(pa.int32()))])
+MEMBERS_SQL = "key long, n long, shared long, prefix int, hashes array<long>, counts array<int>"
 
 
 def _members(table: pa.Table, percent: int) -> pa.Table:
@@ -175,8 +177,11 @@ def _members(table: pa.Table, percent: int) -> pa.Table:
     which = np.flatnonzero(fit)
     offsets = np.append(0, np.cumsum(shared[which])).astype(np.int32)
     lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(hashes, pa.int64()))
+    place = np.cumsum(fit) - 1
+    counts = np.bincount(place[owner] * PARTS + (hashes.view(np.uint64) >> np.uint64(64 - PARTS.bit_length() + 1)).astype(np.int64), minlength=len(which) * PARTS)
+    parts = pa.ListArray.from_arrays(pa.array(np.arange(len(which) + 1) * PARTS, pa.int32()), pa.array(counts.astype(np.int32), pa.int32()))
     prefix = (shared[which] - need[which] + 1).astype(np.int32)
-    return pa.Table.from_arrays([pa.array(names[which]), pa.array(size[which]), pa.array(shared[which].astype(np.int64)), pa.array(prefix), lists], schema=MEMBERS)
+    return pa.Table.from_arrays([pa.array(names[which]), pa.array(size[which]), pa.array(shared[which].astype(np.int64)), pa.array(prefix), lists, parts], schema=MEMBERS)
 
 
 def _reach(a: str, b: str, percent: int) -> str:
@@ -189,14 +194,20 @@ def verified(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a, b`` whose overlap, counted per fragment and summed, reaches the threshold: ``a, b, overlap``."""
     # The three upper bits of the signed hash number the fragments.
     part = lambda i: F.filter("hashes", lambda h: F.shiftright(h, 61) == i - SLICES // 2)
-    cut = members.select("key", "n", F.posexplode(F.array(*[part(i) for i in range(SLICES)])).alias("fragment", "segment")).filter(F.size("segment") > 0)
-    left = pairs.join(cut.select(F.col("key").alias("a"), F.col("n").alias("n_a"), "fragment", F.col("segment").alias("left")), "a")
-    met = left.join(cut.select(F.col("key").alias("b"), F.col("n").alias("n_b"), "fragment", F.col("segment").alias("right")), ["b", "fragment"])
-    partial = met.select("a", "b", "n_a", "n_b", F.size(F.array_intersect("left", "right")).alias("part"))
-    total = partial.groupBy("a", "b", "n_a", "n_b").agg(F.sum("part").alias("overlap"))
+    cut = members.select("key", "n", F.array(*[part(i) for i in range(SLICES)]).alias("segments"))
+    side = lambda k: cut.select(F.col("key").alias(k), F.col("n").alias(f"n_{k}"), F.col("segments").alias(f"segments_{k}"))
+    met = pairs.join(side("a"), "a").join(side("b"), "b")
+    partial = F.zip_with("segments_a", "segments_b", lambda p, q: F.size(F.array_intersect(p, q)))
+    total = met.select("a", "b", "n_a", "n_b", F.aggregate(partial, F.lit(0), lambda acc, x: acc + x).alias("overlap"))
     return total.filter(f"100 * overlap >= {percent} * (n_a + n_b - overlap)").select("a", "b", "overlap")
 
 
+def _bound(columns: list[str], percent: int) -> str:
+    """SQL: sets can have no more in common in a fragment than the one with less has there."""
+    most = " + ".join(f"least(x.{c}, y.{c})" for c in columns)
+    return f"{100 + percent} * ({most}) >= {percent} * (x.n + y.n)"
+
+
 def jaccard_links(docs: DataFrame, n: int = 4, percent: int = 85) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(documents, links, classes)`` of ``docs`` (``doc_id, text``).
 
@@ -219,8 +230,15 @@ def jaccard_links(docs: DataFrame, n: int = 4, percent: int = 85) -> tuple[DataF
     named = components(first)
     placed = prefixes.join(named, prefixes["key"] == named["id"], "left").select("gram", "key", "n", "shared", F.coalesce("component", "key").alias("component"))
     mixed = placed.groupBy("gram").agg(F.min("component").alias("lowest"), F.max("component").alias("highest")).filter("lowest <> highest")
-    open_ = materialize(placed.join(mixed, "gram", "left_semi"), "open")
-    apart = open_.alias("x").join(open_.alias("y"), "gram").filter(f"x.component < y.component AND {_reach('x', 'y', percent)}")
+    fine = [F.col("counts")[i].alias(f"f{i}") for i in range(PARTS)]
+    coarse = [sum((F.col("counts")[i] for i in range(j + 1, j + 8)), F.col("counts")[j]).alias(f"c{j}") for j in range(0, PARTS, 8)]
+    bounds = members.select("key", F.slice("hashes", 1, F.col("prefix")).alias("grams"), *coarse, *fine)
+    open_ = materialize(placed.join(mixed, "gram", "left_semi").join(bounds, "key"), "open")
+    # Cheap bounds first; a pair counts at its first common n-gram only, so it is made once.
+    coarse_bound, fine_bound = (_bound([c for c in open_.columns if c[0] == kind and c[1:].isdigit()], percent) for kind in "cf")
+    once = "array_intersect(x.grams, y.grams)[0] = x.gram"
+    wanted = f"x.gram = y.gram AND x.component < y.component AND {_reach('x', 'y', percent)} AND {coarse_bound} AND {fine_bound} AND {once}"
+    apart = open_.alias("x").join(open_.alias("y"), F.expr(wanted))
     second = materialize(verified(apart.select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct(), members, percent), "links")
     links = first.unionByName(second)
     return documents, links, components(links)
