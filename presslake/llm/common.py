@@ -26,9 +26,16 @@ def raw(docs: DataFrame, *more: str | Column) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"), *more)
 
 
-def rows_of(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[list[list]]:
-    """The named columns of each Arrow batch as Python lists."""
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1_000) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut into smaller ones, so that few texts are Python objects at a time."""
     for batch in batches:
+        for first in range(0, batch.num_rows, rows):
+            yield batch.slice(first, rows)
+
+
+def rows_of(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[list[list]]:
+    """The named columns of each Arrow batch, in slices, as Python lists."""
+    for batch in slices(batches):
         yield [batch.column(name).to_pylist() for name in names]
 
 

@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
+from presslake.llm.common import slices
+
 #: Words: A-Z lower-cased, then runs of ASCII letters and digits and of anything beyond ASCII.
 CLEAN = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 #: Bytes of benchmark text in a block, which is sent to every task.
@@ -174,7 +176,7 @@ def _longest(block: Block, rows: np.ndarray, at: np.ndarray, starts: np.ndarray)
 
 def _annotate(batches: Iterator[pa.RecordBatch], block: Block, first: bool) -> Iterator[pa.RecordBatch]:
     found = pa.list_(pa.struct([("item_id", pa.string()), ("item_start", pa.int64()), ("start", pa.int64()), ("length", pa.int64())]))
-    for batch in batches:
+    for batch in slices(batches, 2_000):
         sizes, hits, matches = search(batch.column("text").cast(pa.binary()).to_pylist(), block)
         names, columns = list(batch.schema.names), list(batch.columns)
         if not first:  # add to what earlier blocks found

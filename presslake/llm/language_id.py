@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, BooleanType, StringType, StructField, StructType
 
-from presslake.llm.common import remainder
+from presslake.llm.common import remainder, slices
 
 BUCKETS = 4096
 #: A text is ambiguous when the best language has less than this share of the decoded weight.
@@ -147,7 +147,7 @@ def train(docs: DataFrame, folds: int = 5, sample: int = 2_000) -> Model:
 
 
 def _predict(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         texts = batch.column("text").to_pylist()
         names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
         for first in range(0, len(texts) if model.languages else 0, 512):
