@@ -28,8 +28,8 @@ END, OTHER = 0, 1
 HEAD = 200_000
 #: Size of the network's vocabulary (with END and OTHER), its state, and the classes of its output.
 WORDS, STATE, CLASSES = 2048, 32, 45
-#: Share of the training documents that the network is fitted to, in rounds, and tokens below which it takes more.
-SHARE, ROUNDS, LEAST_TOKENS = 1 / 8, 3, 4_000_000
+#: Rounds of training; every training row is in one of them.
+ROUNDS = 3
 #: Tokens of documents that are scored together.
 TOGETHER = 1_500_000
 
@@ -336,12 +336,11 @@ def _average(table: pa.Table) -> pa.Table:
 
 
 def train(training: DataFrame, lex: Lexicon) -> Network:
-    """Rounds of local training and averaging over the chosen share of the training rows (``doc_id``, ``text``)."""
+    """Rounds of local training and averaging; each of the training rows (``doc_id``, ``text``) is in one round."""
     frequency = np.concatenate([[lex.ends, max(0, lex.tokens - lex.ends - lex.counts[: lex.vocabulary].sum())], lex.counts[: lex.vocabulary]])
     net = Network.new(lex.vocabulary + 2, STATE, CLASSES, frequency)
-    share = min(1.0, max(SHARE, LEAST_TOKENS / max(1, lex.tokens)))
     place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(100_003)) / 100_003
-    bounds = np.linspace(0, 1, ROUNDS + 1) ** 1.5 * share
+    bounds = np.linspace(0, 1, ROUNDS + 1) ** 1.5
     for k, (low, high) in enumerate(zip(bounds, bounds[1:], strict=False)):
         params, rate = net.p, 0.01 / (1 + k)
         rows = training.filter((place >= float(low)) & (place < float(high))).select("text")

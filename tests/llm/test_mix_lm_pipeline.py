@@ -167,6 +167,22 @@ def test_scores_of_awkward_rows(make):
     assert unseen[0].train_tokens == 0 and unseen[0].n_known == 0 and unseen[0].base_score == pytest.approx(0)
 
 
+def test_every_training_row_is_fitted_however_many_there_are(make, monkeypatch):
+    training = make([(k, f"some words of text {k}") for k in range(400)] + [(400, None), (None, "no id"), (7, "some words of text 7")])
+    lex, _ = lm_scoring.lexicon(training)
+    tokens, seen, write = lex.tokens, [], lm_scoring.materialize
+
+    def watched(df, name):
+        out = write(df, name)
+        seen.extend(r.tokens for r in out.collect())
+        return out
+
+    monkeypatch.setattr(lm_scoring, "materialize", watched)
+    lex.tokens = 10**9  # as of a large corpus
+    lm_scoring.train(training.selectExpr("doc_id", "CAST(text AS binary) AS text"), lex)
+    assert sum(seen) == tokens
+
+
 # ---------------------------------------------------------------- pipeline
 
 
