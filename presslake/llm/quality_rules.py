@@ -2,6 +2,7 @@
 
 The references are character-class and common-word histograms of all documents of a language. A document is kept when
 the base rules pass and the Jensen-Shannon distances to its references are small; short texts are spared the distances.
+A text without any common word is at a distance that depends on the language, so the limit for words does too.
 """
 
 from __future__ import annotations
@@ -14,12 +15,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from presslake.llm.common import raw
+from presslake.llm.common import raw, rows_of
 from presslake.llm.decontamination import words as clean_words
 from presslake.sources.workspace import materialize
 
-#: Limits of the distances, from 0 (equal) to 1 (disjoint).
+#: Limits of the distances, from 0 (equal) to 1 (disjoint). That of words is lower where the language's own limit is.
 MOST_CLASSES, MOST_WORDS = 0.3, 0.5
+#: A language's own limit for words: this part of the distance of a text without common words, but not below so many
+#: times the median distance of the language's documents (where common words are few, most texts are far from them).
+PART, TIMES = 0.75, 1.25
+#: Steps that distances are counted in for the median.
+STEPS = 1_000
 #: Characters and words from which on a histogram says something.
 LEAST_CHARS, LEAST_WORDS = 200, 80
 COMMON = 60
@@ -91,19 +97,25 @@ class Reference:
     classes: np.ndarray
     words: dict[bytes, int]
     shares: np.ndarray  # of the common words, and of all others last
+    most_words: float = 1.0  # the language's own limit of the words' distance
 
 
-def divergences(text: bytes, reference: Reference) -> tuple[float | None, float | None]:
-    """Distances of the text's character classes and common words; None where the text is too short."""
-    counts = class_counts(text)
-    classes = distance(counts, reference.classes) if counts.sum() >= LEAST_CHARS else None
+def word_distance(text: bytes, reference: Reference) -> float | None:
+    """Distance of the text's common words; None where the text is too short."""
     found = clean_words(text)
     if len(found) < LEAST_WORDS or not reference.words:
-        return classes, None
+        return None
     histogram = np.zeros(len(reference.words) + 1)
     for word, n in Counter(found).items():
         histogram[reference.words.get(word, -1)] += n
-    return classes, distance(histogram, reference.shares)
+    return distance(histogram, reference.shares)
+
+
+def divergences(text: bytes, reference: Reference) -> tuple[float | None, float | None]:
+    """Distances of the text's character classes and common words; None where the text is too short."""
+    counts = class_counts(text)
+    classes = distance(counts, reference.classes) if counts.sum() >= LEAST_CHARS else None
+    return classes, word_distance(text, reference)
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,9 +148,11 @@ def learn(docs: DataFrame, common: int = COMMON) -> dict[str | None, Reference]:
     """References of every language, from all documents; a null language is one of its own.
 
     Words are counted in the tasks first, so the shuffle has a row per task and distinct word. The driver gets, per
-    language, the class counts, the words in total and the ``common`` most frequent words (ties by the word).
+    language, the class counts, the words in total and the ``common`` most frequent words (ties by the word). A second
+    pass counts the words' distances of all documents in steps, for the limits.
     """
-    counted = raw(docs, F.col("lang").cast("string").alias("lang")).select("lang", "text").mapInArrow(_counted, "lang string, class int, word binary, n long")
+    rows = raw(docs, F.col("lang").cast("string").alias("lang")).select("lang", "text")
+    counted = rows.mapInArrow(_counted, "lang string, class int, word binary, n long")
     table = materialize(counted.groupBy("lang", "class", "word").agg(F.sum("n").alias("n")), "histograms")
     by_lang = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
     top = table.filter("word IS NOT NULL").withColumn("rank", F.row_number().over(by_lang)).filter(F.col("rank") <= common).collect()
@@ -151,16 +165,49 @@ def learn(docs: DataFrame, common: int = COMMON) -> dict[str | None, Reference]:
         words = sorted(((r["rank"], bytes(r["word"]), r["n"]) for r in top if r["lang"] == lang))
         made.words = {w: k for k, (_, w, _) in enumerate(words)}
         made.shares = np.array([n for _, _, n in words] + [totals.get(lang, 0) - sum(n for _, _, n in words)], float)
+    steps: dict[str | None, Counter] = {}
+    found = rows.mapInArrow(lambda b: _steps(b, references), "lang string, step int, n long").groupBy("lang", "step").agg(F.sum("n").alias("n"))
+    for row in found.collect():
+        steps.setdefault(row["lang"], Counter())[row["step"]] += row["n"]
+    for lang, made in references.items():
+        if made.words:
+            made.most_words = word_limit(made, steps.get(lang, Counter()))
     return references
 
 
+def word_limit(reference: Reference, steps: Counter) -> float:
+    """The language's own limit, from its reference and the distances of its documents, counted in steps."""
+    without = np.zeros(len(reference.shares))
+    without[-1] = 1
+    limit = PART * distance(without, reference.shares)
+    seen, half = 0, (sum(steps.values()) + 1) // 2
+    for step, n in sorted(steps.items()):
+        seen += n
+        if seen >= half:
+            return max(limit, TIMES * step / STEPS)
+    return limit
+
+
+def _steps(batches: Iterator[pa.RecordBatch], references: dict) -> Iterator[pa.RecordBatch]:
+    """(lang, step, n): how many texts of a language have a word distance in a step."""
+    found: Counter = Counter()
+    for langs, texts in rows_of(batches, "lang", "text"):
+        for lang, text in zip(langs, texts, strict=True):
+            strange = word_distance(text, references[lang]) if text else None
+            if strange is not None:
+                found[lang, round(strange * STEPS)] += 1
+    if found:
+        langs, steps = zip(*found, strict=True)
+        yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(steps, pa.int32()), pa.array(list(found.values()), pa.int64())], names=["lang", "step", "n"])
+
+
 def judge(text: bytes | None, lang: str | None, references: dict[str | None, Reference], most_classes: float, most_words: float) -> tuple:
     text = text or b""
     n, chars, symbols, lines, repeated = base_counts(text)
     failed = n < 50 or 100 * repeated > 50 * n
     reference = references.get(lang)
     far, strange = divergences(text, reference) if reference else (None, None)
-    kept = not failed and (far is None or far <= most_classes) and (strange is None or strange <= most_words)
+    kept = not failed and (far is None or far <= most_classes) and (strange is None or strange <= min(most_words, reference.most_words))
     return n, chars, symbols, lines, repeated, failed, far, strange, kept
 
 
@@ -181,7 +228,7 @@ def grade(docs: DataFrame, references: dict[str | None, Reference] | None = None
     """Per row of ``docs``: ``doc_id``, the base counts and verdict, the two distances, and ``kept``.
 
     ``kept`` is false when the base rules fail or a distance to the reference of the row's own language is above its
-    limit. A null or empty text has no words and fails. A distance is null, and passes, for texts under the length guards.
+    limit; for words that is ``most_words`` or the language's own, whichever is less. A null or empty text has no words and fails. A distance is null, and passes, for texts under the length guards.
     Rows that share a ``doc_id`` stay separate; other columns are ignored.
     """
     references = learn(docs) if references is None else references

@@ -124,6 +124,28 @@ def test_symbols_are_far_from_prose(make):
     assert quality_rules.grade(make([])).count() == 0
 
 
+def test_other_languages_and_texts_without_common_words_go(spark, sf_dir, make, docs, texts):
+    graded = quality_rules.grade(docs).filter("kept AND word_distance IS NOT NULL").collect()
+    langs = sorted({texts[r.doc_id].lang for r in graded})
+    moved = [(k, r.doc_id, lang) for k, (r, lang) in enumerate((r, lang) for r in graded for lang in langs if lang != texts[r.doc_id].lang)]
+    strange = [(10**6 + k, " ".join(f"q{k}z{i}" for i in range(200)) + " qzq" * 20, lang) for k, lang in enumerate(langs)]
+    rows = [(k, texts[i].text, lang, "s") for k, i, lang in moved] + [(*row, "s") for row in strange]
+    references = quality_rules.learn(docs)
+    got = {r.doc_id: r for r in quality_rules.grade(make(rows), references).collect()}
+    assert len(langs) > 1 and len(got) == len(rows)
+    assert sum(not got[k].kept for k, _, _ in moved) >= 0.98 * len(moved)
+    assert all(got[k].word_distance > references[lang].most_words and not got[k].kept for k, _, lang in strange)
+
+
+def test_limit_for_words_follows_the_language():
+    rare = quality_rules.Reference(np.ones(8), {b"a": 0}, np.array([1.0, 999.0]))
+    common = quality_rules.Reference(np.ones(8), {b"a": 0}, np.array([600.0, 400.0]))
+    # Where common words are few, texts without them are usual and stay.
+    assert quality_rules.word_limit(rare, Counter({20: 6, 30: 5})) >= 0.024 > quality_rules.distance(np.array([0, 1.0]), rare.shares)
+    without = quality_rules.distance(np.array([0, 1.0]), common.shares)
+    assert quality_rules.word_limit(common, Counter({200: 90, 500: 9})) == pytest.approx(0.75 * without) and quality_rules.word_limit(common, Counter()) < without
+
+
 def test_distance_is_a_distance():
     p, q = np.array([1.0, 0, 3]), np.array([0.0, 2, 0])
     assert quality_rules.distance(p, p) == 0 and quality_rules.distance(p, q) == pytest.approx(1)
