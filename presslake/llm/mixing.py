@@ -4,8 +4,9 @@ The documents of a source are dealt to blocks by a hash. A source's target says
 hashed order, a second round after the first. A binary tree splits all drawn blocks among the output shards: each
 node's quotas of blocks per source go to its two children by a multivariate hypergeometric draw, so every shard gets
 its exact share of blocks and, in expectation, the mixture's proportions. A shard takes the next blocks of a source's
-order, so shards are disjoint; its rows are then ordered by a hash. Only DataFrame functions are used, every random
-choice is a hash of names and the seed, and reruns agree.
+order, so shards are disjoint; its rows are then ordered by a hash. What the target still wants after the last whole
+block is filled with documents of the blocks behind it, in order, skipping those that do not fit, until none fits. Only
+DataFrame functions are used, every random choice is a hash of names and the seed, and reruns agree.
 """
 
 from __future__ import annotations
@@ -134,7 +135,7 @@ def plan_mix(sizes: DataFrame, seed: str = "mix", block_rows: int = 512, shard_r
     """Targets per source, the draws, and the number of buckets that a block is a source's part of.
 
     Draws are ``source, bucket, round, shard, limit`` of every block that the mix takes; ``limit`` is null for a whole
-    block, the last block of a source has the words still wanted. Blocks have ``block_rows`` rows in the largest
+    block, the last block of a source has the words still wanted, which blocks behind it may give too. Blocks have ``block_rows`` rows in the largest
     source, or more where that would make over 100,000 of them.
     """
     goals = materialize(targets(sizes, share), "mix-targets")
@@ -143,7 +144,7 @@ def plan_mix(sizes: DataFrame, seed: str = "mix", block_rows: int = 512, shard_r
     shards = max(1, math.ceil((rows or 0) * share / shard_rows))
     blocks = sizes.groupBy("source", _bucket(seed, buckets)).agg(F.sum("size").alias("words"))
     rounds = blocks.withColumn("round", F.explode(F.array(F.lit(0), F.lit(1))))
-    by_source = Window.partitionBy("source").orderBy("round", _number(seed, "order", F.col("round"), F.col("source"), F.col("bucket")), "bucket")
+    by_source = Window.partitionBy("source").orderBy("round", _block_order(seed), "bucket")
     before = F.sum("words").over(by_source.rowsBetween(Window.unboundedPreceding, -1))
     running = rounds.withColumns({"place": F.row_number().over(by_source) - 1, "before": F.coalesce(before, F.lit(0))})
     limit = F.when(F.col("before") + F.col("words") > F.col("target"), F.col("target") - F.col("before"))
@@ -157,6 +158,10 @@ def plan_mix(sizes: DataFrame, seed: str = "mix", block_rows: int = 512, shard_r
     return goals, materialize(plan, "mix-plan"), buckets
 
 
+def _block_order(seed: str) -> Column:
+    return _number(seed, "order", F.col("round"), F.col("source"), F.col("bucket"))
+
+
 def _bucket(seed: str, buckets: int) -> Column:
     return F.pmod(_number(seed, "block", F.col("doc_id")), F.lit(buckets)).alias("bucket")
 
@@ -166,36 +171,58 @@ def mix(docs: DataFrame, seed: str = "mix", block_rows: int = 512, shard_rows: i
 
     ``taken`` has ``doc_id, source, size, round, shard, position`` for each copy of a document that the mix takes;
     ``position`` orders a shard's rows. No document is taken more than twice. Whole documents are taken, and
-    a source stays below its target by less than its last block's smallest document left out. Rows that share
+    a source stays below its target by less than the smallest copy with words that it leaves out. Rows that share
     ``doc_id`` and ``source`` are one document. A null source is a source like others; documents without words are
-    taken like others, at no cost.
+    taken with their block, the last one included, at no cost.
     """
     sizes = materialize(sized(docs), "mix-sizes")
     goals, plan, buckets = plan_mix(sizes, seed, block_rows, shard_rows, share)
     keyed = sizes.withColumn("bucket", _bucket(seed, buckets))
     same = F.col("k.source").eqNullSafe(F.col("p.source")) & (F.col("k.bucket") == F.col("p.bucket"))
     position = _number(seed, "position", F.col("round"), F.col("k.doc_id")).alias("position")
-    rows = keyed.alias("k").join(plan.alias("p"), same).select("k.doc_id", "k.source", "size", "k.bucket", "round", "shard", "limit", position)
-    whole = rows.filter("limit IS NULL").drop("limit", "bucket")
-    return sizes, goals, whole.unionByName(_fill(rows.filter("limit IS NOT NULL")))
+    rows = keyed.alias("k").join(plan.filter("limit IS NULL").alias("p"), same)
+    whole = rows.select("k.doc_id", "k.source", "size", "round", "shard", position)
+    return sizes, goals, whole.unionByName(_fill(keyed, plan, seed))
 
 
-def _fill(rows: DataFrame) -> DataFrame:
-    """Of each source's last block, documents that come near its limit and not above.
+def _fill(keyed: DataFrame, plan: DataFrame, seed: str) -> DataFrame:
+    """Documents of the blocks that are not taken whole, up to the words that each source still wants.
 
-    They are taken in the order of their positions up to the first that does not fit; then, a few times, the largest
-    that still fits is added.
+    A pass takes, in the order of blocks and positions, up to the first that does not fit; the next pass goes over those
+    not taken that still fit, until none does. Whatever stops a pass is larger than what is wanted then, so the wanted
+    words shrink and there are few passes. Sums run over blocks first and inside a block then, so no task has a source's
+    rows. Documents without words come from the last block only.
     """
-    block = Window.partitionBy("source", "bucket", "round")
-    first = F.sum("size").over(block.orderBy("position", "doc_id").rowsBetween(Window.unboundedPreceding, 0)) <= F.col("limit")
-    out = rows.withColumn("in", first)
-    for _ in range(4):
-        rest = F.col("limit") - F.sum(F.when(F.col("in"), F.col("size")).otherwise(0)).over(block)
-        fits = ~F.col("in") & (F.col("size") > 0) & (F.col("size") <= F.col("rest"))
-        best = F.max(F.when(fits, F.struct("size", "position", "doc_id"))).over(block)
-        out = out.withColumn("rest", rest).withColumn("best", best)
-        out = out.withColumn("in", F.col("in") | F.coalesce(F.struct("size", "position", "doc_id") == F.col("best"), F.lit(False))).drop("rest", "best")
-    return out.filter("in").drop("in", "limit", "bucket")
+    last = plan.filter("limit IS NOT NULL").select("source", F.col("bucket").alias("last_bucket"), F.col("round").alias("last_round"), "shard", F.col("limit").alias("rest"))
+    copies = keyed.withColumn("round", F.explode(F.array(F.lit(0), F.lit(1))))
+    with_last = copies.alias("k").join(last.alias("l"), F.col("k.source").eqNullSafe(F.col("l.source"))).select("k.*", "last_bucket", "last_round", "shard", "rest")
+    is_last = (F.col("bucket") == F.col("last_bucket")) & (F.col("round") == F.col("last_round"))
+    wanted = with_last.filter((F.col("size") <= F.col("rest")) & (is_last | (F.col("size") > 0))).drop("last_bucket", "last_round")
+    drawn = plan.filter("limit IS NULL").select("source", "bucket", "round").alias("p")
+    own = F.col("w.source").eqNullSafe(F.col("p.source")) & (F.col("w.bucket") == F.col("p.bucket")) & (F.col("w.round") == F.col("p.round"))
+    left = wanted.alias("w").join(drawn, own, "left_anti").withColumns({"order": _block_order(seed), "position": _number(seed, "position", F.col("round"), F.col("doc_id"))})
+    taken = None
+    while True:
+        marked = materialize(_fill_pass(left), "mix-fill")
+        more = marked.filter("in").select("doc_id", "source", "size", "round", "shard", "position")
+        taken = more if taken is None else taken.unionByName(more)
+        spent = more.groupBy("source").agg(F.sum("size").alias("spent"))
+        rest = F.col("rest") - F.coalesce("spent", F.lit(0))
+        still = marked.filter("NOT in").drop("in").alias("m").join(spent.alias("s"), F.col("m.source").eqNullSafe(F.col("s.source")), "left")
+        left = still.withColumn("now", rest).select(*[f"m.{c}" for c in left.columns if c != "rest"], F.col("now").alias("rest")).filter("size <= rest")
+        if left.isEmpty():
+            return taken
+
+
+def _fill_pass(left: DataFrame) -> DataFrame:
+    """``left`` with ``in``: whether a row is before the first one that exceeds its source's ``rest``, by the running sum."""
+    blocks = left.groupBy("source", "round", "order", "bucket").agg(F.sum("size").alias("words"))
+    by_source = Window.partitionBy("source").orderBy("round", "order", "bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = blocks.withColumn("before", F.coalesce(F.sum("words").over(by_source), F.lit(0))).drop("words", "order").alias("b")
+    same = F.col("r.source").eqNullSafe(F.col("b.source")) & (F.col("r.round") == F.col("b.round")) & (F.col("r.bucket") == F.col("b.bucket"))
+    inside = Window.partitionBy("source", "round", "bucket").orderBy("position", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    rows = left.alias("r").join(before, same).select("r.*", "before")
+    return rows.withColumn("in", F.col("before") + F.sum("size").over(inside) <= F.col("rest")).drop("before")
 
 
 def _same_document(a: str, b: str) -> Column:

@@ -74,6 +74,22 @@ def test_mix_in_many_blocks_and_shards(make):
     assert len(shards) == 15 and max(shards.values()) < 2 * min(shards.values())
 
 
+@pytest.mark.parametrize("seed", ["mix", "a", "b"])
+def test_a_long_document_does_not_end_a_source(make, seed):
+    # The largest source makes blocks; "tall" has a document that is most of its words.
+    rows = [(k, "w " * 60, None, "big") for k in range(2000)] + [(k, "w " * (20 + k % 7), None, "tall") for k in range(3000, 3200)] + [(4000, "w " * 60_000, None, "tall")]
+    for block_rows in (20, 4000):
+        sizes, goals, taken = mixing.mix(make(rows), seed=seed, block_rows=block_rows)
+        targets = {r.source: r.target for r in goals.collect()}
+        size = {(r.doc_id, r.source): r["size"] for r in sizes.collect()}
+        copies = Counter((r.doc_id, r.source) for r in taken.collect())
+        assert max(copies.values()) <= 2
+        for source, target in targets.items():
+            got = sum(n * size[key] for key, n in copies.items() if key[1] == source)
+            left_out = [n for key, n in size.items() if key[1] == source and copies[key] < 2]
+            assert got <= target and all(got + n > target for n in left_out), (source, got, target)
+
+
 def test_splits_are_exact_and_hypergeometric(spark):
     quotas = spark.createDataFrame([("a", 700), ("b", 250), (None, 50), ("none", 0)], "source string, quota long")
     got = mixing.split_quotas(quotas, 10, "s").collect()
