@@ -18,8 +18,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return ngram_join.keep_one(docs)
+    """One document of each group of near copies: sets of five words in a row, four fifths in common."""
+    return ngram_join.keep_one(docs, n=5, percent=80)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from presslake.llm import catalog, components, line_dedup, ngram_join
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -168,6 +169,20 @@ def test_one_of_each_group_stays_and_no_rows(make):
     assert ngram_join.similar_documents(make([])).count() == 0 and ngram_join.keep_one(make([])).count() == 0
 
 
+def test_pipeline_keeps_one_of_documents_with_four_fifths_of_five_words_in_common(spark, sf_dir, make):
+    rng = np.random.default_rng(6)
+    vocabulary = [f"w{k}" for k in range(400)]
+    rows = []
+    for group in range(30):  # one word changed of 45 to 75: five-word similarities from 0.78 to 0.87
+        words = list(rng.choice(vocabulary, 45 + group))
+        changed = [*words[:20], "other", *words[21:]]
+        rows += [(2 * group + 1, " ".join(words)), (2 * group + 2, " ".join(changed))]
+    expected = {doc_id for doc_id, _, least in plain_groups(rows, 5, 80) if doc_id == least}
+    assert expected != {doc_id for doc_id, _, least in plain_groups(rows) if doc_id == least}
+    kept = corpus_pipeline.near_copies(spark, make(rows), sf_dir)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(expected)
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(k, k + 1) for k in range(1, 40)] + [(100, k) for k in range(101, 130)] + [(7, 7), (201, 200), (200, 201)]
     got = {r.id: r.component for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
