@@ -7,7 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
-from presslake.llm import chat_format, decontamination, language_id, line_dedup, lm_scoring, mixing, ngram_join, quality_rules, token_counts, token_records
+from presslake.llm import (
+    bisectors,
+    chat_format,
+    decontamination,
+    language_id,
+    line_dedup,
+    lm_scoring,
+    mixing,
+    ngram_join,
+    packing,
+    quality_rules,
+    resampling,
+    token_counts,
+    token_records,
+)
 from presslake.llm.oracles import ORACLES
 from presslake.sources.workspace import materialize
 
@@ -83,3 +97,19 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = chat_format.turn_records(table(spark, sf_dir, "conversations")).unionByName(more)
     turns = chat_format.canonical_turns(records).drop("shape")
     return chat_format.read_back(materialize(chat_format.format_turns(turns), "chat"))
+
+
+@query
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bisectors.cluster(table(spark, sf_dir, "embeddings"))

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from presslake.sources.workspace import materialize
 
 #: Words are what stands between these; ``bytes.split`` and ``bytes.lower`` follow the same ASCII rules.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -41,3 +45,30 @@ def rows_of(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[list[lis
 
 def to_batch(schema: pa.Schema, columns: list[list]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(columns, schema, strict=True)], schema=schema)
+
+
+def text_slices(batches: Iterator[pa.RecordBatch], size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut into runs of rows with about ``size`` bytes of ``text``; a longer text is a run of its own."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        lengths = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        # A cut where the running size enters another multiple of ``size``, and at 20,000 rows.
+        run = (np.cumsum(lengths) - lengths) // size
+        cuts = np.flatnonzero((np.diff(run, prepend=run[:1]) != 0) | (np.arange(len(run)) % 20_000 == 0))
+        for first, last in zip(cuts, np.append(cuts[1:], len(run)), strict=True):
+            yield batch.slice(first, last - first)
+
+
+def positions(rows: DataFrame, *order: Column) -> DataFrame:
+    """``rows`` with ``position``: 0, 1, 2 ... in the given order, without one task that sees all rows.
+
+    Rows are dealt by ranges of the order and sorted inside each; a range's rows before it are a running sum with one
+    row per range. The order must tell rows apart, or rows that it does not tell apart may change places. Written once,
+    so the ranges are the same whenever the positions are read.
+    """
+    held = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    placed = materialize(held, "ordered").withColumns({"_range": F.shiftright("_at", 33), "_row": F.col("_at").bitwiseAND((1 << 33) - 1)})
+    before = F.sum("count").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
+    ranges = placed.groupBy("_range").count().select("_range", F.coalesce(before, F.lit(0)).alias("_before"))
+    return placed.join(ranges, "_range").select(*rows.columns, (F.col("_before") + F.col("_row")).alias("position"))

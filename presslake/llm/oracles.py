@@ -83,4 +83,40 @@ OP10 = f"""WITH c AS (SELECT conv_id, coalesce(turn, 4611686018427387904) AS tur
     sum(24 + length(replace({_ESCAPED.format("role")}, chr(10), '\\n')) + length({_ESCAPED.format("t")}))::BIGINT AS formatted_chars
   FROM c GROUP BY conv_id"""
 
-ORACLES = {"op1_line_dedup": OP1, "op2_source_mix": OP2, "op5_ngram_join": OP5, "op8_decontamination": OP8, "op10_chat_format": OP10}
+_HALVES = "list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]), lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)"
+_BYTES = "list_transform(range(0, length(hex(encode(w))) // 2), lambda i: ('0x' || substr(hex(encode(w)), 2 * i::INT + 1, 2))::BIGINT)"
+_CRC = f"xor(list_reduce(list_prepend(4294967295, {_BYTES}), lambda c, b: xor(c >> 8, crc_table[(xor(c, b) & 255) + 1])), 4294967295)"
+OP12 = f"""WITH d AS (SELECT row_number() OVER () AS k, doc_id, {_words(ITEM_WORD)} AS ws FROM documents), b AS (SELECT {_words(ITEM_WORD)} AS ws FROM benchmark),
+  tables AS (SELECT list_transform(range(256), lambda i: {_HALVES}) AS crc_table),
+  dw AS (SELECT k, unnest(ws) AS w FROM d), bw AS (SELECT unnest(ws) AS w FROM b),
+  hashed AS (SELECT w, {_CRC} % 10000 AS bucket FROM (SELECT w FROM dw UNION SELECT w FROM bw), tables),
+  s AS (SELECT bucket, count(*) AS n FROM dw JOIN hashed USING (w) GROUP BY 1), t AS (SELECT bucket, count(*) AS n FROM bw JOIN hashed USING (w) GROUP BY 1),
+  gains AS (SELECT bucket, floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT count(*) FROM dw) + 10000)::DOUBLE
+      / ((s.n + 1)::DOUBLE * ((SELECT count(*) FROM bw) + 10000)::DOUBLE)))::BIGINT AS gain FROM s LEFT JOIN t USING (bucket)),
+  weighed AS (SELECT k, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight FROM dw JOIN hashed USING (w) JOIN gains USING (bucket) GROUP BY k),
+  noise AS (SELECT k, doc_id, len(ws)::BIGINT AS n_features, coalesce(weight, 0) AS weight, ('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT AS h FROM d LEFT JOIN weighed USING (k)),
+  scored AS (SELECT doc_id, n_features, weight, weight + floor(-1000::DOUBLE * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM noise),
+  placed AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place FROM scored)
+  SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= (SELECT count(*) FROM scored WHERE n_features >= 20) * 10 // 100 THEN place END AS rank FROM placed"""
+
+
+def _cluster() -> str:
+    apart = "list_sum(list_transform(list_zip(k.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT"
+    steps = []
+    for n in range(4):
+        steps.append(f"near{n} AS (SELECT k.row, min(struct_pack(d := {apart}, c := c.cluster)) AS best FROM kept k, c{n} c GROUP BY k.row)")
+        steps.append(f"sums{n} AS (SELECT cluster, list(mean ORDER BY i) AS v FROM (SELECT best.c AS cluster, i, floor(sum(x)::DOUBLE / count(*))::BIGINT AS mean "
+                     f"FROM near{n} JOIN (SELECT row, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM kept) USING (row) GROUP BY ALL) GROUP BY cluster)")
+        steps.append(f"c{n + 1} AS (SELECT cluster, coalesce(s.v, c.v) AS v FROM c{n} c LEFT JOIN sums{n} s USING (cluster))")
+    return f"""WITH kept AS (SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor(64::DOUBLE * x::DOUBLE)::BIGINT) AS v FROM embeddings
+      WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+  c0 AS (SELECT (row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1)::INT AS cluster, v FROM kept QUALIFY cluster < 16),
+  {", ".join(steps[:-2])},
+  inertias AS (SELECT best.c AS cluster, sum(best.d)::BIGINT AS cluster_inertia FROM near3 GROUP BY 1)
+  SELECT vec_id, best.c AS cluster, best.d AS distance, cluster_inertia, (SELECT sum(cluster_inertia)::BIGINT FROM inertias) AS inertia, sha256(array_to_string(c3.v, ',')) AS centroid_sha256
+  FROM near3 JOIN kept USING (row) JOIN inertias ON inertias.cluster = best.c JOIN c3 ON c3.cluster = best.c"""
+
+
+OP13 = _cluster()
+
+ORACLES = {"op12_importance_resampling": OP12, "op13_centroid_clustering": OP13, "op1_line_dedup": OP1, "op2_source_mix": OP2, "op5_ngram_join": OP5, "op8_decontamination": OP8, "op10_chat_format": OP10}
