@@ -48,7 +48,10 @@ def to_batch(schema: pa.Schema, columns: list[list]) -> pa.RecordBatch:
 
 
 def text_slices(batches: Iterator[pa.RecordBatch], size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    """Arrow batches cut into runs of rows with about ``size`` bytes of ``text``; a longer text is a run of its own."""
+    """Arrow batches cut into runs of rows with about ``size`` bytes of ``text``; a longer text is a run of its own.
+
+    Runs are copies, not views: some text kernels (``ascii_lower``) give wrong bytes for an array that starts inside its buffer.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -57,7 +60,7 @@ def text_slices(batches: Iterator[pa.RecordBatch], size: int = 8 << 20) -> Itera
         run = (np.cumsum(lengths) - lengths) // size
         cuts = np.flatnonzero((np.diff(run, prepend=run[:1]) != 0) | (np.arange(len(run)) % 20_000 == 0))
         for first, last in zip(cuts, np.append(cuts[1:], len(run)), strict=True):
-            yield batch.slice(first, last - first)
+            yield batch.take(pa.array(np.arange(first, last)))
 
 
 def positions(rows: DataFrame, *order: Column) -> DataFrame:

@@ -99,6 +99,16 @@ def test_slices_keep_every_row():
     assert list(common.text_slices([pa.RecordBatch.from_arrays([texts[:0]], names=["text"])])) == []
 
 
+def test_slices_are_whole_characters():
+    texts = pa.array([f"É{k} straße 日本 😀 x{k}" for k in range(500)])
+    parts = list(common.text_slices([pa.RecordBatch.from_arrays([texts], names=["text"])], 700))
+    got = np.concatenate([resampling.features(p.column("text"), 1, 9973).bucket for p in parts])
+    assert len(parts) > 10 and (got == resampling.features(texts, 1, 9973).bucket).all()
+    tokenizer, encoder = Tokenizer.from_file(PATH), packing.ChunkIds(PATH)
+    ids = np.concatenate([encoder.encode(p.column("text"), 0)[0] for p in parts])
+    assert ids.tolist() == [t for text in texts.to_pylist() for t in [*tokenizer.encode(text, add_special_tokens=False).ids, 0]]
+
+
 # ---------------------------------------------------------------- clustering
 
 
