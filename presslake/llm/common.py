@@ -30,11 +30,21 @@ def raw(docs: DataFrame, *more: str | Column) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"), *more)
 
 
+def unused(taken: list[str], *names: str) -> list[str]:
+    """``names`` with underscores in front, as many as make them differ from all ``taken`` column names."""
+    held = {t.lower() for t in taken}
+    mark = "_"
+    while any((mark + n).lower() in held for n in names):
+        mark += "_"
+    return [mark + n for n in names]
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 1_000) -> Iterator[pa.RecordBatch]:
     """Arrow batches cut into smaller ones, so that few texts are Python objects at a time."""
     for batch in batches:
         for first in range(0, batch.num_rows, rows):
             yield batch.slice(first, rows)
+        pa.default_memory_pool().release_unused()
 
 
 def rows_of(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[list[list]]:

@@ -3,7 +3,7 @@
 Each Arrow batch of documents is a shard: its words become one sequence of numbers, and the suffixes that start like
 some benchmark window are sorted into a suffix array. Every benchmark suffix is then looked up by binary search;
 neighbouring finds are joined into the longest verbatim matches with their places. No document leaves its task.
-The benchmark is the stated query set. It is cut into blocks of bounded size, each searched in a pass of its own.
+The benchmark is the stated query set. It is cut into blocks of bounded size; several are searched one after the other.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
 from presslake.llm.common import slices
+from presslake.sources.workspace import materialize
 
 #: Words: A-Z lower-cased, then runs of ASCII letters and digits and of anything beyond ASCII.
 CLEAN = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -27,7 +28,6 @@ BLOCK_BYTES = 32 << 20
 SHARD_WORDS = 2_000_000
 
 MATCH = "struct<item_id:string,item_start:long,start:long,length:long>"
-FOUND = f"n_words long, n_hit long, matches array<{MATCH}>"
 
 
 def words(data: bytes | None) -> list[bytes]:
@@ -130,8 +130,8 @@ def _shards(texts: list[bytes | None]) -> Iterator[tuple[int, list[list[bytes]]]
         yield first, part
 
 
-def search(texts: list[bytes | None], block: Block) -> tuple[list[int], list[np.ndarray], list[list[dict]]]:
-    """For each text: its number of words, the positions inside matches, and the longest matches."""
+def search(texts: list[bytes | None], block: Block, places: bool = True) -> tuple[list[int], list[np.ndarray], list[list[dict]]]:
+    """For each text: its number of words, the positions inside matches, and, with ``places``, the longest matches."""
     sizes, hits, matches = [], [], []
     get = block.vocabulary.get
     for _, shard in _shards(texts):
@@ -146,7 +146,7 @@ def search(texts: list[bytes | None], block: Block) -> tuple[list[int], list[np.
         np.add.at(cover, at + block.sizes[rows], -1)
         covered = np.cumsum(cover)[:-1] > 0
         found: list[list[dict]] = [[] for _ in shard]
-        for doc, item, item_start, start, length in _longest(block, rows, at, starts):
+        for doc, item, item_start, start, length in _longest(block, rows, at, starts) if places else ():
             found[doc].append({"item_id": block.names[item], "item_start": item_start, "start": start, "length": length})
         sizes += n.tolist()
         hits += [np.flatnonzero(covered[s : s + k]) for s, k in zip(starts, n, strict=True)]
@@ -174,41 +174,63 @@ def _longest(block: Block, rows: np.ndarray, at: np.ndarray, starts: np.ndarray)
     yield from zip(docs.tolist(), item[head].tolist(), item_start[head].tolist(), (at[head] - starts[docs]).tolist(), length.tolist(), strict=True)
 
 
-def _annotate(batches: Iterator[pa.RecordBatch], block: Block, first: bool) -> Iterator[pa.RecordBatch]:
-    found = pa.list_(pa.struct([("item_id", pa.string()), ("item_start", pa.int64()), ("start", pa.int64()), ("length", pa.int64())]))
+FOUND_ARROW = pa.list_(pa.struct([("item_id", pa.string()), ("item_start", pa.int64()), ("start", pa.int64()), ("length", pa.int64())]))
+
+
+def _found(batches: Iterator[pa.RecordBatch], block: Block, only_hit: bool) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, 2_000):
         sizes, hits, matches = search(batch.column("text").cast(pa.binary()).to_pylist(), block)
-        names, columns = list(batch.schema.names), list(batch.columns)
-        if not first:  # add to what earlier blocks found
-            hits = [np.union1d(a, b) for a, b in zip(hits, batch.column("_hits").to_pylist(), strict=True)]
-            matches = [a + b for a, b in zip(batch.column("_matches").to_pylist(), matches, strict=True)]
-            names, columns = names[:-3], columns[:-3]
-        new = [pa.array(sizes, pa.int64()), pa.array([h.astype(np.int64) for h in hits], pa.list_(pa.int64())), pa.array(matches, found)]
-        yield pa.RecordBatch.from_arrays(columns + new, names=[*names, "_words", "_hits", "_matches"])
+        new = [pa.array(sizes, pa.int64()), pa.array([h.astype(np.int64) for h in hits], pa.list_(pa.int64())), pa.array(matches, FOUND_ARROW)]
+        out = pa.RecordBatch.from_arrays([batch.column(0), *new], names=[batch.schema.names[0], "n_words", "hits", "matches"])
+        yield out.filter(pa.array([len(h) > 0 for h in hits], pa.bool_())) if only_hit else out
+
+
+def _clean(batches: Iterator[pa.RecordBatch], block: Block) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, 2_000):
+        _, hits, _ = search(batch.column("text").cast(pa.binary()).to_pylist(), block, places=False)
+        yield batch.filter(pa.array([len(h) == 0 for h in hits], pa.bool_()))
+
 
+def n_blocks(benchmark: DataFrame) -> int:
+    total = benchmark.agg(F.sum(F.octet_length(F.col("text").cast("binary")))).first()[0] or 0
+    return max(1, math.ceil(total / BLOCK_BYTES))
 
-def blocks_of(benchmark: DataFrame, window: int) -> Iterator[Block]:
-    """The benchmark in blocks of about BLOCK_BYTES; items without words are left out."""
+
+def blocks_of(benchmark: DataFrame, window: int, n: int = 1) -> Iterator[Block]:
+    """The benchmark in ``n`` blocks, made one after the other; items without words are left out."""
     items = benchmark.select(
         F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), F.coalesce("text", F.lit("")).cast("binary").alias("text")
     )
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, math.ceil(total / BLOCK_BYTES))
     for part in range(n):
         rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == part).collect()
         yield Block(sorted((r["item_id"], bytes(r["text"])) for r in rows), window)
 
 
-def annotate(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
-    """All rows and columns of ``docs`` with ``_words``, ``_hits`` (word positions) and ``_matches`` added."""
-    out = docs.drop("_words", "_hits", "_matches")
-    added = StructType.fromDDL(f"_words long, _hits array<long>, _matches array<{MATCH}>")
-    schema = StructType(out.schema.fields + added.fields)
-    first = True
-    for block in blocks_of(benchmark, window):
-        out = out.mapInArrow(lambda b, block=block, first=first: _annotate(b, block, first), schema)
-        first = False
-    return out
+def occurrences(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
+    """``doc_id, n_words, hits, matches`` of every row of ``docs``; ``hits`` are word positions.
+
+    A benchmark of one block is searched in the scan of the documents. One of several is searched block by block, each in
+    a job of its own that writes only what it found, so the driver and a task hold one block at a time.
+    """
+    schema = f"n_words long, hits array<long>, matches array<{MATCH}>"
+    rows = docs.select("doc_id", "text")
+    n = n_blocks(benchmark)
+    if n == 1:
+        block = next(blocks_of(benchmark, window))
+        return rows.mapInArrow(lambda b: _found(b, block, False), StructType([rows.schema["doc_id"], *StructType.fromDDL(schema).fields]))
+    numbered = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "numbered")
+    texts = numbered.select("row", "text")
+    none = Block([], window)
+    counted = texts.mapInArrow(lambda b: _found(b, none, False), f"row long, {schema}").select("row", "n_words")
+    parts = None
+    for block in blocks_of(benchmark, window, n):
+        part = materialize(texts.mapInArrow(lambda b, block=block: _found(b, block, True), f"row long, {schema}"), "found")
+        parts = part if parts is None else parts.unionByName(part)
+    joined = lambda c: F.flatten(F.collect_list(c))
+    per_row = parts.groupBy("row").agg(F.array_sort(F.array_distinct(joined("hits"))).alias("hits"), joined("matches").alias("matches"))
+    out = numbered.select("row", "doc_id").join(counted, "row").join(per_row, "row", "left")
+    nothing = lambda c, kind: F.coalesce(c, F.array().cast(kind)).alias(c)
+    return out.select("doc_id", "n_words", nothing("hits", "array<long>"), nothing("matches", f"array<{MATCH}>"))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
@@ -219,19 +241,26 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> Da
     an occurrence (a null id counts as the empty text), sorted as strings; ``matches`` the longest verbatim matches.
     A null or empty text has no words; rows that share a ``doc_id`` stay separate; other columns are ignored.
     """
-    found = annotate(docs.select("doc_id", "text"), benchmark, window)
-    items = F.array_sort(F.array_distinct(F.col("_matches.item_id")))
+    found = occurrences(docs, benchmark, window)
+    items = F.array_sort(F.array_distinct(F.col("matches.item_id")))
     return found.select(
         "doc_id",
-        F.col("_words").alias("n_words"),
-        F.size("_hits").cast("long").alias("n_hit"),
+        "n_words",
+        F.size("hits").cast("long").alias("n_hit"),
         F.size(items).cast("long").alias("n_items"),
         items.alias("items"),
-        F.col("_matches").alias("matches"),
-        (F.size("_hits") > 0).alias("contaminated"),
+        "matches",
+        (F.size("hits") > 0).alias("contaminated"),
     )
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
-    """The rows of ``docs``, with all their columns, in which no word is hit."""
-    return annotate(docs, benchmark, window).filter(F.size("_hits") == 0).select(*docs.columns)
+    """The rows of ``docs``, with all their columns, in which no word is hit.
+
+    Hit rows go in the worker, and nothing is added to the others. What one block leaves is written before the next.
+    """
+    n = n_blocks(benchmark)
+    for number, block in enumerate(blocks_of(benchmark, window, n), 1):
+        docs = docs.mapInArrow(lambda b, block=block: _clean(b, block), docs.schema)
+        docs = materialize(docs, "clean") if number < n else docs
+    return docs

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, BooleanType, StringType, StructField, StructType
 
-from presslake.llm.common import remainder, slices
+from presslake.llm.common import remainder, rows_of, slices
 
 BUCKETS = 4096
 #: A text is ambiguous when the best language has less than this share of the decoded weight.
@@ -111,9 +111,9 @@ def fit(x: np.ndarray, labels: np.ndarray, languages: list[str], steps: int = 20
 
 
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for part in rows_of(batches, "lang", "order", "text"):
         rows = []
-        for lang, order, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "order", "text")), strict=True):
+        for lang, order, text in zip(*part, strict=True):
             if (counts := ngram_counts(text)) is not None:
                 rows.append({"lang": lang, "order": order, "x": features(counts).tobytes()})
         if rows:
@@ -146,26 +146,29 @@ def train(docs: DataFrame, folds: int = 5, sample: int = 2_000) -> Model:
     return fit(np.stack([x for k in languages for x in kept[k]]), labels, languages)
 
 
+def predictions(texts: list[str | None], model: Model) -> tuple[list[str], np.ndarray, list[bool]]:
+    """Language, score and whether it is ambiguous, of each text."""
+    names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
+    for first in range(0, len(texts) if model.languages else 0, 512):
+        part = [(n, c) for n, t in enumerate(texts[first : first + 512], first) if t and (c := ngram_counts(t)) is not None]
+        if part:
+            best, score = model.decode(np.stack([features(c) for _, c in part]))
+            for (n, _), k, s in zip(part, best, score, strict=True):
+                names[n], scores[n] = model.languages[k], s
+    return names, scores, [bool(name == UNKNOWN or score < AMBIGUOUS) for name, score in zip(names, scores, strict=True)]
+
+
 def _predict(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
-        texts = batch.column("text").to_pylist()
-        names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
-        for first in range(0, len(texts) if model.languages else 0, 512):
-            part = [(n, c) for n, t in enumerate(texts[first : first + 512], first) if t and (c := ngram_counts(t)) is not None]
-            if part:
-                best, score = model.decode(np.stack([features(c) for _, c in part]))
-                for (n, _), k, s in zip(part, best, score, strict=True):
-                    names[n], scores[n] = model.languages[k], s
-        unsure = [name == UNKNOWN or score < AMBIGUOUS for name, score in zip(names, scores, strict=True)]
+        names, scores, unsure = predictions(batch.column("text").to_pylist(), model)
         new = [pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(unsure, pa.bool_())]
-        yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=[*batch.schema.names, "_lang_pred", "_score", "_ambiguous"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *new], names=["doc_id", "lang_pred", "score", "ambiguous"])
 
 
-def annotate(docs: DataFrame, model: Model) -> DataFrame:
-    """All rows and columns of ``docs`` with ``_lang_pred``, ``_score`` and ``_ambiguous`` added."""
-    kept = docs.drop("_lang_pred", "_score", "_ambiguous")
-    added = [StructField("_lang_pred", StringType()), StructField("_score", DoubleType()), StructField("_ambiguous", BooleanType())]
-    return kept.mapInArrow(lambda batches: _predict(batches, model), StructType(kept.schema.fields + added))
+def _clear(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches):
+        _, _, unsure = predictions(batch.column("text").to_pylist(), model)
+        yield batch.filter(pa.array([not u for u in unsure], pa.bool_()))
 
 
 def identify(docs: DataFrame, model: Model, folds: int = 5) -> DataFrame:
@@ -174,12 +177,12 @@ def identify(docs: DataFrame, model: Model, folds: int = 5) -> DataFrame:
     ``lang_pred`` is a learned language, or ``und`` with score 0 for a null text, one without a letter, or when
     nothing was learned. Nothing but the text is an input. Rows that share a ``doc_id`` stay separate.
     """
-    found = annotate(docs.select("doc_id", "text"), model)
-    return found.select(
-        "doc_id", (remainder(F.col("doc_id"), folds) == 0).alias("held_out"), F.col("_lang_pred").alias("lang_pred"), F.col("_score").alias("score"), F.col("_ambiguous").alias("ambiguous")
-    )
+    rows = docs.select("doc_id", "text")
+    added = [StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("ambiguous", BooleanType())]
+    found = rows.mapInArrow(lambda batches: _predict(batches, model), StructType([rows.schema["doc_id"], *added]))
+    return found.select("doc_id", (remainder(F.col("doc_id"), folds) == 0).alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
 def keep_identified(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of ``docs``, with all their columns, whose language is clear."""
-    return annotate(docs, model).filter(~F.col("_ambiguous")).select(*docs.columns)
+    """The rows of ``docs``, with all their columns, whose language is clear; the others go in the worker, nothing is added."""
+    return docs.mapInArrow(lambda batches: _clear(batches, model), docs.schema)

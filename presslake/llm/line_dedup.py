@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from presslake.llm.common import unused
 from presslake.sources.workspace import materialize
 
 #: Edits that make two lines near, and the code points from which on lines are compared; shorter ones only when equal.
@@ -201,8 +202,9 @@ def line_report(docs: DataFrame, k: int = EDITS, least: int = LEAST) -> DataFram
 
 def dedup_lines(docs: DataFrame, k: int = EDITS, least: int = LEAST) -> DataFrame:
     """``docs`` with all their columns and only the kept lines, and blank lines, in ``text``; a null text stays null."""
-    places = line_places(docs, k, least).filter("NOT near").groupBy("doc_id").agg(F.collect_list("line_no").alias("_kept")).withColumnRenamed("doc_id", "_doc_id")
-    met = docs.join(places, docs["doc_id"].cast("long").eqNullSafe(F.col("_doc_id")), "left")
-    stays = lambda line, i: F.coalesce(F.array_contains("_kept", i), F.lit(False)) | (F.trim(line, F.lit(BLANKS)) == "")
+    kept, own = unused(docs.columns, "kept", "own")
+    places = line_places(docs, k, least).filter("NOT near").groupBy(F.col("doc_id").alias(own)).agg(F.collect_list("line_no").alias(kept))
+    met = docs.join(places, docs["doc_id"].cast("long").eqNullSafe(F.col(own)), "left")
+    stays = lambda line, i: F.coalesce(F.array_contains(kept, i), F.lit(False)) | (F.trim(line, F.lit(BLANKS)) == "")
     text = F.array_join(F.filter(F.split("text", "\n"), stays), "\n")
     return met.withColumn("text", text).select(*docs.columns)

@@ -15,6 +15,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from presslake.llm.common import unused
 from presslake.sources.workspace import materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -243,6 +244,7 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     _, _, taken = mix(docs, **settings)
     columns = [F.col(f"x.`{c}`") for c in docs.columns]
     met = docs.alias("x").join(taken.select("doc_id", "source", "shard", "position").alias("t"), _same_document("x", "t"))
-    placed = met.select(*columns, F.col("t.shard").alias("_shard"), F.col("t.position").alias("_position"))
+    shard, position = unused(docs.columns, "shard", "position")
+    placed = met.select(*columns, F.col("t.shard").alias(shard), F.col("t.position").alias(position))
     # Ranges, so that a shard stays together and large ones still are several tasks.
-    return placed.repartitionByRange("_shard", "_position").sortWithinPartitions("_shard", "_position").drop("_shard", "_position")
+    return placed.repartitionByRange(shard, position).sortWithinPartitions(shard, position).drop(shard, position)

@@ -28,7 +28,7 @@ from presslake.llm.components import components
 from presslake.sources.workspace import materialize
 
 #: N-grams in a fragment of the first pass, and those cut at once: bounds on what a task holds.
-FRAGMENT, TOGETHER = 1_000_000, 250_000
+FRAGMENT, TOGETHER = 500_000, 150_000
 #: Fragments of the second pass: the three upper bits of a hash.
 SLICES = 8
 #: Fragments that a set's shared n-grams are counted in, for a bound on overlaps; a power of two.
@@ -151,7 +151,9 @@ def _shared(table: pa.Table, buckets: int) -> pa.Table:
         rows.append(
             {"bucket": int(k), "keys": keys[who].tobytes(), "sizes": sizes[who].tobytes(), "counts": n.astype(np.int32).tobytes(), "hashes": hashes[a:b].tobytes(), "frequencies": frequency[a:b].astype(np.int32).tobytes()}
         )
-    return pa.Table.from_pylist(rows, SHARED)
+    out = pa.Table.from_pylist(rows, SHARED)
+    pa.default_memory_pool().release_unused()
+    return out
 
 
 MEMBERS = pa.schema([("key", pa.int64()), ("n", pa.int64()), ("shared", pa.int64()), ("prefix", pa.int32()), ("hashes", pa.list_(pa.int64())), ("counts", pa.list_(pa.int32()))])

@@ -31,12 +31,9 @@ def _number(*parts: str) -> str:
 
 def _mix() -> str:
     """The mix without its shards: which documents are taken does not depend on how the tree splits them."""
-    fills = []
-    for k in range(4):
-        rest = f"SELECT *, lim - sum(CASE WHEN taken THEN size ELSE 0 END) OVER b AS rest FROM fill{k} WINDOW b AS (PARTITION BY source, bucket, round)"
-        best = f"SELECT *, max(CASE WHEN NOT taken AND size > 0 AND size <= rest THEN struct_pack(size, position, doc_id) END) OVER (PARTITION BY source, bucket, round) AS best FROM ({rest})"
-        fills.append(f"fill{k + 1} AS (SELECT doc_id, source, size, bucket, round, lim, position, taken OR coalesce(struct_pack(size, position, doc_id) = best, false) AS taken FROM ({best}))")
-    return f"""WITH sizes AS (SELECT doc_id, source, sum(len({_words(WORD, False)}))::BIGINT AS size FROM documents GROUP BY ALL),
+    same = "IS NOT DISTINCT FROM"
+    order, position = _number("'mix'", "'order'", "round", "source", "bucket"), _number("'mix'", "'position'", "round", "doc_id")
+    return f"""WITH RECURSIVE sizes AS (SELECT doc_id, source, sum(len({_words(WORD, False)}))::BIGINT AS size FROM documents GROUP BY ALL),
   sources AS (SELECT source, sum(size)::BIGINT AS source_size, count(*) AS n, (CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END)::DOUBLE AS weight, 2.0::DOUBLE * sum(size)::DOUBLE AS cap FROM sizes GROUP BY source),
   levels AS (SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
       / sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM sources),
@@ -49,9 +46,13 @@ def _mix() -> str:
   running AS (SELECT *, coalesce(sum(words) OVER (PARTITION BY source ORDER BY round, {_number("'mix'", "'order'", "round", "source", "bucket")}, bucket ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM rounds),
   drawn AS (SELECT r.*, CASE WHEN before + words > target THEN target - before END AS lim FROM running r JOIN goals g ON r.source IS NOT DISTINCT FROM g.source WHERE before < target),
   met AS (SELECT k.doc_id, k.source, k.size, k.bucket, d.round, d.lim, {_number("'mix'", "'position'", "d.round", "k.doc_id")} AS position FROM keyed k JOIN drawn d ON k.source IS NOT DISTINCT FROM d.source AND k.bucket = d.bucket),
-  fill0 AS (SELECT *, sum(size) OVER (PARTITION BY source, bucket, round ORDER BY position, doc_id ROWS UNBOUNDED PRECEDING) <= lim AS taken FROM met WHERE lim IS NOT NULL),
-  {", ".join(fills)},
-  copies AS (SELECT doc_id, source, count(*) AS copies FROM (SELECT doc_id, source FROM met WHERE lim IS NULL UNION ALL SELECT doc_id, source FROM fill4 WHERE taken) GROUP BY ALL)
+  last AS (SELECT source, bucket, round, lim FROM drawn WHERE lim IS NOT NULL),
+  behind AS (SELECT k.*, r.round FROM keyed k, (VALUES (0), (1)) r(round) WHERE NOT EXISTS (SELECT 1 FROM drawn d WHERE lim IS NULL AND d.source {same} k.source AND d.bucket = k.bucket AND d.round = r.round)),
+  queue AS (SELECT b.doc_id, b.source, b.size, row_number() OVER (PARTITION BY b.source ORDER BY b.round, b.rank, b.bucket, b.position, b.doc_id) AS k
+    FROM (SELECT *, {order} AS rank, {position} AS position FROM behind) b JOIN last l ON l.source {same} b.source WHERE b.size > 0 OR (b.bucket = l.bucket AND b.round = l.round)),
+  walk AS (SELECT source, 0::BIGINT AS k, NULL::BIGINT AS doc_id, lim::DOUBLE AS rest, false AS taken FROM last UNION ALL
+    SELECT w.source, q.k, q.doc_id, CASE WHEN q.size <= w.rest THEN w.rest - q.size ELSE w.rest END, q.size <= w.rest FROM walk w JOIN queue q ON q.source {same} w.source AND q.k = w.k + 1),
+  copies AS (SELECT doc_id, source, count(*) AS copies FROM (SELECT doc_id, source FROM met WHERE lim IS NULL UNION ALL SELECT doc_id, source FROM walk WHERE taken) GROUP BY ALL)
   SELECT s.doc_id, s.size, g.source_size, g.target, (coalesce(copies, 0) * s.size)::BIGINT AS taken FROM sizes s JOIN goals g ON s.source IS NOT DISTINCT FROM g.source
     LEFT JOIN copies c ON s.doc_id IS NOT DISTINCT FROM c.doc_id AND s.source IS NOT DISTINCT FROM c.source"""
 

@@ -188,3 +188,12 @@ def test_components_of_chains_and_stars(spark):
     got = {r.id: r.component for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {k: 1 for k in range(1, 41)} | {k: 100 for k in range(100, 130)} | {200: 200, 201: 200}
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_line_dedup_keeps_clashing_columns(make):
+    from presslake.llm import line_dedup
+
+    docs = make([(k, f"line {k % 2}\nown line number {k} of this text") for k in range(6)]).selectExpr("*", "doc_id AS _kept", "doc_id AS _own", "doc_id AS _doc_id")
+    out = line_dedup.dedup_lines(docs)
+    assert out.columns == docs.columns
+    assert all(r._kept == r._own == r._doc_id == r.doc_id for r in out.collect())

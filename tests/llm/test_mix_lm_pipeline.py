@@ -112,6 +112,13 @@ def test_mix_of_awkward_rows(make):
     assert mixing.mix_report(make([])).count() == 0
     assert mixing.mix_report(make([(1, None), (2, "")])).count() == 2
     assert mixing.mixed_documents(docs).columns == docs.columns
+    assert mixing.mixed_documents(make([])).collect() == []
+
+
+def test_mixed_rows_keep_clashing_columns(make):
+    docs = make([(k, "w " * (k % 5), None, ["a", "b", None][k % 3]) for k in range(90)]).selectExpr("*", "doc_id * 2 AS _shard", "doc_id AS _position", "doc_id AS shard")
+    rows = mixing.mixed_documents(docs).collect()
+    assert rows and all(r._shard == 2 * r.doc_id and r._position == r["shard"] == r.doc_id for r in rows)
 
 
 def test_mix_has_no_python(spark, sf_dir):
@@ -202,27 +209,72 @@ def test_every_training_row_is_fitted_however_many_there_are(make, monkeypatch):
 # ---------------------------------------------------------------- pipeline
 
 
-def test_pipeline_matches_its_stages(spark, sf_dir, docs, texts):
-    got = sorted((r.start, r.doc_id, r.n_tokens) for r in corpus_pipeline.run(spark, sf_dir).collect())
-    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    ids = [d for _, d, _ in got]
-    assert ids == sorted(ids) and max(Counter(ids).values()) <= 2
-    start = 0
-    for at, doc_id, n in got:
-        assert at == start and n == len(tokenizer.encode(texts[doc_id].text or "", add_special_tokens=False).ids) + 1
-        start += n
-    # Whatever is left was neither rejected, nor a copy, nor leaked.
-    model = language_id.train(docs)
-    unclear = {r.doc_id for r in language_id.identify(docs, model).filter("ambiguous").collect()}
-    leaked = {r.doc_id for r in catalog.op8_decontamination(spark, sf_dir).filter("contaminated").collect()}
-    assert not set(ids) & (unclear | leaked)
-    kept = docs
+def plain_kept(texts, model, benchmark):
+    """What the three filtering stages leave, by all pairs and by windows in a set."""
+    words = {k: (r.text or "").translate(LOWER).split() for k, r in texts.items()}
+    clear = [k for k in sorted(texts) if not language_id.predictions([texts[k].text], model)[2][0]]
+    grams = {k: {" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if (w := words[k]) else set() for k in clear}
+    first = {k: k for k in clear}
+
+    def root(k):
+        while first[k] != k:
+            k = first[k]
+        return k
+
+    for a in clear:
+        for b in clear:
+            if a < b and grams[a] and grams[b] and 100 * len(grams[a] & grams[b]) >= 80 * len(grams[a] | grams[b]):
+                low, high = sorted((root(a), root(b)))
+                first[high] = low
+    item_word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    split = lambda t: item_word.findall((t or "").translate(LOWER))
+    windows = {tuple(w[i : i + 10]) for w in map(split, benchmark) if w for i in range(max(1, len(w) - 9))}
+    sizes = {len(w) for w in windows}
+    leaks = lambda w: any(tuple(w[i : i + n]) in windows for n in sizes for i in range(len(w) - n + 1))
+    return [k for k in clear if root(k) == k and not leaks(split(texts[k].text))]
+
+
+def test_pipeline_equals_a_plain_version(spark, sf_dir, docs, texts):
+    kept, model = docs, language_id.train(docs)
     for _, stage in corpus_pipeline.STAGES[:3]:
         kept = stage(spark, kept, sf_dir)
         assert kept.columns == docs.columns
-    clear = docs.filter(~F.col("doc_id").isin(list(unclear)))
-    from presslake.llm import ngram_join
+    benchmark = [r.text for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    expected = plain_kept(texts, model, benchmark)
+    assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == expected
+    # The mix takes those alone, each source near its target; the files hold them in order, token for token.
+    sizes = Counter()
+    for k in expected:
+        sizes[texts[k].source] += len(WORD.findall(texts[k].text or ""))
+    got = sorted((r.start, r.doc_id, r.n_tokens, r.ids_crc32) for r in corpus_pipeline.run(spark, sf_dir).collect())
+    ids = [r[1] for r in got]
+    assert ids == sorted(ids) and max(Counter(ids).values()) <= 2 and set(ids) <= set(expected)
+    taken = Counter()
+    for k in ids:
+        taken[texts[k].source] += len(WORD.findall(texts[k].text or ""))
+    for source, target in plain_targets(sizes).items():
+        left_out = [n for k in expected if texts[k].source == source and Counter(ids)[k] < 2 and (n := len(WORD.findall(texts[k].text or "")))]
+        assert taken[source] <= target and all(taken[source] + n > target for n in left_out)
+    tokenizer, start = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")), 0
+    for at, doc_id, n, crc in got:
+        own = [*tokenizer.encode(texts[doc_id].text or "", add_special_tokens=False).ids, 1]
+        assert (at, n, crc) == (start, len(own), zlib.crc32(np.array(own, "<u4").tobytes()))
+        start += n
+
 
-    groups = {r.doc_id: r.component_id for r in ngram_join.similar_documents(clear).collect()}
-    assert {r.doc_id for r in kept.select("doc_id").collect()} == {k for k, c in groups.items() if k == c} - leaked
-    assert set(ids) <= {r.doc_id for r in kept.select("doc_id").collect()}
+def test_pipeline_of_awkward_rows_and_of_none(spark, make, sf_dir, tmp_path):
+    prose = "the wind was cold and the people of the village went home before the rain came over the hills"
+    rows = [(k, f"{prose} number {k} " * 3, "en", ["a", "b", None][k % 3]) for k in range(60)]
+    rows += [(100, None, "en", "a"), (101, "", None, "b"), (102, "1 2 3", "en", "a"), (103, prose * 2000, None, None), (None, prose, "en", "a"), (7, rows[7][1], "en", "b")]
+    for number, part in enumerate((rows, [])):
+        folder = f"{tmp_path}/{number}"
+        extra = make(part).selectExpr("*", "doc_id AS _score", "doc_id AS _hits", "doc_id AS _shard", "doc_id AS _gone", "doc_id AS component")
+        extra.write.parquet(f"{folder}/documents.parquet")
+        spark.read.parquet(f"{sf_dir}/benchmark.parquet").write.parquet(f"{folder}/benchmark.parquet")
+        kept = spark.read.parquet(f"{folder}/documents.parquet")
+        for _, stage in corpus_pipeline.STAGES[:4]:
+            kept = stage(spark, kept, folder)
+            assert kept.columns == extra.columns
+            assert all(r.doc_id == r._score == r._hits == r._shard == r._gone == r.component for r in kept.collect())
+        found = corpus_pipeline.run(spark, folder).collect()
+        assert bool(found) == bool(part) and all(r.n_tokens > 1 for r in found)

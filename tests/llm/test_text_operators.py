@@ -212,3 +212,18 @@ def test_longest_matches_and_removal(spark, make):
     none = spark.createDataFrame([], "item_id string, text string")
     assert decontamination.remove_contaminated(docs, none).count() == 5
     assert decontamination.contamination(make([]), bench).count() == 0
+
+
+def test_blocks_are_searched_one_after_the_other(spark, make, monkeypatch):
+    """Several blocks: what one leaves is written before the next, so no plan holds two of them."""
+    items = [f"word{k} " * 3 + " ".join(f"w{k}x{j}" for j in range(12)) for k in range(9)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    docs = make([(k, f"before {items[k % 9]} after" if k % 3 else "clean text here " * 5) for k in range(30)] + [(99, "w " * 100_000), (99, "w " * 100_000)])
+    one = sorted(map(repr, decontamination.contamination(docs, bench).drop("matches").collect()))
+    left = sorted(map(repr, decontamination.remove_contaminated(docs, bench).collect()))
+    monkeypatch.setattr(decontamination, "BLOCK_BYTES", 300)
+    assert decontamination.n_blocks(bench) > 3
+    many = decontamination.contamination(docs, bench).drop("matches")
+    kept = decontamination.remove_contaminated(docs, bench)
+    assert sorted(map(repr, many.collect())) == one and sorted(map(repr, kept.collect())) == left
+    assert kept._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
