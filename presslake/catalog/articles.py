@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 from presslake.catalog.inputs import ARTICLES, SQL_RANK, articles, sql_grade, sql_words
 from presslake.catalog.registry import query, table
 from presslake.functions import text as T
+from presslake.functions.blocks import text_ratio
+from presslake.functions.html import page_title
 from presslake.operators import articles as A, audit, dedup, stats
+from presslake.sources.workspace import materialize
 
 
 @query(f"SELECT doc_id, {sql_grade('text')} AS grade FROM documents")
@@ -211,3 +214,19 @@ def title_similarity(spark, sf_dir):
     lines = F.split("text", "\n")
     line = lambda i: F.lower(F.coalesce(F.get(lines, F.lit(i)), F.lit("")))
     return table(spark, sf_dir, "documents").select("doc_id", F.round(audit.similarity(line(0), line(1)), 6).alias("similarity"))
+
+
+@query()
+def similar_titles_blocks(spark, sf_dir):
+    """Near-equal titles of pages by matching blocks; no SQL form."""
+    # Written once, so that the markup is searched once.
+    titles = materialize(table(spark, sf_dir, "pages").select(F.col("page_id").alias("ord"), page_title(F.col("html")).alias("title")), "page-titles")
+    return audit.similar_titles(titles, metric="blocks").select("id_a", "id_b", "n_a", "n_b", F.round("similarity", 9).alias("similarity"))
+
+
+@query()
+def title_ratio(spark, sf_dir):
+    """Matching-blocks ratio of the first two lines of each document; no SQL form."""
+    lines = F.split("text", "\n")
+    line = lambda i: F.lower(F.get(lines, F.lit(i)))
+    return table(spark, sf_dir, "documents").select("doc_id", F.round(text_ratio(line(0), line(1)), 9).alias("similarity"))

@@ -43,7 +43,7 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select(
         F.concat(F.lit("ev-"), (i % 4).cast("string")).alias("disaster_id"),
         i.alias("ord"),
-        F.substring(F.substring_index(text, "\n", 1), 1, 80).alias("title"),
+        F.substring_index(text, "\n", 1).alias("title"),
         F.concat(F.lit("https://"), path).alias("final_url"),
         F.when(i % 50 == 0, "").otherwise(F.concat(F.lit("https://"), path)).alias("normalized_url"),
         text.alias("article_text"),
@@ -64,7 +64,7 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ARTICLES = f"""articles AS (
-  SELECT 'ev-' || (doc_id % 4) AS disaster_id, doc_id AS ord, substring(split_part(text, chr(10), 1), 1, 80) AS title,
+  SELECT 'ev-' || (doc_id % 4) AS disaster_id, doc_id AS ord, split_part(text, chr(10), 1) AS title,
     'https://news.example.com/' || CASE WHEN doc_id % 3 = 0 THEN 'front' ELSE (doc_id // 8 * 4 + doc_id % 4)::VARCHAR END AS final_url,
     CASE WHEN doc_id % 50 = 0 THEN '' ELSE 'https://news.example.com/' || CASE WHEN doc_id % 3 = 0 THEN 'front' ELSE (doc_id // 8 * 4 + doc_id % 4)::VARCHAR END END AS normalized_url,
     text AS article_text, lang AS article_language, {sql_grade('text')} AS extraction_quality,

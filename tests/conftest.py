@@ -31,8 +31,3 @@ def spark():
 @pytest.fixture(scope="session")
 def sf_dir():
     return SF_DIR
-
-
-def one(spark, column):
-    """Value of a column expression without input."""
-    return spark.range(1).select(column.alias("c")).first()[0]

@@ -1,11 +1,15 @@
 """Similarity joins against brute force."""
 
+import functools
 import random
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from presslake.catalog import QUERIES
+from presslake.functions import blocks as B
+from presslake.functions.html import page_title
 from presslake.operators import audit as A
 
 
@@ -119,3 +123,85 @@ def test_prefix_join_is_no_all_pairs_work(spark, sf_dir):
 def test_plan_has_no_python(spark):
     table = spark.createDataFrame([(0, "a title")], "ord long, title string")
     assert "Python" not in A.similar_titles(table)._jdf.queryExecution().toString()
+
+
+# ---------------------------------------------------------------- matching blocks
+
+
+def plain_matched(a, b, places):
+    """Longest common block first, then both sides; by trying all starts."""
+    best = (0, 0, 0)
+    for i in range(len(a)):
+        for j in range(len(b)):
+            n = 0
+            while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n] and b[j + n] in places:
+                n += 1
+            if n > best[2]:
+                best = (i, j, n)
+    i, j, n = best
+    while i > 0 and j > 0 and a[i - 1] == b[j - 1]:
+        i, j, n = i - 1, j - 1, n + 1
+    while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n]:
+        n += 1
+    return n + plain_matched(a[:i], b[:j], places) + plain_matched(a[i + n :], b[j + n :], places) if n else 0
+
+
+def plain_ratio(a, b):
+    places = {c for c in b if len(b) < 200 or b.count(c) <= len(b) // 100 + 1}
+    return 2 * plain_matched(a, b, places) / (len(a) + len(b)) if a or b else 1.0
+
+
+def test_matching_ratio_equals_the_plain_one(monkeypatch):
+    plain = functools.cache(plain_ratio)
+    rng = random.Random(3)
+    texts = variants(11, 60) + ["", "tide", "diet", "abab", "baba"]
+    pairs = [(rng.choice(texts), rng.choice(texts)) for _ in range(600)] + [("tide", "diet"), ("diet", "tide"), ("", ""), ("", "a")]
+    for size, alphabet in ((230, "abcdefghij klmnop"), (210, "ab"), (199, "abc"), (200, "abc"), (420, "".join(map(chr, range(33, 230))))):
+        text = "".join(rng.choice(alphabet) for _ in range(size))
+        other = text[: size // 3] + "#" + text[size // 2 :] + "qz"
+        pairs += [(text, other), (other, text), (other[::-1], text)]
+    for many in (B.MANY, 0, 300):  # by bits, by the automaton, by both
+        monkeypatch.setattr(B, "MANY", many)
+        for a, b in pairs:
+            assert B.matching_ratio(a, b) == pytest.approx(plain(a, b)), (a, b)
+    for a, b in pairs:
+        assert 2 * B.common_letters(a, b) >= B.matching_ratio(a, b) * (len(a) + len(b)) - 1e-9 or not a + b
+    assert B.matching_ratio("tide", "diet") != B.matching_ratio("diet", "tide")
+
+
+@pytest.mark.parametrize("low", [0.5, 0.8])
+def test_similar_titles_by_blocks(spark, low):
+    titles = variants(5, 500 if low == 0.8 else 150)
+    table = spark.createDataFrame([(k, t, "x") for k, t in enumerate(titles)] + [(9000, None, "x"), (9001, "", "x")], "ord long, title string, similarity string")
+    got = {(r.id_a, r.id_b): r.similarity for r in A.similar_titles(table, low=low, metric="blocks").collect()}
+    first = {}
+    for i, t in enumerate(titles):
+        first.setdefault(t.lower(), i)
+    distinct = sorted(first.items(), key=lambda x: x[1])
+    expected = {}
+    for x, (a, i) in enumerate(distinct):
+        for b, j in distinct[x + 1 :]:
+            if 2 * min(len(a), len(b)) >= low * (len(a) + len(b)) and (found := B.matching_ratio(a, b)) >= low:
+                expected[(i, j)] = found
+    assert got == pytest.approx(expected) and len(expected) > 30
+
+
+def test_blocks_meet_no_all_pairs(spark, sf_dir):
+    found = QUERIES["similar_titles_blocks"](spark, sf_dir)
+    plan = found._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", page_title(F.col("html")).alias("t")).filter("t <> ''").collect()
+    first = {}
+    for r in sorted(pages, key=lambda r: r.page_id):
+        first.setdefault(r.t.lower(), r.page_id)
+    distinct = sorted(first.items(), key=lambda x: x[1])
+    expected = {(i, j) for x, (a, i) in enumerate(distinct) for b, j in distinct[x + 1 :] if B.ratio_of_least(a, b, 0.8)}
+    assert {(r.id_a, r.id_b) for r in found.collect()} == expected
+
+
+def test_a_very_long_title(spark):
+    rng = random.Random(9)
+    text = " ".join(rng.choice(["storm", "relief", "river", "Ünion", "x9"]) + str(rng.randrange(50)) for _ in range(12_000))
+    table = spark.createDataFrame([(0, text), (1, text[:-9] + "!"), (2, text[:5000])], "ord long, title string")
+    rows = A.similar_titles(table, metric="blocks").collect()
+    assert [(r.id_a, r.id_b) for r in rows] == [(0, 1)] and rows[0].similarity > 0.99

@@ -3,7 +3,7 @@
 import datetime as dt
 
 import pytest
-from conftest import one
+from helpers import one
 from pyspark.sql import functions as F
 
 from presslake.functions import dates as D, html as H, language as L, regions as R, text as T
