@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from presslake.catalog.articles import BEST
 from presslake.catalog.health import BLOCKS
 from presslake.catalog.inputs import ARTICLES, CONFIGS, LINKS, LOG, articles, configs, links, request_log
 from presslake.catalog.matching import AS_OF, ENTRIES, feed_entries, planned
 from presslake.catalog.registry import query, table
+from presslake.functions.text import quality_rank
 from presslake.operators import stats
 from presslake.sources import readers, writers
 from presslake.sources.schemas import FEED, METADATA_COLUMNS
 from presslake.sources.workspace import new_path
-from presslake.streaming import collection, health
+from presslake.streaming import collection, health, upserts
 
 # ---------------------------------------------------------------- metadata
 
@@ -176,6 +178,19 @@ def incremental_collection(spark, sf_dir):
     return readers.read_metadata_days(spark, root).select("disaster_id", F.lower("link").alias("link"))
 
 
+@query(f"WITH {ARTICLES}, {BEST} SELECT disaster_id, ord, normalized_url, extraction_quality FROM best")
+def upsert_articles(spark, sf_dir):
+    """Articles over three runs of a stream, worse copies first; the table has the best copy of each address over all runs."""
+    landing, root, state = (new_path(spark, n) for n in ("feed", "best", "state"))
+    rows = articles(spark, sf_dir).select("disaster_id", "ord", "normalized_url", "extraction_quality")
+    own = F.when(F.col("normalized_url") == "", F.col("ord"))  # rows without an address are no copies of each other
+    for grade in ("low", "medium", "high"):
+        rows.filter(F.col("extraction_quality") == grade).write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(rows.schema).parquet(landing).withColumn("own", own)
+        _run(upserts.upsert(stream, root, state, ["disaster_id", "normalized_url", "own"], [quality_rank(F.col("extraction_quality")).desc(), F.col("ord")], 8))
+    return upserts.stored(spark, root, stream.schema).drop("own")
+
+
 _TS = "'%Y-%m-%d %H:%M:%S.%f'"
 
 

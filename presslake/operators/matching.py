@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from presslake.functions.dates import entry_date, within_window
-from presslake.functions.text import SPACE_CLASS, ban_key, mentions_hazard, strip, words
+from presslake.functions.text import SPACE_CLASS, ban_key, mentions_hazard, words
 from presslake.operators.articles import metadata_projection
 from presslake.operators.dedup import keep_top
 from presslake.operators.health import failure_streak
@@ -27,19 +27,12 @@ def _bare(text: Column) -> Column:
     return F.regexp_replace(F.lower(text), _AROUND, "")
 
 
-def _spaced(text: Column) -> Column:
-    """Those words, one blank before and after each."""
-    body = strip(F.regexp_replace(_bare(text), f"[{SPACE_CLASS}]+", " "))
-    return F.concat(F.lit(" "), body, F.lit(" "))
-
-
 def _alternatives(queries: DataFrame, phrase: bool, *keep: str) -> DataFrame:
-    """One row per ``OR`` alternative with its words and, for phrases, the text to find in a spaced document."""
+    """One row per ``OR`` alternative with its distinct words and, for phrases, all of them in order."""
     alts = queries.select("query_id", *keep, F.posexplode(F.split("query", " OR ")).alias("alt", "_text"))
-    phrases = _spaced(F.col("_text")) if phrase else F.lit(None).cast("string")
-    return alts.select(
-        "query_id", *keep, "alt", F.array_distinct(match_words(F.col("_text"))).alias("terms"), phrases.alias("phrase")
-    ).filter(F.size("terms") > 0)
+    words_ = match_words(F.col("_text"))
+    phrases = words_ if phrase else F.lit(None).cast("array<string>")
+    return alts.select("query_id", *keep, "alt", F.array_distinct(words_).alias("terms"), phrases.alias("phrase")).filter(F.size("terms") > 0)
 
 
 def match_queries(queries: DataFrame, corpus: DataFrame, mode: str = "all", salts: int = SALTS) -> DataFrame:
@@ -51,7 +44,8 @@ def match_queries(queries: DataFrame, corpus: DataFrame, mode: str = "all", salt
 
     Each alternative is looked up by its rarest word only, an equi-join on the word; a frequent word is
     spread over ``salts`` keys on the corpus side. The other words of a candidate are looked up among the
-    postings of query words, so texts are shuffled for phrases only.
+    postings of query words; no text is shuffled. For phrases, postings have the places of a word: a phrase is found where
+    the places of all its words, each shifted back by its number in the phrase, have one in common.
     """
     phrase = mode == "phrase"
     dated = "since" in queries.columns
@@ -59,9 +53,15 @@ def match_queries(queries: DataFrame, corpus: DataFrame, mode: str = "all", salt
     alts = _alternatives(queries, phrase, *window)
     wanted = alts.select(F.explode("terms").alias("token")).distinct()
     day = ["date"] if dated else []
-    postings = corpus.select("doc_id", *day, F.explode(F.array_distinct(match_words(F.col("text")))).alias("token"))
     # Three uses below: the corpus is split into words once, and only the words of queries are kept.
-    relevant = materialize(postings.join(wanted, "token", "left_semi"), "postings")
+    if phrase:
+        # Texts that share an id are told apart by their hash.
+        placed = corpus.select("doc_id", F.xxhash64("text").alias("copy"), *day, F.posexplode(match_words(F.col("text"))).alias("place", "token"))
+        met = placed.join(wanted, "token", "left_semi")
+        relevant = materialize(met.groupBy("doc_id", "copy", *day, "token").agg(F.collect_list("place").alias("places")), "postings")
+    else:
+        postings = corpus.select("doc_id", *day, F.explode(F.array_distinct(match_words(F.col("text")))).alias("token"))
+        relevant = materialize(postings.join(wanted, "token", "left_semi"), "postings")
     frequency = relevant.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     # An alternative with a word that occurs nowhere has no match and is dropped by the count.
     drivers = (
@@ -79,11 +79,7 @@ def match_queries(queries: DataFrame, corpus: DataFrame, mode: str = "all", salt
     if dated:
         candidates = candidates.filter(F.col("date").between(F.col("since"), F.col("until")))
     if phrase:
-        texts = corpus.select("doc_id", _spaced(F.col("text")).alias("_spaced"))
-        found = candidates.select("query_id", "doc_id", "phrase").join(texts, "doc_id").filter(
-            F.contains("_spaced", "phrase")
-        )
-        return found.select("query_id", "doc_id").distinct()
+        return _phrases(candidates.select("query_id", "alt", "doc_id", "copy", "phrase"), relevant.select("doc_id", "copy", "token", "places"))
     rest = F.array_except("terms", F.array("token"))
     pairs = candidates.select("query_id", "alt", "doc_id", rest.alias("rest"))
     single = pairs.filter(F.size("rest") == 0).select("query_id", "doc_id")
@@ -98,6 +94,20 @@ def match_queries(queries: DataFrame, corpus: DataFrame, mode: str = "all", salt
     return single.unionByName(several).distinct()
 
 
+def _phrases(candidates: DataFrame, postings: DataFrame) -> DataFrame:
+    """``query_id, doc_id`` of candidates in which the words of ``phrase`` stand next to each other.
+
+    A group has one list of places per word of the phrase, so the phrase bounds it.
+    """
+    keys = ["query_id", "alt", "doc_id", "copy"]
+    own = candidates.distinct().select(*keys, F.size("phrase").alias("n"), F.posexplode("phrase").alias("number", "token"))
+    shifted = F.transform("places", lambda p: p - F.col("number")).alias("starts")
+    met = own.join(postings.dropDuplicates(["doc_id", "copy", "token"]), ["doc_id", "copy", "token"]).select(*keys, "n", shifted)
+    lists = met.groupBy(*keys, "n").agg(F.collect_list("starts").alias("lists")).filter(F.size("lists") == F.col("n"))
+    common = F.aggregate(F.slice("lists", 2, F.size("lists")), F.get("lists", F.lit(0)), lambda acc, x: F.array_intersect(acc, x))
+    return lists.filter(F.size(common) > 0).select("query_id", "doc_id").distinct()
+
+
 def attach_query(entries: DataFrame, queries: DataFrame) -> DataFrame:
     """Entries with the columns of the query that found them."""
     return entries.join(queries, "query_id")

@@ -10,10 +10,6 @@ from presslake.operators.config import with_default_keywords, with_defaults
 from presslake.sources.schemas import ARTICLE, CONFIG, FEED, METADATA, PAGE, REGISTRY, STATISTICS, TERMS
 
 
-#: Columns of a metadata file that are looked at; a header names them.
-MOST_COLUMNS = 64
-
-
 def read_config(
     spark: SparkSession, path: str | list[str], multi_line: bool = True,
     default_keywords: dict[str, list[str]] | bool = False,
@@ -107,12 +103,21 @@ def metadata_errors(spark: SparkSession, root: str, date_range: tuple[str, str]
     return rows.filter(~F.array_contains("header", "link")).select("file", "header")
 
 
+def _widest(spark: SparkSession, root: str) -> int:
+    """How many columns the first line of any CSV file below ``root`` may name; one line per file and task is shuffled."""
+    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(root)
+    numbered = lines.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n"), "value")
+    first = numbered.filter("block = 0").groupBy("file").agg(F.min_by("value", "n").alias("value"))
+    return max(1, first.agg(F.max(F.size(F.split("value", ",")))).first()[0] or 0)
+
+
 def _metadata_rows(spark: SparkSession, root: str, date_range: tuple[str, str] | None, headers: bool = False) -> DataFrame:
     """``file, day, header, value`` of CSV rows, ``value`` a map by the names in the file's own first row.
 
     A file is read by one task, in order, as rows may span lines; its first row is therefore the one with the least number.
+    Names in a header hold no line break.
     """
-    cells = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(MOST_COLUMNS)])
+    cells = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(_widest(spark, root))])
     path = F.col("_metadata.file_path")
     day = F.coalesce(date_from_path(path), F.try_to_date(F.regexp_extract(path, r"/day=(\d{4}-\d{2}-\d{2})/", 1), "yyyy-MM-dd"))
     raw = (

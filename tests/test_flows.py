@@ -2,6 +2,8 @@
 
 import json
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -180,6 +182,51 @@ def test_matching_ignores_punctuation_around_words(spark):
     assert got("phrase") == [(0, 0), (1, 4)]
 
 
+def test_phrases_move_no_text_and_do_not_cross_texts(spark):
+    docs = [(1, "a heavy"), (1, "rain x heavy"), (2, "heavy rain heavy rain"), (3, "rain heavy"), (3, "x heavy rain"), (4, None), (2, "heavy rain heavy rain")]
+    corpus = spark.createDataFrame(docs, "doc_id long, text string")
+    queries = spark.createDataFrame([(0, "heavy rain"), (1, "rain heavy rain"), (2, "heavy heavy OR x heavy rain")], "query_id long, query string")
+    found = M.match_queries(queries, corpus, "phrase")
+    assert sorted((r["query_id"], r["doc_id"]) for r in found.collect()) == [(0, 2), (0, 3), (1, 2), (2, 3)]
+    assert not re.search(r"(?<!_)text#", found._jdf.queryExecution().optimizedPlan().toString())  # only the queries
+
+
+def test_upserts_keep_the_best_and_bear_repetition(spark, tmp_path):
+    import random
+
+    from presslake.streaming import upserts
+
+    rng = random.Random(4)
+    rows = [(rng.choice(["a", "b", None]) if k % 3 else "hot", rng.randint(0, 3), k) for k in range(400)]
+    schema = "key string, grade int, ord long"
+    order = [F.col("grade").desc(), F.col("ord")]
+    root = str(tmp_path)
+    assert upserts.stored(spark, root, spark.createDataFrame([], schema).schema).count() == 0
+    seen = []
+    for number in range(4):
+        part = rows[number::4]
+        seen += part
+        best = {}
+        for key, grade, ord_ in seen:
+            best[key] = min(best.get(key, (99, 0)), (-grade, ord_))
+        for _ in range(2):  # a batch that is repeated changes nothing
+            upserts.merge(spark.createDataFrame(part, schema), number, root, ["key"], order, 3)
+            got = upserts.stored(spark, root, spark.createDataFrame([], schema).schema).collect()
+            assert {(r["key"], r["grade"], r["ord"]) for r in got} == {(k, -g, o) for k, (g, o) in best.items()} and len(got) == len(best)
+    # Written, but not yet in a manifest: readers do not see it.
+    spark.createDataFrame([("a", 9, 1)], schema).write.parquet(f"{root}/rows/batch=9/bucket=0")
+    assert upserts.stored(spark, root, spark.createDataFrame([], schema).schema).filter("grade = 9").count() == 0
+
+
+def test_a_link_in_any_column(spark, tmp_path):
+    header = [f"c{k}" for k in range(90)]
+    header[71] = "link"
+    (tmp_path / "wide.csv").write_text(",".join(header) + "\n" + ",".join("https://a.example.com" if h == "link" else '"x, y"' for h in header) + "\n")
+    (tmp_path / "small.csv").write_text("title,link\nT,https://b.example.com\n")
+    assert sorted(r["link"] for r in readers.read_metadata(spark, str(tmp_path)).collect()) == ["https://a.example.com", "https://b.example.com"]
+    assert readers.metadata_errors(spark, str(tmp_path)).count() == 0
+
+
 def test_health_state_is_the_same_in_any_split(spark, sf_dir):
     log = request_log(spark, sf_dir)
     severe = H.is_blocking(F.col("success"), F.col("error_type")).alias("severe")
