@@ -221,7 +221,7 @@ def test_blocks_are_searched_one_after_the_other(spark, make, monkeypatch):
     docs = make([(k, f"before {items[k % 9]} after" if k % 3 else "clean text here " * 5) for k in range(30)] + [(99, "w " * 100_000), (99, "w " * 100_000)])
     one = sorted(map(repr, decontamination.contamination(docs, bench).drop("matches").collect()))
     left = sorted(map(repr, decontamination.remove_contaminated(docs, bench).collect()))
-    monkeypatch.setattr(decontamination, "BLOCK_BYTES", 300)
+    monkeypatch.setattr(decontamination, "BLOCK_BYTES", 200)
     assert decontamination.n_blocks(bench) > 3
     many = decontamination.contamination(docs, bench).drop("matches")
     kept = decontamination.remove_contaminated(docs, bench)
