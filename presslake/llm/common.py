@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,12 +40,22 @@ def unused(taken: list[str], *names: str) -> list[str]:
     return [mark + n for n in names]
 
 
+_libc = ctypes.CDLL(None)
+
+
+def release() -> None:
+    """Give freed memory back to the system: workers stay alive, idle, beside stages that need the memory themselves."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_libc, "malloc_trim"):
+        _libc.malloc_trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 1_000) -> Iterator[pa.RecordBatch]:
     """Arrow batches cut into smaller ones, so that few texts are Python objects at a time."""
     for batch in batches:
         for first in range(0, batch.num_rows, rows):
             yield batch.slice(first, rows)
-        pa.default_memory_pool().release_unused()
+        release()
 
 
 def rows_of(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[list[list]]:

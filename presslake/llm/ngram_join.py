@@ -23,7 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from presslake.llm.common import lower_words, raw, rows_of
+from presslake.llm.common import lower_words, raw, release, rows_of
 from presslake.llm.components import components
 from presslake.sources.workspace import materialize
 
@@ -99,6 +99,8 @@ def _segments(batches: Iterator[pa.RecordBatch], n: int, fragments: int) -> Iter
                     sets, keys, held = [], [], 0
     if sets:
         yield _cut(sets, keys, fragments)
+    _hash.clear()
+    release()
 
 
 def _cut(sets: list[np.ndarray], keys: list[int], fragments: int) -> pa.RecordBatch:
@@ -152,7 +154,7 @@ def _shared(table: pa.Table, buckets: int) -> pa.Table:
             {"bucket": int(k), "keys": keys[who].tobytes(), "sizes": sizes[who].tobytes(), "counts": n.astype(np.int32).tobytes(), "hashes": hashes[a:b].tobytes(), "frequencies": frequency[a:b].astype(np.int32).tobytes()}
         )
     out = pa.Table.from_pylist(rows, SHARED)
-    pa.default_memory_pool().release_unused()
+    release()
     return out
 
 
