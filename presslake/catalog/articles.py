@@ -127,16 +127,20 @@ def distribution(spark, sf_dir):
     return stats.distribution(articles(spark, sf_dir), "extraction_quality").withColumn("percentage", F.round("percentage", 6))
 
 
-@query(f"""WITH {ARTICLES} SELECT disaster_id, count(*) AS found, count(*) FILTER (length(article_text) > 200) AS with_body,
-    count(*) FILTER (extraction_quality <> 'low') AS usable, count(*) FILTER (normalized_url <> '') AS with_address FROM articles GROUP BY 1""")
-def funnel(spark, sf_dir):
-    stages = {
+def stages():
+    """Conditions of the stages that an article passes."""
+    return {
         "found": F.lit(True),
         "with_body": T.has_body(F.col("article_text")),
         "usable": F.col("extraction_quality") != "low",
         "with_address": F.col("normalized_url") != "",
     }
-    return stats.funnel(articles(spark, sf_dir), stages, "disaster_id")
+
+
+@query(f"""WITH {ARTICLES} SELECT disaster_id, count(*) AS found, count(*) FILTER (length(article_text) > 200) AS with_body,
+    count(*) FILTER (extraction_quality <> 'low') AS usable, count(*) FILTER (normalized_url <> '') AS with_address FROM articles GROUP BY 1""")
+def funnel(spark, sf_dir):
+    return stats.funnel(articles(spark, sf_dir), stages(), "disaster_id")
 
 
 @query("""WITH m AS (SELECT doc_id % 7 AS file, 'https://x.example.com/' || (doc_id % 300) AS link, doc_id, quality, toxic FROM labels),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from presslake.catalog.articles import BEST
+from presslake.catalog.articles import BEST, stages
 from presslake.catalog.health import BLOCKS
 from presslake.catalog.inputs import ARTICLES, CONFIGS, LINKS, LOG, articles, configs, links, request_log
 from presslake.catalog.matching import AS_OF, ENTRIES, feed_entries, planned
@@ -191,6 +191,20 @@ def upsert_articles(spark, sf_dir):
     return upserts.stored(spark, root, stream.schema).drop("own")
 
 
+@query(f"""WITH {ARTICLES} SELECT extraction_quality, count(*) AS found, count(*) FILTER (length(article_text) > 200) AS with_body, count(*) FILTER (extraction_quality <> 'low') AS usable,
+    count(*) FILTER (normalized_url <> '') AS with_address FROM articles GROUP BY 1""")
+def live_funnel(spark, sf_dir):
+    """Articles over three runs of a stream, one grade each: what each micro-batch counted while it was written."""
+    landing, root, state = (new_path(spark, n) for n in ("feed", "counted", "state"))
+    rows = articles(spark, sf_dir).select("ord", "article_text", "extraction_quality", "normalized_url")
+    for grade in ("low", "medium", "high"):
+        rows.filter(F.col("extraction_quality") == grade).write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(rows.schema).parquet(landing)
+        _run(collection.write_counted(stream, root, state, stages()))
+    grades = spark.read.parquet(f"{root}/rows").groupBy("batch").agg(F.max("extraction_quality").alias("extraction_quality"))
+    return collection.live_counts(spark, root, stages()).join(grades, "batch").groupBy("extraction_quality").agg(*[F.sum(n).alias(n) for n in stages()])
+
+
 _TS = "'%Y-%m-%d %H:%M:%S.%f'"
 
 

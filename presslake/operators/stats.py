@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from presslake.functions.dates import date_key
 
@@ -94,6 +94,6 @@ def funnel(df: DataFrame, stages: dict[str, Column], *scope: str) -> DataFrame:
     return df.groupBy(*scope).agg(*[F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in stages.items()])
 
 
-def observe_funnel(df: DataFrame, name: str, stages: dict[str, Column]) -> DataFrame:
+def observe_funnel(df: DataFrame, name: str | Observation, stages: dict[str, Column]) -> DataFrame:
     """The same counters as live metrics of the running query; the rows pass unchanged."""
     return df.observe(name, *[F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in stages.items()])

@@ -8,6 +8,8 @@ before it and ends where it ended the first time. No row is too late: an old one
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter
@@ -38,26 +40,35 @@ def stored(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
     return _read(spark, root, schema, _manifest(spark, root))
 
 
-def merge(batch: DataFrame, number: int, root: str, keys: list[str], order: list[Column], buckets: int = 64) -> None:
-    """Put one batch into the table below ``root``: of each key (nulls are equal) the first row by ``order`` stays.
+def rewrite(rows: DataFrame, number: int, root: str, keys: list[str], combine: Callable[[DataFrame, DataFrame], DataFrame], buckets: int = 64, schema: str | None = None) -> None:
+    """Put a batch's ``rows`` into the table below ``root``: each touched bucket becomes ``combine(its rows, the batch's)``.
 
-    ``order`` must tell a key's rows apart for a repeatable result. A row that is already in the table competes with the
-    batch's rows by the same order. The driver gets one row per touched bucket.
+    ``schema`` is the table's, where the batch's rows have another. The driver gets one row per touched bucket. ``rows``
+    is read twice: persist it, or make it cheap.
     """
-    spark, schema = batch.sparkSession, batch.schema
+    spark, kept_as = rows.sparkSession, T.StructType.fromDDL(schema) if schema else rows.schema
     bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-    # Only the best of a key leaves a task, so a key with most of the rows costs a row per task.
-    best = keep_top(batch, [F.col(k) for k in keys], order, 1)
-    touched = {r["bucket"] for r in batch.select(bucket.alias("bucket")).distinct().collect()}
+    touched = {r["bucket"] for r in rows.select(bucket.alias("bucket")).distinct().collect()}
     places = _manifest(spark, root, number)
-    old = _read(spark, root, schema, {b: w for b, w in places.items() if b in touched})
-    kept = keep_top(best.unionByName(old), [F.col(k) for k in keys], order, 1)
+    old = _read(spark, root, kept_as, {b: w for b, w in places.items() if b in touched})
+    kept = combine(old, rows)
     kept.withColumn("bucket", bucket).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/rows/batch={number}")
     now = places | {b: number for b in touched}
     manifest = spark.createDataFrame(sorted(now.items()), "bucket INT, written BIGINT").coalesce(1)
     manifest.write.mode("overwrite").parquet(f"{root}/manifest/batch={number}")
 
 
+def merge(batch: DataFrame, number: int, root: str, keys: list[str], order: list[Column], buckets: int = 64) -> None:
+    """Put one batch into the table below ``root``: of each key (nulls are equal) the first row by ``order`` stays.
+
+    ``order`` must tell a key's rows apart for a repeatable result. A row that is already in the table competes with the
+    batch's rows by the same order.
+    """
+    # Only the best of a key leaves a task, so a key with most of the rows costs a row per task.
+    top = lambda rows: keep_top(rows, [F.col(k) for k in keys], order, 1)
+    rewrite(top(batch), number, root, keys, lambda old, new: top(new.unionByName(old)), buckets)
+
+
 def upsert(rows: DataFrame, root: str, checkpoint: str, keys: list[str], order: list[Column], buckets: int = 64) -> DataStreamWriter:
     """A stream of rows into the table below ``root``; bound the micro-batch at the source."""
 

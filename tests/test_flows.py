@@ -227,17 +227,82 @@ def test_a_link_in_any_column(spark, tmp_path):
     assert readers.metadata_errors(spark, str(tmp_path)).count() == 0
 
 
-def test_health_state_is_the_same_in_any_split(spark, sf_dir):
-    log = request_log(spark, sf_dir)
-    severe = H.is_blocking(F.col("success"), F.col("error_type")).alias("severe")
-    rows = log.select("state_key", "ts", "request_id", "success", severe).toPandas()
-    stats = {r["state_key"]: r["current_streak"] for r in H.request_statistics(log).collect()}
-    for key, own in rows.groupby("state_key"):
-        start = (0, 0, 0, None, None, None)
-        whole = health.advance(start, own)
-        cut = own["ts"].median()
-        assert whole == health.advance(health.advance(start, own[own["ts"] < cut]), own[own["ts"] >= cut])
-        assert whole[2] == stats[key]
+def plain_state(rows):
+    """State of a key after its requests ``(ts, request_id, success, severe)``, by a loop."""
+    import datetime as dt
+
+    requests, successes, streak, last_success, last_failure, blocked_until = 0, 0, 0, None, None, None
+    for ts, _, ok, severe in sorted(rows):
+        requests += 1
+        if ok:
+            successes, streak, last_success, blocked_until = successes + 1, 0, ts, None
+        else:
+            streak, last_failure = streak + 1, ts
+            if severe:
+                blocked_until = ts + dt.timedelta(seconds=min(300, 30 * streak))
+    return requests, successes, streak, last_success, last_failure, blocked_until
+
+
+def test_health_state_is_the_same_in_any_split(spark, tmp_path):
+    import datetime as dt
+    import random
+
+    from presslake.streaming import upserts
+
+    rng, clock, rows = random.Random(3), dt.datetime(2024, 1, 1), []
+    for k in range(900):
+        clock += dt.timedelta(seconds=rng.choice([0, 0, 1, 60]))
+        ok = rng.random() < 0.2
+        key = "hot" if k % 3 else rng.choice(["a", "b", "c", None])
+        rows.append((k, None if k % 50 == 7 else clock, key, None if k % 40 == 3 else ok, None if ok else rng.choice(["ssl_error", "not_found", "not_found", None]), k))
+    rows += [(900 + k, clock + dt.timedelta(seconds=k), ["late", "stuck"][k % 2], k == 0, ["not_found", "ssl_error"][k % 4 > 2], 0) for k in range(8)]
+    schema = "request_id long, ts timestamp, state_key string, success boolean, error_type string, blocked_until int"
+    expected = {}
+    for r in rows:
+        if r[2] is not None and r[1] is not None:
+            expected.setdefault(r[2], []).append((r[1], r[0], bool(r[3]), r[3] is False and r[4] == "ssl_error"))
+    expected = {key: plain_state(own) for key, own in expected.items()}
+    assert any(e[5] for e in expected.values())
+    for parts, cuts in enumerate([[], [450], [5, 6, 30, 31, 100, 600, 899, 904]]):
+        root, bounds = str(tmp_path / str(parts)), [0, *cuts, len(rows)]
+        assert health.latest_state(spark, root).count() == 0
+        for number, (low, high) in enumerate(zip(bounds, bounds[1:])):
+            for _ in range(1 + (number == 2)):  # a batch that is repeated changes nothing
+                new = health.summaries(spark.createDataFrame(rows[low:high], schema))
+                upserts.rewrite(new, number, root, ["state_key"], health.advanced, 3, health.STATE)
+        got = {r["state_key"]: tuple(r)[1:] for r in health.latest_state(spark, root).collect()}
+        assert got == expected
+        over = health.latest_state(spark, root, F.lit("2100-01-01").cast("timestamp")).filter("blocked_until IS NOT NULL")
+        assert over.count() == 0
+
+
+def test_health_keeps_requests_out_of_single_tasks(spark):
+    schema = "request_id long, ts timestamp, state_key string, success boolean, error_type string"
+    plan = health.summaries(spark.createDataFrame([], schema))._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Window|Cartesian", plan) and "partial_max" in plan
+
+
+def test_live_counts_of_repeated_batches(spark, tmp_path):
+    from presslake.operators import stats
+    from presslake.streaming import collection
+
+    landing, root, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    conditions = {"found": F.lit(True), "long text": F.length("text") > 3}
+    rows = spark.createDataFrame([(k, None if k % 5 == 0 else "x" * (k % 7)) for k in range(200)], "id long, text string")
+    for part in range(2):
+        rows.filter(F.col("id") % 2 == part).write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(rows.schema).parquet(landing)
+        collection.write_counted(stream, root, state, conditions).trigger(availableNow=True).start().awaitTermination()
+    got = {r["batch"]: (r["found"], r["long text"]) for r in collection.live_counts(spark, root, conditions).collect()}
+    whole = stats.funnel(rows, conditions).first()
+    assert got[0][0] == got[1][0] == 100 and sum(g[1] for g in got.values()) == whole["long text"]
+    assert spark.read.parquet(f"{root}/rows").count() == 200
+    # A batch whose end was not noted is done once more, into the same folders.
+    for name in ("commits/1", "commits/.1.crc"):
+        (tmp_path / "state" / name).unlink()
+    stream = spark.readStream.schema(rows.schema).parquet(landing)
+    collection.write_counted(stream, root, state, conditions).trigger(availableNow=True).start().awaitTermination()
+    assert {r["batch"]: (r["found"], r["long text"]) for r in collection.live_counts(spark, root, conditions).collect()} == got
 
 
 def test_requests_without_key_or_time_stay(spark):
