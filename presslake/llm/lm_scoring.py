@@ -2,9 +2,10 @@
 
 Word counts come from all training documents. The most frequent words are the network's vocabulary, dealt to classes by
 rank; any other word is the network's "other" token times its own share among the others, so a text's score is the
-probability of the very text. The network is trained by truncated backpropagation in numpy: in each round every
-task trains a copy on its share of documents and the copies are averaged, weighted by tokens. For scores the state is
-carried from window to window, through the whole document.
+probability of the very text. The network is trained by truncated backpropagation in numpy: in each round copies are
+trained, each on its share of documents, and averaged, weighted by tokens. Shares, their order and their number follow from
+the documents alone, not from how these lie in files and partitions. For scores the state is carried from window to
+window, through the whole document.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ HEAD = 200_000
 WORDS, STATE, CLASSES = 2048, 32, 45
 #: Rounds of training; every training row is in one of them.
 ROUNDS = 3
+#: Tokens of a round for each of its copies, about.
+SHARE = 1_200_000
 #: Tokens of documents that are scored together.
 TOGETHER = 1_500_000
 
@@ -93,15 +96,23 @@ def lexicon(training: DataFrame, head: int = HEAD, size: int = WORDS) -> tuple[L
     # The bound on the head is found from a histogram of counts, so no task sorts all words.
     scale = F.floor(F.log2("n") * 4).cast("int").alias("scale")
     sizes = sorted(((r["scale"], r["words"], r["n"]) for r in table.groupBy(scale).agg(F.count(F.lit(1)).alias("words"), F.sum("n").alias("n")).collect()), reverse=True)
-    taken, least = 0, None
+    taken, least, cut = 0, None, None
     for scale_, words, _ in sizes:
         if taken + words > head:
+            cut = scale_
             break
         taken, least = taken + words, scale_
-    words, counts = [], np.zeros(0, np.int64)
-    if least is not None:
-        found = table.filter(F.floor(F.log2("n") * 4) >= least).toArrow()
-        words, counts = found.column("word").to_pylist(), found.column("n").to_numpy()
+    wanted = F.lit(False) if least is None else scale >= least
+    if cut is not None:
+        # The class that would cross the bound is cut by the words' hashes, again by a histogram.
+        lot = F.pmod(F.xxhash64("word"), F.lit(4096))
+        lots, last = {r["lot"]: r["count"] for r in table.filter(scale == cut).groupBy(lot.alias("lot")).count().collect()}, -1
+        while taken + lots.get(last + 1, 0) <= head:
+            last += 1
+            taken += lots.get(last, 0)
+        wanted = wanted | ((scale == cut) & (lot <= last))
+    found = table.filter(wanted).toArrow()
+    words, counts = found.column("word").to_pylist(), found.column("n").to_numpy()
     order = sorted(range(len(words)), key=lambda k: (-counts[k], words[k]))
     ends = training.count()
     tokens, distinct = sum(n for *_, n in sizes) + ends, sum(w for _, w, _ in sizes) + (ends > 0)
@@ -329,6 +340,7 @@ def _train(batches: Iterator[pa.RecordBatch], params: dict, classes: int, lex: L
 
 
 def _average(table: pa.Table) -> pa.Table:
+    table = table.sort_by("part")  # sums of floats depend on their order
     weights = np.array(table.column("tokens").to_pylist(), np.float64)
     blobs = table.column("blob")
     mean = sum(w * np.frombuffer(blobs[k].as_buffer(), np.float32).astype(np.float64) for k, w in enumerate(weights)) / weights.sum()
@@ -336,20 +348,27 @@ def _average(table: pa.Table) -> pa.Table:
 
 
 def train(training: DataFrame, lex: Lexicon) -> Network:
-    """Rounds of local training and averaging; each of the training rows (``doc_id``, ``text``) is in one round."""
+    """Rounds of local training and averaging; each of the training rows (``doc_id``, ``text``) is in one round.
+
+    A round deals its rows by their hash to a number of copies that grows with the tokens; a copy reads its rows in the order
+    of another hash. Rows that are equal in both columns are interchangeable, so the same rows give the same network.
+    """
     frequency = np.concatenate([[lex.ends, max(0, lex.tokens - lex.ends - lex.counts[: lex.vocabulary].sum())], lex.counts[: lex.vocabulary]])
     net = Network.new(lex.vocabulary + 2, STATE, CLASSES, frequency)
-    place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(100_003)) / 100_003
+    mark = F.xxhash64("doc_id", "text")
+    place = F.pmod(mark, F.lit(100_003)) / 100_003
     bounds = np.linspace(0, 1, ROUNDS + 1) ** 1.5
     for k, (low, high) in enumerate(zip(bounds, bounds[1:], strict=False)):
         params, rate = net.p, 0.01 / (1 + k)
-        rows = training.filter((place >= float(low)) & (place < float(high))).select("text")
+        copies = 1 + int(lex.tokens * (high - low)) // SHARE
+        own = training.filter((place >= float(low)) & (place < float(high))).repartition(copies, "doc_id", "text")
+        rows = own.sortWithinPartitions(mark, "doc_id", "text").select("text")
         trained = rows.mapInArrow(lambda b, params=params, rate=rate: _train(b, params, CLASSES, lex, rate), "part long, tokens long, blob binary")
-        copies = materialize(trained, "network")
-        while copies.count() > 32:  # at most 32 copies meet in a task, and then in the driver
+        nets = materialize(trained, "network")
+        while copies > 32:  # at most 32 copies meet in a task, and then in the driver
             nearby = F.floor(F.col("part") / 32).cast("long").alias("group")
-            copies = materialize(copies.groupBy(nearby).applyInArrow(_average, "part long, tokens long, blob binary"), "network")
-        got = copies.collect()
+            nets, copies = nets.groupBy(nearby).applyInArrow(_average, "part long, tokens long, blob binary"), -(-copies // 32)
+        got = nets.orderBy("part").collect()
         if got:
             total = sum(r["tokens"] for r in got)
             mean = sum(np.frombuffer(r["blob"], np.float32).astype(np.float64) * (r["tokens"] / total) for r in got).astype(np.float32)
@@ -414,7 +433,8 @@ def score_documents(docs: DataFrame, folds: int = 10) -> DataFrame:
     Learns from the rows whose fold is not 0. Tokens are the words, A-Z lower-cased, and one end. ``base_score`` is the
     smoothed unigram log10-probability, ``score`` the network's, both of the whole text (a null one is empty). Without
     any training row nothing is known and the scores are those of the smoothing alone. Rows that share a ``doc_id``
-    stay separate; other columns are ignored.
+    stay separate; other columns are ignored. Other files or partitions of the same rows change scores by no more than
+    rounding.
     """
     rows = raw(docs)
     training = rows.filter(remainder(F.col("doc_id"), folds) != 0)

@@ -190,6 +190,62 @@ def test_scores_of_awkward_rows(make):
     assert unseen[0].train_tokens == 0 and unseen[0].n_known == 0 and unseen[0].base_score == pytest.approx(0)
 
 
+def plain_score(net, tokens):
+    """Natural log-probability of a document's tokens, the end included, one step after the other."""
+    p, width = {k: v.astype(float) for k, v in net.p.items()}, net.width
+    h, before, out = np.zeros(p["u"].shape[0]), lm_scoring.END, 0.0
+    size = len(h)
+    for token in [*tokens, lm_scoring.END]:
+        a = p["x"][before] + p["b"]
+        gates = 1 / (1 + np.exp(-(a[: 2 * size] + h @ p["u"])))
+        z, r = gates[:size], gates[size:]
+        h = (1 - z) * np.tanh(a[2 * size :] + (r * h) @ p["v"]) + z * h
+        classes = np.exp(h @ p["c"] + p["cb"])
+        first = token // width * width
+        words = np.exp(p["w"][first : first + width] @ h + p["wb"][first : first + width])
+        out += math.log(classes[token // width] / classes.sum()) + math.log(words[token - first] / words.sum())
+        before = token
+    return out
+
+
+def test_scores_equal_a_plain_loop_and_do_not_depend_on_the_layout(make, monkeypatch):
+    import functools
+
+    rng = np.random.default_rng(5)
+    words = [f"w{k}" for k in range(60)]
+    rows = [(k, " ".join(words[min(59, int(x))] for x in rng.exponential(9, int(rng.integers(0, 60))))) for k in range(120)]
+    rows += [(200, "new words only"), (201, None), (202, "W1 w2\tw59 unseen unseen")]
+    # 14 words in the head cut a class of counts; 8 of them are the network's own; the rest is joined.
+    monkeypatch.setattr(lm_scoring, "lexicon", functools.partial(lm_scoring.lexicon, head=14, size=10))
+    monkeypatch.setattr(lm_scoring, "SHARE", 300)
+    docs = make(rows)
+    one = {r.doc_id: r for r in lm_scoring.score_documents(docs.coalesce(1)).collect()}
+    several = {r.doc_id: r for r in lm_scoring.score_documents(docs.repartition(5, F.rand(1))).collect()}
+    for k, r in one.items():
+        assert several[k].score == pytest.approx(r.score, rel=1e-5) and several[k].base_score == pytest.approx(r.base_score)
+
+    learnt = [(k, t) for k, t in rows if zlib.crc32(str(k).encode()) % 10]
+    counts = Counter(w for _, t in learnt for w in WORD.findall((t or "").translate(LOWER)))
+    training = make(learnt).selectExpr("doc_id", "CAST(text AS binary) AS text")
+    lex, _ = lm_scoring.lexicon(training)
+    own = lex.text.decode().split()
+    assert len(own) == 14 and lex.vocabulary == 8 and min(counts[w] for w in own) * 1.2 > max(n for w, n in counts.items() if w not in own)
+    net, ids = lm_scoring.train(training, lex), {w: k + 2 for k, w in enumerate(own[:8])}
+    rest = {w: n for w, n in counts.items() if w not in ids}
+    total = sum(rest.values()) + 0.1 * (len(rest) + 1)
+    for k, text in rows:
+        found = WORD.findall((text or "").translate(LOWER))
+        logs = plain_score(net, [ids.get(w, lm_scoring.OTHER) for w in found])
+        logs += sum(math.log((rest.get(w, 0) + 0.1) / total) for w in found if w not in ids)
+        assert one[k].score == pytest.approx(logs / math.log(10), rel=1e-4)
+
+
+def test_a_class_of_counts_larger_than_the_head_is_cut(make):
+    training = make([(k, f"same{k}") for k in range(300)]).selectExpr("doc_id", "CAST(text AS binary) AS text")
+    lex, _ = lm_scoring.lexicon(training, head=20, size=12)
+    assert lex.vocabulary == 10 and 15 <= len(lex.counts) <= 20
+
+
 def test_every_training_row_is_fitted_however_many_there_are(make, monkeypatch):
     training = make([(k, f"some words of text {k}") for k in range(400)] + [(400, None), (None, "no id"), (7, "some words of text 7")])
     lex, _ = lm_scoring.lexicon(training)
