@@ -324,19 +324,26 @@ def _own(ranks: np.ndarray, lex: Lexicon) -> np.ndarray:
 
 
 def _train(batches: Iterator[pa.RecordBatch], params: dict, classes: int, lex: Lexicon, rate: float) -> Iterator[pa.RecordBatch]:
-    net = Network({k: v.copy() for k, v in params.items()}, classes)
-    docs, held, total, known = [], 0, 0, lex.ranks
-    for (texts,) in rows_of(batches, "text"):
-        for text in texts:
+    """Rows come sorted by copy; each copy starts from ``params``."""
+    net, copy, docs, held, total, known = None, None, [], 0, 0, lex.ranks
+
+    def done() -> pa.RecordBatch:
+        tokens = total + train_part(net, docs, rate=rate)
+        return pa.RecordBatch.from_pylist([{"part": copy, "tokens": tokens, "blob": np.concatenate([net.p[k].ravel() for k in sorted(net.p)]).tobytes()}])
+
+    for numbers, texts in rows_of(batches, "copy", "text"):
+        for number, text in zip(numbers, texts, strict=True):
+            if number != copy:
+                if net:
+                    yield done()
+                net, copy, docs, held, total = Network({k: v.copy() for k, v in params.items()}, classes), number, [], 0, 0
             docs.append(_own(_ids(lower_words(text), known), lex))
             held += len(docs[-1]) + 1
             if held > TOGETHER:
                 total += train_part(net, docs, rate=rate)
                 docs, held = [], 0
-    total += train_part(net, docs, rate=rate)
-    if total:
-        blob = np.concatenate([net.p[k].ravel() for k in sorted(net.p)]).tobytes()
-        yield pa.RecordBatch.from_pylist([{"part": TaskContext.get().partitionId(), "tokens": total, "blob": blob}])
+    if net:
+        yield done()
 
 
 def _average(table: pa.Table) -> pa.Table:
@@ -361,8 +368,9 @@ def train(training: DataFrame, lex: Lexicon) -> Network:
     for k, (low, high) in enumerate(zip(bounds, bounds[1:], strict=False)):
         params, rate = net.p, 0.01 / (1 + k)
         copies = 1 + int(lex.tokens * (high - low)) // SHARE
-        own = training.filter((place >= float(low)) & (place < float(high))).repartition(copies, "doc_id", "text")
-        rows = own.sortWithinPartitions(mark, "doc_id", "text").select("text")
+        own = training.filter((place >= float(low)) & (place < float(high))).withColumn("copy", F.pmod(F.hash("doc_id", "text"), F.lit(copies)))
+        # More partitions than copies, so that few copies share a task; a task trains its copies one after the other.
+        rows = own.repartition(4 * copies, "copy").sortWithinPartitions("copy", mark, "doc_id", "text").select("copy", "text")
         trained = rows.mapInArrow(lambda b, params=params, rate=rate: _train(b, params, CLASSES, lex, rate), "part long, tokens long, blob binary")
         nets = materialize(trained, "network")
         while copies > 32:  # at most 32 copies meet in a task, and then in the driver
