@@ -171,16 +171,16 @@ def read_stats(spark: SparkSession, path: str) -> DataFrame:
 def latest_stats(spark: SparkSession, root: str) -> DataFrame:
     """The JSON file below ``root`` that was modified last and has ``stats`` in its name, as ``(file, modified, stats)``.
 
-    A part file that Spark wrote goes by the name of its folder, partition folders aside.
+    A part file that Spark wrote goes by the name of its folder, partition folders aside. The file is chosen by its listing
+    alone; no other file is read. Without such a file there is no row.
     """
     folder = F.element_at(F.filter(F.split("file", "/"), lambda p: ~p.contains("=") & ~p.startswith("part-")), -1)
-    files = (
-        spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
-        .text(root, wholetext=True)
-        .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_modification_time").alias("modified"), F.col("value").alias("stats"))
-        .filter(F.lower(folder).contains("stats"))
-    )
-    return files.agg(F.max_by(F.struct("file", "modified", "stats"), F.struct("modified", "file")).alias("s")).select("s.*")
+    below = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
+    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_modification_time").alias("modified")]
+    listed = below.format("binaryFile").load(root).select(*place).filter(F.lower(folder).contains("stats"))
+    newest = listed.agg(F.max_by("file", F.struct("modified", "file"))).first()[0]
+    texts = below.text(root, wholetext=True).filter(F.col("_metadata.file_path") == F.lit(newest))
+    return texts.select(*place, F.col("value").alias("stats"))
 
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:

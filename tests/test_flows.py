@@ -227,6 +227,23 @@ def test_a_link_in_any_column(spark, tmp_path):
     assert readers.metadata_errors(spark, str(tmp_path)).count() == 0
 
 
+def test_the_newest_statistics_are_found_without_reading_the_others(spark, tmp_path):
+    import os
+
+    for k, name in enumerate(["a_stats.json", "B [x]_STATS.json", "sub/part-0.json", "newer.json"]):
+        path = tmp_path / name
+        path.parent.mkdir(exist_ok=True)
+        path.write_text(json.dumps({"n": k}))
+        os.utime(path, (1_700_000_000 + k, 1_700_000_000 + k))
+    (tmp_path / "none").mkdir()
+    found = readers.latest_stats(spark, str(tmp_path))
+    row = found.collect()
+    assert [r["stats"] for r in row] == ['{"n": 1}'] and found.columns == ["file", "modified", "stats"]
+    assert row[0]["modified"].timestamp() % 10 == 1
+    assert found._jdf.queryExecution().executedPlan().collectLeaves().head().metrics().apply("numFiles").value() == 1
+    assert readers.latest_stats(spark, str(tmp_path / "none")).count() == 0
+
+
 def plain_state(rows):
     """State of a key after its requests ``(ts, request_id, success, severe)``, by a loop."""
     import datetime as dt
