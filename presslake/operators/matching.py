@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from presslake.functions.dates import entry_date, within_window
@@ -12,6 +14,8 @@ from presslake.operators.health import failure_streak
 from presslake.sources.workspace import materialize
 
 SALTS = 32
+#: Days that share a key in the join of dated queries, and the most date ranges that the corpus is read by.
+SPAN_DAYS, MOST_RANGES = 16, 32
 
 
 # What is no letter, mark or digit, where a word begins or ends; inside a word it stays.
@@ -40,7 +44,9 @@ def match_queries(queries: DataFrame, corpus: DataFrame, mode: str = "all", salt
 
     Words are compared without the punctuation around them. ``all``: every word of one ``OR`` alternative occurs as a word. ``phrase``: the words occur next to each
     other in order. ``queries(query_id, query[, since, until])``, ``corpus(doc_id, text[, date])``; with
-    ``since`` and ``until`` only documents of those days count.
+    ``since`` and ``until`` (dates or timestamps) only documents between them count. Of such a corpus only the spans of days are
+    read that some query asks for: a range filter on ``date``, which reaches the scan. In the join, a window meets the
+    postings of its own spans only.
 
     Each alternative is looked up by its rarest word only, an equi-join on the word; a frequent word is
     spread over ``salts`` keys on the corpus side. The other words of a candidate are looked up among the
@@ -51,6 +57,9 @@ def match_queries(queries: DataFrame, corpus: DataFrame, mode: str = "all", salt
     dated = "since" in queries.columns
     window = ["since", "until"] if dated else []
     alts = _alternatives(queries, phrase, *window)
+    if dated:
+        first, last, spans = _asked_spans(queries, corpus)
+        corpus = corpus.filter(_in_spans(F.col("date"), spans))
     wanted = alts.select(F.explode("terms").alias("token")).distinct()
     day = ["date"] if dated else []
     # Three uses below: the corpus is split into words once, and only the words of queries are kept.
@@ -73,11 +82,13 @@ def match_queries(queries: DataFrame, corpus: DataFrame, mode: str = "all", salt
         .select("query_id", *window, "alt", "terms", "phrase", F.col("rarest.token").alias("token"))
     )
     spread = drivers.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    candidates = relevant.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int")).join(
-        spread, ["token", "salt"]
-    )
+    salted = relevant.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int"))
     if dated:
-        candidates = candidates.filter(F.col("date").between(F.col("since"), F.col("until")))
+        # A document has one span, so it meets a query once.
+        met = salted.withColumn("span", _span(F.col("date"))).join(_with_spans(spread, first, last), ["token", "salt", "span"])
+        candidates = met.filter(F.col("date").between(F.col("since"), F.col("until")))
+    else:
+        candidates = salted.join(spread, ["token", "salt"])
     if phrase:
         return _phrases(candidates.select("query_id", "alt", "doc_id", "copy", "phrase"), relevant.select("doc_id", "copy", "token", "places"))
     rest = F.array_except("terms", F.array("token"))
@@ -94,6 +105,49 @@ def match_queries(queries: DataFrame, corpus: DataFrame, mode: str = "all", salt
     return single.unionByName(several).distinct()
 
 
+def _span(day: Column) -> Column:
+    return F.floor(F.unix_date(day.cast("date")) / SPAN_DAYS).cast("int")
+
+
+def _with_spans(rows: DataFrame, first: int, last: int) -> DataFrame:
+    """``rows`` once for each ``span`` from ``first`` to ``last`` that their window ``since`` to ``until`` meets."""
+    low, high = F.greatest(_span(F.col("since")), F.lit(first)), F.least(_span(F.col("until")), F.lit(last))
+    # Without these conditions, a window turned round would count downwards and one without an end would count.
+    open_ = F.col("since").isNull() | F.col("until").isNull()
+    return rows.filter(~open_ & (low <= high)).withColumn("span", F.explode(F.sequence(low, high)))
+
+
+def _asked_spans(queries: DataFrame, corpus: DataFrame) -> tuple[int, int, list[int]]:
+    """The first and last span of the corpus, and those between them that a query's window meets.
+
+    Spans are bounded by the calendar, not by the number of queries or documents.
+    """
+    first, last = corpus.agg(F.min(_span(F.col("date"))), F.max(_span(F.col("date")))).first()
+    if first is None:
+        return 0, -1, []
+    asked = _with_spans(queries.select("since", "until").distinct(), first, last).select("span").distinct()
+    return first, last, sorted(r["span"] for r in asked.collect())
+
+
+def _in_spans(date: Column, spans: list[int]) -> Column:
+    """Whether a date lies in one of at most MOST_RANGES ranges that cover the spans; the narrowest gaps are covered too."""
+    gaps = sorted(((b - a, i) for i, (a, b) in enumerate(zip(spans, spans[1:]), 1) if b > a + 1), reverse=True)
+    cuts = [0, *sorted(i for _, i in gaps[: MOST_RANGES - 1]), len(spans)]
+    epoch, found = dt.date(1970, 1, 1).toordinal(), F.lit(False)
+    for start, end in zip(cuts, cuts[1:]):
+        if start == end:
+            continue
+        # Days before the first or behind the last that a date can have bound nothing.
+        low, high = epoch + spans[start] * SPAN_DAYS, epoch + (spans[end - 1] + 1) * SPAN_DAYS
+        inside = date.isNotNull()
+        if low >= dt.date.min.toordinal():
+            inside = inside & (date >= F.lit(dt.date.fromordinal(low)))
+        if high <= dt.date.max.toordinal():
+            inside = inside & (date < F.lit(dt.date.fromordinal(high)))
+        found = found | inside
+    return found
+
+
 def _phrases(candidates: DataFrame, postings: DataFrame) -> DataFrame:
     """``query_id, doc_id`` of candidates in which the words of ``phrase`` stand next to each other.
 

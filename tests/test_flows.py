@@ -1,7 +1,7 @@
 """Flows, storage and streams on small fixtures."""
 
+import datetime as dt
 import json
-
 import re
 
 import pytest
@@ -191,6 +191,40 @@ def test_phrases_move_no_text_and_do_not_cross_texts(spark):
     assert not re.search(r"(?<!_)text#", found._jdf.queryExecution().optimizedPlan().toString())  # only the queries
 
 
+@pytest.mark.parametrize("mode", ["all", "phrase"])
+def test_windows_of_queries(spark, mode):
+    """Windows inside a span, over borders, of one day, turned round, open, far outside and over all time."""
+    day = lambda n: None if n is None else dt.date(1969, 11, 1) + dt.timedelta(days=n)
+    docs = [(i, "heavy rain" if i % 3 else "rain heavy", day(i * 7 % 150 if i % 11 else None)) for i in range(200)]
+    windows = [(a, b) for a in (0, 15, 44, 61, 76) for b in (0, 15, 60, 61, 92, 149)] + [(None, 9), (9, None), (900, 990)]
+    queries = [(k, "heavy rain OR rain", day(a), day(b)) for k, (a, b) in enumerate(windows)] + [(99, "heavy", dt.date(1, 1, 1), dt.date(9999, 12, 31))]
+    corpus = spark.createDataFrame(docs, "doc_id long, text string, date date")
+    table = spark.createDataFrame(queries, "query_id long, query string, since date, until date")
+    got = sorted((r["query_id"], r["doc_id"]) for r in M.match_queries(table, corpus, mode, salts=3).collect())
+    inside = lambda d, a, b: d is not None and a is not None and b is not None and a <= d <= b
+    assert got == sorted((q, i) for q, _, a, b in queries for i, _, d in docs if inside(d, a, b))
+    stamped = corpus.withColumn("date", F.timestamp_seconds(F.unix_date("date").cast("long") * 86400 + 3600))
+    late = sorted((r["query_id"], r["doc_id"]) for r in M.match_queries(table, stamped, mode, salts=3).collect())
+    assert late == sorted((q, i) for q, _, a, b in queries for i, _, d in docs if inside(d, a, b) and d < b)
+    assert M.match_queries(table, corpus.limit(0), mode).count() == 0
+
+
+def test_days_that_no_query_asks_for_are_not_read(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(M, "MOST_RANGES", 2)
+    folder = str(tmp_path / "corpus")
+    spark.range(400).selectExpr("id AS doc_id", "'rain' AS text", "date_add(date'2020-01-01', CAST(id AS INT)) AS date").write.partitionBy("date").parquet(folder)
+    corpus = spark.read.parquet(folder)
+    queries = [(0, "rain", dt.date(2020, 2, 1), dt.date(2020, 2, 3)), (1, "rain", dt.date(2020, 3, 20), dt.date(2020, 3, 21)), (2, "rain", dt.date(2020, 12, 1), dt.date(2020, 12, 2))]
+    table = spark.createDataFrame(queries, "query_id long, query string, since date, until date")
+    *_, spans = M._asked_spans(table, corpus)
+    read = corpus.filter(M._in_spans(F.col("date"), spans))
+    assert re.search(r"PartitionFilters: \[[^]]*date#", read._jdf.queryExecution().toString())
+    days = sorted(r["date"] for r in read.select("date").distinct().collect())
+    # Two ranges: the narrow gap is read as well, the wide one is not.
+    assert len(days) < 110 and max(days) < dt.date(2020, 12, 20) and not any(dt.date(2020, 5, 1) < d < dt.date(2020, 11, 10) for d in days)
+    assert sorted((r["query_id"], r["doc_id"]) for r in M.match_queries(table, corpus).collect()) == [(0, 31), (0, 32), (0, 33), (1, 79), (1, 80), (2, 335), (2, 336)]
+
+
 def test_upserts_keep_the_best_and_bear_repetition(spark, tmp_path):
     import random
 

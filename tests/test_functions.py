@@ -1,6 +1,8 @@
 """Hand-checked cases of the column functions."""
 
 import datetime as dt
+import random
+import re
 
 import pytest
 from helpers import one
@@ -53,6 +55,31 @@ def test_date_from_url(spark, url, expected):
     assert (got and got.isoformat()) == expected
 
 
+def test_date_from_url_equals_shape_by_shape(spark):
+    """Links of pieces that begin, end and overlap in all ways, against one search per shape over the whole link."""
+    rng = random.Random(5)
+    pieces = ["/", "/", "-", "_", "2024", "2031", "1999", "05", "5", "31", "02", "13", "20240105", "12052023", "article", "ARTICLE", "/news/", "may", "Sept", "x", "9", "é", "\n", "٣"]
+    links = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 14))) for _ in range(6000)]
+
+    def plain(link):
+        for pattern, order in D.LINK_PATTERNS:
+            if found := re.search(pattern, link, re.I | re.A):
+                y, m, d = found.groups() if order == "ymd" else reversed(found.groups())
+                m = str(D.MONTHS.get(m.lower(), m))
+                if "2000" <= y <= "2030" and m.isdigit() and m.isascii():
+                    try:
+                        return dt.date(int(y), int(m), int(d))
+                    except ValueError:
+                        continue
+        return None
+
+    table = spark.createDataFrame([*enumerate(links), (-1, None)], "i long, link string")
+    got = {r.i: r.day for r in table.select("i", D.date_from_url(F.col("link")).alias("day")).collect()}
+    expected = {i: plain(link) for i, link in enumerate(links)} | {-1: None}
+    assert got == expected
+    assert sum(day is not None for day in expected.values()) > 300
+
+
 @pytest.mark.parametrize("text, expected", [
     ("3 days ago", "2025-11-07"), ("1 week ago", "2025-11-03"), ("10 days ago", "2025-10-31"),
     ("yesterday", "2025-11-09"), ("Today", "2025-11-10"), ("October 30, 2025", "2025-10-30"),
