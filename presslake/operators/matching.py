@@ -39,6 +39,12 @@ def _alternatives(queries: DataFrame, phrase: bool, *keep: str) -> DataFrame:
     return alts.select("query_id", *keep, "alt", F.array_distinct(words_).alias("terms"), phrases.alias("phrase")).filter(F.size("terms") > 0)
 
 
+def _shuffled(rows: DataFrame) -> DataFrame:
+    """``rows`` whose join is a sort-merge join. Files of few distinct words, and rows not yet exploded, take a small part of
+    the memory that their rows do, so Spark's size check would take millions of them for small enough to send through the driver."""
+    return rows.hint("merge")
+
+
 def match_queries(queries: DataFrame, corpus: DataFrame, mode: str = "all", salts: int = SALTS) -> DataFrame:
     """``(query_id, doc_id)`` for every document that satisfies a query.
 
@@ -75,7 +81,7 @@ def match_queries(queries: DataFrame, corpus: DataFrame, mode: str = "all", salt
     # An alternative with a word that occurs nowhere has no match and is dropped by the count.
     drivers = (
         alts.select("query_id", *window, "alt", "terms", "phrase", F.explode("terms").alias("token"))
-        .join(frequency, "token")
+        .join(_shuffled(frequency), "token")
         .groupBy("query_id", *window, "alt", "terms", "phrase")
         .agg(F.min(F.struct("df", "token")).alias("rarest"), F.count(F.lit(1)).alias("found"))
         .filter(F.col("found") == F.size("terms"))
@@ -85,10 +91,10 @@ def match_queries(queries: DataFrame, corpus: DataFrame, mode: str = "all", salt
     salted = relevant.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int"))
     if dated:
         # A document has one span, so it meets a query once.
-        met = salted.withColumn("span", _span(F.col("date"))).join(_with_spans(spread, first, last), ["token", "salt", "span"])
+        met = salted.withColumn("span", _span(F.col("date"))).join(_shuffled(_with_spans(spread, first, last)), ["token", "salt", "span"])
         candidates = met.filter(F.col("date").between(F.col("since"), F.col("until")))
     else:
-        candidates = salted.join(spread, ["token", "salt"])
+        candidates = salted.join(_shuffled(spread), ["token", "salt"])
     if phrase:
         return _phrases(candidates.select("query_id", "alt", "doc_id", "copy", "phrase"), relevant.select("doc_id", "copy", "token", "places"))
     rest = F.array_except("terms", F.array("token"))
@@ -96,7 +102,7 @@ def match_queries(queries: DataFrame, corpus: DataFrame, mode: str = "all", salt
     single = pairs.filter(F.size("rest") == 0).select("query_id", "doc_id")
     several = (
         pairs.select("query_id", "alt", "doc_id", F.size("rest").alias("n"), F.explode("rest").alias("token"))
-        .join(relevant.select("doc_id", "token"), ["doc_id", "token"])
+        .join(_shuffled(relevant.select("doc_id", "token")), ["doc_id", "token"])
         .groupBy("query_id", "alt", "doc_id", "n")
         .agg(F.count(F.lit(1)).alias("found"))
         .filter(F.col("found") == F.col("n"))
@@ -156,7 +162,7 @@ def _phrases(candidates: DataFrame, postings: DataFrame) -> DataFrame:
     keys = ["query_id", "alt", "doc_id", "copy"]
     own = candidates.distinct().select(*keys, F.size("phrase").alias("n"), F.posexplode("phrase").alias("number", "token"))
     shifted = F.transform("places", lambda p: p - F.col("number")).alias("starts")
-    met = own.join(postings.dropDuplicates(["doc_id", "copy", "token"]), ["doc_id", "copy", "token"]).select(*keys, "n", shifted)
+    met = own.join(_shuffled(postings.dropDuplicates(["doc_id", "copy", "token"])), ["doc_id", "copy", "token"]).select(*keys, "n", shifted)
     lists = met.groupBy(*keys, "n").agg(F.collect_list("starts").alias("lists")).filter(F.size("lists") == F.col("n"))
     common = F.aggregate(F.slice("lists", 2, F.size("lists")), F.get("lists", F.lit(0)), lambda acc, x: F.array_intersect(acc, x))
     return lists.filter(F.size(common) > 0).select("query_id", "doc_id").distinct()

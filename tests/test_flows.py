@@ -148,6 +148,17 @@ def test_registry(spark, config, tmp_path):
     assert len(rows) == 4
 
 
+def test_postings_do_not_pass_through_the_driver(spark, tmp_path):
+    """Postings of few distinct words are tiny as a file; joined by broadcast, their rows would fill the driver."""
+    spark.range(5000).selectExpr("id AS doc_id", "'heavy rain' AS text", "date'2024-01-01' AS date").write.parquet(str(tmp_path / "corpus"))
+    corpus = spark.read.parquet(str(tmp_path / "corpus"))
+    queries = spark.createDataFrame([(0, "heavy rain", dt.date(2024, 1, 1), dt.date(2024, 1, 2))], "query_id long, query string, since date, until date")
+    for wanted, mode in ((queries, "all"), (queries.select("query_id", "query"), "all"), (queries, "phrase")):
+        found = M.match_queries(wanted, corpus, mode)
+        assert found.count() == 5000
+        assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("mode", ["all", "phrase"])
 def test_match_against_brute_force(spark, mode):
     docs = [(i, " ".join(w for j, w in enumerate("red storm blue rain green flood".split()) if i >> j & 1) + "\nhot  Hot") for i in range(64)]
