@@ -249,7 +249,5 @@ def split_languages(spark, sf_dir):
 @query(f"""WITH {REGISTRY}, {CONFIGS} SELECT disaster_id, lang_code, region, count(*) AS papers, min(name) AS first_name FROM cfg JOIN coded ON region = replace(lower(r_name), ' ', '-')
   WHERE k % 6 <> 0 GROUP BY ALL""")
 def registry_newspapers(spark, sf_dir):
-    papers = R.registry_newspapers(_registry(spark, sf_dir), configs(spark, sf_dir))
-    return papers.groupBy("disaster_id", "lang_code", "region").agg(
-        F.count(F.lit(1)).alias("papers"), F.min("name").alias("first_name")
-    )
+    aggregates = F.count(F.lit(1)).alias("papers"), F.min("name").alias("first_name")
+    return R.registry_newspapers(_registry(spark, sf_dir), configs(spark, sf_dir), *aggregates)

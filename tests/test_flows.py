@@ -148,6 +148,20 @@ def test_registry(spark, config, tmp_path):
     assert len(rows) == 4
 
 
+def test_registry_aggregates_take_no_pairs(spark):
+    """300 newspapers and 300 configurations of one region: no step has more rows than these together."""
+    registry = spark.range(300).selectExpr("'Kerala' AS `State/UT`", "concat('n', id) AS `Newspaper Name`", "'English, Khasi' AS `Language(s)`", "'u' AS Website")
+    states = spark.range(300).selectExpr("concat('ev-', id % 290) AS disaster_id", "map('Kerala', 1) AS locations")
+    aggregates = F.count(F.lit(1)).alias("papers"), F.min("name").alias("first")
+    found = R.registry_newspapers(registry, states, *aggregates)
+    plain = R.registry_newspapers(registry, states).groupBy("disaster_id", "lang_code", "region").agg(*aggregates)
+    key = lambda r: [str(x) for x in r]
+    assert sorted(found.collect(), key=key) == sorted(plain.select(*found.columns).collect(), key=key)
+    assert found.count() == 2 * 290
+    below = found._jdf.queryExecution().optimizedPlan().toString().split("Join", 1)
+    assert "Aggregate" not in below[0] and "name#" not in below[0].replace("first#", "")
+
+
 def test_postings_do_not_pass_through_the_driver(spark, tmp_path):
     """Postings of few distinct words are tiny as a file; joined by broadcast, their rows would fill the driver."""
     spark.range(5000).selectExpr("id AS doc_id", "'heavy rain' AS text", "date'2024-01-01' AS date").write.parquet(str(tmp_path / "corpus"))
