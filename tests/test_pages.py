@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from presslake.functions.html import page_date
@@ -51,6 +52,18 @@ def test_failures_stay_as_rows(spark):
     assert got[4]["page_title"] == "t" and got[4]["language"] == "en" and got[0]["final_url"] is None
 
 
+def test_a_worker_parses_few_pages_at_once(spark, monkeypatch):
+    """A batch is parsed in slices, bounded by pages and by characters, and every page keeps its place."""
+    pages = [None, "", *(f"<h1>heading {i}</h1>" + "x" * (900 * (i % 7 == 0)) for i in range(500))]
+    some = list(P._slices(pa.array(pages)))
+    assert [p for slice_ in some for p in slice_] == pages and max(map(len, some)) <= P.PAGES
+    monkeypatch.setattr(P, "SLICE_CHARS", 1_000)
+    assert all(sum(len(p or "") for p in slice_[:-1]) < 1_000 for slice_ in P._slices(pa.array(pages)))
+    got = parse(spark, *pages).select("page_id", "html", "parts.h1", "parts.error").collect()
+    assert [r["html"] for r in got] == pages
+    assert [r["h1"] for r in got] == [[], [], *([f"heading {i}"] for i in range(500))]
+
+
 def test_dates(spark):
     marks = [
         '<meta name="date" content="30/10/2025">', '<time datetime="2025-10-30T01:00">x</time>', '<b id="publish-date">30 Oct 2025</b>',
