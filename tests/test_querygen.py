@@ -3,7 +3,9 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
+from presslake.catalog.inputs import configs
 from presslake.operators import config as C, querygen as Q
 from presslake.sources.readers import read_config
 
@@ -123,3 +125,14 @@ def test_no_shuffle(load):
     config = load(SAMPLE)
     for frame in (Q.expand_all_queries(config), Q.smart_queries(config), C.priority_locations(config)):
         assert "Exchange" not in frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_configurations_of_a_small_file_reach_all_tasks(spark, sf_dir, tmp_path):
+    """One file of one row group is read by one task; its queries are made by all."""
+    for name in ("nation", "region"):
+        spark.read.parquet(f"{sf_dir}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    customers = spark.range(4000).selectExpr("id AS c_custkey", "concat('Customer#', id) AS c_name", "id % 25 AS c_nationkey", "'BUILDING' AS c_mktsegment")
+    customers.coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    rows = Q.smart_queries(configs(spark, str(tmp_path)))
+    per_task = rows.groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in per_task) < sum(r["count"] for r in per_task) / 16
