@@ -140,6 +140,19 @@ def test_links(spark, tmp_path):
     assert inline == ["x", "y", "z"]
 
 
+def test_combined_grades_every_article_once(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def grade(i):
+        calls.add(1)
+        return ["medium", "low", "high"][i % 3]
+
+    rows = writers.combined(spark.range(300).select(F.col("id").alias("ord"), grade("id").alias("extraction_quality"))).collect()
+    assert [(r["extraction_quality"], r["ord"]) for r in rows] == [("high", i) for i in range(2, 300, 3)] + [("medium", i) for i in range(0, 300, 3)]
+    assert calls.value == 300
+
+
 def test_registry(spark, config, tmp_path):
     (tmp_path / "r.csv").write_text('State/UT,Newspaper Name,Language(s),Website\nTelangana,T1,"English, Hindi",u1\nTelangana,T2,Khasi,u2\nKerala,K,Malayalam/English,u3\nNational,N,English,u4\n')
     registry = readers.read_registry(spark, str(tmp_path / "r.csv"))
