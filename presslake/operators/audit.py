@@ -1,9 +1,10 @@
 """Near-duplicate audit: titles and texts that are similar but not equal.
 
 Similarity is the Jaccard ratio of token sets: character trigrams for titles, word five-grams for whole texts. Equal sets
-are one member from the start. The join is exact: two sets that reach the ratio share one of the rarest tokens of
-both, as many as the ratio allows to miss, so only these prefixes are joined; sizes and places of the token
-exclude most pairs inside the join, and whole sets are compared for the rest.
+are one member from the start. The join is exact. Of word five-grams, two sets that reach the ratio share one of the rarest
+tokens of both, as many as the ratio allows to miss, so only these prefixes are joined; sizes and places of the token
+exclude most pairs inside the join, and whole sets are compared for the rest. Titles share trigrams and letters with most
+others, so such an index would list nearly all pairs; their candidates come from cells (``cells.dense_candidates``).
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from presslake.functions.blocks import ratio_of_least
 from presslake.functions.text import let
+from presslake.operators.cells import dense_candidates
 from presslake.sources.workspace import materialize
 
 ROWS_PER_SALT = 20_000
@@ -114,13 +116,22 @@ def distinct_titles(articles: DataFrame, *scope: str) -> DataFrame:
     )
 
 
+def _similar_titles(sets: DataFrame, scope: list[str], low: float) -> DataFrame:
+    """All pairs ``scope, a, b, similarity`` of ``scope, id, tokens`` (hashes); ``a`` is the smaller id."""
+    found = dense_candidates(sets, scope, low)
+    pairs = found.select(*scope, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    side = lambda k: sets.select(*scope, F.col("id").alias(k), F.col("tokens").alias(f"tokens_{k}"))
+    rated = pairs.join(side("a"), [*scope, "a"]).join(side("b"), [*scope, "b"]).withColumn("similarity", jaccard(F.col("tokens_a"), F.col("tokens_b")))
+    return rated.filter(F.col("similarity") >= low - 1e-12).select(*scope, "a", "b", "similarity")
+
+
 def _letters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Every character of ``t`` with the number of its occurrences so far, so that a set of them is the multiset."""
     for batch in batches:
         for first in range(0, batch.num_rows, 200):
             part = batch.slice(first, 200)
             sets = [[f"{c}{k}" for c, n in Counter(t).items() for k in range(n)] for t in part.column("t").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(sets, pa.list_(pa.string()))], names=[*part.schema.names[:-1], "tokens"])
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(sets, pa.list_(pa.string()))], names=[*part.schema.names, "tokens"])
 
 
 def _rated(batches: Iterator[pa.RecordBatch], low: float) -> Iterator[pa.RecordBatch]:
@@ -140,14 +151,15 @@ def similar_titles(articles: DataFrame, low: float | None = None, scope: tuple[s
     case.
 
     Matching blocks are common letters, so titles that reach a ratio ``s`` share that part of their letters: a Jaccard
-    ratio of ``s / (2 - s)`` of the multisets, which the set join finds without loss; only those pairs are compared.
+    ratio of ``s / (2 - s)`` of the multisets, and have a common subsequence of that part; only such pairs are compared.
     """
     if metric not in ("trigrams", "blocks"):
         raise ValueError(f"unknown metric: {metric}")
     titles = materialize(distinct_titles(articles, *scope), "titles")
     if metric == "blocks":
         return _similar_blocks(titles, 0.8 if low is None else low, list(scope))
-    pairs = similar_sets(titles.select(*scope, "id", trigrams(F.col("t")).alias("tokens")), list(scope), 0.6 if low is None else low)
+    grams = materialize(titles.select(*scope, "id", F.transform(trigrams(F.col("t")), lambda g: F.xxhash64(g)).alias("tokens")), "sets")
+    pairs = _similar_titles(grams, list(scope), 0.6 if low is None else low)
     side = lambda k: titles.select(*scope, F.col("id").alias(k), F.col("t").alias(f"title_{k}"), F.col("n").alias(f"n_{k}"))
     named = pairs.join(side("a"), [*scope, "a"]).join(side("b"), [*scope, "b"])
     return named.select(*scope, F.col("a").alias("id_a"), F.col("b").alias("id_b"), "title_a", "title_b", "n_a", "n_b", "similarity")
@@ -156,9 +168,10 @@ def similar_titles(articles: DataFrame, low: float | None = None, scope: tuple[s
 def _similar_blocks(titles: DataFrame, low: float, scope: list[str]) -> DataFrame:
     share = low / (2 - low)
     texts = titles.select(*scope, "id", "t")
-    sets = texts.mapInArrow(_letters, T.StructType([*texts.schema.fields[:-1], T.StructField("tokens", T.ArrayType(T.StringType()))]))
-    fit = _members(sets, scope, share)
-    pairs = _candidates(fit, scope, share)
+    sets = texts.mapInArrow(_letters, T.StructType([*texts.schema.fields, T.StructField("tokens", T.ArrayType(T.StringType()))]))
+    hashed = sets.select(*texts.columns, F.transform("tokens", lambda c: F.xxhash64(c)).alias("tokens"))
+    found = dense_candidates(hashed, scope, share, letters=low)
+    pairs = found.select(*scope, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     side = lambda k: titles.select(*scope, F.col("id").alias(f"id_{k}"), F.col("t").alias(f"title_{k}"), F.col("n").alias(f"n_{k}"))
     named = pairs.withColumnsRenamed({"a": "id_a", "b": "id_b"}).join(side("a"), [*scope, "id_a"]).join(side("b"), [*scope, "id_b"])
     wanted = named.select(*scope, "id_a", "id_b", "title_a", "title_b", "n_a", "n_b")

@@ -4,13 +4,14 @@ import functools
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from presslake.catalog import QUERIES
 from presslake.functions import blocks as B
 from presslake.functions.html import page_title
-from presslake.operators import audit as A
+from presslake.operators import audit as A, cells as C
 
 
 def variants(seed: int, n: int) -> list[str]:
@@ -205,3 +206,41 @@ def test_a_very_long_title(spark):
     table = spark.createDataFrame([(0, text), (1, text[:-9] + "!"), (2, text[:5000])], "ord long, title string")
     rows = A.similar_titles(table, metric="blocks").collect()
     assert [(r.id_a, r.id_b) for r in rows] == [(0, 1)] and rows[0].similarity > 0.99
+
+
+# ---------------------------------------------------------------- cells
+
+
+def syllable_titles(seed: int, n: int) -> list[str]:
+    """Titles of one small alphabet, so that also their rarest trigrams and letters are in many of them; some are near copies."""
+    rng = random.Random(seed)
+    out = []
+    while len(out) < n:
+        title = "".join(rng.choice(["th", "er", "on", "an", "re", "he", "in", " "]) for _ in range(rng.randint(4, 60)))
+        out += [title, title[: len(title) // 8] + "q" + title[len(title) // 8 :], title[3:] + "on"]
+    return out[:n]
+
+
+@pytest.mark.parametrize("metric,low", [("trigrams", 0.6), ("blocks", 0.8)])
+def test_titles_of_a_small_alphabet_meet_in_cells(spark, monkeypatch, metric, low):
+    monkeypatch.setattr(C, "LEAST", 8)  # many cells
+    monkeypatch.setattr(A, "_candidates", None)  # an index of tokens lists nearly all of these pairs
+    titles = syllable_titles(2, 240)
+    table = spark.createDataFrame(list(enumerate(titles)), "ord long, title string")
+    got = {(r.id_a, r.id_b): r.similarity for r in A.similar_titles(table, metric=metric).collect()}
+    first = {}
+    for i, t in enumerate(titles):
+        first.setdefault(t.lower(), i)
+    rate = (lambda a, b: ratio(grams(a), grams(b))) if metric == "trigrams" else B.matching_ratio
+    distinct = list(first.items())
+    expected = {(i, j): found for x, (a, i) in enumerate(distinct) for b, j in distinct[x + 1 :] if (found := rate(a, b)) >= low}
+    assert got == pytest.approx(expected) and len(expected) > 50
+
+
+def test_common_letters_of_many_pairs():
+    texts = variants(4, 120) + syllable_titles(5, 60) + ["", "x" * 64, "x" * 65, "xy" * 50]
+    i, j = (k.ravel() for k in np.indices((len(texts), len(texts))))
+    for low in (0.5, 0.8):
+        got = C._alike(texts, texts, i, j, low)
+        expected = [len(texts[a]) > 64 or 2 * B.common_letters(texts[a], texts[b]) >= low * (len(texts[a]) + len(texts[b])) - 1e-9 for a, b in zip(i.tolist(), j.tolist())]
+        assert got.tolist() == expected
