@@ -9,7 +9,7 @@ one per fragment, and each fragment is worked on by itself. Two passes use this:
 
 Candidates share one of the rarest n-grams of both, as many as the threshold allows to miss. Documents with equal sets are
 one member from the start. Groups of near copies do not give all their pairs: first, the documents of an n-gram are
-compared with one of them; then only pairs that are still in different components, and whose n-grams counted per
+compared with one of them, each document with one such hub a round, twice, and then with all hubs of other components; then only pairs that are still in different components, and whose n-grams counted per
 fragment allow enough in common, are compared. So the components are exact, and the links found connect them.
 """
 
@@ -212,6 +212,13 @@ def _bound(columns: list[str], percent: int) -> str:
     return f"{100 + percent} * ({most}) >= {percent} * (x.n + y.n)"
 
 
+def _in_components(prefixes: DataFrame, named: DataFrame | None) -> DataFrame:
+    """``prefixes`` with the component of each key, itself where it has none yet."""
+    if named is None:
+        return prefixes.withColumn("component", F.col("key"))
+    return prefixes.join(named, prefixes["key"] == named["id"], "left").select("gram", "key", "n", "shared", F.coalesce("component", "key").alias("component"))
+
+
 def jaccard_links(docs: DataFrame, n: int = 4, percent: int = 85) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(documents, links, classes)`` of ``docs`` (``doc_id, text``).
 
@@ -227,12 +234,19 @@ def jaccard_links(docs: DataFrame, n: int = 4, percent: int = 85) -> tuple[DataF
     members = materialize(shared.groupBy("bucket").applyInArrow(lambda t: _members(t, percent), MEMBERS_SQL), "members")
 
     prefixes = materialize(members.select("key", "n", "shared", F.explode(F.slice("hashes", 1, F.col("prefix"))).alias("gram")), "prefixes")
-    hub = prefixes.groupBy("gram").agg(F.min(F.struct("key", "n", "shared")).alias("hub"), F.count(F.lit(1)).alias("many")).filter("many > 1")
-    stars = prefixes.alias("x").join(hub.select("gram", "hub.*").alias("y"), "gram").filter(f"x.key <> y.key AND {_reach('x', 'y', percent)}")
-    first = materialize(verified(stars.select(F.col("y.key").alias("a"), F.col("x.key").alias("b")).distinct(), members, percent), "links")
-
-    named = components(first)
-    placed = prefixes.join(named, prefixes["key"] == named["id"], "left").select("gram", "key", "n", "shared", F.coalesce("component", "key").alias("component"))
+    links = named = None
+    for every in (False, False, True):
+        held = _in_components(prefixes, named)
+        hub = held.groupBy("gram").agg(F.min(F.struct("component", "key", "n", "shared")).alias("hub"), F.max("component").alias("highest")).filter("hub.component <> highest")
+        stars = held.alias("x").join(hub.select("gram", "hub.*").alias("y"), "gram").filter(f"x.component <> y.component AND {_reach('x', 'y', percent)}")
+        pairs = stars.select(F.col("y.key").alias("a"), F.col("x.key").alias("b"))
+        # A near copy has another hub for nearly each n-gram; one joins it to the rest, so that few pairs are left for all.
+        pairs = pairs.distinct() if every else pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+        found = materialize(verified(pairs, members, percent), "links")
+        links = found if links is None else links.unionByName(found)
+        named = components(links)
+
+    placed = _in_components(prefixes, named)
     mixed = placed.groupBy("gram").agg(F.min("component").alias("lowest"), F.max("component").alias("highest")).filter("lowest <> highest")
     fine = [F.col("counts")[i].alias(f"f{i}") for i in range(PARTS)]
     coarse = [sum((F.col("counts")[i] for i in range(j + 1, j + 8)), F.col("counts")[j]).alias(f"c{j}") for j in range(0, PARTS, 8)]
@@ -244,7 +258,7 @@ def jaccard_links(docs: DataFrame, n: int = 4, percent: int = 85) -> tuple[DataF
     wanted = f"x.gram = y.gram AND x.component < y.component AND {_reach('x', 'y', percent)} AND {coarse_bound} AND {fine_bound} AND {once}"
     apart = open_.alias("x").join(open_.alias("y"), F.expr(wanted))
     second = materialize(verified(apart.select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct(), members, percent), "links")
-    links = first.unionByName(second)
+    links = links.unionByName(second)
     return documents, links, components(links)
 
 

@@ -1,6 +1,7 @@
 """Line dedup and the n-gram join against brute force, and the awkward inputs."""
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -197,3 +198,18 @@ def test_line_dedup_keeps_clashing_columns(make):
     out = line_dedup.dedup_lines(docs)
     assert out.columns == docs.columns
     assert all(r._kept == r._own == r._doc_id == r.doc_id for r in out.collect())
+
+
+def test_links_of_a_group_of_near_copies_grow_with_its_documents(spark):
+    """Copies share their changed n-grams with few others each, so their n-grams have many hubs; one link or two a document are enough."""
+    rng = random.Random(8)
+    texts = []
+    for _ in range(240):
+        words = [f"w{k}" for k in range(900)]
+        for spot in rng.sample(range(0, 880, 11), 8):
+            words[spot] = f"x{spot}"
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    documents, links, classes = ngram_join.jaccard_links(docs, 5, 80)
+    assert documents.count() == 240 and links.distinct().count() <= 3 * 240
+    assert classes.count() == 240 and classes.select("component").distinct().count() == 1
