@@ -3,7 +3,8 @@
 Similarity is the Jaccard ratio of token sets: character trigrams for titles, word five-grams for whole texts. Equal sets
 are one member from the start. The join is exact. Of word five-grams, two sets that reach the ratio share one of the rarest
 tokens of both, as many as the ratio allows to miss, so only these prefixes are joined; sizes and places of the token
-exclude most pairs inside the join, and whole sets are compared for the rest. Titles share trigrams and letters with most
+exclude most pairs inside the join, and whole sets are compared for the rest. Which texts share enough tokens at all is found
+on packed arrays (``shingles.members``). Titles share trigrams and letters with most
 others, so such an index would list nearly all pairs; their candidates come from cells (``cells.dense_candidates``).
 """
 
@@ -11,6 +12,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -18,11 +20,10 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from presslake.functions.blocks import ratio_of_least
 from presslake.functions.text import let
 from presslake.operators.cells import dense_candidates
+from presslake.operators.shingles import MARKS, members
 from presslake.sources.workspace import materialize
 
 ROWS_PER_SALT = 20_000
-#: Numbers of 64 bits that say which hashes a set has; a bound on what two sets have in common.
-MARKS = 16
 
 
 def trigrams(text: Column) -> Column:
@@ -33,16 +34,6 @@ def trigrams(text: Column) -> Column:
     return F.when(text != "", F.array_distinct(let(marked, grams))).otherwise(F.array().cast("array<string>"))
 
 
-def shingles(text: Column, n: int = 5) -> Column:
-    """Distinct runs of ``n`` words of a lower-cased text; of fewer words the whole sequence, of none nothing."""
-    starts = lambda words: F.sequence(F.lit(1), F.greatest(F.size(words) - n + 1, F.lit(1)))
-    run = lambda words, i: F.concat_ws(" ", *[F.get(words, i + k) for k in range(-1, n - 1)])
-    grams = lambda words: F.array_distinct(F.transform(starts(words), lambda i: run(words, i)))
-    # Bound once: inside a lambda, the text would be cut anew for every run.
-    found = let(F.filter(F.split(F.lower(text), r"\s+"), lambda w: w != ""), lambda words: F.when(F.size(words) > 0, grams(words)))
-    return F.coalesce(found, F.array().cast("array<string>"))
-
-
 def jaccard(a: Column, b: Column) -> Column:
     """Ratio of common to all elements of two sets; 0 for two empty ones."""
     all_ = F.size(F.array_union(a, b))
@@ -54,57 +45,35 @@ def similarity(a: Column, b: Column) -> Column:
     return jaccard(trigrams(a), trigrams(b))
 
 
-def _members(sets: DataFrame, scope: list[str], low: float) -> DataFrame:
-    """``scope, id, n, own, need, m0, m1 ...`` of the sets that share enough tokens with others to reach the ratio with any.
-
-    ``own`` are the shared tokens, rarest first; ``m0, m1 ...`` have the bit of each token, by its hash.
-    """
-    keys = [*scope, "id"]
-    hashed = materialize(sets.select(*keys, F.transform("tokens", lambda t: F.xxhash64(t)).alias("tokens")).filter(F.size("tokens") > 0), "sets")
-    tokens = hashed.select(*keys, F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
-    frequency = tokens.groupBy(*scope, "token").agg(F.count(F.lit(1)).alias("df"))
-    bit, part = F.expr("shiftleft(1L, CAST(pmod(token, 64) AS INT))"), F.pmod(F.shiftright("token", 6), F.lit(MARKS))
-    marks = [F.coalesce(F.bit_or(F.when(part == m, bit)), F.lit(0).cast("long")).alias(f"m{m}") for m in range(MARKS)]
-    # A token that no other set has cannot be shared; it stands first in the order, and only its number counts.
-    shared = F.array_sort(F.collect_list(F.when(F.col("df") > 1, F.struct("df", "token")))).alias("own")
-    ordered = tokens.join(frequency, [*scope, "token"]).groupBy(*keys, "n").agg(shared, *marks)
-    need = F.ceil(F.col("n") * low - 1e-9).cast("int")
-    return materialize(ordered.withColumn("need", need).filter(F.size("own") >= F.col("need")), "members")
-
-
-def _candidates(fit: DataFrame, scope: list[str], low: float) -> DataFrame:
-    """Pairs ``scope, a, b`` of members that may reach the ratio; all that do are among them."""
+def _candidates(fit: DataFrame, low: float) -> DataFrame:
+    """Pairs ``a, b`` of members that may reach the ratio; all that do are among them."""
     marks = [f"m{m}" for m in range(MARKS)]
-    rows = fit.select(*scope, "id", "n", *marks, F.size("own").alias("shared"), F.posexplode(F.slice("own", F.lit(1), F.size("own") - F.col("need") + 1)).alias("at", "p"))
+    first = F.size("own") - F.col("need") + 1
+    rows = fit.select("key", "n", *marks, F.size("own").alias("shared"), F.posexplode(F.arrays_zip(F.slice("own", F.lit(1), first).alias("token"), F.slice("df", F.lit(1), first).alias("df"))).alias("at", "p"))
     salts = F.ceil(F.col("p.df") / ROWS_PER_SALT).cast("int")
-    placed = rows.select(*scope, "id", "n", *marks, (F.col("shared") - F.col("at")).alias("rest"), F.col("p.token").alias("token"), salts.alias("salts"))
-    left = placed.withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int")).alias("x")
+    placed = rows.select("key", "n", *marks, (F.col("shared") - F.col("at")).alias("rest"), F.col("p.token").alias("token"), salts.alias("salts"))
+    left = placed.withColumn("salt", F.pmod(F.xxhash64("key"), F.col("salts")).cast("int")).alias("x")
     right = placed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).alias("y")
-    same = " AND ".join(f"x.`{c}` <=> y.`{c}`" for c in (*scope, "token", "salt"))
-    smaller = f"(x.n < y.n OR (x.n = y.n AND x.id < y.id)) AND x.n >= y.n * {low!r} - 1e-9"
+    smaller = f"(x.n < y.n OR (x.n = y.n AND x.key < y.key)) AND x.n >= y.n * {low!r} - 1e-9"
     # At a pair's first common token, no more than what follows it can be common; later ones may not reject a pair, so it
     # is kept when any passes. A bit that only one of two sets has is a token that they have not in common.
     reach = f"least(x.rest, y.rest) * {1 + low!r} >= (x.n + y.n) * {low!r} - 1e-9"
     alone = lambda x, y: " + ".join(f"bit_count({x}.{m} & ~{y}.{m})" for m in marks)
     bound = f"least(x.n - ({alone('x', 'y')}), y.n - ({alone('y', 'x')})) * {1 + low!r} >= (x.n + y.n) * {low!r} - 1e-9"
-    met = left.join(right, F.expr(f"{same} AND {smaller} AND {reach} AND {bound}"))
-    return met.select(*[F.col(f"x.{c}").alias(c) for c in scope], F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+    met = left.join(right, F.expr(f"x.token = y.token AND x.salt = y.salt AND {smaller} AND {reach} AND {bound}"))
+    return met.select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct()
 
 
-def similar_sets(sets: DataFrame, scope: list[str], low: float) -> DataFrame:
-    """All pairs ``scope, a, b, similarity`` of ``scope, id, tokens`` whose sets have a ratio of ``low`` or more.
+def similar_sets(fit: DataFrame, low: float) -> DataFrame:
+    """All pairs ``a, b, similarity`` of members (``shingles.members``) whose sets have a ratio of ``low`` or more.
 
-    ``a`` is the smaller id. Tokens are hashed to 64 bits for the join. Rows of a frequent token are dealt to salts in
-    proportion to its frequency, so that no task gets all of them.
+    Rows of a frequent token are dealt to salts in proportion to its frequency, so that no task gets all of them.
     """
-    fit = _members(sets, scope, low)
-    pairs = _candidates(fit, scope, low)
-    side = lambda name: fit.select(*[F.col(c).alias(f"_{name}_{c}") for c in scope], F.col("id").alias(f"_{name}"), F.col("n").alias(f"n_{name}"), F.transform("own", lambda t: t["token"]).alias(f"own_{name}"))
-    on = lambda name: [F.col(c).eqNullSafe(F.col(f"_{name}_{c}")) for c in scope] + [F.col(name) == F.col(f"_{name}")]
-    both = pairs.join(side("a"), on("a")).join(side("b"), on("b"))
+    side = lambda name: fit.select(F.col("key").alias(name), F.col("n").alias(f"n_{name}"), F.col("own").alias(f"own_{name}"))
+    both = _candidates(fit, low).join(side("a"), "a").join(side("b"), "b")
     common = F.size(F.array_intersect("own_a", "own_b"))
     rated = both.withColumn("similarity", common / (F.col("n_a") + F.col("n_b") - common))
-    return rated.filter(F.col("similarity") >= low - 1e-12).select(*scope, "a", "b", "similarity")
+    return rated.filter(F.col("similarity") >= low - 1e-12).select("a", "b", "similarity")
 
 
 def distinct_titles(articles: DataFrame, *scope: str) -> DataFrame:
@@ -182,12 +151,20 @@ def similar_content(articles: DataFrame, low: float = 0.8, n: int = 5, scope: tu
     """Pairs of different article texts, over all articles of a scope, with a Jaccard ratio of ``low`` or more.
 
     Whole texts are compared by runs of ``n`` words. Articles of the same text are one (``n_a``, ``n_b`` count them,
-    ``id`` is the first), so a group of copies costs one row.
+    ``id`` is the first), so a group of copies costs one row. Texts are told apart by their MD5, so none is shuffled.
+    Articles without a scope pair with none.
     """
-    text = F.lower("article_text")
-    distinct = articles.filter(F.coalesce(text, F.lit("")) != "").groupBy(*scope, text.alias("t"))
-    texts = materialize(distinct.agg(F.count(F.lit(1)).alias("n"), F.min("ord").alias("id")).select(*scope, "id", "n", shingles(F.col("t"), n).alias("tokens")), "texts")
-    pairs = similar_sets(texts, list(scope), low)
-    side = lambda k: texts.select(*scope, F.col("id").alias(k), F.col("n").alias(f"n_{k}"))
-    counted = pairs.join(side("a"), [*scope, "a"]).join(side("b"), [*scope, "b"])
-    return counted.select(*scope, F.col("a").alias("id_a"), F.col("b").alias("id_b"), "n_a", "n_b", "similarity")
+    named = [F.col(c).isNotNull() for c in scope]
+    rows = articles.filter(reduce(Column.__and__, named, F.coalesce("article_text", F.lit("")) != "")).select(*scope, "ord", F.lower("article_text").cast("binary").alias("text"))
+    rows = rows.withColumn("digest", F.md5("text"))
+    key = F.xxhash64(*scope, "digest").alias("key")
+    distinct = rows.groupBy(*scope, "digest").agg(F.count(F.lit(1)).alias("n"), F.min("ord").alias("id"), F.max(F.octet_length("text")).alias("size"))
+    texts = materialize(distinct.select(*scope, key, "n", "id", "size"), "texts")
+    fit = members(rows.select(key, F.xxhash64(*scope, F.lit(n)).alias("scope"), "text"), n, low, texts.agg(F.sum("size")).first()[0] or 0)
+    pairs = similar_sets(fit, low)
+    side = lambda k: texts.select(*scope, F.col("key").alias(k), F.col("id").alias(f"id_{k}"), F.col("n").alias(f"n_{k}"))
+    both = pairs.join(side("a"), "a").join(side("b").drop(*scope), "b")
+    earlier = F.col("id_a") <= F.col("id_b")
+    first = lambda c: F.when(earlier, F.col(f"{c}_a")).otherwise(F.col(f"{c}_b")).alias(f"{c}_a")
+    second = lambda c: F.when(earlier, F.col(f"{c}_b")).otherwise(F.col(f"{c}_a")).alias(f"{c}_b")
+    return both.select(*scope, first("id"), second("id"), first("n"), second("n"), "similarity")

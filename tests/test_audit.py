@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from presslake.catalog import QUERIES
 from presslake.functions import blocks as B
 from presslake.functions.html import page_title
-from presslake.operators import audit as A, cells as C
+from presslake.operators import audit as A, cells as C, shingles as S
 
 
 def variants(seed: int, n: int) -> list[str]:
@@ -105,6 +105,41 @@ def test_similar_content_compares_all_articles_and_whole_texts(spark):
     assert got == pytest.approx(expected) and len(expected) > 10
 
 
+def test_similar_content_in_many_fragments_keeps_no_tokens_of_texts_without_a_near_copy(spark, monkeypatch):
+    rng = random.Random(4)
+    rows = []
+    for k in range(60):
+        words = [f"w{rng.randrange(400)}" for _ in range(rng.randint(2, 120))]
+        rows += [("x", 10 * k, " ".join(words)), ("x", 10 * k + 1, " ".join(words)), ("y", 10 * k + 2, " ".join(words)), (None, 10 * k + 3, " ".join(words))]
+        if k % 3 == 0:
+            words[rng.randrange(len(words))] = "other"
+            rows += [("x", 10 * k + 4, "  ".join(words)), ("x", 10 * k + 5, "\u00a0".join(words)), (None, 10 * k + 6, " ".join(words))]
+    table = spark.createDataFrame(rows, "disaster_id string, ord long, article_text string").repartition(3)
+    written = []
+    for module in (A, S):
+        monkeypatch.setattr(module, "materialize", lambda df, name, write=module.materialize: written.append(write(df, name)) or written[-1])
+    for name, value in (("FRAGMENT", 300), ("TOGETHER", 500), ("GATHERED", 2), ("SEEN", 7)):
+        monkeypatch.setattr(S, name, value)
+    got = {(r.disaster_id, r.id_a, r.id_b): (r.n_a, r.n_b, r.similarity) for r in A.similar_content(table).collect()}
+
+    def shingles(text):
+        words = re.split(r"\s+", text, flags=re.ASCII)
+        return {" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+    groups = {}
+    for scope, i, text in rows:
+        groups.setdefault((scope, text), []).append(i)
+    texts = [(scope, min(ids), len(ids), shingles(text)) for (scope, text), ids in groups.items() if scope]
+    expected = {}
+    for s, i, n, x in texts:
+        for t, j, m, y in texts:
+            if s == t and i < j and (found := ratio(x, y)) >= 0.8:
+                expected[s, i, j] = (n, m, pytest.approx(found))
+    assert got == expected and len(expected) > 5 and {n for n, _, _ in got.values()} == {2}
+    held = [t for t in written if any(f.dataType.typeName() == "array" for f in t.schema)]
+    assert held and sum(t.count() for t in held) < len(texts) / 2
+
+
 def test_similarity_is_symmetric(spark):
     pair = spark.createDataFrame([("abcd", "bcde"), ("", ""), ("", "a"), ("x", "x")], "a string, b string")
     there = [r[0] for r in pair.select(A.similarity(F.col("a"), F.col("b"))).collect()]
