@@ -11,17 +11,16 @@ window, through the whole document.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from presslake.llm.common import lower_words, raw, remainder, rows_of
+from presslake.llm.common import raw, remainder, rows_of, slices, text_slices
 from presslake.sources.workspace import materialize
 
 END, OTHER = 0, 1
@@ -31,29 +30,49 @@ HEAD = 200_000
 WORDS, STATE, CLASSES = 2048, 32, 45
 #: Rounds of training; every training row is in one of them.
 ROUNDS = 3
-#: Tokens of a round for each of its copies, about.
-SHARE = 1_200_000
-#: Tokens of documents that are scored together.
-TOGETHER = 1_500_000
+#: Tokens of a round for each of its copies, about: enough that a long document does not leave the other lanes empty.
+SHARE = 2_400_000
+#: Tokens of documents that are scored together, and those that a copy holds at once. Bounds on what a task holds.
+TOGETHER, HELD = 1_500_000, 4_800_000
+#: Parameters that are updated at once.
+BLOCK = 16_384
 
 
 # ---------------------------------------------------------------- word counts
 
 
+def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Lower-cased words of UTF-8 texts, one after the other, and the number of the text that each is from."""
+    # Arrow's kernels want strings; they look at single bytes only, so bytes that are no UTF-8 do no harm.
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, b"").view(pa.string())))
+    words, sizes = lists.flatten(), lists.value_lengths().to_numpy(zero_copy_only=False)
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    empty = pc.equal(pc.binary_length(words), 0)  # before a leading and after a trailing blank
+    if pc.any(empty).as_py():
+        full = pc.invert(empty)
+        words, owner = words.filter(full), owner[full.to_numpy(zero_copy_only=False)]
+    return words.view(pa.binary()), owner
+
+
+def _merged(tables: list[pa.Table]) -> pa.Table:
+    return pa.concat_tables(tables).group_by("word").aggregate([("n", "sum")]).select(["word", "n_sum"]).rename_columns(["word", "n"]).combine_chunks()
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    found: Counter = Counter()
-    out = lambda: pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64())], names=["word", "n"])
-    for (texts,) in rows_of(batches, "text"):
-        for text in texts:
-            found.update(lower_words(text))
-        if len(found) > 400_000:
-            yield out()
-            found.clear()
+    found: list[pa.Table] = []
+    for part in text_slices(batches):
+        counts = pc.value_counts(_words(part.column("text"))[0])
+        found.append(pa.table({"word": counts.field("values"), "n": counts.field("counts")}))
+        if sum(map(len, found)) > 800_000:
+            found = [_merged(found)]
+            if len(found[0]) > 400_000:
+                yield from found[0].to_batches()
+                found = []
     if found:
-        yield out()
+        yield from _merged(found).to_batches()
 
 
-_ranks: dict = {}
+_heads: dict = {}
 
 
 @dataclass
@@ -68,11 +87,16 @@ class Lexicon:
     vocabulary: int  # how many of the words are the network's own, after END and OTHER
 
     @property
-    def ranks(self) -> dict[bytes, int]:
-        """Rank of each word; made once in each Python worker."""
-        if _ranks.get("text") != self.text:
-            _ranks.update(text=self.text, ranks={word: k for k, word in enumerate(self.text.split())})
-        return _ranks["ranks"]
+    def head(self) -> pa.Array:
+        """The frequent words, by rank; made once in each Python worker."""
+        if _heads.get("text") != self.text:
+            _heads.update(text=self.text, head=pa.array(self.text.split(), pa.binary()))
+        return _heads["head"]
+
+    @property
+    def kind(self) -> str:
+        """Type of the network's numbers of words, as they are packed."""
+        return "<u2" if self.vocabulary + 2 <= 1 << 16 else "<i4"
 
     def base(self, count: np.ndarray | float):
         return np.log10(count + 0.1)
@@ -145,92 +169,176 @@ class Network:
     def run(self, inputs: np.ndarray, fresh: np.ndarray, h: np.ndarray, keep: list | None = None) -> tuple[np.ndarray, np.ndarray]:
         """States after each step of (lanes, steps) inputs; where ``fresh``, the state starts at zero."""
         p, s = self.p, h.shape[1]
-        steps = inputs.shape[1]
-        states = np.empty((steps, len(h), s), np.float32)
+        lanes, steps = inputs.shape
+        kind = p["u"].dtype
+        # What an input adds is summed up per word of the vocabulary. Half of a gate's, as its sigmoid is made from a tanh.
+        table = p["x"] + p["b"]
+        steps_in = inputs.T
+        gates, new = (0.5 * table[:, : 2 * s])[steps_in], table[:, 2 * s :].copy()[steps_in]
+        half = 0.5 * p["u"]
+        states = np.empty((steps, lanes, s), kind)
+        before, reset = (np.empty((steps, lanes, s), kind) for _ in range(2)) if keep is not None else (None, None)
+        two, one = np.empty((lanes, 2 * s), kind), np.empty((lanes, s), kind)
+        starts = fresh.any(0).tolist()
         for t in range(steps):
-            h = h * ~fresh[:, t, None]
-            a = p["x"][inputs[:, t]] + p["b"]
-            zr = 0.5 * np.tanh(0.5 * (a[:, : 2 * s] + h @ p["u"])) + 0.5
-            z, r = zr[:, :s], zr[:, s:]
-            rh = r * h
-            n = np.tanh(a[:, 2 * s :] + rh @ p["v"])
-            after = n + z * (h - n)
-            if keep is not None:
-                keep.append((h, z, r, rh, n))
-            h = states[t] = after
-        return states, h
+            if starts[t]:
+                h = h * ~fresh[:, t, None]
+            zr, n, after = gates[t], new[t], states[t]
+            zr += np.matmul(h, half, out=two)
+            np.tanh(zr, out=zr)
+            zr *= 0.5
+            zr += 0.5
+            if keep is None:
+                rh = np.multiply(zr[:, s:], h, out=one)
+                n += rh @ p["v"]
+            else:
+                before[t] = h
+                rh = np.multiply(zr[:, s:], h, out=reset[t])
+                n += np.matmul(rh, p["v"], out=one)
+            np.tanh(n, out=n)
+            np.subtract(h, n, out=after)
+            after *= zr[:, :s]
+            after += n
+            h = after
+        if keep is not None:
+            keep.extend((before, gates, reset, new, starts))
+        return states, h.copy()
 
     def log_probabilities(self, states: np.ndarray, targets: np.ndarray, gradients: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """Natural log-probabilities of flat targets; with ``gradients``, also adds theirs and returns the states'."""
-        p = self.p
-        kind = targets // self.width
-        logits = states @ p["c"] + p["cb"]
-        logits -= logits.max(1, keepdims=True)
-        e = np.exp(logits)
-        total = e.sum(1)
-        rows = np.arange(len(targets))
-        out = logits[rows, kind] - np.log(total)
+        p, s = self.p, states.shape[1]
+        # Rows by class, so that a class is a slice; a last column of ones takes the biases along. Outputs are rows, tokens
+        # are columns: sums over outputs then run along whole rows.
+        classes = (targets // self.width).astype(np.int16)
+        order = np.argsort(classes, kind="stable")
+        classes = classes[order]
+        x = np.ones((len(targets), s + 1), np.result_type(states, p["w"]))
+        x[:, :s] = states[order]
+        own, each = targets[order] - classes * np.int32(self.width), np.arange(len(targets))
+        into = np.concatenate([p["c"], p["cb"][None]])
+        words = np.concatenate([p["w"], p["wb"][:, None]], 1)
+        # States are between -1 and 1, so no output is beyond the sum of its weights; only large ones could overflow.
+        safe = max(np.abs(into).sum(0).max(), np.abs(words).sum(1).max()) < 60
+        e = into.T @ x.T
+        if not safe:
+            e -= e.max(0)
+        out = e[classes, each]
+        np.exp(e, out=e)
+        total = e.sum(0)
         back = None
         if gradients is not None:
-            e /= total[:, None]
-            e[rows, kind] -= 1
-            gradients["c"] += states.T @ e
-            gradients["cb"] += e.sum(0)
-            back = e @ p["c"].T
-        order = np.argsort(kind, kind="stable")
-        bounds = np.searchsorted(kind[order], np.arange(self.classes + 1))
-        for k in np.flatnonzero(np.diff(bounds)):
-            at = order[bounds[k] : bounds[k + 1]]
-            span = slice(k * self.width, min((k + 1) * self.width, self.vocab))
-            x = states[at]
-            inner = x @ p["w"][span].T + p["wb"][span]
-            inner -= inner.max(1, keepdims=True)
-            e = np.exp(inner)
-            total = e.sum(1)
-            own, each = targets[at] - span.start, np.arange(len(at))
-            out[at] += inner[each, own] - np.log(total)
-            if gradients is not None:
-                e /= total[:, None]
-                e[each, own] -= 1
-                gradients["w"][span] += e.T @ x
-                gradients["wb"][span] += e.sum(0)
-                back[at] += e @ p["w"][span]
-        return out, back
-
-    def window(self, inputs: np.ndarray, targets: np.ndarray, fresh: np.ndarray, real: np.ndarray, h: np.ndarray) -> tuple[float, dict, np.ndarray]:
-        """Loss, gradients and last state of one window; no gradient goes beyond it."""
+            e /= total
+            e[classes, each] -= 1
+            made = x.T @ e.T
+            gradients["c"] += made[:s]
+            gradients["cb"] += made[s]
+            back = e.T @ into[:s].T
+        bounds = np.searchsorted(classes, np.arange(self.classes + 1))
+        # Rare classes have few tokens each: neighbours are worked on together, filled up to the largest of them.
+        low = 0
+        while low < self.classes:
+            high = min(2 * low if low else 1, self.classes)
+            most = int(np.diff(bounds[low : high + 1]).max())
+            if most:
+                self._inside(slice(low, high), most, x, words, bounds, own, out, total, safe, gradients, back)
+            low = high
+        out -= np.log(total)
+        place = np.empty(len(order), np.int64)
+        place[order] = each
+        return out[place], None if back is None else back[place]
+
+    def _inside(self, span: slice, most: int, x: np.ndarray, words: np.ndarray, bounds: np.ndarray, own: np.ndarray, out: np.ndarray, total: np.ndarray, safe: bool, gradients: dict | None, back: np.ndarray | None) -> None:
+        """The share of words inside the classes of ``span``: onto ``out``, times ``total``, and onto the gradients."""
+        s, n = x.shape[1] - 1, span.stop - span.start
+        first, last = span.start * self.width, min(span.stop * self.width, self.vocab)
+        w = np.zeros((n * self.width, s + 1), words.dtype)
+        w[: max(0, last - first)] = words[first:last]
+        w[max(0, last - first) :, s] = -1e30  # numbers of the last class that no word has
+        w = w.reshape(n, self.width, s + 1)
+        starts, sizes = bounds[span.start : span.stop, None], np.diff(bounds[span.start : span.stop + 1])[:, None]
+        place = np.arange(most)
+        real = place < sizes
+        at = np.where(real, starts + place, 0)
+        part = x[at]
+        e = np.matmul(w, part.transpose(0, 2, 1))
+        if not safe:
+            e -= e.max(1, keepdims=True)
+        rows = at[real]
+        hit = (*np.nonzero(real), own[rows])
+        hit = (hit[0], hit[2], hit[1])
+        out[rows] += e[hit]
+        np.exp(e, out=e)
+        sums = e.sum(1)
+        total[rows] *= sums[real]
+        if gradients is not None:
+            e /= sums[:, None]
+            e[hit] -= 1
+            if not real.all():
+                e *= real[:, None]
+            made = np.matmul(e, part).reshape(n * self.width, s + 1)[: last - first]
+            gradients["w"][first:last] += made[:, :s]
+            gradients["wb"][first:last] += made[:, s]
+            back[rows] += np.matmul(e.transpose(0, 2, 1), w[:, :, :s])[real]
+
+    def slopes(self, inputs: np.ndarray, targets: np.ndarray, fresh: np.ndarray, real: np.ndarray, h: np.ndarray, g: dict) -> tuple[float, np.ndarray]:
+        """Loss and last state of one window; adds the loss' gradients to ``g``. No gradient goes beyond the window."""
         p, s = self.p, h.shape[1]
-        g = {k: np.zeros_like(v) for k, v in p.items()}
         keep: list = []
         states, last = self.run(inputs, fresh, h, keep)
+        before, gates, reset, new, starts = keep
+        steps, lanes = states.shape[:2]
         mask = real.T.ravel()
-        flat = states.reshape(-1, s)[mask]
-        logs, back = self.log_probabilities(flat, targets.T.ravel()[mask], g)
-        into = np.zeros((states.shape[0] * states.shape[1], s), np.float32)
-        into[mask] = back
-        into = into.reshape(states.shape)
-        d = np.zeros_like(h)
-        steps = inputs.shape[1]
-        da = np.empty((steps, len(h), 3 * s), np.float32)
+        flat, wanted = states.reshape(-1, s), targets.T.ravel()
+        if mask.all():
+            logs, back = self.log_probabilities(flat, wanted, g)
+        else:
+            logs, some = self.log_probabilities(flat[mask], wanted[mask], g)
+            back = np.zeros((len(mask), s), some.dtype)
+            back[mask] = some
+        back = back.reshape(states.shape)
+        z, r = gates[:, :, :s], gates[:, :, s:]
+        # How the states' gradients pass each gate, for all steps at once.
+        to_n, to_z, to_r, left = new * new, before - new, before * r, 1 - z
+        np.subtract(1, to_n, out=to_n)
+        to_n *= left
+        left *= z
+        to_z *= left
+        np.subtract(1, r, out=left)
+        to_r *= left
+        d, turned = np.zeros((lanes, s), states.dtype), np.empty((lanes, s), states.dtype)
+        da = np.empty((steps, lanes, 3 * s), states.dtype)
+        dzr, dn = da[:, :, : 2 * s], da[:, :, 2 * s :]
+        v, u = p["v"].T, p["u"].T
         for t in range(steps - 1, -1, -1):
-            before, z, r, rh, n = keep[t]
-            d = d + into[t]
-            dn = d * (1 - z) * (1 - n * n)
-            dz = d * (before - n) * z * (1 - z)
-            drh = dn @ p["v"].T
-            dr = drh * before * r * (1 - r)
-            dzr = np.concatenate([dz, dr], 1)
-            g["v"] += rh.T @ dn
-            g["u"] += before.T @ dzr
-            da[t, :, : 2 * s], da[t, :, 2 * s :] = dzr, dn
-            d = (d * z + drh * r + dzr @ p["u"].T) * ~fresh[:, t, None]
-        g["b"] += da.sum((0, 1))
+            d += back[t]
+            np.multiply(d, to_n[t], out=dn[t])
+            np.multiply(d, to_z[t], out=dzr[t, :, :s])
+            drh = np.matmul(dn[t], v, out=turned)
+            np.multiply(drh, to_r[t], out=dzr[t, :, s:])
+            d *= z[t]
+            drh *= r[t]
+            d += drh
+            d += np.matmul(dzr[t], u, out=turned)
+            if starts[t]:
+                d *= ~fresh[:, t, None]
+        da = da.reshape(-1, 3 * s)
+        g["v"] += reset.reshape(-1, s).T @ da[:, 2 * s :]
+        g["u"] += before.reshape(-1, s).T @ da[:, : 2 * s]
         ids = inputs.T.ravel()
-        order = np.argsort(ids, kind="stable")
-        seen, first = np.unique(ids[order], return_index=True)
-        g["x"][seen] = np.add.reduceat(da.reshape(-1, 3 * s)[order], first, axis=0)
-        n_real = max(1, int(mask.sum()))
-        return -float(logs.sum()), {k: v / n_real for k, v in g.items()}, last
+        order = np.argsort(ids.astype(np.uint16) if self.vocab <= 1 << 16 else ids, kind="stable")
+        ids = ids[order]
+        first = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+        sums = np.add.reduceat(da[order], first, axis=0)
+        g["x"][ids[first]] += sums
+        g["b"] += sums.sum(0)
+        return -float(logs.sum()), last
+
+    def window(self, inputs: np.ndarray, targets: np.ndarray, fresh: np.ndarray, real: np.ndarray, h: np.ndarray) -> tuple[float, dict, np.ndarray]:
+        """Loss, gradients for each token, and last state of one window."""
+        g = {k: np.zeros_like(v) for k, v in self.p.items()}
+        loss, last = self.slopes(inputs, targets, fresh, real, h, g)
+        n_real = max(1, int(real.sum()))
+        return loss, {k: v / n_real for k, v in g.items()}, last
 
 
 class Lanes:
@@ -252,7 +360,10 @@ class Lanes:
         flat = [k for ks in held for k in ks]
         n = np.array([len(docs[k]) + 1 for k in flat], np.int64)
         self.owner = np.repeat(np.array(flat, np.int64), n)
-        self.targets = np.concatenate([part for k in flat for part in (docs[k], [END])]).astype(np.int32)
+        self.targets = np.full(int(n.sum()), END, np.int32)
+        inside = np.ones(len(self.targets), bool)
+        inside[np.cumsum(n) - 1] = False
+        self.targets[inside] = np.concatenate([docs[k] for k in flat])
         self.fresh = np.zeros(len(self.targets), bool)
         self.fresh[np.cumsum(n) - n] = True
         self.inputs = np.where(self.fresh, END, np.append(END, self.targets[:-1]))
@@ -270,28 +381,48 @@ class Lanes:
             at += n
 
 
+def _views(flat: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """The parts of a flat array in the shapes of ``like``, in the order of their names."""
+    ends = np.cumsum([like[k].size for k in sorted(like)])
+    return {k: part.reshape(like[k].shape) for k, part in zip(sorted(like), np.split(flat, ends[:-1]), strict=True)}
+
+
 def train_part(net: Network, docs: list[np.ndarray], lanes: int = 96, steps: int = 32, rate: float = 0.01) -> int:
     """One pass over some documents with Adam; changes the network, returns the tokens it saw."""
     if not docs:
         return 0
     laid = Lanes(docs, lanes)
     h = np.zeros((len(laid.sizes), net.p["u"].shape[0]), np.float32)
-    moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
+    flat = np.concatenate([net.p[k].ravel() for k in sorted(net.p)])
+    net.p = _views(flat, net.p)
+    grown, m, v = (np.zeros_like(flat) for _ in range(3))
+    g, spare = _views(grown, net.p), np.empty(min(BLOCK, len(flat)), flat.dtype)
     total, step = 0, 0
     for active, index, real in laid.windows(0, steps):
-        _, gradients, last = net.window(laid.inputs[index], laid.targets[index], laid.fresh[index] & real, real, h[:active])
+        _, last = net.slopes(laid.inputs[index], laid.targets[index], laid.fresh[index] & real, real, h[:active], g)
         h[:active] = last
-        total += int(real.sum())
+        n_real = int(real.sum())
+        total += n_real
         step += 1
-        norm = math.sqrt(sum(float((g * g).sum()) for g in gradients.values()))
-        scale = min(1.0, 1.0 / (norm + 1e-9))
+        norm = math.sqrt(float(grown @ grown)) / n_real
+        scale = min(1.0, 1.0 / (norm + 1e-9)) / n_real
         size = rate * min(1.0, step / 20) * math.sqrt(1 - 0.999**step) / (1 - 0.9**step)
-        for k, g in gradients.items():
-            m, v = moments[k]
-            g *= scale
-            m += 0.1 * (g - m)
-            v += 0.001 * (g * g - v)
-            net.p[k] -= size * m / (np.sqrt(v) + 1e-8)
+        # Adam, a block that stays in the processor's cache at a time; ``m`` and ``v`` are 10 and 1,000 times the means.
+        for at in range(0, len(flat), BLOCK):
+            own, gb, mb, vb = (x[at : at + BLOCK] for x in (flat, grown, m, v))
+            tmp = spare[: len(gb)]
+            gb *= scale
+            mb *= 0.9
+            mb += gb
+            vb *= 0.999
+            gb *= gb
+            vb += gb
+            gb.fill(0)
+            np.sqrt(vb, out=tmp)
+            tmp += 1e-8 * 1000**0.5
+            np.divide(mb, tmp, out=tmp)
+            tmp *= size * 0.1 * 1000**0.5
+            own -= tmp
     return total
 
 
@@ -314,32 +445,23 @@ def score_docs(net: Network, docs: list[np.ndarray]) -> np.ndarray:
 # ---------------------------------------------------------------- training on the cluster
 
 
-def _ids(found: list[bytes], ranks: dict[bytes, int]) -> np.ndarray:
-    """Rank of each word among the frequent ones, -1 for others."""
-    return np.fromiter(map(ranks.get, found, repeat(-1)), np.int64, len(found))
-
-
-def _own(ranks: np.ndarray, lex: Lexicon) -> np.ndarray:
-    return np.where((ranks >= 0) & (ranks < lex.vocabulary), ranks + 2, OTHER).astype(np.int32)
-
-
-def _train(batches: Iterator[pa.RecordBatch], params: dict, classes: int, lex: Lexicon, rate: float) -> Iterator[pa.RecordBatch]:
+def _train(batches: Iterator[pa.RecordBatch], params: dict, classes: int, kind: str, rate: float) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by copy; each copy starts from ``params``."""
-    net, copy, docs, held, total, known = None, None, [], 0, 0, lex.ranks
+    net, copy, docs, held, total = None, None, [], 0, 0
 
     def done() -> pa.RecordBatch:
         tokens = total + train_part(net, docs, rate=rate)
         return pa.RecordBatch.from_pylist([{"part": copy, "tokens": tokens, "blob": np.concatenate([net.p[k].ravel() for k in sorted(net.p)]).tobytes()}])
 
-    for numbers, texts in rows_of(batches, "copy", "text"):
-        for number, text in zip(numbers, texts, strict=True):
+    for numbers, ids in rows_of(batches, "copy", "ids"):
+        for number, packed in zip(numbers, ids, strict=True):
             if number != copy:
                 if net:
                     yield done()
                 net, copy, docs, held, total = Network({k: v.copy() for k, v in params.items()}, classes), number, [], 0, 0
-            docs.append(_own(_ids(lower_words(text), known), lex))
+            docs.append(np.frombuffer(packed, kind))
             held += len(docs[-1]) + 1
-            if held > TOGETHER:
+            if held > HELD:
                 total += train_part(net, docs, rate=rate)
                 docs, held = [], 0
     if net:
@@ -355,23 +477,27 @@ def _average(table: pa.Table) -> pa.Table:
 
 
 def train(training: DataFrame, lex: Lexicon) -> Network:
-    """Rounds of local training and averaging; each of the training rows (``doc_id``, ``text``) is in one round.
+    """The network of the training rows (``doc_id``, ``text``)."""
+    return fit(coded(training, lex), lex)
+
+
+def fit(training: DataFrame, lex: Lexicon) -> Network:
+    """Rounds of local training and averaging; each of the ``coded`` training rows is in one round.
 
     A round deals its rows by their hash to a number of copies that grows with the tokens; a copy reads its rows in the order
     of another hash. Rows that are equal in both columns are interchangeable, so the same rows give the same network.
     """
     frequency = np.concatenate([[lex.ends, max(0, lex.tokens - lex.ends - lex.counts[: lex.vocabulary].sum())], lex.counts[: lex.vocabulary]])
     net = Network.new(lex.vocabulary + 2, STATE, CLASSES, frequency)
-    mark = F.xxhash64("doc_id", "text")
-    place = F.pmod(mark, F.lit(100_003)) / 100_003
+    place = F.pmod("mark", F.lit(100_003)) / 100_003
     bounds = np.linspace(0, 1, ROUNDS + 1) ** 1.5
     for k, (low, high) in enumerate(zip(bounds, bounds[1:], strict=False)):
         params, rate = net.p, 0.01 / (1 + k)
         copies = 1 + int(lex.tokens * (high - low)) // SHARE
-        own = training.filter((place >= float(low)) & (place < float(high))).withColumn("copy", F.pmod(F.hash("doc_id", "text"), F.lit(copies)))
+        own = training.filter((place >= float(low)) & (place < float(high))).withColumn("copy", F.pmod("lot", F.lit(copies)))
         # More partitions than copies, so that few copies share a task; a task trains its copies one after the other.
-        rows = own.repartition(4 * copies, "copy").sortWithinPartitions("copy", mark, "doc_id", "text").select("copy", "text")
-        trained = rows.mapInArrow(lambda b, params=params, rate=rate: _train(b, params, CLASSES, lex, rate), "part long, tokens long, blob binary")
+        rows = own.repartition(4 * copies, "copy").sortWithinPartitions("copy", "mark", "doc_id", "ids").select("copy", "ids")
+        trained = rows.mapInArrow(lambda b, params=params, rate=rate: _train(b, params, CLASSES, lex.kind, rate), "part long, tokens long, blob binary")
         nets = materialize(trained, "network")
         while copies > 32:  # at most 32 copies meet in a task, and then in the driver
             nearby = F.floor(F.col("part") / 32).cast("long").alias("group")
@@ -393,46 +519,72 @@ def train(training: DataFrame, lex: Lexicon) -> Network:
 # ---------------------------------------------------------------- scoring
 
 
-SCORED = pa.schema(
-    [("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("rare", pa.list_(pa.struct([("word", pa.binary()), ("k", pa.int64())])))]
-)
-SCORED_SQL = "row long, doc_id long, n_tokens long, known long, base double, score double, rare array<struct<word:binary,k:long>>"
+RESULT = [("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())]
+CODED = pa.schema([*RESULT, ("mark", pa.int64()), ("lot", pa.int32()), ("ids", pa.binary()), ("rare", pa.list_(pa.struct([("word", pa.binary()), ("k", pa.int64())])))])
+SCORED_SQL = "row long, doc_id long, n_tokens long, known long, base double, score double"
+CODED_SQL = f"{SCORED_SQL}, mark long, lot int, ids binary, rare array<struct<word:binary,k:long>>"
 
 
-def _score(batches: Iterator[pa.RecordBatch], params: dict, classes: int, lex: Lexicon) -> Iterator[pa.RecordBatch]:
-    net = Network(params, classes)
+def _code(batches: Iterator[pa.RecordBatch], lex: Lexicon) -> Iterator[pa.RecordBatch]:
     logs = lex.base(lex.counts)
     end = float(lex.base(float(lex.ends)))
     row = TaskContext.get().partitionId() << 40
-    rows, docs, held, known = [], [], 0, lex.ranks
-
-    def out() -> pa.RecordBatch:
-        for made, natural in zip(rows, score_docs(net, docs), strict=True):
-            made["score"] += natural / math.log(10)
-        return pa.RecordBatch.from_pylist(rows, SCORED)
-
-    for ids, texts in rows_of(batches, "doc_id", "text"):
-        for doc_id, text in zip(ids, texts, strict=True):
-            found = lower_words(text)
-            ranks = _ids(found, known)
-            head = ranks >= 0
-            other = head & (ranks >= lex.vocabulary)
-            rare = Counter(found[k] for k in np.flatnonzero(~head))
-            n_other = int(other.sum() + (~head).sum())
-            rows.append(
-                {
-                    "row": row, "doc_id": doc_id, "n_tokens": len(found) + 1, "known": int(head.sum()) + (lex.ends > 0), "base": float(logs[ranks[head]].sum()) + end,
-                    "score": float(logs[ranks[other]].sum()) - (n_other * lex.other_total if n_other else 0.0), "rare": [{"word": w, "k": k} for w, k in rare.items()],
-                }
-            )
-            docs.append(_own(ranks, lex))
-            held += len(found) + 1
-            row += 1
-            if held > TOGETHER:
-                yield out()
-                rows, docs, held = [], [], 0
-    if rows:
-        yield out()
+    for part in text_slices(batches):
+        n = part.num_rows
+        words, owner = _words(part.column("text"))
+        # Rank of each word among the frequent ones, -1 for others.
+        ranks = pc.fill_null(pc.index_in(words, value_set=lex.head), -1).to_numpy(zero_copy_only=False) if len(lex.counts) else np.full(len(words), -1, np.int32)
+        sizes = np.bincount(owner, minlength=n)
+        head, other = ranks >= 0, ranks >= lex.vocabulary
+        n_other = np.bincount(owner[~head | other], minlength=n)
+        known = np.bincount(owner[head], minlength=n) + (lex.ends > 0)
+        base = np.bincount(owner[head], weights=logs[ranks[head]], minlength=n) + end
+        score = np.bincount(owner[other], weights=logs[ranks[other]], minlength=n).astype(np.float64)
+        if n_other.any():
+            score -= n_other * lex.other_total
+        own = np.where(head & ~other, ranks + 2, OTHER).astype(lex.kind)
+        ends = np.append(0, np.cumsum(sizes)) * own.itemsize
+        ids = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(own)])
+        # Rare words once for each text, with their number.
+        named = words.filter(pa.array(~head)).dictionary_encode()
+        pairs, times = np.unique(owner[~head] * max(1, len(named.dictionary)) + named.indices.to_numpy(), return_counts=True)
+        whose, which = np.divmod(pairs, max(1, len(named.dictionary)))
+        rare = pa.StructArray.from_arrays([named.dictionary.take(pa.array(which)), pa.array(times.astype(np.int64))], names=["word", "k"])
+        listed = pa.ListArray.from_arrays(pa.array(np.searchsorted(whose, np.arange(n + 1)).astype(np.int32)), rare)
+        made = [row + np.arange(n), part.column("doc_id"), sizes + 1, known, base, score, part.column("mark"), part.column("lot"), ids, listed]
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) if isinstance(c, np.ndarray) else c for c, f in zip(made, CODED, strict=True)], schema=CODED)
+        row += n
+
+
+def coded(rows: DataFrame, lex: Lexicon) -> DataFrame:
+    """``rows`` (``doc_id``, ``text``) as packed numbers of the network's words, with what a score needs beside the network.
+
+    ``base`` and ``score`` lack the words outside the head, which ``rare`` lists. ``mark`` and ``lot`` say where a row is trained.
+    """
+    marked = rows.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("mark"), F.hash("doc_id", "text").alias("lot"))
+    return marked.mapInArrow(lambda b: _code(b, lex), CODED_SQL)
+
+
+def _score(batches: Iterator[pa.RecordBatch], params: dict, classes: int, kind: str) -> Iterator[pa.RecordBatch]:
+    """Adds the network's part to ``score``."""
+    net, names = Network(params, classes), [name for name, _ in RESULT]
+    rows: list[pa.RecordBatch] = []
+    docs, held = [], 0
+
+    def out() -> pa.Table:
+        table = pa.Table.from_batches(rows)
+        score = table.column("score").to_numpy() + score_docs(net, docs) / math.log(10)
+        return table.set_column(names.index("score"), "score", pa.array(score))
+
+    for batch in slices(batches):
+        rows.append(batch.select(names))
+        docs += [np.frombuffer(packed, kind) for packed in batch.column("ids").to_pylist()]
+        held += sum(map(len, docs[len(docs) - batch.num_rows :])) + batch.num_rows
+        if held > TOGETHER:
+            yield from out().to_batches()
+            rows, docs, held = [], [], 0
+    if docs:
+        yield from out().to_batches()
 
 
 def score_documents(docs: DataFrame, folds: int = 10) -> DataFrame:
@@ -447,11 +599,12 @@ def score_documents(docs: DataFrame, folds: int = 10) -> DataFrame:
     rows = raw(docs)
     training = rows.filter(remainder(F.col("doc_id"), folds) != 0)
     lex, table = lexicon(training)
-    net = train(training, lex)
-    params = net.p
-    scored = materialize(rows.mapInArrow(lambda b: _score(b, params, CLASSES, lex), SCORED_SQL), "scored")
+    # Texts are cut into words once more; training and scoring read numbers.
+    numbers = materialize(coded(rows, lex), "coded")
+    params = fit(numbers.filter(remainder(F.col("doc_id"), folds) != 0), lex).p
+    scored = materialize(numbers.drop("mark", "lot", "rare").mapInArrow(lambda b: _score(b, params, CLASSES, lex.kind), SCORED_SQL), "scored")
     # Words outside the head are rare, so no word of this join is a hot key.
-    rare = scored.select("row", F.inline("rare")).join(table, "word", "left")
+    rare = numbers.select("row", F.inline("rare")).join(table, "word", "left")
     found = rare.groupBy("row").agg(
         F.sum(F.col("k") * F.log10(F.coalesce("n", F.lit(0)) + F.lit(0.1))).alias("logs"), F.sum(F.when(F.col("n").isNotNull(), F.col("k"))).alias("seen")
     )

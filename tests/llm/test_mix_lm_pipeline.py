@@ -262,6 +262,28 @@ def test_every_training_row_is_fitted_however_many_there_are(make, monkeypatch):
     assert sum(seen) == tokens
 
 
+def test_texts_become_numbers_once_and_training_reads_only_these(make, monkeypatch):
+    rng = np.random.default_rng(8)
+    words = [f"W{k}" for k in range(40)] + ["\u00c4b", "x\u00a0y"]
+    texts = [None, "", " \t\n", "  zz zz\x0bnew ", "\x1cW1\x1c W2"] + [" ".join(words[int(x)] for x in rng.integers(0, 42, int(n))) for n in rng.integers(0, 30, 60)]
+    training = make(list(enumerate(texts))).selectExpr("doc_id", "CAST(text AS binary) AS text")
+    lex, table = lm_scoring.lexicon(training, head=30, size=14)
+    plain = [WORD.findall((t or "").translate(LOWER)) for t in texts]
+    counts = Counter(w for found in plain for w in found)
+    assert {bytes(r.word).decode(): r.n for r in table.collect()} == counts
+    head = lex.text.decode().split()
+    own = {w: k + 2 for k, w in enumerate(head[: lex.vocabulary])}
+    got = {r.doc_id: r for r in lm_scoring.coded(training.repartition(3), lex).collect()}
+    for k, found in enumerate(plain):
+        assert np.frombuffer(got[k].ids, lex.kind).tolist() == [own.get(w, lm_scoring.OTHER) for w in found]
+        assert {bytes(r.word).decode(): r.k for r in got[k].rare} == Counter(w for w in found if w not in head)
+        assert (got[k].n_tokens, got[k].known) == (len(found) + 1, sum(w in head for w in found) + 1)
+    numbers = lm_scoring.coded(training, lex)
+    assert "text" not in numbers.columns
+    alone, whole = lm_scoring.fit(numbers, lex), lm_scoring.train(training, lex)
+    assert all(np.array_equal(alone.p[k], whole.p[k]) for k in whole.p)
+
+
 # ---------------------------------------------------------------- pipeline
 
 
