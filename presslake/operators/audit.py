@@ -2,10 +2,10 @@
 
 Similarity is the Jaccard ratio of token sets: character trigrams for titles, word five-grams for whole texts. Equal sets
 are one member from the start. The join is exact. Of word five-grams, two sets that reach the ratio share one of the rarest
-tokens of both, as many as the ratio allows to miss, so only these prefixes are joined; sizes and places of the token
-exclude most pairs inside the join, and whole sets are compared for the rest. Which texts share enough tokens at all is found
-on packed arrays (``shingles.members``). Titles share trigrams and letters with most
-others, so such an index would list nearly all pairs; their candidates come from cells (``cells.dense_candidates``).
+tokens of both, as many as the ratio allows to miss, so only these prefixes are joined, block by block; sizes and places
+of the token exclude most pairs of blocks inside the join, and whole sets are compared for the rest. Which texts share
+enough tokens at all is found on packed arrays (``shingles.members``). Titles share trigrams and letters with most others,
+so such an index would list nearly all pairs; their candidates come from cells (``cells.dense_candidates``).
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from presslake.functions.blocks import ratio_of_least
 from presslake.functions.text import let
 from presslake.operators.cells import dense_candidates
-from presslake.operators.shingles import MARKS, members
+from presslake.operators.shingles import MARKS, blocks, members, prefix, rated
 from presslake.sources.workspace import materialize
 
 ROWS_PER_SALT = 20_000
@@ -45,35 +45,25 @@ def similarity(a: Column, b: Column) -> Column:
     return jaccard(trigrams(a), trigrams(b))
 
 
-def _candidates(fit: DataFrame, low: float) -> DataFrame:
-    """Pairs ``a, b`` of members that may reach the ratio; all that do are among them."""
+def _candidates(held: DataFrame, low: float) -> DataFrame:
+    """Pairs ``row, col`` of different blocks that may have a pair of sets with the ratio; all that do are among them."""
     marks = [f"m{m}" for m in range(MARKS)]
-    first = F.size("own") - F.col("need") + 1
-    rows = fit.select("key", "n", *marks, F.size("own").alias("shared"), F.posexplode(F.arrays_zip(F.slice("own", F.lit(1), first).alias("token"), F.slice("df", F.lit(1), first).alias("df"))).alias("at", "p"))
-    salts = F.ceil(F.col("p.df") / ROWS_PER_SALT).cast("int")
-    placed = rows.select("key", "n", *marks, (F.col("shared") - F.col("at")).alias("rest"), F.col("p.token").alias("token"), salts.alias("salts"))
-    left = placed.withColumn("salt", F.pmod(F.xxhash64("key"), F.col("salts")).cast("int")).alias("x")
+    rows = held.select("block", "n", *marks, F.size("own").alias("shared"), F.posexplode(F.arrays_zip(prefix("own").alias("token"), prefix("df").alias("df"))).alias("at", "p"))
+    # Of a block: the sizes of its sets, what may follow the n-gram, and the bits that all and that any of them have.
+    sums = [F.min("n").alias("low"), F.max("n").alias("high"), F.max(F.col("shared") - F.col("at")).alias("rest"), F.max("p.df").alias("df")]
+    sums += [f(m).alias(f"{k}{m}") for m in marks for k, f in (("all_", F.bit_and), ("any_", F.bit_or))]
+    placed = rows.groupBy("block", F.col("p.token").alias("token")).agg(*sums).withColumn("salts", F.ceil(F.col("df") / ROWS_PER_SALT).cast("int"))
+    left = placed.withColumn("salt", F.pmod(F.xxhash64("block"), F.col("salts")).cast("int")).alias("x")
     right = placed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).alias("y")
-    smaller = f"(x.n < y.n OR (x.n = y.n AND x.key < y.key)) AND x.n >= y.n * {low!r} - 1e-9"
-    # At a pair's first common token, no more than what follows it can be common; later ones may not reject a pair, so it
-    # is kept when any passes. A bit that only one of two sets has is a token that they have not in common.
-    reach = f"least(x.rest, y.rest) * {1 + low!r} >= (x.n + y.n) * {low!r} - 1e-9"
-    alone = lambda x, y: " + ".join(f"bit_count({x}.{m} & ~{y}.{m})" for m in marks)
-    bound = f"least(x.n - ({alone('x', 'y')}), y.n - ({alone('y', 'x')})) * {1 + low!r} >= (x.n + y.n) * {low!r} - 1e-9"
-    met = left.join(right, F.expr(f"x.token = y.token AND x.salt = y.salt AND {smaller} AND {reach} AND {bound}"))
-    return met.select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct()
-
-
-def similar_sets(fit: DataFrame, low: float) -> DataFrame:
-    """All pairs ``a, b, similarity`` of members (``shingles.members``) whose sets have a ratio of ``low`` or more.
-
-    Rows of a frequent token are dealt to salts in proportion to its frequency, so that no task gets all of them.
-    """
-    side = lambda name: fit.select(F.col("key").alias(name), F.col("n").alias(f"n_{name}"), F.col("own").alias(f"own_{name}"))
-    both = _candidates(fit, low).join(side("a"), "a").join(side("b"), "b")
-    common = F.size(F.array_intersect("own_a", "own_b"))
-    rated = both.withColumn("similarity", common / (F.col("n_a") + F.col("n_b") - common))
-    return rated.filter(F.col("similarity") >= low - 1e-12).select("a", "b", "similarity")
+    sizes = f"x.high >= y.low * {low!r} - 1e-9 AND y.high >= x.low * {low!r} - 1e-9"
+    # At a pair's first common n-gram, no more than what follows it can be common; later ones may not reject a pair, so it
+    # is kept when any passes. A bit that only one of two sets has is an n-gram that they have not in common.
+    need = f"(x.low + y.low) * {low!r} - 1e-9"
+    reach = f"least(x.rest, y.rest) * {1 + low!r} >= {need}"
+    alone = lambda x, y: " + ".join(f"bit_count({x}.all_{m} & ~{y}.any_{m})" for m in marks)
+    bound = f"least(x.high - ({alone('x', 'y')}), y.high - ({alone('y', 'x')})) * {1 + low!r} >= {need}"
+    met = left.join(right, F.expr(f"x.token = y.token AND x.salt = y.salt AND x.block < y.block AND {sizes} AND {reach} AND {bound}"))
+    return met.select(F.col("x.block").alias("row"), F.col("y.block").alias("col")).distinct()
 
 
 def distinct_titles(articles: DataFrame, *scope: str) -> DataFrame:
@@ -161,7 +151,8 @@ def similar_content(articles: DataFrame, low: float = 0.8, n: int = 5, scope: tu
     distinct = rows.groupBy(*scope, "digest").agg(F.count(F.lit(1)).alias("n"), F.min("ord").alias("id"), F.max(F.octet_length("text")).alias("size"))
     texts = materialize(distinct.select(*scope, key, "n", "id", "size"), "texts")
     fit = members(rows.select(key, F.xxhash64(*scope, F.lit(n)).alias("scope"), "text"), n, low, texts.agg(F.sum("size")).first()[0] or 0)
-    pairs = similar_sets(fit, low)
+    held = blocks(fit)
+    pairs = materialize(rated(held, _candidates(held, low), low), "pairs")
     side = lambda k: texts.select(*scope, F.col("key").alias(k), F.col("id").alias(f"id_{k}"), F.col("n").alias(f"n_{k}"))
     both = pairs.join(side("a"), "a").join(side("b").drop(*scope), "b")
     earlier = F.col("id_a") <= F.col("id_b")

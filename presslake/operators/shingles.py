@@ -4,6 +4,9 @@ N-grams are named by 64-bit hashes and cut into fragments, ranges of these hashe
 fragment, packed into arrays, and each fragment is worked on by itself: it counts in how many sets an n-gram is. N-grams of
 one set alone cannot be shared and end here. What is left is dealt by set, and sets that keep too little to reach the
 ratio with any other drop out. Fragments and buckets grow in number with the input, not in size.
+
+Of groups of near copies, all pairs are wanted. So pairs are looked for between blocks, sets that have one of their rare
+n-grams in common, and two blocks that may have a pair are a cell, whose pairs come from a product of two matrices.
 """
 
 from __future__ import annotations
@@ -14,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from presslake.sources.workspace import materialize
 
@@ -26,6 +29,10 @@ WORD_BYTES = 6
 REMEMBERED, SEEN = 200_000, 200_000
 #: Numbers of 64 bits that say which hashes a set has; a bound on what two sets have in common.
 MARKS = 16
+#: Sets in a block, about; sets of cells that a task gets at once, about.
+BLOCK, DEALT = 1024, 4096
+#: Columns of the matrices that are multiplied at once.
+COLUMNS = 4096
 
 PACKED = pa.schema([("fragment", pa.int32())] + [(c, pa.binary()) for c in ("keys", "sizes", "counts", "hashes")])
 PACKED_SQL = "fragment int, keys binary, sizes binary, counts binary, hashes binary"
@@ -190,3 +197,69 @@ def members(texts: DataFrame, n: int, low: float, size: int) -> DataFrame:
     shared = packed.groupBy("fragment").applyInArrow(lambda t: _shared(t, buckets), SHARED_SQL)
     found = shared.groupBy("bucket").applyInArrow(lambda t: _members(t, low), MEMBERS_SQL)
     return materialize(found.repartition(F.col("key")), "members")
+
+
+def prefix(column: str) -> Column:
+    """What stands first in a set's shared n-grams: two sets that reach the ratio have one of these in common."""
+    return F.slice(column, F.lit(1), F.size("own") - F.col("need") + 1)
+
+
+def _common(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """How many hashes each set of ``x`` has in common with each of ``y``."""
+    out = np.zeros((len(x), len(y)), np.float32)
+    names, number = np.unique(np.concatenate([*x, *y]), return_inverse=True)
+    who = np.repeat(np.arange(len(x) + len(y)), [len(k) for k in (*x, *y)])
+    first = who < len(x)
+    both = (np.bincount(number[first], minlength=len(names)) > 0) & (np.bincount(number[~first], minlength=len(names)) > 0)
+    use = both[number]
+    number, who = (np.cumsum(both) - 1)[number[use]], who[use]
+    order = np.argsort(number, kind="stable")
+    number, who = number[order], who[order]
+    for a in range(0, int(both.sum()), COLUMNS):
+        part = slice(*np.searchsorted(number, [a, a + COLUMNS]))
+        has = np.zeros((len(x) + len(y), COLUMNS), np.float32)
+        has[who[part], number[part] - a] = 1
+        out += has[: len(x)] @ has[len(x) :].T
+    return out
+
+
+def _rated(table: pa.Table, low: float) -> pa.Table:
+    """Pairs ``a, b, similarity`` of the cells of a table."""
+    table = table.sort_by([("row", "ascending"), ("col", "ascending"), ("side", "ascending")]).combine_chunks()
+    row, col, side, key, n = (table.column(c).to_numpy() for c in ("row", "col", "side", "key", "n"))
+    lists = table.column("own").combine_chunks()
+    data, ends = lists.flatten().to_numpy(), np.append(0, np.cumsum(lists.value_lengths().to_numpy()))
+    sets = [data[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+    heads = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (col[1:] != col[:-1])))
+    found = []
+    for a, b in zip(heads.tolist(), np.append(heads[1:], len(row)).tolist(), strict=True):
+        one = row[a] == col[a]
+        cut = b if one else a + int(np.searchsorted(side[a:b], 1))
+        start = a if one else cut
+        common = _common(sets[a:cut], sets[start:b]).astype(np.float64)
+        ratio = common / (n[a:cut, None] + n[None, start:b] - common)
+        i, j = np.nonzero(np.triu(ratio >= low - 1e-12, 1) if one else ratio >= low - 1e-12)
+        found.append((key[a + i], key[start + j], ratio[i, j]))
+    return pa.table({name: np.concatenate([f[k] for f in found]) for k, name in enumerate(("a", "b", "similarity"))})
+
+
+def blocks(fit: DataFrame) -> DataFrame:
+    """``members`` with a ``block``; sets of a block have a rare n-gram in common, and a large block is dealt to several."""
+    rare = fit.withColumn("rare", F.array_min(prefix("own")))
+    many = rare.groupBy("rare").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
+    named = rare.join(many, "rare").withColumn("block", F.xxhash64("rare", F.pmod(F.xxhash64("key"), F.col("parts")))).drop("rare", "parts")
+    return materialize(named.repartition("block"), "blocks")
+
+
+def rated(held: DataFrame, met: DataFrame, low: float) -> DataFrame:
+    """All pairs ``a, b, similarity`` with a Jaccard ratio of ``low`` or more inside ``blocks`` and of the blocks ``row, col`` that met.
+
+    A cell's sets are sent once for all its pairs.
+    """
+    sizes = held.groupBy("block").agg(F.count(F.lit(1)).alias("sets"))
+    alone = sizes.filter("sets > 1").select(F.col("block").alias("row"), F.col("block").alias("col"))
+    cells = materialize(met.unionByName(alone), "cells")
+    load = cells.join(sizes.withColumnRenamed("block", "row"), "row").agg(F.sum("sets")).first()[0] or 0
+    dealt = cells.withColumn("task", F.pmod(F.xxhash64("row", "col"), F.lit(max(1, math.ceil(2 * load / DEALT)))))
+    sides = [held.join(c.withColumn("block", F.col(at)), "block").select("task", "row", "col", F.lit(side).alias("side"), "key", "n", "own") for side, at, c in ((0, "row", dealt), (1, "col", dealt.filter("row <> col")))]
+    return sides[0].unionByName(sides[1]).groupBy("task").applyInArrow(lambda t: _rated(t, low), "a long, b long, similarity double")

@@ -118,7 +118,7 @@ def test_similar_content_in_many_fragments_keeps_no_tokens_of_texts_without_a_ne
     written = []
     for module in (A, S):
         monkeypatch.setattr(module, "materialize", lambda df, name, write=module.materialize: written.append(write(df, name)) or written[-1])
-    for name, value in (("FRAGMENT", 300), ("TOGETHER", 500), ("GATHERED", 2), ("SEEN", 7)):
+    for name, value in (("FRAGMENT", 300), ("TOGETHER", 500), ("GATHERED", 2), ("SEEN", 7), ("BLOCK", 1), ("DEALT", 6), ("COLUMNS", 5)):
         monkeypatch.setattr(S, name, value)
     got = {(r.disaster_id, r.id_a, r.id_b): (r.n_a, r.n_b, r.similarity) for r in A.similar_content(table).collect()}
 
@@ -140,6 +140,25 @@ def test_similar_content_in_many_fragments_keeps_no_tokens_of_texts_without_a_ne
     assert held and sum(t.count() for t in held) < len(texts) / 2
 
 
+def test_a_group_of_near_copies_meets_in_blocks(spark, monkeypatch):
+    rng = random.Random(6)
+    base = [f"w{rng.randrange(5000)}" for _ in range(300)]
+    texts = []
+    for k in range(200):
+        words = list(base)
+        for _ in range(1 + k % 4):
+            words[rng.randrange(len(words))] = f"x{rng.randrange(5000)}"
+        texts.append(words)
+    table = spark.createDataFrame([("d", k, " ".join(t)) for k, t in enumerate(texts)], "disaster_id string, ord long, article_text string")
+    made, search = [], A._candidates
+    monkeypatch.setattr(A, "_candidates", lambda *args: made.append(search(*args)) or made[-1])
+    got = {(r.id_a, r.id_b): r.similarity for r in A.similar_content(table).collect()}
+    sets = [{tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in texts]
+    expected = {(i, j): found for i, x in enumerate(sets) for j, y in enumerate(sets) if i < j and (found := ratio(x, y)) >= 0.8}
+    assert got == pytest.approx(expected) and len(expected) > 15_000
+    assert made[0].count() < len(expected) / 4
+
+
 def test_similarity_is_symmetric(spark):
     pair = spark.createDataFrame([("abcd", "bcde"), ("", ""), ("", "a"), ("x", "x")], "a string, b string")
     there = [r[0] for r in pair.select(A.similarity(F.col("a"), F.col("b"))).collect()]
