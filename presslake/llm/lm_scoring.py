@@ -34,8 +34,12 @@ ROUNDS = 3
 SHARE = 2_400_000
 #: Tokens of documents that are scored together, and those that a copy holds at once. Bounds on what a task holds.
 TOGETHER, HELD = 1_500_000, 4_800_000
+#: Steps whose gates' slopes are found at once, and the rows from which a word's are summed by themselves.
+FEW, TURNS = 8, 16
+#: Places of a class that may be left empty for working on it with its neighbours.
+EMPTY = 48
 #: Parameters that are updated at once.
-BLOCK = 16_384
+BLOCK = 32_768
 
 
 # ---------------------------------------------------------------- word counts
@@ -147,6 +151,38 @@ def lexicon(training: DataFrame, head: int = HEAD, size: int = WORDS) -> tuple[L
 # ---------------------------------------------------------------- the network
 
 
+def summed(rows: np.ndarray, names: np.ndarray, n: int) -> np.ndarray:
+    """Sums of (gates, rows, numbers) over the rows of each name 0 to n - 1; each name has a row."""
+    sizes = np.bincount(names, minlength=n)
+    ranked = np.argsort(-sizes, kind="stable")
+    sizes = sizes[ranked]
+    rank = np.empty(n, np.intp)
+    rank[ranked] = np.arange(n)
+    names = rank[names]
+    order = np.argsort(names.astype(np.uint16) if n <= 1 << 16 else names, kind="stable")
+    names, starts = names[order], np.cumsum(sizes) - sizes
+    out = np.empty((len(rows), n, rows.shape[2]), rows.dtype)
+    # A frequent name is a slice of its own. The others go by turns: first rows, second rows, and so on, so that a turn is a
+    # slice that is added to the first names.
+    often = int(np.searchsorted(-sizes, -TURNS))
+    cut = int(sizes[:often].sum())
+    turn = np.arange(cut, len(order)) - starts[names[cut:]]
+    many = np.bincount(turn)
+    begin = np.cumsum(many) - many
+    place = np.empty(len(order) - cut, np.intp)
+    place[begin[turn] + names[cut:] - often] = order[cut:]
+    laid = rows.take(np.concatenate([order[:cut], place]), axis=1)
+    ones = np.ones(sizes[:1].max(initial=0), rows.dtype)
+    for k in range(often):
+        np.matmul(ones[: sizes[k]], laid[:, starts[k] : starts[k] + sizes[k]], out=out[:, k])
+    for k, (low, size) in enumerate(zip((cut + begin).tolist(), many.tolist(), strict=True)):
+        if k:
+            out[:, often : often + size] += laid[:, low : low + size]
+        else:
+            out[:, often:] = laid[:, low : low + size]
+    return out.take(rank, axis=1)
+
+
 class Network:
     """One gated recurrent layer; ``x`` is looked up, so the input's weights are a table."""
 
@@ -171,122 +207,131 @@ class Network:
         p, s = self.p, h.shape[1]
         lanes, steps = inputs.shape
         kind = p["u"].dtype
-        # What an input adds is summed up per word of the vocabulary. Half of a gate's, as its sigmoid is made from a tanh.
-        table = p["x"] + p["b"]
-        steps_in = inputs.T
-        gates, new = (0.5 * table[:, : 2 * s])[steps_in], table[:, 2 * s :].copy()[steps_in]
-        half = 0.5 * p["u"]
+        # What an input adds is summed up once for each word that occurs. Half of a gate's, as its sigmoid is made from a tanh.
+        seen = np.flatnonzero(np.bincount(inputs.ravel(), minlength=self.vocab))
+        number = np.zeros(self.vocab, np.intp)
+        number[seen] = np.arange(len(seen))
+        at = number[inputs.T]
+        # Each gate lies by itself, so that all its lanes are one stretch of memory.
+        table = (p["x"][seen] + p["b"]).reshape(-1, 3, s).transpose(1, 0, 2).copy()
+        table[:2] *= 0.5
+        half, v = (0.5 * p["u"]).reshape(s, 2, s).transpose(1, 0, 2).copy(), p["v"]
+        held = steps if keep is not None else 1
+        gates = np.take(table, at, axis=1) if keep is not None else np.empty((3, 1, lanes, s), kind)
+        reset, apart = np.empty((held, lanes, s), kind), np.empty((held, lanes, s), kind)
         states = np.empty((steps, lanes, s), kind)
-        before, reset = (np.empty((steps, lanes, s), kind) for _ in range(2)) if keep is not None else (None, None)
-        two, one = np.empty((lanes, 2 * s), kind), np.empty((lanes, s), kind)
-        starts = fresh.any(0).tolist()
+        two, one = np.empty((2, lanes, s), kind), np.empty((lanes, s), kind)
+        starts, h = fresh.any(0).tolist(), h.astype(kind)
         for t in range(steps):
             if starts[t]:
                 h = h * ~fresh[:, t, None]
-            zr, n, after = gates[t], new[t], states[t]
+            k, after = t % held, states[t]
+            rh, gap = reset[k], apart[k]
+            if keep is None:
+                np.take(table, at[t], axis=1, out=gates[:, 0], mode="clip")
+            zr, n = gates[:2, k], gates[2, k]
             zr += np.matmul(h, half, out=two)
             np.tanh(zr, out=zr)
             zr *= 0.5
             zr += 0.5
-            if keep is None:
-                rh = np.multiply(zr[:, s:], h, out=one)
-                n += rh @ p["v"]
-            else:
-                before[t] = h
-                rh = np.multiply(zr[:, s:], h, out=reset[t])
-                n += np.matmul(rh, p["v"], out=one)
+            np.multiply(zr[1], h, out=rh)
+            n += np.dot(rh, v, out=one)
             np.tanh(n, out=n)
-            np.subtract(h, n, out=after)
-            after *= zr[:, :s]
+            np.subtract(h, n, out=gap)
+            np.multiply(gap, zr[0], out=after)
             after += n
             h = after
         if keep is not None:
-            keep.extend((before, gates, reset, new, starts))
+            keep.extend((gates, reset, apart, starts, seen, at))
         return states, h.copy()
 
     def log_probabilities(self, states: np.ndarray, targets: np.ndarray, gradients: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """Natural log-probabilities of flat targets; with ``gradients``, also adds theirs and returns the states'."""
-        p, s = self.p, states.shape[1]
-        # Rows by class, so that a class is a slice; a last column of ones takes the biases along. Outputs are rows, tokens
-        # are columns: sums over outputs then run along whole rows.
+        p, s, n = self.p, states.shape[1], len(targets)
+        # Rows by class, so that a class is a slice. Rare classes have few tokens each: neighbours are worked on together,
+        # each with as many places as the largest of them has tokens, while that leaves few places empty.
         classes = (targets // self.width).astype(np.int16)
         order = np.argsort(classes, kind="stable")
-        classes = classes[order]
-        x = np.ones((len(targets), s + 1), np.result_type(states, p["w"]))
-        x[:, :s] = states[order]
-        own, each = targets[order] - classes * np.int32(self.width), np.arange(len(targets))
-        into = np.concatenate([p["c"], p["cb"][None]])
-        words = np.concatenate([p["w"], p["wb"][:, None]], 1)
-        # States are between -1 and 1, so no output is beyond the sum of its weights; only large ones could overflow.
-        safe = max(np.abs(into).sum(0).max(), np.abs(words).sum(1).max()) < 60
-        e = into.T @ x.T
-        if not safe:
-            e -= e.max(0)
-        out = e[classes, each]
-        np.exp(e, out=e)
-        total = e.sum(0)
-        back = None
-        if gradients is not None:
-            e /= total
-            e[classes, each] -= 1
-            made = x.T @ e.T
-            gradients["c"] += made[:s]
-            gradients["cb"] += made[s]
-            back = e.T @ into[:s].T
-        bounds = np.searchsorted(classes, np.arange(self.classes + 1))
-        # Rare classes have few tokens each: neighbours are worked on together, filled up to the largest of them.
-        low = 0
+        classes = classes[order].astype(np.intp)
+        sizes = np.bincount(classes, minlength=self.classes)
+        firsts, bases, spans, low, places, counts = np.cumsum(sizes) - sizes, np.zeros(self.classes, np.intp), [], 0, 0, sizes.tolist()
         while low < self.classes:
-            high = min(2 * low if low else 1, self.classes)
-            most = int(np.diff(bounds[low : high + 1]).max())
+            high, most = low + 1, counts[low]
+            while high < self.classes and (high - low) * max(0, counts[high] - most) + max(0, most - counts[high]) <= EMPTY:
+                most, high = max(most, counts[high]), high + 1
             if most:
-                self._inside(slice(low, high), most, x, words, bounds, own, out, total, safe, gradients, back)
+                bases[low:high] = places + most * np.arange(high - low)
+                spans.append((low, high, most, places))
+                places += most * (high - low)
             low = high
-        out -= np.log(total)
-        place = np.empty(len(order), np.int64)
-        place[order] = each
-        return out[place], None if back is None else back[place]
-
-    def _inside(self, span: slice, most: int, x: np.ndarray, words: np.ndarray, bounds: np.ndarray, own: np.ndarray, out: np.ndarray, total: np.ndarray, safe: bool, gradients: dict | None, back: np.ndarray | None) -> None:
-        """The share of words inside the classes of ``span``: onto ``out``, times ``total``, and onto the gradients."""
-        s, n = x.shape[1] - 1, span.stop - span.start
-        first, last = span.start * self.width, min(span.stop * self.width, self.vocab)
-        w = np.zeros((n * self.width, s + 1), words.dtype)
-        w[: max(0, last - first)] = words[first:last]
-        w[max(0, last - first) :, s] = -1e30  # numbers of the last class that no word has
-        w = w.reshape(n, self.width, s + 1)
-        starts, sizes = bounds[span.start : span.stop, None], np.diff(bounds[span.start : span.stop + 1])[:, None]
-        place = np.arange(most)
-        real = place < sizes
-        at = np.where(real, starts + place, 0)
-        part = x[at]
-        e = np.matmul(w, part.transpose(0, 2, 1))
+        place = (bases - firsts)[classes] + np.arange(n)
+        at = np.zeros(places, np.intp)
+        at[place] = order
+        # A last column of ones takes the biases along.
+        x = np.ones((places, s + 1), np.result_type(states, p["w"]))
+        x[:, :s] = states.take(at, axis=0)
+        real = np.zeros(places, x.dtype)
+        real[place] = 1
+        into = np.concatenate([p["c"], p["cb"][None]])
+        words = np.zeros((self.classes * self.width, s + 1), x.dtype)
+        words[: self.vocab, :s], words[: self.vocab, s] = p["w"], p["wb"]
+        # States are between -1 and 1, so no output is beyond the sum of its weights; only large ones could overflow.
+        ones = np.ones(s + 1, x.dtype)
+        safe = max((ones @ np.abs(into)).max(), (np.abs(words) @ ones).max()) < 60
+        words[self.vocab :, s] = -1e30  # numbers of the last classes that no word has
+        words = words.reshape(self.classes, self.width, s + 1)
+        turned = words.transpose(0, 2, 1).copy()
+        one, each = np.ones(self.classes, x.dtype), np.ones(self.width, x.dtype)
+        e = x @ into
         if not safe:
             e -= e.max(1, keepdims=True)
-        rows = at[real]
-        hit = (*np.nonzero(real), own[rows])
-        hit = (hit[0], hit[2], hit[1])
-        out[rows] += e[hit]
+        flat, hit = e.reshape(-1), place * self.classes + classes
+        out = flat[hit]
         np.exp(e, out=e)
-        sums = e.sum(1)
-        total[rows] *= sums[real]
+        total = e @ one
+        back = None
         if gradients is not None:
-            e /= sums[:, None]
-            e[hit] -= 1
-            if not real.all():
-                e *= real[:, None]
-            made = np.matmul(e, part).reshape(n * self.width, s + 1)[: last - first]
-            gradients["w"][first:last] += made[:, :s]
-            gradients["wb"][first:last] += made[:, s]
-            back[rows] += np.matmul(e.transpose(0, 2, 1), w[:, :, :s])[real]
+            e *= (real / total)[:, None]
+            flat[hit] -= 1
+            made = e.T @ x
+            gradients["c"] += made[:, :s].T
+            gradients["cb"] += made[:, s]
+            back = e @ p["c"].T.copy()
+        own = targets[order] - classes * self.width
+        for low, high, most, begin in spans:
+            # The share of words inside these classes: onto ``out``, times ``total``, and onto the gradients.
+            many, rows = high - low, slice(begin, begin + (high - low) * most)
+            tokens = slice(firsts[low], firsts[high - 1] + sizes[high - 1])
+            part = x[rows].reshape(many, most, s + 1)
+            e = np.matmul(part, turned[low:high])
+            if not safe:
+                e -= e.max(2, keepdims=True)
+            flat, hit = e.reshape(-1), (place[tokens] - begin) * self.width + own[tokens]
+            out[tokens] += flat[hit]
+            np.exp(e, out=e)
+            sums = e @ each
+            total[rows] *= sums.ravel()
+            if gradients is not None:
+                here = real[rows].reshape(many, most)
+                e *= (here / (sums + (1 - here)))[:, :, None]
+                flat[hit] -= 1
+                first, last = low * self.width, min(high * self.width, self.vocab)
+                made = np.matmul(e.transpose(0, 2, 1), part).reshape(-1, s + 1)[: max(0, last - first)]
+                gradients["w"][first:last] += made[:, :s]
+                gradients["wb"][first:last] += made[:, s]
+                back[rows] += np.matmul(e, words[low:high, :, :s]).reshape(-1, s)
+        out -= np.log(total[place])
+        logs, where = np.empty_like(out), np.empty(n, np.intp)
+        logs[order], where[order] = out, place
+        return logs, None if back is None else back.take(where, axis=0)
 
     def slopes(self, inputs: np.ndarray, targets: np.ndarray, fresh: np.ndarray, real: np.ndarray, h: np.ndarray, g: dict) -> tuple[float, np.ndarray]:
         """Loss and last state of one window; adds the loss' gradients to ``g``. No gradient goes beyond the window."""
         p, s = self.p, h.shape[1]
         keep: list = []
         states, last = self.run(inputs, fresh, h, keep)
-        before, gates, reset, new, starts = keep
-        steps, lanes = states.shape[:2]
+        gates, reset, apart, starts, seen, at = keep
+        steps, lanes = at.shape
         mask = real.T.ravel()
         flat, wanted = states.reshape(-1, s), targets.T.ravel()
         if mask.all():
@@ -296,40 +341,44 @@ class Network:
             back = np.zeros((len(mask), s), some.dtype)
             back[mask] = some
         back = back.reshape(states.shape)
-        z, r = gates[:, :, :s], gates[:, :, s:]
-        # How the states' gradients pass each gate, for all steps at once.
-        to_n, to_z, to_r, left = new * new, before - new, before * r, 1 - z
-        np.subtract(1, to_n, out=to_n)
-        to_n *= left
-        left *= z
-        to_z *= left
-        np.subtract(1, r, out=left)
-        to_r *= left
-        d, turned = np.zeros((lanes, s), states.dtype), np.empty((lanes, s), states.dtype)
-        da = np.empty((steps, lanes, 3 * s), states.dtype)
-        dzr, dn = da[:, :, : 2 * s], da[:, :, 2 * s :]
-        v, u = p["v"].T, p["u"].T
-        for t in range(steps - 1, -1, -1):
-            d += back[t]
-            np.multiply(d, to_n[t], out=dn[t])
-            np.multiply(d, to_z[t], out=dzr[t, :, :s])
-            drh = np.matmul(dn[t], v, out=turned)
-            np.multiply(drh, to_r[t], out=dzr[t, :, s:])
-            d *= z[t]
-            drh *= r[t]
-            d += drh
-            d += np.matmul(dzr[t], u, out=turned)
-            if starts[t]:
-                d *= ~fresh[:, t, None]
-        da = da.reshape(-1, 3 * s)
-        g["v"] += reset.reshape(-1, s).T @ da[:, 2 * s :]
-        g["u"] += before.reshape(-1, s).T @ da[:, : 2 * s]
-        ids = inputs.T.ravel()
-        order = np.argsort(ids.astype(np.uint16) if self.vocab <= 1 << 16 else ids, kind="stable")
-        ids = ids[order]
-        first = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
-        sums = np.add.reduceat(da[order], first, axis=0)
-        g["x"][ids[first]] += sums
+        d, turned, two = np.zeros((lanes, s), states.dtype), np.empty((lanes, s), states.dtype), np.empty((2, lanes, s), states.dtype)
+        da = np.empty((3, steps, lanes, s), states.dtype)
+        u, v = p["u"].T.reshape(2, s, s).copy(), p["v"].T.copy()
+        for first in range((steps - 1) // FEW * FEW, -1, -FEW):
+            # How the states' gradients pass each gate: for a few steps at once, which stay in the processor's cache.
+            few = slice(first, first + FEW)
+            (z, r, n), (to_z, to_r, to_n) = gates[:, few], da[:, few]
+            np.subtract(1, z, out=to_z)
+            np.multiply(n, n, out=to_n)
+            np.subtract(1, to_n, out=to_n)
+            to_n *= to_z
+            to_z *= z
+            to_z *= apart[few]
+            np.subtract(1, r, out=to_r)
+            to_r *= reset[few]
+            for t in range(min(first + FEW, steps) - 1, first - 1, -1):
+                d += back[t]
+                dzn, dr = da[::2, t], da[1, t]
+                dzn *= d
+                drh = np.dot(da[2, t], v, out=turned)
+                dr *= drh
+                d *= gates[0, t]
+                drh *= gates[1, t]
+                d += drh
+                np.matmul(da[:2, t], u, out=two)
+                d += two[0]
+                d += two[1]
+                if starts[t]:
+                    d *= ~fresh[:, t, None]
+        da = da.reshape(3, -1, s)
+        before = np.concatenate([h.astype(states.dtype)[None], states[:-1]])
+        before[fresh.T] = 0
+        before = before.reshape(-1, s).T
+        g["u"][:, :s] += before @ da[0]
+        g["u"][:, s:] += before @ da[1]
+        g["v"] += reset.reshape(-1, s).T @ da[2]
+        sums = summed(da, at.ravel(), len(seen)).swapaxes(0, 1).reshape(len(seen), 3 * s)
+        g["x"][seen] += sums
         g["b"] += sums.sum(0)
         return -float(logs.sum()), last
 
@@ -376,8 +425,13 @@ class Lanes:
             active = int(np.searchsorted(-self.sizes, -at, side="left"))
             n = min(longest - at, steps or max(16, min(2048, tokens // active)))
             place = at + np.arange(n)
-            real = place[None] < self.sizes[:active, None]
-            yield active, np.where(real, self.starts[:active, None] + place, 0), real
+            index = self.starts[:active, None] + place
+            if at + n <= self.sizes[active - 1]:
+                real = np.ones(index.shape, bool)
+            else:
+                real = place[None] < self.sizes[:active, None]
+                index = np.where(real, index, 0)
+            yield active, index, real
             at += n
 
 
@@ -397,7 +451,7 @@ def train_part(net: Network, docs: list[np.ndarray], lanes: int = 96, steps: int
     net.p = _views(flat, net.p)
     grown, m, v = (np.zeros_like(flat) for _ in range(3))
     g, spare = _views(grown, net.p), np.empty(min(BLOCK, len(flat)), flat.dtype)
-    total, step = 0, 0
+    total, step, was = 0, 0, 1.0
     for active, index, real in laid.windows(0, steps):
         _, last = net.slopes(laid.inputs[index], laid.targets[index], laid.fresh[index] & real, real, h[:active], g)
         h[:active] = last
@@ -407,19 +461,20 @@ def train_part(net: Network, docs: list[np.ndarray], lanes: int = 96, steps: int
         norm = math.sqrt(float(grown @ grown)) / n_real
         scale = min(1.0, 1.0 / (norm + 1e-9)) / n_real
         size = rate * min(1.0, step / 20) * math.sqrt(1 - 0.999**step) / (1 - 0.9**step)
-        # Adam, a block that stays in the processor's cache at a time; ``m`` and ``v`` are 10 and 1,000 times the means.
+        # Adam, a block that stays in the processor's cache at a time; ``m`` and ``v`` are 10 and 1,000 times the means, of
+        # gradients that lack this step's ``scale``: bringing them to it costs no further pass.
+        old, was = was / scale, scale
         for at in range(0, len(flat), BLOCK):
             own, gb, mb, vb = (x[at : at + BLOCK] for x in (flat, grown, m, v))
             tmp = spare[: len(gb)]
-            gb *= scale
-            mb *= 0.9
+            mb *= 0.9 * old
             mb += gb
-            vb *= 0.999
+            vb *= 0.999 * old * old
             gb *= gb
             vb += gb
             gb.fill(0)
             np.sqrt(vb, out=tmp)
-            tmp += 1e-8 * 1000**0.5
+            tmp += 1e-8 * 1000**0.5 / scale
             np.divide(mb, tmp, out=tmp)
             tmp *= size * 0.1 * 1000**0.5
             own -= tmp
@@ -437,8 +492,11 @@ def score_docs(net: Network, docs: list[np.ndarray]) -> np.ndarray:
         states, last = net.run(laid.inputs[index], laid.fresh[index] & real, h[:active])
         h[:active] = last
         mask = real.T.ravel()
-        logs, _ = net.log_probabilities(states.reshape(-1, h.shape[1])[mask], laid.targets[index].T.ravel()[mask])
-        out += np.bincount(laid.owner[index].T.ravel()[mask], weights=logs, minlength=len(out))
+        flat, place = states.reshape(-1, h.shape[1]), index.T.ravel()
+        if not mask.all():
+            flat, place = flat[mask], place[mask]
+        logs, _ = net.log_probabilities(flat, laid.targets[place])
+        out += np.bincount(laid.owner[place], weights=logs, minlength=len(out))
     return out
 
 

@@ -180,6 +180,47 @@ def test_gradients_match_differences(monkeypatch):
         assert g[at] * real.sum() == pytest.approx((values[0] - values[1]) / 2e-5, rel=1e-3, abs=1e-5)
 
 
+def test_the_output_layer_works_on_little_more_than_its_tokens(monkeypatch):
+    rng = np.random.default_rng(3)
+    net = lm_scoring.Network.new(64, 4, 8, rng.integers(1, 50, 64).astype(float))
+    # Of the neighbours 2 and 3, and of 4 to 7, one class has nearly all tokens.
+    targets = np.concatenate([rng.integers(24, 32, 3_000), rng.integers(56, 64, 3_000), [16, 33, 41]])
+    worked, exp = [], np.exp
+    monkeypatch.setattr(lm_scoring.np, "exp", lambda x, **more: worked.append(np.size(x)) or exp(x, **more))
+    states = rng.uniform(-1, 1, (len(targets), 4)).astype(np.float32)
+    net.log_probabilities(states, targets, {k: np.zeros_like(v) for k, v in net.p.items()})
+    assert sum(worked) < 1.1 * len(targets) * (8 + 8)
+
+
+@pytest.mark.parametrize("large", [1, 100])
+def test_output_layer_equals_a_plain_one(large):
+    rng = np.random.default_rng(4)
+    net = lm_scoring.Network.new(22, 4, 5, rng.integers(1, 50, 22).astype(float))  # the last class lacks three words
+    p = net.p = {k: v.astype(np.float64) * large for k, v in net.p.items()}
+    states, targets = rng.uniform(-1, 1, (300, 4)), np.minimum(rng.exponential(6, 300).astype(int), 21)
+    g = {k: np.zeros_like(v) for k, v in p.items()}
+    logs, back = net.log_probabilities(states, targets, g)
+    plain, slopes, to_w = [], [], np.zeros_like(p["w"])
+    for h, target in zip(states, targets, strict=True):
+        c, first = target // 5, target // 5 * 5
+        tops, inner = h @ p["c"] + p["cb"], p["w"][first : first + 5] @ h + p["wb"][first : first + 5]
+        tops, inner = tops - np.logaddexp.reduce(tops), inner - np.logaddexp.reduce(inner)
+        plain.append(tops[c] + inner[target - first])
+        off, wrong = np.exp(tops) - (np.arange(5) == c), np.exp(inner) - (np.arange(len(inner)) == target - first)
+        slopes.append(p["c"] @ off + wrong @ p["w"][first : first + 5])
+        to_w[first : first + 5] += wrong[:, None] * h
+    assert logs == pytest.approx(np.array(plain)) and back == pytest.approx(np.array(slopes), abs=1e-9) and g["w"] == pytest.approx(to_w, abs=1e-9)
+
+
+def test_sums_by_name_of_frequent_and_of_rare_names():
+    rng = np.random.default_rng(6)
+    for names in (np.minimum(rng.exponential(9, 900).astype(int), 70), np.arange(40), np.zeros(200, int), np.arange(64) // 16):
+        names = np.unique(names, return_inverse=True)[1]
+        rows = rng.standard_normal((3, len(names), 4))
+        got = lm_scoring.summed(rows, names, int(names.max()) + 1)
+        assert got == pytest.approx(np.stack([rows[:, names == k].sum(1) for k in range(names.max() + 1)], axis=1))
+
+
 def test_scores_of_awkward_rows(make):
     rows = [(k, f"some words of text {k % 3}") for k in range(30)] + [(100, None), (None, ""), (101, "y" * 50_000), (101, "y" * 50_000)]
     got = lm_scoring.score_documents(make(rows).withColumnRenamed("n_chars", "score")).collect()
