@@ -5,7 +5,7 @@ are one member from the start. The join is exact. Of word five-grams, two sets t
 tokens of both, as many as the ratio allows to miss, so only these prefixes are joined, block by block; sizes and places
 of the token exclude most pairs of blocks inside the join, and whole sets are compared for the rest. Which texts share
 enough tokens at all is found on packed arrays (``shingles.members``). Titles share trigrams and letters with most others,
-so such an index would list nearly all pairs; their candidates come from cells (``cells.dense_candidates``).
+so such an index would list nearly all pairs; they are compared in cells (``cells.dense_pairs``).
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from presslake.functions.blocks import ratio_of_least
 from presslake.functions.text import let
-from presslake.operators.cells import dense_candidates
+from presslake.operators.cells import dense_pairs
 from presslake.operators.shingles import MARKS, blocks, members, prefix, rated
 from presslake.sources.workspace import materialize
 
@@ -75,15 +75,6 @@ def distinct_titles(articles: DataFrame, *scope: str) -> DataFrame:
     )
 
 
-def _similar_titles(sets: DataFrame, scope: list[str], low: float) -> DataFrame:
-    """All pairs ``scope, a, b, similarity`` of ``scope, id, tokens`` (hashes); ``a`` is the smaller id."""
-    found = dense_candidates(sets, scope, low)
-    pairs = found.select(*scope, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    side = lambda k: sets.select(*scope, F.col("id").alias(k), F.col("tokens").alias(f"tokens_{k}"))
-    rated = pairs.join(side("a"), [*scope, "a"]).join(side("b"), [*scope, "b"]).withColumn("similarity", jaccard(F.col("tokens_a"), F.col("tokens_b")))
-    return rated.filter(F.col("similarity") >= low - 1e-12).select(*scope, "a", "b", "similarity")
-
-
 def _letters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Every character of ``t`` with the number of its occurrences so far, so that a set of them is the multiset."""
     for batch in batches:
@@ -118,7 +109,8 @@ def similar_titles(articles: DataFrame, low: float | None = None, scope: tuple[s
     if metric == "blocks":
         return _similar_blocks(titles, 0.8 if low is None else low, list(scope))
     grams = materialize(titles.select(*scope, "id", F.transform(trigrams(F.col("t")), lambda g: F.xxhash64(g)).alias("tokens")), "sets")
-    pairs = _similar_titles(grams, list(scope), 0.6 if low is None else low)
+    found = dense_pairs(grams, list(scope), 0.6 if low is None else low)
+    pairs = found.select(*scope, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "similarity")
     side = lambda k: titles.select(*scope, F.col("id").alias(k), F.col("t").alias(f"title_{k}"), F.col("n").alias(f"n_{k}"))
     named = pairs.join(side("a"), [*scope, "a"]).join(side("b"), [*scope, "b"])
     return named.select(*scope, F.col("a").alias("id_a"), F.col("b").alias("id_b"), "title_a", "title_b", "n_a", "n_b", "similarity")
@@ -129,7 +121,7 @@ def _similar_blocks(titles: DataFrame, low: float, scope: list[str]) -> DataFram
     texts = titles.select(*scope, "id", "t")
     sets = texts.mapInArrow(_letters, T.StructType([*texts.schema.fields, T.StructField("tokens", T.ArrayType(T.StringType()))]))
     hashed = sets.select(*texts.columns, F.transform("tokens", lambda c: F.xxhash64(c)).alias("tokens"))
-    found = dense_candidates(hashed, scope, share, letters=low)
+    found = dense_pairs(hashed, scope, share, letters=low)
     pairs = found.select(*scope, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     side = lambda k: titles.select(*scope, F.col("id").alias(f"id_{k}"), F.col("t").alias(f"title_{k}"), F.col("n").alias(f"n_{k}"))
     named = pairs.withColumnsRenamed({"a": "id_a", "b": "id_b"}).join(side("a"), [*scope, "id_a"]).join(side("b"), [*scope, "id_b"])

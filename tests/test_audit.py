@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -298,3 +299,78 @@ def test_common_letters_of_many_pairs():
         got = C._alike(texts, texts, i, j, low)
         expected = [len(texts[a]) > 64 or 2 * B.common_letters(texts[a], texts[b]) >= low * (len(texts[a]) + len(texts[b])) - 1e-9 for a, b in zip(i.tolist(), j.tolist())]
         assert got.tolist() == expected
+
+
+def rare_titles(seed: int, n: int) -> list[str]:
+    """Near copies in two alphabets, some words in one title only, long runs of the same few letters."""
+    rng = random.Random(seed)
+    out = []
+    while len(out) < n:
+        parts = rng.choice([["th", "er", "on", "an", "re", "he", "in", " "], ["бу", "ря", "на", "ре", "ке", "во", "да", " "]])
+        title = "".join(rng.choice(parts) for _ in range(rng.randint(4, 60))) + chr(0x4E00 + rng.randrange(3000)) * rng.randint(0, 3)
+        out += [title, title[: len(title) // 8] + "q" + title[len(title) // 8 :], title[3:] + "on", title * 2]
+    return out[:n]
+
+
+def cell_sides(texts: list[str], known: int):
+    """A block with those of its trigrams that ``known`` sets or more have as numbers, the others as hashes."""
+    sets = [sorted(grams(t)) for t in texts]
+    often = sorted({g for s in sets for g in s if sum(g in other for other in sets) >= known})
+    names, code = {g: k for k, g in enumerate(often)}, {g: k for k, g in enumerate(sorted({g for s in sets for g in s}))}
+    numbers = [np.array([names[g] for g in s if g in names], "<u2").tobytes() for s in sets]
+    others = [np.array([code[g] - 50 for g in s if g not in names], "<i8").tobytes() for s in sets]
+    return pa.table({"id": list(range(len(sets))), "n": [len(s) for s in sets], "numbers": pa.array(numbers, pa.binary()), "others": pa.array(others, pa.binary())})
+
+
+@pytest.mark.parametrize("low", [0.3, 0.6, 0.9])
+@pytest.mark.parametrize("small", [True, False])
+def test_a_cell_finds_all_pairs(monkeypatch, low, small):
+    if small:  # many tiles, few columns and bits, columns that are tried out
+        for name, value in (("TILE", 8), ("TOGETHER", 200), ("BITS", 64), ("SMALL", 0), ("TRIED", 20), ("COLUMNS", (8, 16, 32)), ("LEFT_OUT", (0, 5))):
+            monkeypatch.setattr(C, name, value)
+    texts = rare_titles(8, 200)
+    sets, table = [grams(t) for t in texts], cell_sides(texts, 3)
+    one, even, odd = C._Side(table), C._Side(table.take(list(range(0, 200, 2)))), C._Side(table.take(list(range(1, 200, 2))))
+    for x, y, allowed in ((one, one, lambda i, j: i < j), (even, odd, lambda i, j: i < j and (i + j) % 2)):
+        got = {}
+        for i, j, similarity in C._pairs(x, y, low, None):
+            for a, b, r in zip(i.tolist(), j.tolist(), similarity.tolist(), strict=True):
+                key = tuple(sorted((x.ids[a].as_py(), y.ids[b].as_py())))
+                assert key not in got
+                got[key] = r
+        assert got == {(i, j): pytest.approx(r) for i, s in enumerate(sets) for j, t in enumerate(sets) if allowed(i, j) and (r := ratio(s, t)) >= low}
+        assert len(got) > 10
+
+
+def test_titles_with_rare_trigrams_in_small_blocks(spark, monkeypatch):
+    for name, value in (("LEAST", 8), ("NUMBERS", 40), ("TOKENS", 300)):
+        monkeypatch.setattr(C, name, value)
+    texts = rare_titles(9, 160)
+    table = spark.createDataFrame(list(enumerate(texts)), "ord long, title string")
+    got = {(r.id_a, r.id_b): r.similarity for r in A.similar_titles(table).collect()}
+    first = {}
+    for k, t in enumerate(texts):
+        first.setdefault(t.lower(), k)
+    distinct = list(first.items())
+    expected = {(i, j): found for x, (a, i) in enumerate(distinct) for b, j in distinct[x + 1 :] if (found := ratio(grams(a), grams(b))) >= 0.6}
+    assert got == pytest.approx(expected) and len(expected) > 30
+
+
+def test_sets_do_not_travel_with_each_pair(spark):
+    """What a pair has in common is counted in its cell; no trigrams are joined to the pairs afterwards."""
+    table = spark.createDataFrame(list(enumerate(syllable_titles(3, 60))), "ord long, title string")
+    plan = A.similar_titles(table)._jdf.queryExecution().toString()
+    assert "tokens" not in plan and "array_intersect" not in plan
+
+
+def test_few_pairs_of_unlike_sets_are_multiplied(monkeypatch):
+    """Titles of two alphabets have no near copies in the other one, and most sizes exclude each other."""
+    rng = random.Random(12)
+    alphabets = [["th", "er", "on", "an", "re", "he", "in", " "], ["бу", "ря", "на", "ре", "ке", "во", "да", " "]]
+    texts = ["".join(rng.choice(alphabets[k % 2]) for _ in range(rng.randint(4, 60))) for k in range(600)]
+    monkeypatch.setattr(C, "TILE", 32)
+    rows, matrix = [], C._Side.matrix
+    monkeypatch.setattr(C._Side, "matrix", lambda self, *args: rows.append(len(got := matrix(self, *args))) or got)
+    side = C._Side(cell_sides(texts, 1))
+    list(C._pairs(side, side, 0.6, None))
+    assert sum(a * b for a, b in zip(rows[::2], rows[1::2], strict=True)) < 0.45 * 600 * 599 / 2
