@@ -14,6 +14,7 @@ from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -75,6 +76,21 @@ def distinct_titles(articles: DataFrame, *scope: str) -> DataFrame:
     )
 
 
+def _trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Instead of ``t`` the ``tokens``: its ``trigrams``, as numbers that have 21 bits for each character."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, 500):
+            part = batch.slice(first, 500)
+            texts = part.column("t").to_pylist()
+            codes = np.frombuffer("".join(f"\u0002\u0002{t}\u0003\u0003" for t in texts).encode("utf-32-le"), "<u4").astype(np.int64)
+            grams = codes[:-2] << 42 | codes[1:-1] << 21 | codes[2:]
+            ends = np.cumsum([len(t) + 4 for t in texts]).tolist()
+            sets = [np.unique(grams[e - len(t) - 4 : e - 2]) if t else grams[:0] for t, e in zip(texts, ends, strict=True)]
+            lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum([len(s) for s in sets])), pa.int32()), pa.array(np.concatenate(sets)))
+            kept = [name for name in part.schema.names if name != "t"]
+            yield pa.RecordBatch.from_arrays([*[part.column(name) for name in kept], lists], names=[*kept, "tokens"])
+
+
 def _letters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Every character of ``t`` with the number of its occurrences so far, so that a set of them is the multiset."""
     for batch in batches:
@@ -108,7 +124,9 @@ def similar_titles(articles: DataFrame, low: float | None = None, scope: tuple[s
     titles = materialize(distinct_titles(articles, *scope), "titles")
     if metric == "blocks":
         return _similar_blocks(titles, 0.8 if low is None else low, list(scope))
-    grams = materialize(titles.select(*scope, "id", F.transform(trigrams(F.col("t")), lambda g: F.xxhash64(g)).alias("tokens")), "sets")
+    texts = titles.select(*scope, "id", "t")
+    fields = [*[f for f in texts.schema.fields if f.name != "t"], T.StructField("tokens", T.ArrayType(T.LongType()))]
+    grams = materialize(texts.mapInArrow(_trigrams, T.StructType(fields)), "sets")
     found = dense_pairs(grams, list(scope), 0.6 if low is None else low)
     pairs = found.select(*scope, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "similarity")
     side = lambda k: titles.select(*scope, F.col("id").alias(k), F.col("t").alias(f"title_{k}"), F.col("n").alias(f"n_{k}"))

@@ -39,7 +39,7 @@ WORD = 64
 
 
 def _numbers(batches: Iterator[pa.RecordBatch], names: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """``tokens`` packed: the places of those among ``names`` (sorted) as ``numbers``, the hashes of the rest as ``others``."""
+    """``tokens`` packed: the places of those among ``names`` (sorted) as ``numbers``, the rest as ``others``."""
     for batch in batches:
         lists = batch.column("tokens")
         data, sizes = lists.flatten().to_numpy(zero_copy_only=False), lists.value_lengths().to_numpy(zero_copy_only=False)
@@ -358,7 +358,7 @@ def _handed(found: list, names: dict[str, pa.ChunkedArray], x: _Side, y: _Side)
 
 
 def dense_pairs(sets: DataFrame, scope: list[str], low: float, letters: float | None = None) -> DataFrame:
-    """All pairs ``scope, a, b, similarity`` of ``scope, id, tokens`` (64-bit hashes) with a Jaccard ratio of ``low`` or more.
+    """All pairs ``scope, a, b, similarity`` of ``scope, id, tokens`` (64-bit numbers) with a Jaccard ratio of ``low`` or more.
 
     With ``letters``, ``sets`` have a text ``t`` too, and of texts of up to WORD letters only the pairs with that part of their letters as a
     common subsequence are listed.

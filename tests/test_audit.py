@@ -345,7 +345,7 @@ def test_a_cell_finds_all_pairs(monkeypatch, low, small):
 def test_titles_with_rare_trigrams_in_small_blocks(spark, monkeypatch):
     for name, value in (("LEAST", 8), ("NUMBERS", 40), ("TOKENS", 300)):
         monkeypatch.setattr(C, name, value)
-    texts = rare_titles(9, 160)
+    texts = [*rare_titles(9, 160), "\U0001f600 ab" * 3, "\U0001f600 ab" * 3 + "c", "\U00020000ab\U00020000", "\U00020000", "Ab", "ab"]
     table = spark.createDataFrame(list(enumerate(texts)), "ord long, title string")
     got = {(r.id_a, r.id_b): r.similarity for r in A.similar_titles(table).collect()}
     first = {}
