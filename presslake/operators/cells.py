@@ -23,7 +23,7 @@ from presslake.sources.workspace import materialize
 #: The most frequent tokens have a number of 16 bits; others travel as they are.
 NUMBERS = 1 << 16
 #: Sets in a block, at least and at most, and tokens at most; between them, BLOCKS blocks in a scope.
-LEAST, MOST, TOKENS, BLOCKS = 16_384, 65_536, 12_000_000, 12
+LEAST, MOST, TOKENS, BLOCKS = 16_384, 65_536, 8_000_000, 12
 #: Sets in a tile, at most, and tokens that are looked at together.
 TILE, TOGETHER = 1024, 1_000_000
 #: Columns of the matrices, one of these, and how many of a cell's most frequent tokens may have none; which, a few rows tell.
@@ -335,11 +335,12 @@ def _pairs(x: _Side, y: _Side, low: float, letters: float | None) -> Iterator[tu
 
 def _cell(batches: Iterator[pa.RecordBatch], scope: list[str], low: float, letters: float | None) -> Iterator[pa.RecordBatch]:
     table = pa.Table.from_batches(list(batches))
-    names = {s: table.column(s)[:1] for s in scope}
+    names = {s: table.column(s).take(pa.array([0])) for s in scope}
     one = table.column("row")[0] == table.column("col")[0]
     x = _Side(table if one else table.filter(pc.equal(table["side"], 0)))
     y = x if one else _Side(table.filter(pc.equal(table["side"], 1)))
     del table
+    pa.default_memory_pool().release_unused()
     found, held = [], 0
     if len(x.n) and len(y.n):
         for i, j, ratio in _pairs(x, y, low, letters):
