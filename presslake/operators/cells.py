@@ -23,7 +23,7 @@ from presslake.sources.workspace import materialize
 #: The most frequent tokens have a number of 16 bits; others travel as they are.
 NUMBERS = 1 << 16
 #: Sets in a block, at least and at most, and tokens at most; between them, BLOCKS blocks in a scope.
-LEAST, MOST, TOKENS, BLOCKS = 16_384, 65_536, 8_000_000, 12
+LEAST, MOST, TOKENS, BLOCKS = 16_384, 65_536, 10_000_000, 12
 #: Sets in a tile, at most, and tokens that are looked at together.
 TILE, TOGETHER = 1024, 1_000_000
 #: Columns of the matrices, one of these, and how many of a cell's most frequent tokens may have none; which, a few rows tell.
